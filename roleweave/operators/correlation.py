@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +35,19 @@ def spearman(df: DataFrame, actual: str, predicted: str, unique: str, groups: Se
 
 def column_stats(df: DataFrame, vector: str) -> DataFrame:
     """(dim, mean, scale) of every element of an array column; population deviation, constant ones 1."""
-    elements = df.select(F.posexplode(vector).alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
-    stats = elements.groupBy("dim").agg(
-        F.avg("x").alias("mean"), F.stddev_pop("x").alias("deviation"), (F.min("x") == F.max("x")).alias("flat")
+    metrics = Summarizer.metrics("mean", "variance", "min", "max", "count")
+    s = df.filter(F.col(vector).isNotNull()).agg(metrics.summary(array_to_vector(vector)).alias("s"))
+    wide = s.select(
+        F.posexplode(
+            F.arrays_zip(*[vector_to_array(f"s.{m}").alias(m) for m in ("mean", "variance", "min", "max")])
+        ).alias("dim", "m"),
+        F.col("s.count").alias("n"),
+    )
+    # Sample variance to population deviation.
+    deviation = F.sqrt(F.col("m.variance") * (F.col("n") - 1) / F.col("n"))
+    return wide.select(
+        "dim", F.col("m.mean").alias("mean"), F.when(F.col("m.min") == F.col("m.max"), 1.0).otherwise(deviation).alias("scale")
     )
-    return stats.select("dim", "mean", F.when(F.col("flat"), 1.0).otherwise(F.col("deviation")).alias("scale"))
 
 
 def residuals(df: DataFrame, actual: str = "score", predicted: str = "prediction") -> DataFrame:

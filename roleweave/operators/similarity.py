@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -127,13 +128,11 @@ def unit(vector: Column) -> Column:
 
 
 def mean_vectors(df: DataFrame, vector: str, *keys: str) -> DataFrame:
-    """Normalized mean vector per key (of all rows without keys).
+    """(keys..., vector): normalized mean vector per key, of all rows without keys.
 
-    Elements are summed one by one, so the state per group is one number per dimension and a group
-    with a third of all rows is reduced before the shuffle.
+    The state per key is one running mean, so a key with a third of all rows is reduced to one row
+    per task before the shuffle.
     """
-    elements = df.select(*keys, F.posexplode(F.col(vector)).alias("_dim", "_x"))
-    means = elements.groupBy(*keys, "_dim").agg(F.avg(F.col("_x").cast("double")).alias("_x"))
-    # One entry per dimension in every list.
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("_dim", "_x"))), lambda e: e["_x"])
-    return means.groupBy(*keys).agg(ordered.alias("vector")).withColumn("vector", unit(F.col("vector")))
+    mean = Summarizer.mean(array_to_vector(F.col(vector)))
+    means = df.filter(F.col(vector).isNotNull()).groupBy(*keys).agg(mean.alias("_mean"))
+    return means.select(*keys, unit(vector_to_array("_mean")).alias("vector"))

@@ -13,12 +13,10 @@ from pyspark.sql import functions as F
 from roleweave.functions.classify import RelevanceRules, relevance, remote_flag
 from roleweave.functions.text import is_empty_description
 from roleweave.operators.ordering import with_position
-from roleweave.schemas import REQUIRED, SNAPSHOT_COLUMNS
+from roleweave.schemas import REQUIRED, SNAPSHOT_COLUMNS, conform
 
+# Set by the first sighting of a URL and kept from then on.
 ONCE = ("raw_id", "source", "company", "posted_date", "extra_json")
-FOLLOWING = ("title", "description", "location", "is_remote", "is_relevant")
-# Columns no feed may touch.
-OURS = ("score", "application_status", "application_status_updated_at")
 
 
 def collapse(batch: DataFrame, rules: RelevanceRules, arrival: str = "arrival") -> DataFrame:
@@ -50,9 +48,43 @@ def assign_ids(fresh: DataFrame, after: int) -> DataFrame:
     return numbered.select("url", (F.col("position") + F.lit(after)).alias("new_id"))
 
 
-def _description(keep_filled: bool) -> Column:
-    new, old = F.col("latest.description"), F.col("s.description")
-    return F.when(is_empty_description(new), old).otherwise(new) if keep_filled else new
+def updated_rows(
+    snapshot: DataFrame, arrivals: DataFrame, now: Column, keep_filled_descriptions: bool = False
+) -> DataFrame:
+    """Stored rows after the batch. Both sides hold each URL once, so no join key is hot.
+
+    Scores and application status survive, even when the description under a score changes. An empty
+    description replaces a filled one unless `keep_filled_descriptions` is set. Broadcast `arrivals`
+    when it is small and the snapshot is not shuffled at all.
+    """
+    new = arrivals.select("url", "latest", F.col("is_relevant").alias("_relevant"), F.lit(True).alias("_seen"))
+    seen = F.col("_seen").isNotNull()
+    text = F.col("latest.description")
+    if keep_filled_descriptions:
+        text = F.when(is_empty_description(text), F.col("description")).otherwise(text)
+    following = {
+        "title": F.col("latest.title"),
+        "description": text,
+        "location": F.col("latest.location"),
+        "is_remote": F.col("latest.is_remote"),
+        "is_relevant": F.col("_relevant"),
+        "last_seen_at": now,
+    }
+    changed = {name: F.when(seen, value).otherwise(F.col(name)) for name, value in following.items()}
+    return snapshot.join(new, "url", "left").withColumns(changed).select(*SNAPSHOT_COLUMNS)
+
+
+def added_rows(arrivals: DataFrame, ids: DataFrame, now: Column) -> DataFrame:
+    """Rows of URLs seen for the first time."""
+    columns = {
+        "id": F.col("new_id"),
+        **{name: F.col(f"once.{name}") for name in ONCE},
+        **{name: F.col(f"latest.{name}") for name in ("title", "description", "location", "is_remote")},
+        "first_seen_at": now,
+        "last_seen_at": now,
+        "application_status": F.lit("new"),
+    }
+    return conform(arrivals.join(ids, "url").withColumns(columns))
 
 
 def merge(
@@ -62,40 +94,8 @@ def merge(
     now: Column,
     keep_filled_descriptions: bool = False,
 ) -> DataFrame:
-    """Snapshot after the batch. Both sides hold each URL once, so no join key is hot.
-
-    Scores and application status survive, even when the description under a score changes. An empty
-    description replaces a filled one unless `keep_filled_descriptions` is set.
-    """
-    s = snapshot.select(*SNAPSHOT_COLUMNS, F.lit(True).alias("_stored")).alias("s")
-    a = arrivals.select("url", "once", "latest", F.col("is_relevant").alias("_relevant"), F.lit(True).alias("_seen"))
-    # `arrivals` on both joins: ids are a left lookup that only new URLs have.
-    a = a.join(ids, "url", "left").alias("a")
-    joined = s.join(a, F.col("s.url") == F.col("a.url"), "full_outer")
-    stored, seen = F.col("_stored").isNotNull(), F.col("_seen").isNotNull()
-
-    def once(name: str) -> Column:
-        return F.when(stored, F.col(f"s.{name}")).otherwise(F.col(f"once.{name}"))
-
-    def following(name: str, new: Column) -> Column:
-        return F.when(seen, new).otherwise(F.col(f"s.{name}"))
-
-    columns = {
-        "id": F.coalesce("s.id", "new_id"),
-        "url": F.coalesce("s.url", "a.url"),
-        **{name: once(name) for name in ONCE},
-        "title": following("title", F.col("latest.title")),
-        "description": following("description", _description(keep_filled_descriptions)),
-        "location": following("location", F.col("latest.location")),
-        "is_remote": following("is_remote", F.col("latest.is_remote")),
-        "is_relevant": following("is_relevant", F.col("_relevant")),
-        "first_seen_at": F.when(stored, F.col("first_seen_at")).otherwise(now),
-        "last_seen_at": F.when(seen, now).otherwise(F.col("last_seen_at")),
-        "score": F.col("score"),
-        "application_status": F.coalesce("application_status", F.lit("new")),
-        "application_status_updated_at": F.col("application_status_updated_at"),
-    }
-    return joined.select(*[columns[name].alias(name) for name in SNAPSHOT_COLUMNS])
+    """Snapshot after the batch: updated rows and added rows."""
+    return updated_rows(snapshot, arrivals, now, keep_filled_descriptions).unionByName(added_rows(arrivals, ids, now))
 
 
 def new_urls(arrivals: DataFrame, snapshot: DataFrame) -> DataFrame:

@@ -46,11 +46,10 @@ def latest_status(events: DataFrame, order: str = "changed_at") -> DataFrame:
     return valid.groupBy("url").agg(F.max_by("status", order).alias("status"), F.max(order).alias("changed_at"))
 
 
-def apply_status(snapshot: DataFrame, events: DataFrame, order: str = "changed_at") -> DataFrame:
-    """Set the application status from change events (url, status, changed_at); the last one wins."""
-    last = latest_status(events, order).select("url", "status", "changed_at")
+def apply_status(snapshot: DataFrame, last: DataFrame) -> DataFrame:
+    """Set the application status from the outcome of `latest_status` and stamp its time."""
     return (
-        snapshot.join(last, "url", "left")
+        snapshot.join(last.select("url", "status", "changed_at"), "url", "left")
         .withColumn("application_status", F.coalesce("status", "application_status"))
         .withColumn("application_status_updated_at", F.coalesce("changed_at", "application_status_updated_at"))
         .select(*snapshot.columns)

@@ -360,7 +360,7 @@ def status_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 def status_applied(spark: SparkSession, folder: str) -> DataFrame:
     stored = _event_snapshot(spark, folder)
-    changed = writeback.apply_status(stored, adapters.status_events(spark, folder))
+    changed = writeback.apply_status(stored, writeback.latest_status(adapters.status_events(spark, folder)))
     return changed.select(
         "url", "application_status", F.to_date("application_status_updated_at").alias("changed_on")
     )

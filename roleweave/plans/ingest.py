@@ -64,5 +64,5 @@ def backfill_descriptions(store: PostingStore, fetched: DataFrame) -> Row:
     changes = stage(wanted.join(usable, "url"), "descriptions")
     counts = Row(attempted_count=wanted.count(), updated_count=changes.count())
     if counts.updated_count:
-        store.rewrite(lambda df: write_descriptions(df, changes), changes)
+        store.write_by_url(write_descriptions, changes)
     return counts

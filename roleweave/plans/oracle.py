@@ -172,8 +172,9 @@ def oracle_sql() -> dict[str, str]:
     chk AS (SELECT *, CASE WHEN ats_type = 'kula' THEN 'SKIP' WHEN error IS NOT NULL THEN 'ERROR'
       WHEN http_status = 200 AND n_jobs > 0 THEN 'OK' WHEN http_status = 200 THEN 'WARN' ELSE 'FAIL' END AS status FROM lg)"""
     day = "CAST(ts AS DATE)"
-    slug = """sl AS (SELECT page_id, title, trim(regexp_replace(regexp_replace(name, '[.,]', '', 'g'),
-        '(?i)(?:^|\\b)(?:inc|incorporated|llc|corp|corporation|co|ltd|plc|group|holdings)\\b\\.?', '', 'g')) AS base,
+    # Doubled blanks let two legal words in a row match, since each match takes its neighbours.
+    slug = """sl AS (SELECT page_id, title, trim(regexp_replace(replace(regexp_replace(name, '[.,]', '', 'g'), ' ', '  '),
+        '(?i)(^|[^\\p{L}\\p{N}_])(?:inc|incorporated|llc|corp|corporation|co|ltd|plc|group|holdings)($|[^\\p{L}\\p{N}_])', '\\1\\2', 'g')) AS base,
         lower(regexp_replace(name, '\\s+', '', 'g')) AS raw FROM nm),
       w AS (SELECT page_id, title, raw, list_filter(string_split(regexp_replace(replace(base, '&', 'and'), '[^A-Za-z0-9 -]', '', 'g'), ' '), lambda z: z <> '') AS words FROM sl),
       cand AS (SELECT page_id, title, list_sort(list_distinct(list_filter([lower(array_to_string(words, '')), lower(array_to_string(words, '-')), raw], lambda z: z <> ''))) AS slugs FROM w)"""

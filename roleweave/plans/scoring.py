@@ -81,5 +81,5 @@ def score_pending(store: PostingStore, encoder: Encoder, reference: DataFrame, m
     scores = stage(score_texts(pending, encoder, reference, model), "scores")
     pending_count = scores.count()
     scored_count = rows_updated(store.read(), scores).first().updated_count
-    store.rewrite(lambda df: write_scores(df, scores), scores)
+    store.write_by_url(write_scores, scores)
     return Row(pending_count=pending_count, scored_count=scored_count)

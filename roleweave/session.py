@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Largest table, as text, that is sent whole to every executor.
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "roleweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,3 +58,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def is_small(staged: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a staged table, measured in full, is small enough to send to every executor."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*staged.columns))))
+    return (staged.agg(size.alias("bytes")).first().bytes or 0) <= limit
+
+
+def small_side(staged: DataFrame) -> tuple[DataFrame, bool]:
+    """The staged table, marked for broadcast when its measured size allows it, and whether it was."""
+    small = is_small(staged)
+    return (F.broadcast(staged) if small else staged), small

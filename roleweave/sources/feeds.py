@@ -28,6 +28,7 @@ from roleweave.functions.text import (
     text_or,
 )
 from roleweave.schemas import AGGREGATOR, POSTING_COLUMNS
+from roleweave.session import stage
 from roleweave.vocabulary import LISTING_PAGE_SIZE
 
 # ---------------------------------------------------------------- VARIANT helpers
@@ -220,31 +221,52 @@ def listing_pages(pages: DataFrame, page_size: int = LISTING_PAGE_SIZE) -> DataF
     parsed = pages.withColumn("_jobs", F.when(_is(doc, "OBJECT"), _items(_at(doc, "jobPostings"))))
     short = F.coalesce(F.size("_jobs"), F.lit(0)) < page_size
     ends = parsed.groupBy("tenant").agg(F.min(F.when(short, F.col("offset"))).alias("_end"))
-    # One row per tenant on the right: small against the pages, and sized at run time.
-    return parsed.join(ends, "tenant").filter(F.col("_end").isNull() | (F.col("offset") <= F.col("_end"))).drop("_end")
+    # Staged, its size is known when the join is planned: unless there are very many tenants, the
+    # payloads stay where they are.
+    return parsed.join(stage(ends, "page_ends"), "tenant").filter(F.col("_end").isNull() | (F.col("offset") <= F.col("_end"))).drop("_end")
 
 
-def _listed(pages: DataFrame, details: DataFrame, page_size: int) -> DataFrame:
+def _workday_rows(pages: DataFrame, details: DataFrame, page_size: int) -> DataFrame:
+    """One normalized row per listed job with a `_bad` mark, staged; malformed pages keep one row."""
     jobs = listing_pages(pages, page_size).select(
-        "company_name", "tenant", "site", "wd_subdomain", "offset", F.posexplode_outer("_jobs").alias("_pos", "_job"),
+        "company_name",
+        "tenant",
+        "site",
+        "wd_subdomain",
+        "offset",
         F.col("_jobs").isNull().alias("_bad_page"),
+        F.posexplode_outer("_jobs").alias("_pos", "_job"),
     )
     path = F.coalesce(_text(F.col("_job"), "externalPath"), F.lit(""))
-    info = details.select(
-        "tenant",
-        F.col("external_path").alias("_path"),
-        F.try_parse_json("payload").alias("_detail"),
+    parsed = details.select("tenant", F.col("external_path").alias("_path"), F.try_parse_json("payload").alias("_detail"))
+    joined = jobs.withColumn("_path", path).join(parsed, ["tenant", "_path"], "left")
+    job, detail, info = F.col("_job"), F.col("_detail"), _at(F.col("_detail"), "jobPostingInfo")
+    well_formed = (
+        _is(job, "OBJECT")
+        & _is(detail, "OBJECT")
+        & (info.isNull() | _is(info, "OBJECT"))
+        & (_nothing(_at(info, "startDate")) | _is(_at(info, "startDate"), "STRING"))
+    )
+    site = F.concat(
+        F.lit("https://"), "tenant", F.lit("."), "wd_subdomain", F.lit(".myworkdayjobs.com/"), "site", "_path"
     )
-    joined = jobs.withColumn("_path", path).join(info, ["tenant", "_path"], "left")
-    detail_info = _at(F.col("_detail"), "jobPostingInfo")
-    job_ok = (
-        _is(F.col("_job"), "OBJECT")
-        & _is(F.col("_detail"), "OBJECT")
-        & (detail_info.isNull() | _is(detail_info, "OBJECT"))
-        & (_nothing(_at(detail_info, "startDate")) | _is(_at(detail_info, "startDate"), "STRING"))
+    bullets = F.coalesce(F.to_json(_at(job, "bulletFields")), F.lit("null"))
+    rows = joined.select(
+        F.lit("workday").alias("source"),
+        F.col("company_name").alias("company"),
+        first_filled(_text(info, "title"), _text_or_empty(job, "title")).alias("title"),
+        first_filled(_text(info, "location"), _text(job, "locationsText")).alias("location"),
+        html_to_text(_text(info, "jobDescription")).alias("description"),
+        first_filled(_text(info, "externalUrl"), site).alias("url"),
+        plain_iso_date(_text(info, "startDate")).alias("posted_date"),
+        _text(info, "jobReqId").alias("raw_id"),
+        F.concat(F.lit('{"bulletFields":'), bullets, F.lit("}")).alias("extra_json"),
+        F.struct(F.col("tenant").alias("landed"), "offset", "_pos").alias("arrival"),
+        "tenant",
+        (F.col("_bad_page") | (F.col("_pos").isNotNull() & ~well_formed)).alias("_bad"),
+        F.col("_pos").isNotNull().alias("_is_job"),
     )
-    bad = F.col("_bad_page") | (F.col("_pos").isNotNull() & ~job_ok)
-    return joined.withColumn("_info", detail_info).withColumn("_bad", bad)
+    return stage(rows, "workday")
 
 
 def workday_postings(pages: DataFrame, details: DataFrame, page_size: int = LISTING_PAGE_SIZE) -> DataFrame:
@@ -254,36 +276,15 @@ def workday_postings(pages: DataFrame, details: DataFrame, page_size: int = LIST
     external_path, payload. Detail values win over listing values. A malformed page or a missing
     detail drops the company.
     """
-    rows = _listed(pages, details, page_size)
-    bad = rows.filter("_bad").select("tenant").distinct()
-    job, info = F.col("_job"), F.col("_info")
-    site = F.concat(
-        F.lit("https://"), "tenant", F.lit("."), "wd_subdomain", F.lit(".myworkdayjobs.com/"), "site", "_path"
-    )
-    return (
-        rows.filter(F.col("_pos").isNotNull())
-        .join(bad, "tenant", "left_anti")
-        .select(
-            F.lit("workday").alias("source"),
-            F.col("company_name").alias("company"),
-            first_filled(_text(info, "title"), _text_or_empty(job, "title")).alias("title"),
-            first_filled(_text(info, "location"), _text(job, "locationsText")).alias("location"),
-            html_to_text(_text(info, "jobDescription")).alias("description"),
-            first_filled(_text(info, "externalUrl"), site).alias("url"),
-            plain_iso_date(_text(info, "startDate")).alias("posted_date"),
-            _text(info, "jobReqId").alias("raw_id"),
-            F.concat(
-                F.lit('{"bulletFields":'), F.coalesce(F.to_json(_at(job, "bulletFields")), F.lit("null")), F.lit("}")
-            ).alias("extra_json"),
-            F.struct(F.col("tenant").alias("landed"), "offset", "_pos").alias("arrival"),
-        )
-        .select(*POSTING_COLUMNS, "arrival")
-    )
+    rows = _workday_rows(pages, details, page_size)
+    bad = stage(rows.filter("_bad").select("tenant").distinct(), "bad_tenants")
+    return rows.filter("_is_job").join(bad, "tenant", "left_anti").select(*POSTING_COLUMNS, "arrival")
 
 
 def workday_rejects(pages: DataFrame, details: DataFrame, page_size: int = LISTING_PAGE_SIZE) -> DataFrame:
     """(company_name, tenant) of companies dropped by `workday_postings`."""
-    return _listed(pages, details, page_size).filter("_bad").select("company_name", "tenant").distinct()
+    rows = _workday_rows(pages, details, page_size)
+    return rows.filter("_bad").select(F.col("company").alias("company_name"), "tenant").distinct()
 
 
 # ---------------------------------------------------------------- aggregator feed

@@ -10,6 +10,7 @@ time. With a table format that supports MERGE, `operators.upsert` can feed that
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -18,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roleweave.functions.classify import RelevanceRules
-from roleweave.operators.upsert import assign_ids, collapse, merge, new_urls, run_stats
+from roleweave.operators.upsert import added_rows, assign_ids, collapse, run_stats, updated_rows
 from roleweave.schemas import RUN, SNAPSHOT, SNAPSHOT_COLUMNS, conform
-from roleweave.session import stage
+from roleweave.session import small_side, stage
 
 COMMIT = T.StructType(
     [
@@ -40,6 +41,15 @@ class BatchRejected(ValueError):
     """A row of the batch lacks a required value; nothing was stored."""
 
 
+@dataclass(frozen=True)
+class State:
+    """What the commits add up to."""
+
+    newest: dict[int, int]  # newest committed version by bucket, one entry per bucket at most
+    version: int
+    last_id: int
+
+
 class PostingStore:
     """Snapshot table plus run log under one root folder."""
 
@@ -57,22 +67,34 @@ class PostingStore:
         except AnalysisException:  # no commit yet
             return self.spark.createDataFrame([], COMMIT)
 
+    def _state(self) -> State:
+        rows = (
+            self._commits()
+            .select("version", "last_id", F.explode("buckets").alias("bucket"))
+            .groupBy("bucket")
+            .agg(F.max("version").alias("version"), F.max("last_id").alias("last_id"))
+            .collect()
+        )
+        return State(
+            newest={r.bucket: r.version for r in rows},
+            version=max((r.version for r in rows), default=0),
+            last_id=max((r.last_id for r in rows), default=0),
+        )
+
     def bucket(self, url: Column) -> Column:
         return F.pmod(F.xxhash64(url), F.lit(self.bucket_count)).cast("int")
 
-    def _newest(self) -> dict[int, int]:
-        """Newest committed version by bucket; one entry per bucket at most."""
-        versions = self._commits().select("version", F.explode("buckets").alias("bucket"))
-        return {r.bucket: r.version for r in versions.groupBy("bucket").agg(F.max("version").alias("version")).collect()}
-
-    def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
-        """Current postings, optionally of some buckets only."""
-        newest = self._newest()
-        wanted = newest if buckets is None else newest.keys() & set(buckets)
-        paths = [f"{self.root}/postings/version={newest[b]}/bucket={b}" for b in sorted(wanted)]
+    def _scan(self, state: State, buckets: Iterable[int]) -> DataFrame:
+        paths = [f"{self.root}/postings/version={state.newest[b]}/bucket={b}" for b in buckets if b in state.newest]
         if not paths:
             return self.spark.createDataFrame([], SNAPSHOT)
-        return conform(self.spark.read.option("mergeSchema", "true").parquet(*paths))
+        # The declared schema fills columns older files lack and spares reading every footer.
+        return conform(self.spark.read.schema(SNAPSHOT).parquet(*paths))
+
+    def read(self) -> DataFrame:
+        """Current postings."""
+        state = self._state()
+        return self._scan(state, sorted(state.newest))
 
     def runs(self) -> DataFrame:
         try:
@@ -85,19 +107,16 @@ class PostingStore:
 
     # ------------------------------------------------------------ writing
 
-    def _write(self, snapshot: DataFrame, buckets: list[int], **commit) -> None:
-        done = self._commits().agg(F.max("version").alias("version"), F.max("last_id").alias("last_id")).first()
-        version = (done.version or 0) + 1
-        # Rebalancing by bucket keeps files even and splits a bucket that outgrows one task.
-        (
-            snapshot.withColumn("bucket", self.bucket(F.col("url")))
-            .hint("rebalance", "bucket")
-            .write.mode("overwrite")
-            .partitionBy("bucket")
-            .parquet(f"{self.root}/postings/version={version}")
-        )
+    def _rebalanced(self, rows: DataFrame) -> DataFrame:
+        """Gather rows by bucket into files of even size; a bucket beyond one task is split."""
+        return rows.withColumn("bucket", self.bucket(F.col("url"))).hint("rebalance", "bucket")
+
+    def _write(self, rows: DataFrame, state: State, buckets: list[int], **commit) -> None:
+        version = state.version + 1
+        out = rows.withColumn("bucket", self.bucket(F.col("url")))
+        out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/postings/version={version}")
         row = {f.name: None for f in COMMIT.fields}
-        row.update(version=version, bucket_count=self.bucket_count, buckets=buckets, last_id=done.last_id or 0)
+        row.update(version=version, bucket_count=self.bucket_count, buckets=buckets, last_id=state.last_id)
         row.update(commit)
         frame = self.spark.createDataFrame([Row(**row)], COMMIT)
         frame.coalesce(1).write.mode("append").json(f"{self.root}/commits")
@@ -114,7 +133,11 @@ class PostingStore:
         batch_key: str | None = None,
         keep_filled_descriptions: bool = False,
     ) -> Row:
-        """Apply a batch of normalized postings; returns its run statistics."""
+        """Apply a batch of normalized postings; returns its run statistics.
+
+        Only the buckets the batch touches are rewritten. A batch of measured small size is sent to
+        the executors, and the stored rows are then copied without a shuffle.
+        """
         if batch_key is not None:
             done = self._commits().filter(F.col("batch_key") == batch_key)
             earlier = done.select("fetched_count", "new_count", "updated_count").first()
@@ -124,24 +147,46 @@ class PostingStore:
         broken = arrivals.filter("broken > 0").select("url").first()
         if broken is not None:
             raise BatchRejected(f"a required value is missing for url {broken.url!r}")
+        state = self._state()
         touched = self._buckets_of(arrivals)
-        current = self.read(touched)
-        fresh = stage(new_urls(arrivals, current).select("url", "first_arrival", "occurrences"), "fresh")
+        current = self._scan(state, touched)
+        side, small = small_side(arrivals)
+        keys = arrivals.select("url", "first_arrival")
+        known = current.select("url").join(F.broadcast(keys) if small else keys, "url", "left_semi")
+        fresh = stage(keys.join(known, "url", "left_anti"), "fresh")
         stats = run_stats(arrivals, fresh).first()
-        last = self._commits().agg(F.max("last_id").alias("id")).first().id or 0
         stamp = now if isinstance(now, Column) else F.lit(now or datetime.now(timezone.utc)).cast("timestamp")
-        merged = merge(current, arrivals, assign_ids(fresh, last), stamp, keep_filled_descriptions)
-        self._write(
-            merged, touched, last_id=last + stats.new_count, batch_key=batch_key, **stats.asDict()
+        kept = updated_rows(current, side, stamp, keep_filled_descriptions)
+        added = added_rows(arrivals, assign_ids(fresh, state.last_id), stamp)
+        rows = (
+            kept.unionByName(self._rebalanced(added).drop("bucket"))
+            if small
+            else self._rebalanced(kept.unionByName(added)).drop("bucket")
         )
+        last = state.last_id + stats.new_count
+        if touched:
+            self._write(rows, state, touched, last_id=last, batch_key=batch_key, **stats.asDict())
         return stats
 
-    def rewrite(self, change: Callable[[DataFrame], DataFrame], urls: DataFrame | None = None) -> None:
-        """Rewrite the buckets of `urls` (all buckets without them) through `change`."""
-        stored = self._newest()
-        buckets = sorted(stored) if urls is None else [b for b in self._buckets_of(urls) if b in stored]
+    def rewrite(self, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Rewrite every bucket through a change that moves no rows, such as recomputing a column."""
+        state = self._state()
+        buckets = sorted(state.newest)
         if buckets:
-            self._write(change(self.read(buckets)).select(*SNAPSHOT_COLUMNS), buckets)
+            self._write(change(self._scan(state, buckets)).select(*SNAPSHOT_COLUMNS), state, buckets)
+
+    def write_by_url(self, change: Callable[[DataFrame, DataFrame], DataFrame], changes: DataFrame) -> None:
+        """Apply staged `changes` with one row per URL through `change(postings, changes)`.
+
+        Rewrites only the buckets the changes touch.
+        """
+        state = self._state()
+        buckets = [b for b in self._buckets_of(changes) if b in state.newest]
+        if not buckets:
+            return
+        side, small = small_side(changes)
+        rows = change(self._scan(state, buckets), side).select(*SNAPSHOT_COLUMNS)
+        self._write(rows if small else self._rebalanced(rows).drop("bucket"), state, buckets)
 
     def record_run(
         self,

@@ -64,6 +64,6 @@ def stream_statuses(stream: DataFrame, store: PostingStore, checkpoint: str) ->
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         last = stage(latest_status(batch), "statuses")
-        store.rewrite(lambda df: apply_status(df, last), last)
+        store.write_by_url(apply_status, last)
 
     return _run(stream, apply, checkpoint)
