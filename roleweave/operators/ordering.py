@@ -1,65 +1,65 @@
 """Global order without a global window: positions, next rows and tied ranks at any size.
 
 A window without a partition key puts every row into one task. These operators range-partition
-the rows instead, number them inside each slice, and carry the boundaries between slices in tables
-with one row per slice. The order must be total (end it with a unique key), so a value shared by a
-third of the rows is still spread over many slices.
+the rows instead, work inside each slice, stage the result, and carry the boundaries between slices
+in tables with one row per slice. The order must be total (end it with a unique key), so a value
+shared by a third of the rows is still spread over many slices.
+
+Staging matters: range boundaries come from a sample, and a second evaluation of the same plan could
+draw others.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from roleweave.session import stage
 
 SLICE = "_slice"
 
 
-def slice_by(df: DataFrame, keys: Sequence[Column], slices: int | None = None) -> DataFrame:
-    """Range-partition on ascending `keys`, label the slices, and stage the result.
-
-    Staging matters: range boundaries come from a sample, and a second evaluation of the same plan
-    could draw others.
-    """
+def _sliced(df: DataFrame, keys: Sequence[Column], slices: int | None = None) -> DataFrame:
+    """Range-partition on ascending `keys` and label the slices."""
     count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stage(df.repartitionByRange(count, *keys).withColumn(SLICE, F.spark_partition_id()), "slices")
+    return df.repartitionByRange(count, *keys).withColumn(SLICE, F.spark_partition_id())
+
 
+def _per_slice(values: dict[int, object], element: str) -> Column:
+    """The value of the row's slice, out of one small array literal."""
+    filled = [values.get(i) for i in range(max(values, default=0) + 1)]
+    return F.try_element_at(F.from_json(F.lit(json.dumps(filled)), f"array<{element}>"), F.col(SLICE) + 1)
 
-def _offsets(sliced: DataFrame) -> DataFrame:
-    """Rows before each slice. The window runs over one row per slice."""
-    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    counts = sliced.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+
+def _rows_before(rows: dict[int, int]) -> dict[int, int]:
+    """Running total of the slices before each slice."""
+    order = sorted(rows)
+    return dict(zip(order, accumulate([0] + [rows[s] for s in order])))
 
 
 def with_position(df: DataFrame, keys: Sequence[Column], name: str = "position") -> DataFrame:
     """Add the 1-based position of every row in the order of `keys`."""
-    sliced = slice_by(df, keys)
     within = F.row_number().over(Window.partitionBy(SLICE).orderBy(*keys))
-    return (
-        sliced.withColumn("_row", within)
-        .join(F.broadcast(_offsets(sliced)), SLICE)  # one row per slice
-        .withColumn(name, F.col("_before") + F.col("_row"))
-        .drop(SLICE, "_row", "_rows", "_before")
-    )
+    numbered = stage(_sliced(df, keys).withColumn("_row", within), "positions")
+    counts = numbered.groupBy(SLICE).agg(F.max("_row").alias("n")).collect()  # one row per slice
+    before = _per_slice(_rows_before({r[SLICE]: r.n for r in counts}), "bigint")
+    return numbered.withColumn(name, before + F.col("_row")).drop(SLICE, "_row")
 
 
 def with_next(df: DataFrame, keys: Sequence[Column], value: str, name: str) -> DataFrame:
-    """Add `value` of the following row in the order of `keys`; null on the last row."""
-    sliced = slice_by(df, keys)
-    heads = sliced.groupBy(SLICE).agg(F.min_by(value, F.struct(*keys)).alias("_head"))
-    following = heads.select(SLICE, F.lead("_head").over(Window.orderBy(SLICE)).alias("_head"))
-    within = F.lead(value).over(Window.partitionBy(SLICE).orderBy(*keys))
-    return (
-        sliced.withColumn(name, within)
-        .join(F.broadcast(following), SLICE)  # one row per slice
-        .withColumn(name, F.coalesce(name, "_head"))
-        .drop(SLICE, "_head")
+    """Add the integer `value` of the following row in the order of `keys`; null on the last row."""
+    order = Window.partitionBy(SLICE).orderBy(*keys)
+    linked = stage(
+        _sliced(df, keys).withColumns({name: F.lead(value).over(order), "_row": F.row_number().over(order)}), "links"
     )
+    heads = linked.filter("_row = 1").select(SLICE, F.col(value).alias("head")).collect()  # one row per slice
+    ordered = sorted((r[SLICE], r.head) for r in heads)
+    following = {this[0]: after[1] for this, after in zip(ordered, ordered[1:])}
+    return linked.withColumn(name, F.coalesce(name, _per_slice(following, "bigint"))).drop(SLICE, "_row")
 
 
 def with_average_rank(
@@ -71,48 +71,39 @@ def with_average_rank(
     rows in the groups before it, which no correlation within a group can see.
     """
     tie = [F.col(g) for g in groups] + [F.col(value)]
-    sliced = slice_by(df, tie + [F.col(unique)])
-    tie_key = F.struct(*tie)
-
-    edges = sliced.groupBy(SLICE).agg(F.min(tie_key).alias("_low"), F.max(tie_key).alias("_high"))
-    edge_counts = (
-        sliced.join(F.broadcast(edges), SLICE)  # one row per slice
-        .groupBy(SLICE)
+    peers = Window.partitionBy(SLICE).orderBy(*tie)
+    ranked = stage(
+        _sliced(df, tie + [F.col(unique)])
+        .withColumn("_first", F.rank().over(peers))
+        .withColumn("_last", F.count(F.lit(1)).over(peers))  # the range frame counts all ties
+        .withColumn("_tie", F.struct(*tie)),
+        "ranks",
+    )
+    edges = (
+        ranked.groupBy(SLICE)
         .agg(
-            F.first("_low").alias("_low"),
-            F.first("_high").alias("_high"),
-            F.count_if(tie_key == F.col("_low")).alias("_n_low"),
-            F.count_if(tie_key == F.col("_high")).alias("_n_high"),
-            F.count(F.lit(1)).alias("_rows"),
+            F.min("_tie").alias("low"),
+            F.min("_last").alias("low_last"),
+            F.max("_tie").alias("high"),
+            F.max("_first").alias("high_first"),
+            F.max("_last").alias("n"),
         )
+        .orderBy(SLICE)
+        .collect()  # one row per slice
     )
-    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    bounds = edge_counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    before = _rows_before({e[SLICE]: e.n for e in edges})
     # A tie that crosses slices is the highest value of one and the lowest of the next.
-    low = F.struct(
-        F.col("_low").alias("tie"),
-        (F.col("_before") + 1).alias("first"),
-        (F.col("_before") + F.col("_n_low")).alias("last"),
-    )
-    high = F.struct(
-        F.col("_high").alias("tie"),
-        (F.col("_before") + F.col("_rows") - F.col("_n_high") + 1).alias("first"),
-        (F.col("_before") + F.col("_rows")).alias("last"),
-    )
-    spans = (
-        bounds.select(F.explode(F.array(low, high)).alias("s"))
-        .groupBy(F.col("s.tie").alias("_tie"))
-        .agg(F.min("s.first").alias("_span_first"), F.max("s.last").alias("_span_last"))
-    )
-
-    peers = Window.partitionBy(SLICE).orderBy(*tie)
-    ranked = (
-        sliced.withColumn("_first", F.rank().over(peers))
-        .withColumn("_last", F.count(F.lit(1)).over(peers))  # range frame: counts all ties
-        .join(F.broadcast(bounds.select(SLICE, "_before")), SLICE)
-        .withColumn("_tie", tie_key)
-        .join(F.broadcast(spans), "_tie", "left")  # at most two rows per slice
-    )
-    first = F.coalesce("_span_first", F.col("_before") + F.col("_first"))
-    last = F.coalesce("_span_last", F.col("_before") + F.col("_last"))
+    spans: dict[tuple, tuple[int, int]] = {}
+    for this, after in zip(edges, edges[1:]):
+        if this.high == after.low:
+            first, _ = spans.get(tuple(this.high), (before[this[SLICE]] + this.high_first, 0))
+            spans[tuple(this.high)] = (first, before[after[SLICE]] + after.low_last)
+    shift = _per_slice(before, "bigint")
+    first, last = shift + F.col("_first"), shift + F.col("_last")
+    if spans:
+        schema = f"tie {ranked.schema['_tie'].dataType.simpleString()}, span_first bigint, span_last bigint"
+        crossing = df.sparkSession.createDataFrame([(t, a, b) for t, (a, b) in spans.items()], schema)
+        # Fewer rows than slices.
+        ranked = ranked.join(F.broadcast(crossing), F.col("_tie") == F.col("tie"), "left")
+        first, last = F.coalesce("span_first", first), F.coalesce("span_last", last)
     return ranked.withColumn(name, (first + last) / 2.0).select(*df.columns, name)

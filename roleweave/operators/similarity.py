@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,24 +19,23 @@ SIMS = "array<struct<sim: double, section: bigint>>"
 BLOCK_BYTES = 64 << 20
 
 
-def _matrix(vectors: pa.Array) -> np.ndarray:
-    """List column without nulls as a 2-D array."""
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(len(vectors), -1)
+# The functions below are shipped to the workers by value and refer to nothing of this package, so
+# the workers need not have it installed.
 
 
-def _top_sections(block: np.ndarray, ids: np.ndarray) -> Column:
+def _top_sections(block: np.ndarray, ids: np.ndarray) -> Callable[[Column], Column]:
     """UDF: the best sections of one block, best first, as (sim, section)."""
+    k = min(TOP, len(block))
 
     @F.arrow_udf(SIMS)
     def top(vectors: pa.Array) -> pa.Array:
         filled = vectors.is_valid().to_numpy(zero_copy_only=False)
-        present = vectors.drop_null()
-        k = min(TOP, len(block))
+        n = int(filled.sum())
         sims, sections = np.empty((0, k)), np.empty((0, k), dtype=np.int64)
-        if len(present):
-            # Order by section id decides ties, whatever order the sections were read in.
-            scores = _matrix(present) @ block.T
+        if n:
+            flat = vectors.drop_null().flatten().to_numpy(zero_copy_only=False)
+            scores = flat.astype(np.float64).reshape(n, -1) @ block.T
+            # The block is in order of section ids, so a stable sort settles ties by id.
             best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
             sims, sections = np.take_along_axis(scores, best, axis=1), ids[best]
         values = pa.StructArray.from_arrays(
@@ -46,14 +47,16 @@ def _top_sections(block: np.ndarray, ids: np.ndarray) -> Column:
     return top
 
 
-def _dot(vector: np.ndarray):
+def _dot(vector: np.ndarray) -> Callable[[Column], Column]:
+    """UDF: dot product with one vector."""
+
     @F.arrow_udf("double")
     def dot(vectors: pa.Array) -> pa.Array:
         filled = vectors.is_valid().to_numpy(zero_copy_only=False)
         out = np.zeros(len(vectors))
-        present = vectors.drop_null()
-        if len(present):
-            out[filled] = _matrix(present) @ vector
+        if filled.any():
+            flat = vectors.drop_null().flatten().to_numpy(zero_copy_only=False)
+            out[filled] = flat.astype(np.float64).reshape(int(filled.sum()), -1) @ vector
         return pa.array(out, mask=~filled)
 
     return dot

@@ -7,8 +7,10 @@ import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
@@ -194,31 +196,34 @@ def cross_validate(
     preprocessor: Preprocessor = embedding_preprocessor,
     scale_before_split: bool = False,
     folds: int = FOLDS,
+    parallelism: int = 4,
 ) -> DataFrame:
     """(trial, spearman): mean over folds of the held-out rank correlation.
 
-    The held-out predictions of all trials and folds are ranked together in one pass, so tuning adds
-    no sort per fit. By default the preprocessor is fitted inside each fold; `scale_before_split`
-    fits it once on all rows, as the exported model has it.
+    Fits run `parallelism` at a time, like those of Spark's own CrossValidator. The held-out
+    predictions of all trials and folds are then ranked together in one pass, so tuning adds no sort
+    per fit. By default the preprocessor is fitted inside each fold; `scale_before_split` fits it
+    once on all rows, as the exported model has it.
     """
     data = stage(with_fold(rows, key, folds), "training")
     shared = preprocessor(data, candidates[0]) if scale_before_split else None
-    predictions: list[DataFrame] = []
-    for fold in range(folds):
+    present = sorted(r.fold for r in data.select("fold").distinct().collect())
+
+    def held_out_predictions(fold: int, number: int) -> DataFrame:
         train, held_out = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
-        stats = target_stats(train)
-        if not stats.n:
-            continue
-        for number, params in enumerate(candidates):
-            pre = shared or preprocessor(train, params)
-            model: Model = estimator(regressor, params, stats).fit(pre.transform(train))
-            predictions.append(
-                model.transform(pre.transform(held_out)).select(
-                    F.lit(number).alias("trial"), "fold", F.col(key).alias("_key"), "score", "prediction"
-                )
-            )
-    scored = reduce(DataFrame.unionByName, predictions)
-    by_fold = spearman(stage(scored, "predictions"), "score", "prediction", "_key", ("trial", "fold"))
+        params = candidates[number]
+        pre = shared or preprocessor(train, params)
+        model = estimator(regressor, params, target_stats(train)).fit(pre.transform(train))
+        return model.transform(pre.transform(held_out)).select(
+            F.lit(number).alias("trial"), "fold", F.col(key).alias("_key"), "score", "prediction"
+        )
+
+    tasks = [(fold, number) for fold in present for number in range(len(candidates))]
+    run = inheritable_thread_target(data.sparkSession)(lambda task: held_out_predictions(*task))
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        predictions = pool.map(run, tasks, chunksize=1)
+    scored = stage(reduce(DataFrame.unionByName, predictions), "predictions")
+    by_fold = spearman(scored, "score", "prediction", "_key", ("trial", "fold"))
     return by_fold.groupBy("trial").agg((F.sum("spearman") / F.lit(float(folds))).alias("spearman"))
 
 
