@@ -26,7 +26,8 @@ def spearman(df: DataFrame, actual: str, predicted: str, unique: str, groups: Se
     missing = F.col("_a").isNull() | F.col("_p").isNull() | F.isnan("_a") | F.isnan("_p")
     flat = (F.min("_a") == F.max("_a")) | (F.min("_p") == F.max("_p"))
     stats = ranked.groupBy(*groups).agg(
-        F.corr("_ra", "_rp").alias("_r"),
+        # Spelled out, because the built-in raises on a side without spread.
+        F.try_divide(F.covar_pop("_ra", "_rp"), F.stddev_pop("_ra") * F.stddev_pop("_rp")).alias("_r"),
         (F.coalesce(F.bool_or(missing), F.lit(True)) | F.coalesce(flat, F.lit(True))).alias("_silent"),
     )
     value = F.when(F.col("_silent") | F.isnan("_r"), 0.0).otherwise(F.coalesce("_r", F.lit(0.0)))

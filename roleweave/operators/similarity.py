@@ -121,7 +121,7 @@ def fit_features(
 def feature_vector(vector: str = "embedding") -> Column:
     """The model input; the order is a contract: dimensions, fit_max, fit_top3, resume_cos."""
     fits = F.array("fit_max", "fit_top3", "resume_cos")
-    return array_to_vector(F.concat(F.col(vector).cast("array<double>"), fits))
+    return F.when(F.col(vector).isNotNull(), array_to_vector(F.concat(F.col(vector).cast("array<double>"), fits)))
 
 
 def unit(vector: Column) -> Column:

@@ -5,27 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from string import punctuation
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roleweave.vocabulary import STOP_WORDS
+
 # Words (inner hyphens, dots and apostrophes kept), clitics, double dashes and single marks.
 _TOKEN = r"(?U)n't\b|'(?:s|m|d|ll|re|ve)\b|--+|\.\.\.|\w+?(?=n't\b)|\w+(?:[-./]\w+)*|[^\w\s]"
 
 
-def english_stop_words() -> list[str]:
-    return StopWordsRemover.loadDefaultStopWords("english")
-
-
-def tokens(text: Column, stop_words: Sequence[str] | None = None) -> Column:
+def tokens(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """Lower-case tokens without stop words and punctuation.
 
     A token goes as punctuation when it is a piece of the punctuation string, so a double dash stays.
     """
-    stop = english_stop_words() if stop_words is None else list(stop_words)
     found = F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), 0)
     kept = F.filter(found, lambda t: ~F.contains(F.lit(punctuation), t))
-    return F.filter(kept, lambda t: ~t.isin(stop)) if stop else kept
+    return F.filter(kept, lambda t: ~t.isin(*stop_words)) if stop_words else kept
 
 
 def ngrams(words: Column, top: int = 1) -> Column:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from roleweave.functions.classify import RelevanceRules
-from roleweave.operators.tokens import english_stop_words
 from roleweave.plans import adapters
 from roleweave.plans.catalogue import PARAGRAPH_LABELS, SEARCH_WORDS
+from roleweave.vocabulary import STOP_WORDS
 
 
 def _words(fragments: tuple[str, ...]) -> str:
@@ -150,7 +150,7 @@ def _tokens() -> str:
     pattern = (
         "n''t|''(?:ll|re|ve|s|m|d)|--+|\\.\\.\\.|[\\p{L}\\p{N}_]+(?:[-./][\\p{L}\\p{N}_]+)*|[^\\s\\p{L}\\p{N}_]"
     )
-    stop = ", ".join(_quoted(w) for w in english_stop_words())
+    stop = ", ".join(_quoted(w) for w in STOP_WORDS)
     punctuation = _quoted("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
     return f"""
 t AS (SELECT doc_id, list_filter(regexp_extract_all({apart}, '{pattern}'),

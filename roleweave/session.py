@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest table, as text, that is sent whole to every executor.
@@ -60,13 +60,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def is_small(staged: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether a staged table, measured in full, is small enough to send to every executor."""
-    size = F.sum(F.octet_length(F.to_json(F.struct(*staged.columns))))
-    return (staged.agg(size.alias("bytes")).first().bytes or 0) <= limit
+def byte_size(table: DataFrame) -> Column:
+    """Aggregate: size of all rows as text, in bytes."""
+    return F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*table.columns)))), F.lit(0))
 
 
-def small_side(staged: DataFrame) -> tuple[DataFrame, bool]:
-    """The staged table, marked for broadcast when its measured size allows it, and whether it was."""
-    small = is_small(staged)
-    return (F.broadcast(staged) if small else staged), small
+def fits_broadcast(size: int, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a table of this measured size may be sent to every executor."""
+    return size <= limit

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roleweave.functions.classify import RelevanceRules
-from roleweave.operators.upsert import added_rows, assign_ids, collapse, run_stats, updated_rows
+from roleweave.operators.upsert import added_rows, assign_ids, collapse, updated_rows
 from roleweave.schemas import RUN, SNAPSHOT, SNAPSHOT_COLUMNS, conform
-from roleweave.session import small_side, stage
+from roleweave.session import byte_size, fits_broadcast, stage
 
 COMMIT = T.StructType(
     [
@@ -109,7 +109,7 @@ class PostingStore:
 
     def _rebalanced(self, rows: DataFrame) -> DataFrame:
         """Gather rows by bucket into files of even size; a bucket beyond one task is split."""
-        return rows.withColumn("bucket", self.bucket(F.col("url"))).hint("rebalance", "bucket")
+        return rows.withColumn("bucket", self.bucket(F.col("url"))).hint("rebalance", "bucket").drop("bucket")
 
     def _write(self, rows: DataFrame, state: State, buckets: list[int], **commit) -> None:
         version = state.version + 1
@@ -121,9 +121,16 @@ class PostingStore:
         frame = self.spark.createDataFrame([Row(**row)], COMMIT)
         frame.coalesce(1).write.mode("append").json(f"{self.root}/commits")
 
-    def _buckets_of(self, urls: DataFrame) -> list[int]:
-        """Distinct buckets of the URLs; never more than the bucket count."""
-        return sorted(r.b for r in urls.select(self.bucket(F.col("url")).alias("b")).distinct().collect())
+    def _measure(self, staged: DataFrame, **extra: Column) -> Row:
+        """One pass over a staged table: the buckets its URLs fall into, its size, and more if asked.
+
+        The bucket list never exceeds the bucket count.
+        """
+        return staged.agg(
+            F.array_sort(F.collect_set(self.bucket(F.col("url")))).alias("buckets"),
+            byte_size(staged).alias("bytes"),
+            *[column.alias(name) for name, column in extra.items()],
+        ).first()
 
     def upsert(
         self,
@@ -144,28 +151,37 @@ class PostingStore:
             if earlier is not None:
                 return earlier
         arrivals = stage(collapse(batch, rules), "arrivals")
-        broken = arrivals.filter("broken > 0").select("url").first()
-        if broken is not None:
-            raise BatchRejected(f"a required value is missing for url {broken.url!r}")
+        measured = self._measure(
+            arrivals,
+            fetched=F.coalesce(F.sum("occurrences"), F.lit(0)),
+            broken_url=F.max(F.when(F.col("broken") > 0, F.coalesce("url", F.lit("null")))),
+        )
+        if measured.broken_url is not None:
+            raise BatchRejected(f"a required value is missing for url {measured.broken_url!r}")
         state = self._state()
-        touched = self._buckets_of(arrivals)
+        touched = measured.buckets
         current = self._scan(state, touched)
-        side, small = small_side(arrivals)
+        small = fits_broadcast(measured.bytes)
         keys = arrivals.select("url", "first_arrival")
         known = current.select("url").join(F.broadcast(keys) if small else keys, "url", "left_semi")
         fresh = stage(keys.join(known, "url", "left_anti"), "fresh")
-        stats = run_stats(arrivals, fresh).first()
+        new = fresh.count()
+        stats = Row(fetched_count=measured.fetched, new_count=new, updated_count=measured.fetched - new)
         stamp = now if isinstance(now, Column) else F.lit(now or datetime.now(timezone.utc)).cast("timestamp")
-        kept = updated_rows(current, side, stamp, keep_filled_descriptions)
-        added = added_rows(arrivals, assign_ids(fresh, state.last_id), stamp)
-        rows = (
-            kept.unionByName(self._rebalanced(added).drop("bucket"))
-            if small
-            else self._rebalanced(kept.unionByName(added)).drop("bucket")
-        )
-        last = state.last_id + stats.new_count
+        side = F.broadcast(arrivals) if small else arrivals
+        rows = updated_rows(current, side, stamp, keep_filled_descriptions)
+        if new:
+            added = added_rows(arrivals, assign_ids(fresh, state.last_id), stamp)
+            rows = rows.unionByName(self._rebalanced(added) if small else added)
         if touched:
-            self._write(rows, state, touched, last_id=last, batch_key=batch_key, **stats.asDict())
+            self._write(
+                rows if small else self._rebalanced(rows),
+                state,
+                touched,
+                last_id=state.last_id + new,
+                batch_key=batch_key,
+                **stats.asDict(),
+            )
         return stats
 
     def rewrite(self, change: Callable[[DataFrame], DataFrame]) -> None:
@@ -181,12 +197,13 @@ class PostingStore:
         Rewrites only the buckets the changes touch.
         """
         state = self._state()
-        buckets = [b for b in self._buckets_of(changes) if b in state.newest]
+        measured = self._measure(changes)
+        buckets = [b for b in measured.buckets if b in state.newest]
         if not buckets:
             return
-        side, small = small_side(changes)
-        rows = change(self._scan(state, buckets), side).select(*SNAPSHOT_COLUMNS)
-        self._write(rows if small else self._rebalanced(rows).drop("bucket"), state, buckets)
+        small = fits_broadcast(measured.bytes)
+        rows = change(self._scan(state, buckets), F.broadcast(changes) if small else changes).select(*SNAPSHOT_COLUMNS)
+        self._write(rows if small else self._rebalanced(rows), state, buckets)
 
     def record_run(
         self,
