@@ -50,12 +50,21 @@ def _java_fragment(fragment: str) -> str:
     return re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", fragment.replace("(?P<", "(?<"))
 
 
+def _first_letters(fragments: Sequence[str]) -> str:
+    """Look-ahead for the first letters of the fragments; empty when one may start otherwise.
+
+    Most word starts fail this one test, where they would fail every fragment in turn.
+    """
+    plain = [f for f in fragments if re.match(r"[A-Za-z](?![?*{|])", f) and "|" not in re.sub(r"\([^()]*\)", "", f)]
+    return f"(?=[{''.join(sorted({f[0].lower() for f in plain}))}])" if len(plain) == len(fragments) else ""
+
+
 def any_word(text: Column, fragments: Sequence[str], case_sensitive: bool = False) -> Column:
     """True when any fragment occurs in the text as whole words; one scan for the whole list."""
     if not fragments:
         return F.lit(False)
-    flags = "(?U)" if case_sensitive else "(?iU)"
-    return text.rlike(rf"{flags}\b(?:{'|'.join(_java_fragment(f) for f in fragments)})\b")
+    flags, start = ("(?U)", "") if case_sensitive else ("(?iU)", _first_letters(fragments))
+    return text.rlike(rf"{flags}\b{start}(?:{'|'.join(_java_fragment(f) for f in fragments)})\b")
 
 
 def relevance(rules: RelevanceRules, title: Column, description: Column) -> Column:

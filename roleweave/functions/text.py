@@ -13,18 +13,20 @@ from pyspark.sql import functions as F
 # U+001C..U+001F, which Java's Unicode \s leaves out.
 SPACE = r"[\s\x1c-\x1f]"
 
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 # A Unicode noncharacter marks the places where markup was cut out.
 CUT = "\ufdd0"
 
 
 def strip(col: Column) -> Column:
     """Remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(col, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(col, F.lit(SPACES))
 
 
 def is_blank(col: Column) -> Column:
     """Null, empty or Unicode whitespace only."""
-    return F.coalesce(col, F.lit("")).rlike(rf"(?U)^{SPACE}*$")
+    return strip(F.coalesce(col, F.lit(""))) == ""
 
 
 def is_empty_description(col: Column) -> Column:
@@ -100,15 +102,15 @@ def _decode_piece(piece: Column) -> Column:
     from_hex = _code_point(F.when(F.length(hexa) < 8, F.conv(hexa, 16, 10).try_cast("int")).otherwise(F.lit(-1)))
     from_digits = _code_point(F.when(F.length(digits) < 8, digits.try_cast("int")).otherwise(F.lit(-1)))
     known = (
-        F.when(name == "amp", F.lit("&"))
-        .when(name == "lt", F.lit("<"))
+        F.when(name == "lt", F.lit("<"))
         .when(name == "gt", F.lit(">"))
         .when(name == "quot", F.lit('"'))
         .when(name == "nbsp", F.lit("\u00a0"))
         .otherwise(F.try_element_at(names, name))
     )
     return (
-        F.when(piece.rlike(r"^&#[xX][0-9a-fA-F]"), F.concat(from_hex, rest))
+        F.when(piece.startswith("&amp;"), F.concat(F.lit("&"), F.substr(piece, F.lit(6))))
+        .when(piece.rlike(r"^&#[xX][0-9a-fA-F]"), F.concat(from_hex, rest))
         .when(piece.rlike(r"^&#[0-9]"), F.concat(from_digits, rest))
         .when(piece.rlike(r"^&[a-zA-Z]"), F.concat(F.coalesce(known, F.concat(F.lit("&"), name)), rest))
         .otherwise(piece)
@@ -134,7 +136,8 @@ def html_to_text(col: Column) -> Column:
         no_comments, r"(?is)<(script|style|template|rt|rp)\b[^>]*>.*?(?:</\1\s*>|$)", CUT
     )
     no_tags = F.regexp_replace(no_hidden, r"""(?s)<[a-zA-Z/!?](?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+>""", CUT)
-    runs = F.transform(F.split(decode_entities(no_tags), CUT), strip)
+    # Decoding run by run binds each run to a variable, so the replacements above happen once.
+    runs = F.transform(F.split(no_tags, CUT), lambda run: strip(decode_entities(run)))
     return F.array_join(F.filter(runs, lambda run: run != ""), " ")
 
 

@@ -22,7 +22,7 @@ def spearman(df: DataFrame, actual: str, predicted: str, unique: str, groups: Se
         *groups, unique, F.col(actual).cast("double").alias("_a"), F.col(predicted).cast("double").alias("_p")
     )
     ranked = with_average_rank(pairs, "_a", unique, "_ra", groups)
-    ranked = with_average_rank(ranked, "_p", unique, "_rp", groups)
+    ranked = with_average_rank(ranked, "_p", unique, "_rp", groups, staged=True)
     missing = F.col("_a").isNull() | F.col("_p").isNull() | F.isnan("_a") | F.isnan("_p")
     flat = (F.min("_a") == F.max("_a")) | (F.min("_p") == F.max("_p"))
     stats = ranked.groupBy(*groups).agg(

@@ -23,10 +23,15 @@ from roleweave.session import stage
 SLICE = "_slice"
 
 
-def _sliced(df: DataFrame, keys: Sequence[Column], slices: int | None = None) -> DataFrame:
-    """Range-partition on ascending `keys` and label the slices."""
-    count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(count, *keys).withColumn(SLICE, F.spark_partition_id())
+def _sliced(df: DataFrame, keys: Sequence[Column], staged: bool = False) -> DataFrame:
+    """Range-partition on ascending `keys` and label the slices.
+
+    Range partitioning reads its input twice, once for the sample; input that is not staged yet is
+    staged, so that whatever computes it runs once.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df if staged else stage(df, "unordered")
+    return rows.repartitionByRange(count, *keys).withColumn(SLICE, F.spark_partition_id())
 
 
 def _per_slice(values: dict[int, object], element: str) -> Column:
@@ -41,10 +46,12 @@ def _rows_before(rows: dict[int, int]) -> dict[int, int]:
     return dict(zip(order, accumulate([0] + [rows[s] for s in order])))
 
 
-def with_position(df: DataFrame, keys: Sequence[Column], name: str = "position") -> DataFrame:
+def with_position(
+    df: DataFrame, keys: Sequence[Column], name: str = "position", staged: bool = False
+) -> DataFrame:
     """Add the 1-based position of every row in the order of `keys`."""
     within = F.row_number().over(Window.partitionBy(SLICE).orderBy(*keys))
-    numbered = stage(_sliced(df, keys).withColumn("_row", within), "positions")
+    numbered = stage(_sliced(df, keys, staged).withColumn("_row", within), "positions")
     counts = numbered.groupBy(SLICE).agg(F.max("_row").alias("n")).collect()  # one row per slice
     before = _per_slice(_rows_before({r[SLICE]: r.n for r in counts}), "bigint")
     return numbered.withColumn(name, before + F.col("_row")).drop(SLICE, "_row")
@@ -63,7 +70,7 @@ def with_next(df: DataFrame, keys: Sequence[Column], value: str, name: str) -> D
 
 
 def with_average_rank(
-    df: DataFrame, value: str, unique: str, name: str, groups: Sequence[str] = ()
+    df: DataFrame, value: str, unique: str, name: str, groups: Sequence[str] = (), staged: bool = False
 ) -> DataFrame:
     """Add the rank of `value`, ties sharing the mean of their positions.
 
@@ -73,7 +80,7 @@ def with_average_rank(
     tie = [F.col(g) for g in groups] + [F.col(value)]
     peers = Window.partitionBy(SLICE).orderBy(*tie)
     ranked = stage(
-        _sliced(df, tie + [F.col(unique)])
+        _sliced(df, tie + [F.col(unique)], staged)
         .withColumn("_first", F.rank().over(peers))
         .withColumn("_last", F.count(F.lit(1)).over(peers))  # the range frame counts all ties
         .withColumn("_tie", F.struct(*tie)),

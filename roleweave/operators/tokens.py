@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from roleweave.vocabulary import STOP_WORDS
 
 # Words (inner hyphens, dots and apostrophes kept), clitics, double dashes and single marks.
-_TOKEN = r"(?U)n't\b|'(?:s|m|d|ll|re|ve)\b|--+|\.\.\.|\w+?(?=n't\b)|\w+(?:[-./]\w+)*|[^\w\s]"
+_TOKEN = r"(?U)n't\b|'(?:s|m|d|ll|re|ve)\b|--+|\.\.\.|\w+(?:[-./]\w+)*|[^\w\s]"
 
 
 def tokens(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
@@ -19,7 +19,9 @@ def tokens(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
 
     A token goes as punctuation when it is a piece of the punctuation string, so a double dash stays.
     """
-    found = F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), 0)
+    lowered = F.lower(text)
+    apart = F.when(text.contains("'"), F.regexp_replace(lowered, r"(?U)(?<=\w)n't\b", " n't")).otherwise(lowered)
+    found = F.regexp_extract_all(apart, F.lit(_TOKEN), 0)
     kept = F.filter(found, lambda t: ~F.contains(F.lit(punctuation), t))
     return F.filter(kept, lambda t: ~t.isin(*stop_words)) if stop_words else kept
 

@@ -42,9 +42,10 @@ def collapse(batch: DataFrame, rules: RelevanceRules, arrival: str = "arrival")
     return out.withColumn("is_relevant", flag)
 
 
-def assign_ids(fresh: DataFrame, after: int) -> DataFrame:
+def assign_ids(fresh: DataFrame, after: int, staged: bool = False) -> DataFrame:
     """(url, new_id) for new URLs: consecutive ids in order of first arrival, starting past `after`."""
-    numbered = with_position(fresh.select("url", "first_arrival"), [F.col("first_arrival"), F.col("url")])
+    order = [F.col("first_arrival"), F.col("url")]
+    numbered = with_position(fresh.select("url", "first_arrival"), order, staged=staged)
     return numbered.select("url", (F.col("position") + F.lit(after)).alias("new_id"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roleweave.functions.classify import RelevanceRules, relevance, remote_flag
 from roleweave.functions.text import html_to_text
 from roleweave.operators.similarity import mean_vectors
+from roleweave.session import spread
 
 # Rules in the vocabulary of the invented prose.
 PROSE_RULES = RelevanceRules(
@@ -26,7 +27,7 @@ SECOND_BATCH = "2024-01-16"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def _title(text: Column) -> Column:

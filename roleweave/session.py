@@ -68,3 +68,13 @@ def byte_size(table: DataFrame) -> Column:
 def fits_broadcast(size: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether a table of this measured size may be sent to every executor."""
     return size <= limit
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Spread a table that is read in fewer splits than there are cores; any other is left alone.
+
+    One file with one row group is one task, however many cores wait. Filters and column pruning
+    still reach the scan.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

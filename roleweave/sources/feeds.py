@@ -48,24 +48,21 @@ def _text_or_empty(value: Column, key: str) -> Column:
     return F.when(_at(value, key).isNull(), F.lit("")).otherwise(_text(value, key))
 
 
-def _kind(value: Column) -> Column:
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-
-
-def _is(value: Column, *kinds: str) -> Column:
-    return F.coalesce(_kind(value).isin(*kinds), F.lit(False))
+def _is(value: Column, kind: str) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith(kind), F.lit(False))
 
 
 def _nothing(value: Column) -> Column:
-    """Missing, null, false, zero or empty."""
+    """Missing, null, false, zero or empty. Writes the value out, so test for a good type first."""
     return value.isNull() | F.to_json(value).isin("null", "false", "0", "0.0", '""', "[]", "{}")
 
 
 def _items(value: Column) -> Column:
     """Elements of an array; missing and empty give an empty array, anything else null."""
-    empty = value.isNull() | F.to_json(value).isin('""', "[]", "{}")
-    elements = F.try_variant_get(value, "$", "array<variant>")
-    return F.when(empty, F.array().cast("array<variant>")).when(_is(value, "ARRAY"), elements)
+    empty = value.isNull() | F.to_json(value).isin('""', "{}")
+    return F.when(_is(value, "ARRAY"), F.try_variant_get(value, "$", "array<variant>")).when(
+        empty, F.array().cast("array<variant>")
+    )
 
 
 def _all_objects(value: Column) -> Column:
@@ -102,9 +99,9 @@ GREENHOUSE = Board(
     source="greenhouse",
     jobs=_jobs_member,
     well_formed=lambda job: _is(job, "OBJECT")
-    & (_nothing(_at(job, "location")) | _is(_at(job, "location"), "OBJECT"))
-    & (_nothing(_at(job, "content")) | _is(_at(job, "content"), "STRING"))
-    & (_nothing(_at(job, "updated_at")) | _is(_at(job, "updated_at"), "STRING"))
+    & (_is(_at(job, "location"), "OBJECT") | _nothing(_at(job, "location")))
+    & (_is(_at(job, "content"), "STRING") | _nothing(_at(job, "content")))
+    & (_is(_at(job, "updated_at"), "STRING") | _nothing(_at(job, "updated_at")))
     & _all_objects(_at(job, "departments"))
     & _all_objects(_at(job, "offices")),
     columns=lambda job: {
@@ -124,7 +121,7 @@ LEVER = Board(
     source="lever",
     jobs=_items,
     well_formed=lambda job: _is(job, "OBJECT")
-    & (_nothing(_at(job, "categories")) | _is(_at(job, "categories"), "OBJECT")),
+    & (_is(_at(job, "categories"), "OBJECT") | _nothing(_at(job, "categories"))),
     columns=lambda job: {
         "title": _text_or_empty(job, "text"),
         "location": _text(job, "categories.location"),
@@ -134,7 +131,7 @@ LEVER = Board(
         "raw_id": _text(job, "id"),
         "extra_json": F.concat(
             F.lit('{"categories":'),
-            F.when(_nothing(_at(job, "categories")), F.lit("{}")).otherwise(F.to_json(_at(job, "categories"))),
+            F.when(_is(_at(job, "categories"), "OBJECT"), F.to_json(_at(job, "categories"))).otherwise(F.lit("{}")),
             F.lit("}"),
         ),
     },
@@ -144,7 +141,7 @@ ASHBY = Board(
     source="ashby",
     jobs=_jobs_member,
     well_formed=lambda job: _is(job, "OBJECT")
-    & (_nothing(_at(job, "publishedAt")) | _is(_at(job, "publishedAt"), "STRING")),
+    & (_is(_at(job, "publishedAt"), "STRING") | _nothing(_at(job, "publishedAt"))),
     columns=lambda job: {
         "title": _text_or_empty(job, "title"),
         "location": _text(job, "location"),
@@ -180,20 +177,18 @@ def route(companies: DataFrame, payloads: DataFrame, source: str) -> DataFrame:
     return payloads.join(chosen, "board")
 
 
-def _checked(payloads: DataFrame, board: Board) -> DataFrame:
-    jobs = payloads.withColumn("_jobs", board.jobs(F.try_parse_json("payload")))
-    ok = F.col("_jobs").isNotNull() & F.forall(F.col("_jobs"), board.well_formed)
-    return jobs.withColumn("_ok", ok)
+def _parsed(payloads: DataFrame, board: Board) -> DataFrame:
+    """Adds `_jobs`: the jobs of a well-formed payload, else null."""
+    jobs = payloads.withColumn("_doc", F.try_parse_json("payload")).withColumn("_all", board.jobs(F.col("_doc")))
+    # A filter over a one-element array binds the jobs to a variable, so they are parsed once.
+    sound = F.filter(F.array("_all"), lambda all_jobs: F.forall(all_jobs, board.well_formed))
+    return jobs.withColumn("_jobs", F.try_element_at(sound, F.lit(1)))
 
 
 def board_postings(payloads: DataFrame, source: str) -> DataFrame:
     """Postings of all well-formed payloads (company_name, payload, landed)."""
     board = BOARDS[source]
-    jobs = (
-        _checked(payloads, board)
-        .filter("_ok")
-        .select("company_name", "landed", F.posexplode("_jobs").alias("_pos", "_job"))
-    )
+    jobs = _parsed(payloads, board).select("company_name", "landed", F.posexplode("_jobs").alias("_pos", "_job"))
     columns = board.columns(F.col("_job"))
     return jobs.select(
         F.lit(source).alias("source"),
@@ -205,7 +200,7 @@ def board_postings(payloads: DataFrame, source: str) -> DataFrame:
 
 def board_rejects(payloads: DataFrame, source: str) -> DataFrame:
     """(company_name, landed) of payloads that were dropped as malformed."""
-    return _checked(payloads, BOARDS[source]).filter(~F.col("_ok")).select("company_name", "landed")
+    return _parsed(payloads, BOARDS[source]).filter(F.col("_jobs").isNull()).select("company_name", "landed")
 
 
 # ---------------------------------------------------------------- paged listings with details
@@ -245,7 +240,7 @@ def _workday_rows(pages: DataFrame, details: DataFrame, page_size: int) -> DataF
         _is(job, "OBJECT")
         & _is(detail, "OBJECT")
         & (info.isNull() | _is(info, "OBJECT"))
-        & (_nothing(_at(info, "startDate")) | _is(_at(info, "startDate"), "STRING"))
+        & (_is(_at(info, "startDate"), "STRING") | _nothing(_at(info, "startDate")))
     )
     site = F.concat(
         F.lit("https://"), "tenant", F.lit("."), "wd_subdomain", F.lit(".myworkdayjobs.com/"), "site", "_path"
@@ -311,8 +306,11 @@ def aggregator_postings(rows: DataFrame, arrival: str = "arrival") -> DataFrame:
 
 def search_plan(spark: SparkSession, terms: Sequence[str], locations: Sequence[str]) -> DataFrame:
     """(search_term, search_location): every term with every location, from the configured lists."""
-    pairs = [(term, place) for term in terms for place in locations]
-    return spark.createDataFrame(pairs, "search_term string, search_location string")
+    lists = spark.range(1).select(
+        F.explode(F.array(*[F.lit(t) for t in terms])).alias("search_term"),
+        F.array(*[F.lit(p) for p in locations]).alias("_places"),
+    )
+    return lists.select("search_term", F.explode("_places").alias("search_location"))
 
 
 def capped_results(

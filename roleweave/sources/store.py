@@ -171,7 +171,7 @@ class PostingStore:
         side = F.broadcast(arrivals) if small else arrivals
         rows = updated_rows(current, side, stamp, keep_filled_descriptions)
         if new:
-            added = added_rows(arrivals, assign_ids(fresh, state.last_id), stamp)
+            added = added_rows(arrivals, assign_ids(fresh, state.last_id, staged=True), stamp)
             rows = rows.unionByName(self._rebalanced(added) if small else added)
         if touched:
             self._write(
