@@ -74,8 +74,8 @@ def unknown_names(names: DataFrame, companies: DataFrame, name: str = "name") ->
 
 def probe_plan(names: DataFrame, name: str = "name") -> DataFrame:
     """(company, slug, ats_type): every slug candidate on every board type, a bounded set per name."""
-    slugs = names.select(F.col(name).alias("company"), F.explode(slug_candidates(F.col(name))).alias("slug"))
-    return slugs.withColumn("ats_type", F.explode(F.array(*[F.lit(t) for t in BOARD_TYPES])))
+    slugs = names.select(F.col(name).alias("company"), F.explode_outer(slug_candidates(F.col(name))).alias("slug"))
+    return slugs.filter("slug is not null").withColumn("ats_type", F.explode(F.array(*[F.lit(t) for t in BOARD_TYPES])))
 
 
 def first_hits(probes: DataFrame) -> DataFrame:

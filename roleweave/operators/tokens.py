@@ -40,9 +40,9 @@ def ngrams(words: Column, top: int = 1) -> Column:
 
 def document_frequency(docs: DataFrame, terms: str) -> DataFrame:
     """(term, df): in how many rows a term occurs. Counts are combined before the shuffle."""
-    return docs.select(F.explode(F.array_distinct(terms)).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("df")
-    )
+    # Outer, because the optimizer would test a plain explode for emptiness first and tokenize twice.
+    exploded = docs.select(F.explode_outer(F.array_distinct(terms)).alias("term")).filter("term is not null")
+    return exploded.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def vocabulary(

@@ -223,13 +223,11 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_plan_capped(spark: SparkSession, folder: str) -> DataFrame:
-    docs = adapters.table(spark, folder, "documents")
-    found = F.filter(
-        F.array(*[F.lit(w) for w in SEARCH_WORDS]), lambda word: F.contains(F.lower("text"), word)
-    )
+    docs = adapters.table(spark, folder, "documents").withColumn("text", F.lower("text"))
+    found = F.array_compact(F.array(*[F.when(F.col("text").contains(w), F.lit(w)) for w in SEARCH_WORDS]))
     landed = docs.select(
         "doc_id",
-        F.explode(found).alias("search_term"),
+        F.explode_outer(found).alias("search_term"),
         F.col("lang").alias("search_location"),
         F.col("source").alias("site"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n_chars") % 28).cast("int")).alias("date_posted"),

@@ -188,7 +188,11 @@ def _parsed(payloads: DataFrame, board: Board) -> DataFrame:
 def board_postings(payloads: DataFrame, source: str) -> DataFrame:
     """Postings of all well-formed payloads (company_name, payload, landed)."""
     board = BOARDS[source]
-    jobs = _parsed(payloads, board).select("company_name", "landed", F.posexplode("_jobs").alias("_pos", "_job"))
+    # Outer, because the optimizer would test a plain explode for emptiness first and parse twice.
+    exploded = _parsed(payloads, board).select(
+        "company_name", "landed", F.posexplode_outer("_jobs").alias("_pos", "_job")
+    )
+    jobs = exploded.filter(F.col("_pos").isNotNull())
     columns = board.columns(F.col("_job"))
     return jobs.select(
         F.lit(source).alias("source"),
@@ -212,8 +216,12 @@ def listing_pages(pages: DataFrame, page_size: int = LISTING_PAGE_SIZE) -> DataF
     (tenant, offset, payload, ...) in, the same plus `_jobs` out. The cut-off is a mergeable minimum
     per tenant, not a window, so a tenant with a third of all pages is no bottleneck.
     """
-    doc = F.try_parse_json("payload")
-    parsed = pages.withColumn("_jobs", F.when(_is(doc, "OBJECT"), _items(_at(doc, "jobPostings"))))
+    doc = F.col("_doc")
+    parsed = (
+        pages.withColumn("_doc", F.try_parse_json("payload"))
+        .withColumn("_jobs", F.when(_is(doc, "OBJECT"), _items(_at(doc, "jobPostings"))))
+        .drop("_doc")
+    )
     short = F.coalesce(F.size("_jobs"), F.lit(0)) < page_size
     ends = parsed.groupBy("tenant").agg(F.min(F.when(short, F.col("offset"))).alias("_end"))
     # Staged, its size is known when the join is planned: unless there are very many tenants, the
