@@ -34,6 +34,13 @@ def spearman(df: DataFrame, actual: str, predicted: str, unique: str, groups: Se
     return stats.select(*groups, value.alias("spearman"))
 
 
+def zero_shot(df: DataFrame, actual: str, unique: str, columns: Sequence[str]) -> DataFrame:
+    """(feature, spearman): rank correlation of each column alone with the score, ranked in one pass."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
+    long = df.select(unique, actual, F.explode(pairs).alias("p")).select(unique, actual, "p.*")
+    return spearman(long, actual, "value", unique, ("feature",))
+
+
 def column_stats(df: DataFrame, vector: str) -> DataFrame:
     """(dim, mean, scale) of every element of an array column; population deviation, constant ones 1."""
     metrics = Summarizer.metrics("mean", "variance", "min", "max", "count")

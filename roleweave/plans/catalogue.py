@@ -20,7 +20,7 @@ from roleweave.functions.text import (
     url_last_segment,
 )
 from roleweave.operators import boards, tokens, triage, upsert, writeback
-from roleweave.operators.correlation import column_stats, comparison, residuals, spearman
+from roleweave.operators.correlation import column_stats, comparison, residuals, spearman, zero_shot
 from roleweave.operators.encoding import HashingEncoder
 from roleweave.operators.similarity import feature_vector, fit_features, mean_vectors, top_section_sims
 from roleweave.plans import adapters, training
@@ -460,14 +460,10 @@ def fits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def spearman_zero_shot(spark: SparkSession, folder: str) -> DataFrame:
-    """Rank correlation of every fit column alone with the label, ranked in one pass."""
     columns = ("fit_max", "fit_top3", "resume_cos")
-    long = (
-        _fits(spark, folder)
-        .select("vec_id", "label", *[F.round(c, 9).alias(c) for c in columns])
-        .select("vec_id", "label", F.expr(f"stack(3, {', '.join(f''' '{c}', {c}''' for c in columns)}) as (feature, value)"))
-    )
-    result = spearman(long, "label", "value", "vec_id", ("feature",))
+    # Rounded, so that sums in another order cannot make or break a tie.
+    rounded = _fits(spark, folder).select("vec_id", "label", *[F.round(c, 9).alias(c) for c in columns])
+    result = zero_shot(rounded, "label", "vec_id", columns)
     return result.select("feature", F.round("spearman", 6).alias("spearman"))
 
 

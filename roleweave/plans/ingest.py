@@ -9,18 +9,38 @@ from pyspark.sql import functions as F
 
 from roleweave.functions.classify import RelevanceRules
 from roleweave.operators.triage import missing_description
-from roleweave.operators.writeback import write_descriptions
+from roleweave.operators.writeback import (
+    apply_status,
+    latest_status,
+    recompute_relevance,
+    recompute_remote,
+    write_descriptions,
+)
 from roleweave.session import stage
-from roleweave.sources.feeds import BOARDS, aggregator_postings, board_postings, route, workday_postings
+from roleweave.sources.feeds import (
+    BOARDS,
+    SearchSettings,
+    aggregator_postings,
+    board_postings,
+    planned_rows,
+    route,
+    workday_postings,
+)
 from roleweave.sources.store import PostingStore
-from roleweave.vocabulary import SOURCES
+from roleweave.vocabulary import SOURCES, STATUSES
 
 
-def normalized(source: str, landed: dict[str, DataFrame]) -> DataFrame:
+def normalized(
+    source: str,
+    landed: dict[str, DataFrame],
+    search: SearchSettings | None = None,
+    run_at: datetime | None = None,
+) -> DataFrame:
     """Normalized postings of one source.
 
-    `landed` holds `payloads` and `companies` for board feeds, `pages` and `details` for paged
-    listings, `rows` for the aggregator.
+    `landed` holds `payloads` and `companies` for board feeds, `pages`, `details` and `companies` for
+    paged listings, `rows` for the aggregator. With `search`, aggregator rows are held to the search
+    plan: its terms, places and sites, the look-back before `run_at`, and the cap per query.
     """
     if source not in SOURCES:
         raise ValueError(f"unsupported source: {source!r}")
@@ -30,7 +50,10 @@ def normalized(source: str, landed: dict[str, DataFrame]) -> DataFrame:
         companies = landed["companies"].filter(F.col("ats_type") == source)
         pages = landed["pages"].join(companies.select("company_name", "tenant", "site", "wd_subdomain"), "tenant")
         return workday_postings(pages, landed["details"])
-    return aggregator_postings(landed["rows"])
+    rows = landed["rows"]
+    if search is not None:
+        rows = planned_rows(rows, search, run_at or datetime.now(timezone.utc))
+    return aggregator_postings(rows)
 
 
 def ingest(
@@ -40,13 +63,14 @@ def ingest(
     rules: RelevanceRules | None = None,
     now: datetime | None = None,
     batch_key: str | None = None,
+    search: SearchSettings | None = None,
 ) -> Row:
     """Normalize, classify and upsert one batch, and log the run; a failed run is logged and raised."""
     if source not in SOURCES:
         raise ValueError(f"unsupported source: {source!r}")
     started = datetime.now(timezone.utc)
     try:
-        stats = store.upsert(normalized(source, landed), rules or RelevanceRules(), now, batch_key)
+        stats = store.upsert(normalized(source, landed, search, now), rules or RelevanceRules(), now, batch_key)
     except Exception as exc:
         store.record_run(source, started, datetime.now(timezone.utc), error=str(exc))
         raise
@@ -66,3 +90,24 @@ def backfill_descriptions(store: PostingStore, fetched: DataFrame) -> Row:
     if counts.updated_count:
         store.write_by_url(write_descriptions, changes)
     return counts
+
+
+def backfill_relevance(store: PostingStore, rules: RelevanceRules | None = None) -> int:
+    """Recompute the relevance of every stored posting; returns how many there are."""
+    store.rewrite(lambda df: recompute_relevance(df, rules or RelevanceRules()))
+    return store.read().count()
+
+
+def backfill_remote(store: PostingStore) -> int:
+    """Recompute the remote flag of every stored posting; returns how many there are."""
+    store.rewrite(recompute_remote)
+    return store.read().count()
+
+
+def set_status(store: PostingStore, url: str, status: str, at: datetime | None = None) -> None:
+    """Set the application status of one posting; an unknown URL changes nothing."""
+    if status not in STATUSES:
+        raise ValueError(f"status must be one of {', '.join(STATUSES)}")
+    event = [(url, status, at or datetime.now(timezone.utc))]
+    events = store.spark.createDataFrame(event, "url string, status string, changed_at timestamp")
+    store.write_by_url(apply_status, stage(latest_status(events), "status"))

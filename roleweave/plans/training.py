@@ -24,15 +24,41 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from roleweave.functions.text import labelled_paragraphs
 from roleweave.operators.correlation import spearman
-from roleweave.plans.scoring import save_model
+from roleweave.operators.encoding import Encoder
+from roleweave.operators.tokens import tokens
+from roleweave.plans.scoring import build_features, save_model
 from roleweave.session import stage
+from roleweave.sources.training_files import skipped_rows, training_rows
 
 FOLDS = 5
 REGRESSORS = ("ridge", "elasticnet", "gbt")
 Params = dict[str, float | int | bool]
 
 
+# ---------------------------------------------------------------- training rows
+
+# Headings of the paragraphs that say what the work asks for.
+PARAGRAPH_LABELS = r"(?:key )?responsibilities|(?:job )?requirements"
+
+
+def labelled_features(
+    scores: DataFrame, texts: DataFrame, encoder: Encoder, reference: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(name, score, features) of the scored texts, and the scored names that have no text."""
+    rows = training_rows(scores, texts)
+    if rows.isEmpty():
+        raise ValueError("no usable training rows")
+    features = build_features(rows, encoder, reference).select("name", "score", "features")
+    return stage(features, "labelled"), skipped_rows(scores, texts)
+
+
+def bow_rows(rows: DataFrame, text: str = "description", labels: str = PARAGRAPH_LABELS) -> DataFrame:
+    """Adds `tokens` of the labelled paragraphs; rows without any token are dropped."""
+    return rows.withColumn("tokens", tokens(labelled_paragraphs(F.col(text), labels))).filter(F.size("tokens") > 0)
+
+
 # ---------------------------------------------------------------- search space
 
 

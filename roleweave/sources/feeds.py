@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,14 @@ from roleweave.functions.text import (
 )
 from roleweave.schemas import AGGREGATOR, POSTING_COLUMNS
 from roleweave.session import stage
-from roleweave.vocabulary import LISTING_PAGE_SIZE
+from roleweave.vocabulary import (
+    HOURS_OLD,
+    LISTING_PAGE_SIZE,
+    RESULTS_WANTED,
+    SEARCH_LOCATIONS,
+    SEARCH_SITES,
+    SEARCH_TERMS,
+)
 
 # ---------------------------------------------------------------- VARIANT helpers
 
@@ -312,6 +321,30 @@ def aggregator_postings(rows: DataFrame, arrival: str = "arrival") -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class SearchSettings:
+    """What the aggregator is asked for."""
+
+    sites: Sequence[str] = SEARCH_SITES
+    terms: Sequence[str] = SEARCH_TERMS
+    locations: Sequence[str] = SEARCH_LOCATIONS
+    results_wanted: int = RESULTS_WANTED
+    hours_old: int | None = HOURS_OLD
+
+    @classmethod
+    def from_yaml(cls, path: str | Path) -> SearchSettings:
+        import yaml
+
+        raw = yaml.safe_load(Path(path).read_text())["jobspy"]
+        return cls(
+            sites=tuple(raw["site_names"]),
+            terms=tuple(raw["search_terms"]),
+            locations=tuple(raw["locations"]),
+            results_wanted=raw.get("results_wanted", RESULTS_WANTED),
+            hours_old=raw.get("hours_old"),
+        )
+
+
 def search_plan(spark: SparkSession, terms: Sequence[str], locations: Sequence[str]) -> DataFrame:
     """(search_term, search_location): every term with every location, from the configured lists."""
     lists = spark.range(1).select(
@@ -338,3 +371,18 @@ def capped_results(
         recent.withColumn("result_rank", F.row_number().over(per_query))
         .filter(F.col("result_rank") <= results_wanted)
     )
+
+
+def planned_rows(rows: DataFrame, search: SearchSettings, run_at: datetime) -> DataFrame:
+    """Landed rows (search_term, search_location, arrival, ...) held to a search plan.
+
+    A result found by several queries stays several rows, as the queries are not compared.
+    """
+    plan = search_plan(rows.sparkSession, search.terms, search.locations)
+    asked = rows.filter(F.col("site").isin(*search.sites)).join(plan, ["search_term", "search_location"])
+    recent = asked
+    if search.hours_old is not None:
+        oldest = (run_at - timedelta(hours=search.hours_old)).date()
+        posted = iso_date(F.col("date_posted").cast("string"))
+        recent = asked.filter(posted.isNull() | (posted >= F.lit(oldest)))
+    return capped_results(recent, search.results_wanted, [F.col("arrival")])

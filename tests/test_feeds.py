@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -179,6 +180,24 @@ def test_search_plan_and_cap(spark):
     assert feeds.capped_results(rows, 3, [F.col("id")], F.lit("2026-02-01").cast("date")).count() == 0
 
 
+def test_rows_are_held_to_the_search_plan(spark, tmp_path):
+    path = tmp_path / "settings.yaml"
+    path.write_text(
+        "jobspy:\n  site_names: [linkedin]\n  search_terms: [bio, chem]\n  locations: [US]\n  results_wanted: 2\n  hours_old: 72\n"
+    )
+    search = feeds.SearchSettings.from_yaml(path)
+    rows = [(t, "US", "linkedin", f"https://x/{t}{i}", "2026-06-20", i) for t in ("bio", "chem", "law") for i in range(3)]
+    rows += [("bio", "US", "indeed", "https://x/i", "2026-06-20", 9), ("bio", "EU", "linkedin", "https://x/e", "2026-06-20", 10)]
+    rows += [("chem", "US", "linkedin", "https://x/old", "2026-06-01", -1), ("chem", "US", "linkedin", "https://x/undated", None, -2)]
+    landed = spark.createDataFrame(
+        rows, "search_term string, search_location string, site string, job_url string, date_posted string, arrival int"
+    )
+    found = normalized("jobspy", {"rows": landed}, search, datetime(2026, 6, 21, tzinfo=timezone.utc))
+    assert sorted(r.url for r in found.collect()) == [
+        "https://x/bio0", "https://x/bio1", "https://x/chem0", "https://x/undated"
+    ]
+
+
 def test_companies_and_landed_files(spark, tmp_path: Path):
     csv = tmp_path / "companies.csv"
     csv.write_text(

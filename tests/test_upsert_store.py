@@ -13,14 +13,12 @@ from roleweave.operators.upsert import collapse
 from roleweave.operators.writeback import (
     apply_status,
     latest_status,
-    recompute_relevance,
-    recompute_remote,
     rows_updated,
     split_status_events,
     write_descriptions,
     write_scores,
 )
-from roleweave.plans.ingest import backfill_descriptions, ingest
+from roleweave.plans.ingest import backfill_descriptions, backfill_relevance, backfill_remote, ingest, set_status
 from roleweave.schemas import SNAPSHOT_COLUMNS, conform
 from roleweave.session import stage
 from roleweave.sources.store import BatchRejected, PostingStore
@@ -196,13 +194,24 @@ def test_ingest_logs_runs(spark, store, batch):
 
 def test_recompute_flags(store, batch):
     store.upsert(batch(dict(url="a", location="Remote"), dict(url="b", title="Sales", location=None)), RULES, T1)
-    store.rewrite(lambda df: recompute_relevance(df, RelevanceRules(include=("sales",), exclude=(), off_topic_titles=())))
-    store.rewrite(lambda df: recompute_remote(df.withColumn("location", F.lit("Hybrid"))))
+    rules = RelevanceRules(include=("sales",), exclude=(), off_topic_titles=())
+    assert backfill_relevance(store, rules) == 2
+    store.rewrite(lambda df: df.withColumn("location", F.lit("Hybrid")))
+    assert backfill_remote(store) == 2
     rows = by_url(store)
     assert (rows["a"].is_relevant, rows["b"].is_relevant) == (False, True)
     assert (rows["a"].is_remote, rows["b"].is_remote) == (0, 0)
 
 
+def test_set_status(store, batch):
+    store.upsert(batch(dict(url="a"), dict(url="b")), RULES, T1)
+    set_status(store, "a", "skip", T2)
+    set_status(store, "unknown", "applied", T2)
+    assert {u: r.application_status for u, r in by_url(store).items()} == {"a": "skip", "b": "new"}
+    with pytest.raises(ValueError):
+        set_status(store, "a", "bogus")
+
+
 def test_backfill_descriptions(spark, store, batch):
     store.upsert(
         batch(
