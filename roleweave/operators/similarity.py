@@ -107,7 +107,10 @@ def fit_features(
 
     Vectors are L2-normalized, so a dot product is the cosine.
     """
-    resume_vector = np.array(resume.select("vector").first().vector, dtype=np.float64)
+    whole = resume.select("vector").first()
+    if whole is None or sections.isEmpty():
+        raise ValueError("the profile needs a resume and at least one section")
+    resume_vector = np.array(whole.vector, dtype=np.float64)
     sims = F.transform("top_sims", lambda s: s["sim"])
     mean = F.aggregate(sims, F.lit(0.0), lambda a, s: a + s) / F.size(sims)
     return (

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -19,9 +21,11 @@ from pyspark.ml.feature import (
     SQLTransformer,
     StandardScaler,
 )
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, Row
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from roleweave.functions.text import labelled_paragraphs
@@ -206,6 +210,106 @@ def fit(regressor: str, params: Params, rows: DataFrame, preprocessor: Preproces
     return PipelineModel(stages=[*pre.stages, model])
 
 
+# ---------------------------------------------------------------- one-pass ridge
+
+# Widest feature vector whose moments are gathered in one pass; wider ones are fitted one by one.
+MOMENT_DIMS = 1024
+
+
+def fold_moments(rows: DataFrame, dims: int) -> dict[int, np.ndarray]:
+    """Sums of products of (1, features, score) per fold, from one pass over the rows.
+
+    Each task adds up its rows; the partial sums, one small matrix per task and fold, are combined in
+    two rounds so that no task receives all of them.
+    """
+    width = dims + 2
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            folds = batch.column("fold").to_numpy(zero_copy_only=False)
+            flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+            y = batch.column("score").to_numpy(zero_copy_only=False)
+            a = np.column_stack([np.ones(len(y)), flat.reshape(len(y), -1), y])
+            for fold in np.unique(folds):
+                part = a[folds == fold]
+                sums[int(fold)] = sums.get(int(fold), 0.0) + part.T @ part
+        names = ["fold", "moments"]
+        for fold, total in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([fold], pa.int32()), pa.array([total.ravel()], pa.list_(pa.float64()))], names=names
+            )
+
+    vectors = rows.select("fold", vector_to_array("features").alias("x"), F.col("score").cast("double").alias("score"))
+    parts = vectors.mapInArrow(partial, "fold int, moments array<double>").withColumn(
+        "_group", F.pmod(F.spark_partition_id(), F.lit(32))
+    )
+    first = parts.groupBy("fold", "_group").agg(Summarizer.sum(array_to_vector("moments")).alias("m"))
+    total = first.groupBy("fold").agg(Summarizer.sum(F.col("m")).alias("m"))
+    return {r.fold: r.m.toArray().reshape(width, width) for r in total.collect()}  # one row per fold
+
+
+def _spread(moments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and population deviation of every feature; constant ones have deviation 1."""
+    n, mean = moments[0, 0], moments[0, 1:-1] / moments[0, 0]
+    variance = np.diag(moments)[1:-1] / n - mean**2
+    # What is left of a constant column after the subtraction is rounding.
+    flat = variance <= 1e-12 * np.maximum(np.diag(moments)[1:-1] / n, 1e-300)
+    return mean, np.sqrt(np.where(flat, 1.0, variance))
+
+
+def ridge_from_moments(
+    train: np.ndarray, alphas: Sequence[float], scale: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, intercepts) in the space of the raw features, one row per alpha.
+
+    Features are standardized by `scale` (by the training rows themselves without it), and
+    |y - Xw|^2 + alpha |w|^2 is minimized exactly, with the intercept left free.
+    """
+    n, y_mean = train[0, 0], train[0, -1] / train[0, 0]
+    _, deviation = scale or _spread(train)
+    mean = train[0, 1:-1] / n
+    gram = (train[1:-1, 1:-1] - n * np.outer(mean, mean)) / np.outer(deviation, deviation)
+    cross = (train[1:-1, -1] - n * mean * y_mean) / deviation
+    values, vectors = np.linalg.eigh(gram)
+    rotated = vectors.T @ cross
+    weights = np.array([vectors @ (rotated / (np.maximum(values, 0.0) + alpha)) for alpha in alphas]) / deviation
+    return weights, y_mean - weights @ mean
+
+
+def _linear_scores(weights: np.ndarray, intercepts: np.ndarray) -> Callable[[Column], Column]:
+    """UDF: predictions of several linear models at once; refers to nothing of this package."""
+
+    @F.arrow_udf("array<double>")
+    def scores(vectors: pa.Array) -> pa.Array:
+        n, k = len(vectors), len(intercepts)
+        x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, weights.shape[1]))
+        flat = pa.array((x @ weights.T + intercepts).ravel())
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), flat)
+
+    return scores
+
+
+def _ridge_predictions(data: DataFrame, key: str, alphas: Sequence[float], dims: int, shared_scale: bool) -> DataFrame:
+    """Held-out predictions of every alpha in every fold: one pass for the sums, one for the predictions."""
+    moments = fold_moments(data, dims)
+    everything = sum(moments.values())
+    scale = _spread(everything) if shared_scale else None
+    parts = []
+    for fold, own in moments.items():
+        if everything[0, 0] == own[0, 0]:
+            continue  # no rows left to train on
+        predict = _linear_scores(*ridge_from_moments(everything - own, alphas, scale))
+        held_out = data.filter(F.col("fold") == fold)
+        predicted = held_out.select(
+            "fold", F.col(key).alias("_key"), "score", predict(vector_to_array("features")).alias("_p")
+        )
+        parts.append(predicted.select("fold", "_key", "score", F.posexplode_outer("_p").alias("trial", "prediction")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---------------------------------------------------------------- cross-validation
 
 
@@ -214,26 +318,16 @@ def with_fold(rows: DataFrame, key: str, folds: int = FOLDS, seed: int = 0) -> D
     return rows.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int"))
 
 
-def cross_validate(
-    rows: DataFrame,
+def _fitted_predictions(
+    data: DataFrame,
     key: str,
     regressor: str,
     candidates: Sequence[Params],
-    preprocessor: Preprocessor = embedding_preprocessor,
-    scale_before_split: bool = False,
-    folds: int = FOLDS,
-    parallelism: int = 4,
+    preprocessor: Preprocessor,
+    shared: PipelineModel | None,
+    parallelism: int,
 ) -> DataFrame:
-    """(trial, spearman): mean over folds of the held-out rank correlation.
-
-    Fits run `parallelism` at a time, like those of Spark's own CrossValidator. The held-out
-    predictions of all trials and folds are then ranked together in one pass, so tuning adds no sort
-    per fit. By default the preprocessor is fitted inside each fold; `scale_before_split` fits it
-    once on all rows, as the exported model has it.
-    """
-    data = stage(with_fold(rows, key, folds), "training")
-    shared = preprocessor(data, candidates[0]) if scale_before_split else None
-    present = sorted(r.fold for r in data.select("fold").distinct().collect())
+    """Held-out predictions of one Spark ML fit per trial and fold, `parallelism` fits at a time."""
 
     def held_out_predictions(fold: int, number: int) -> DataFrame:
         train, held_out = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
@@ -244,12 +338,41 @@ def cross_validate(
             F.lit(number).alias("trial"), "fold", F.col(key).alias("_key"), "score", "prediction"
         )
 
+    present = sorted(r.fold for r in data.select("fold").distinct().collect())
     tasks = [(fold, number) for fold in present for number in range(len(candidates))]
     run = inheritable_thread_target(data.sparkSession)(lambda task: held_out_predictions(*task))
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        predictions = pool.map(run, tasks, chunksize=1)
-    scored = stage(reduce(DataFrame.unionByName, predictions), "predictions")
-    by_fold = spearman(scored, "score", "prediction", "_key", ("trial", "fold"))
+        return reduce(DataFrame.unionByName, pool.map(run, tasks, chunksize=1))
+
+
+def cross_validate(
+    rows: DataFrame,
+    key: str,
+    regressor: str,
+    candidates: Sequence[Params],
+    preprocessor: Preprocessor = embedding_preprocessor,
+    scale_before_split: bool = False,
+    folds: int = FOLDS,
+    parallelism: int = 4,
+) -> DataFrame:
+    """(trial, spearman): mean over folds of the held-out rank correlation.
+
+    Ridge on dense features needs one pass for all trials and folds; other models are fitted one by
+    one with Spark ML. Held-out predictions of all trials and folds are ranked together. By default
+    features are scaled inside each fold; `scale_before_split` scales once on all rows, as the
+    exported model has it.
+    """
+    data = stage(with_fold(rows, key, folds), "training")
+    one_pass = False
+    if regressor == "ridge" and preprocessor is embedding_preprocessor:
+        dims = data.select("features").first().features.size
+        one_pass = dims <= MOMENT_DIMS
+    if one_pass:
+        predictions = _ridge_predictions(data, key, [c["alpha"] for c in candidates], dims, scale_before_split)
+    else:
+        shared = preprocessor(data, candidates[0]) if scale_before_split else None
+        predictions = _fitted_predictions(data, key, regressor, candidates, preprocessor, shared, parallelism)
+    by_fold = spearman(stage(predictions, "predictions"), "score", "prediction", "_key", ("trial", "fold"))
     return by_fold.groupBy("trial").agg((F.sum("spearman") / F.lit(float(folds))).alias("spearman"))
 
 

@@ -178,6 +178,21 @@ def test_ridge_matches_the_closed_form(spark, alpha):
     np.testing.assert_allclose(model.stages[-1].coefficients.toArray(), expected, rtol=1e-8)
 
 
+@pytest.mark.parametrize("scale_before_split", [True, False])
+def test_one_pass_ridge_matches_single_fits(spark, monkeypatch, scale_before_split):
+    """Same value for every trial as fitting each fold with Spark ML."""
+    _, _, rows = regression_rows(spark, n=60, seed=5)
+    candidates = [{"alpha": a} for a in (0.01, 30.0)]
+
+    def run():
+        result = training.cross_validate(rows, "key", "ridge", candidates, scale_before_split=scale_before_split)
+        return [r.spearman for r in result.orderBy("trial").collect()]
+
+    one_pass = run()
+    monkeypatch.setattr(training, "MOMENT_DIMS", 0)
+    np.testing.assert_allclose(one_pass, run(), atol=1e-9)
+
+
 def test_elastic_net_matches_coordinate_descent(spark):
     x, y, rows = regression_rows(spark)
     params = {"alpha": 0.5, "l1_ratio": 0.7, "max_iter": 1000}
