@@ -69,7 +69,8 @@ def _html(expr: str) -> str:
         out = f"regexp_replace({out}, '(?is)<{hidden}[^>]*>.*?</{hidden}\\s*>', {cut}, 'g')"
     out = f"regexp_replace({out}, '(?s)<[a-zA-Z/!?][^>]*>', {cut}, 'g')"
     for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
-        out = f"replace({out}, '&{name};', '{char}')"
+        # A reference cut short by the next tag has no semicolon.
+        out = f"regexp_replace(replace({out}, '&{name};', '{char}'), '&{name}([^-.a-zA-Z0-9;]|$)', '{char}\\1', 'g')"
     space = "' ' || chr(9) || chr(10) || chr(13) || chr(160)"
     runs = f"list_transform(string_split({out}, {cut}), lambda r: trim(r, {space}))"
     return f"array_to_string(list_filter({runs}, lambda r: r <> ''), ' ')"
