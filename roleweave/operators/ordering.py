@@ -27,11 +27,11 @@ def _sliced(df: DataFrame, keys: Sequence[Column], staged: bool = False) -> Data
     """Range-partition on ascending `keys` and label the slices.
 
     Range partitioning reads its input twice, once for the sample; input that is not staged yet is
-    staged, so that whatever computes it runs once.
+    staged, so that whatever computes it runs once. The number of slices is left to the adaptive
+    planner: small inputs get few, and neighbours are merged in order.
     """
-    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df if staged else stage(df, "unordered")
-    return rows.repartitionByRange(count, *keys).withColumn(SLICE, F.spark_partition_id())
+    return rows.repartitionByRange(*keys).withColumn(SLICE, F.spark_partition_id())
 
 
 def _per_slice(values: dict[int, object], element: str) -> Column:

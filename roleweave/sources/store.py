@@ -214,7 +214,9 @@ class PostingStore:
         error: str | None = None,
     ) -> None:
         counts = stats.asDict() if stats is not None else {}
+        last = self.runs().agg(F.max("id").alias("id")).first().id
         row = Row(
+            id=(last or 0) + 1,
             started_at=started_at,
             finished_at=finished_at,
             source=source,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roleweave.operators.correlation import column_stats, comparison, residuals, spearman
-from roleweave.operators.ordering import with_average_rank, with_next, with_position
+from roleweave.operators.ordering import SLICE, _sliced, with_average_rank, with_next, with_position
 
 
 def average_ranks(values):
@@ -19,6 +19,14 @@ def pearson(a, b):
     return float(np.corrcoef(a, b)[0, 1])
 
 
+@pytest.fixture(scope="module", autouse=True)
+def many_slices(spark):
+    """Small inputs would be merged into one slice."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """A third of the rows share one value, which must span several slices."""
@@ -27,6 +35,12 @@ def skewed(spark):
     return rows, spark.createDataFrame(rows, "id bigint, v double, w double")
 
 
+def test_hot_value_is_spread(skewed):
+    _, df = skewed
+    sizes = [r["count"] for r in _sliced(df, [F.col("v"), F.col("id")]).groupBy(SLICE).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 300  # the hot value alone has 300 rows or more
+
+
 def test_positions(skewed):
     rows, df = skewed
     found = {r.id: r.position for r in with_position(df, [F.col("v"), F.col("id")]).collect()}

@@ -189,6 +189,7 @@ def test_ingest_logs_runs(spark, store, batch):
         ingest(store, "monster", {})
     runs = sorted(store.runs().collect(), key=lambda r: r.started_at)
     assert [(r.source, r.fetched_count, r.new_count, r.updated_count) for r in runs] == [("jobspy", 1, 1, 0), ("jobspy", None, None, None)]
+    assert [r.id for r in runs] == [1, 2]
     assert runs[0].error is None and "unreadable" in runs[1].error
 
 
