@@ -92,11 +92,12 @@ def remote_flag(location: Column, extra_json: Column) -> Column:
     An explicit flag from the feed wins, by its truth value; otherwise the location text decides and
     hybrid counts as on site.
     """
-    stated = F.get_json_object(extra_json, "$.is_remote")
-    falsy = stated.isin("false", "", "{}", "[]") | (stated.try_cast("double") == 0)
+    # As VARIANT, so that the text "false" and the value false stay apart.
+    stated = F.to_json(F.try_variant_get(F.try_parse_json(extra_json), "$.is_remote", "variant"))
+    falsy = stated.isin("false", "0", "0.0", '""', "[]", "{}")
     place = F.coalesce(location, F.lit(""))
     return (
-        F.when(stated.isNotNull(), F.when(F.coalesce(falsy, F.lit(False)), 0).otherwise(1))
+        F.when(stated != "null", F.when(falsy, 0).otherwise(1))
         .when(is_blank(place), F.lit(None))
         .when(place.rlike(r"(?iU)\bhybrid\b"), 0)
         .when(place.rlike(r"(?iU)\bremote\b"), 1)

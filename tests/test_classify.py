@@ -85,6 +85,9 @@ def test_rules_from_yaml(tmp_path):
         (None, '{"is_remote": 1}', 1),
         (None, '{"is_remote": 0}', 0),
         (None, '{"is_remote": "no"}', 1),
+        (None, '{"is_remote": "false"}', 1),
+        (None, '{"is_remote": ""}', 0),
+        ("Remote", '{"other": true}', 1),
     ],
 )
 def test_remote_flag(spark, location, extra, expected):
