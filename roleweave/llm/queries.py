@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roleweave.llm import decontaminate, licences, quality, secrets, toxicity, urls
+from roleweave.llm import decontaminate, licences, pieces, quality, secrets, toxicity, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.fit(docs, table(spark, folder, "labels")), keep=["doc_id"])
 
 
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trips(table(spark, folder, "documents"), pieces.load())
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("items")
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_url_filters": op2_url_filters,
     "op3_toxicity": op3_toxicity,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op9_license_scans": op9_license_scans,
