@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roleweave.llm import decontaminate, licences, pieces, quality, secrets, toxicity, urls
+from roleweave.llm import backoff, decontaminate, licences, pieces, quality, secrets, toxicity, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents")).select(*columns)
 
 
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return backoff.scores(table(spark, folder, "documents"))
+
+
 def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licences.licences(table(spark, folder, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_quality_rules": op7_quality_rules,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_license_scans": op9_license_scans,
 }
 
