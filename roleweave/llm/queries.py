@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roleweave.llm import backoff, decontaminate, licences, pieces, quality, secrets, toxicity, urls
+from roleweave.llm import backoff, decontaminate, jaccard, licences, pieces, quality, secrets, toxicity, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("items")
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.groups(table(spark, folder, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return quality.quality(table(spark, folder, "documents")).select(*columns)
@@ -51,6 +55,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_license_scans": op9_license_scans,

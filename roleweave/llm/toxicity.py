@@ -115,15 +115,17 @@ def _predict(model: tuple[float, np.ndarray, np.ndarray], document: np.ndarray,
     return _sigmoid(np.bincount(document, weights=words[feature], minlength=len(dense)) + dense @ earlier + bias)
 
 
-def fit_chain(texts: list[str | None], labels: dict[str, np.ndarray]) -> Chain:
-    """Fit the categories in the order given; fold i holds the rows whose index is i modulo FOLDS."""
-    document, feature = word_features(arrays.texts_of(pa.array(texts, pa.large_string())), arrays.Hasher())
-    fold = np.arange(len(texts)) % FOLDS
-    dense = np.zeros((len(texts), 0))
+def fit_chain(document: np.ndarray, feature: np.ndarray, labels: dict[str, np.ndarray]) -> Chain:
+    """Fit the categories in the order given on (document, feature) pairs; fold i holds the documents i modulo FOLDS."""
+    size = len(next(iter(labels.values())))
+    common = np.bincount(feature, minlength=1 << BITS)[feature] >= LEAST_DOCUMENTS
+    document, feature = document[common], feature[common]
+    fold = np.arange(size) % FOLDS
+    dense = np.zeros((size, 0))
     chain = Chain([], [], [], [])
     for name, y in labels.items():
         y = np.asarray(y, dtype=float)
-        out_of_fold = np.zeros(len(texts))
+        out_of_fold = np.zeros(size)
         for i in range(FOLDS):
             train, held = fold != i, fold == i
             if not held.any() or not train.any():
@@ -174,10 +176,31 @@ def fit(docs: DataFrame, labels: DataFrame, kinds: dict[str, tuple[str, ...]] =
     padded = F.concat(F.lit(" "), F.regexp_replace(arrays.ascii_lower(F.coalesce("text", F.lit(""))), "[^a-z]+", " "), F.lit(" "))
     holds = lambda words: F.greatest(*[padded.contains(f" {w} ") for w in words], F.lit(False))
     flags: dict[str, Column] = {name: (F.col("toxic") > 0) & holds(words) for name, words in kinds.items()}
-    rows = labelled(docs, labels, sample).select("doc_id", "text", (F.col("toxic") > 0).alias("toxic"), *[c.alias(f"_{n}") for n, c in flags.items()]).collect()
-    rows.sort(key=lambda r: (r[0], r[1] or ""))
-    columns = {name: np.array([float(r[3 + i]) for r in rows]) for i, name in enumerate(kinds)}
-    return fit_chain([r[1] for r in rows], columns | {"toxic": np.array([float(r[2]) for r in rows])})
+    wanted = labelled(docs, labels, sample).select("doc_id", "text", (F.col("toxic") > 0).alias("toxic"), *[c.alias(f"_{n}") for n, c in flags.items()])
+    names = [c for c in wanted.columns if c != "text"]
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema.fields if f.name != "text")
+    rows = wanted.mapInArrow(_packed_features(names), f"{fields}, features binary").collect()
+    rows.sort(key=lambda r: (r.doc_id, bytes(r.features)))
+    lists = [np.frombuffer(r.features, dtype=np.int32) for r in rows]
+    document = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in lists])
+    feature = np.concatenate(lists) if lists else np.zeros(0, dtype=np.int32)
+    columns = {name: np.array([float(r[f"_{name}"]) for r in rows]) for name in kinds}
+    return fit_chain(document, feature, columns | {"toxic": np.array([float(r.toxic) for r in rows])})
+
+
+def _packed_features(names: list[str]):
+    """Distinct features of each text as packed 32-bit numbers; the texts stay with the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = arrays.Hasher()
+        for batch in arrays.slices(batches, "text"):
+            document, feature = word_features(arrays.texts_of(batch.column("text")), hasher)
+            first = np.searchsorted(document, np.arange(batch.num_rows + 1))
+            feature = feature.astype(np.int32)
+            found = [feature[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(found, pa.binary())], [*names, "features"])
+
+    return run
 
 
 def scores(docs: DataFrame, chain: Chain, keep: list[str] | None = None) -> DataFrame:
