@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roleweave.llm import backoff, decontaminate, jaccard, licences, pieces, quality, secrets, toxicity, urls
+from roleweave.llm import backoff, decontaminate, jaccard, licences, pieces, quality, secrets, suffixes, toxicity, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licences.licences(table(spark, folder, "documents"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.removals(table(spark, folder, "documents")).drop("removed")
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_url_filters": op2_url_filters,
@@ -59,6 +63,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_license_scans": op9_license_scans,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
