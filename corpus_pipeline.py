@@ -7,8 +7,9 @@ folder and reads it again as the next stage's documents. All but the last return
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roleweave.llm import decontaminate, secrets, toxicity
+from roleweave.llm import decontaminate, jaccard, pieces, secrets, toxicity
 from roleweave.llm.queries import table
 from roleweave.session import stage
 
@@ -18,20 +19,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group that links of the n-gram Jaccard join connect."""
+    return jaccard.one_of_each_group(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that don't share enough windows with benchmark items."""
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets in the text replaced by their kind."""
+    """All documents, with secrets in the text replaced by their kind; n_chars stays that of the text as it came."""
     return secrets.masked(docs)
 
 
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with `piece_ids`, `n_pieces` and whether decoding the ids gives the text back."""
+    vocabulary = pieces.load()
+    rows = pieces.decoded(pieces.encoded(docs, vocabulary), vocabulary)
+    return rows.withColumns({"n_pieces": F.size("piece_ids"), "round_trip": F.col("decoded") == F.col("text")}).drop("decoded")
+
+
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("secrets", mask_secrets),
+    ("sentencepiece", tokenize),
 ]
 
 # The first stage is a fitted model, which SQL can't express.
@@ -42,5 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = table(spark, sf_dir, "documents")
     for name, apply in STAGES:
-        docs = stage(apply(spark, docs, sf_dir), name)
+        docs = stage(apply(spark, docs, sf_dir), f"pipeline_{name.replace(' ', '_')}")
     return docs
