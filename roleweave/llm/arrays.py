@@ -205,6 +205,13 @@ def signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64, copy=False).view(np.int64)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """`name`, lengthened until no column is called so."""
+    while name in columns:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -238,7 +245,15 @@ def winnow(hashes: np.ndarray, usable: np.ndarray, width: int) -> np.ndarray:
 def shared(spark: SparkSession, value: object) -> Callable[[], object]:
     """Send an object of proven bounded size to the executors; tasks call the result to get it.
 
-    It travels with the code of its class, which executors needn't have installed.
+    It travels with the code of its class, which executors needn't have installed. Tasks that run one after the other in
+    one Python worker get the same object, so what it remembers serves them all.
     """
-    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
-    return lambda: pickle.loads(sent.value)
+    sent = spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)})
+
+    def get() -> object:
+        held = sent.value
+        if "object" not in held:
+            held["object"] = pickle.loads(held["packed"])
+        return held["object"]
+
+    return get

@@ -214,8 +214,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` whose text isn't contaminated, with their own columns."""
-    row = "_row"
-    while row in docs.columns:
-        row += "_"
+    row = arrays.unused(docs.columns, "_row")
     found = contamination(docs.select("doc_id", "text"), benchmark).where("contaminated").select(F.col("doc_id").alias(row)).distinct()
     return docs.join(found, docs["doc_id"].eqNullSafe(found[row]), "left_anti")

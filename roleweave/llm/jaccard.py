@@ -219,5 +219,6 @@ def groups(docs: DataFrame) -> DataFrame:
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The row of each component with the least doc_id, with the columns of `docs`; rows without an id stay."""
-    kept = groups(docs.select("doc_id", "text")).where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    name = arrays.unused(docs.columns, "_dropped")
+    dropped = groups(docs.select("doc_id", "text")).where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dropped, F.col("doc_id") == F.col(name), "left_anti")

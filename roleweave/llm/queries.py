@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from roleweave.llm import backoff, decontaminate, jaccard, licences, pieces, quality, secrets, suffixes, toxicity, urls
+from roleweave.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,5 +66,3 @@ QUERIES = {
     "op9_license_scans": op9_license_scans,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
-
-ORACLE_SQL: dict[str, str] = {}

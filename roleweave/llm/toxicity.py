@@ -79,8 +79,8 @@ def fit_linear(document: np.ndarray, feature: np.ndarray, y: np.ndarray, dense:
     """
     size = 1 << BITS
     n_pos, n_neg = max(y.sum(), 0.0), max((1 - y).sum(), 0.0)
-    rate = (n_pos + 1) / (n_pos + n_neg + 2)
     if not n_pos or not n_neg:
+        rate = n_pos / max(len(y), 1)
         return float(_logit(np.array(rate))), np.zeros(size, np.float32), np.zeros(dense.shape[1], np.float32)
     pos = np.bincount(feature, weights=y[document], minlength=size)
     neg = np.bincount(feature, minlength=size) - pos
@@ -225,5 +225,7 @@ def scores(docs: DataFrame, chain: Chain, keep: list[str] | None = None) -> Data
 
 
 def clean(docs: DataFrame, chain: Chain) -> DataFrame:
-    """The rows of `docs` that the chain doesn't reject, with their own columns."""
-    return scores(docs, chain).where("not toxic_rejected").select(*docs.columns)
+    """The rows of `docs` that the chain doesn't reject, with their own columns, whatever these are called."""
+    aside = {c: arrays.unused(docs.columns, f"_own_{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    kept = scores(docs.withColumnsRenamed(aside), chain).where("not toxic_rejected")
+    return kept.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
