@@ -68,13 +68,13 @@ def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RU
 def char_grams(text: Column, sizes: tuple[int, ...] = GRAMS) -> Column:
     """All character n-grams of `text` with its ends marked; a text shorter than n has none of that size."""
     marked = F.concat(F.lit("^"), text, F.lit("$"))
-    lists = [
-        F.when(
-            F.char_length(marked) >= n,
-            F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(marked) - (n - 1), F.lit(1))), lambda i, n=n: F.substr(marked, i, F.lit(n))),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in sizes
-    ]
+
+    def of_size(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.char_length(marked) - (n - 1), F.lit(1)))
+        grams = F.transform(starts, lambda i: F.substr(marked, i, F.lit(n)))
+        return F.when(F.char_length(marked) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    lists = [of_size(n) for n in sizes]
     return F.concat(*lists)
 
 
