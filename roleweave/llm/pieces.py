@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from roleweave.llm import arrays
 
 MARK = "▁"
-# Words and piece pairs that a task remembers before it starts anew.
-REMEMBERED = 300_000
+# Words and piece pairs that a Python worker remembers before it starts anew.
+REMEMBERED = 500_000
 
 
 @dataclass
@@ -51,9 +51,10 @@ class Vocabulary:
         self.pieces = {i: piece for piece, i in self.ids.items()}
         ends: dict[str, set[int]] = {}
         for piece in self.ids:
-            ends.setdefault(piece[-2:], set()).add(len(piece))
-        # Lengths of the pieces that end with the same two characters, longest first.
-        self.lengths = {end: sorted(lengths, reverse=True) for end, lengths in ends.items()}
+            if len(piece) > 2:
+                ends.setdefault(piece[-3:], set()).add(len(piece))
+        # Lengths of the longer pieces that end with the same three characters, longest first, and the short lengths.
+        self.lengths = {end: (*sorted(lengths, reverse=True), 2, 1) for end, lengths in ends.items()}
         self.words = self._cuts()
 
     def _cuts(self) -> str:
@@ -71,6 +72,12 @@ class Vocabulary:
                 break
         return pattern
 
+    def table(self) -> WordTable:
+        """The word table of this process."""
+        if not hasattr(self, "_table"):
+            self._table = WordTable(self)
+        return self._table
+
     def ids_of(self, piece: str) -> tuple[int, ...]:
         return (self.ids[piece],) if piece in self.ids else tuple(self.byte_ids[b] for b in piece.encode("utf-8", "replace"))
 
@@ -132,17 +139,24 @@ class Encoder:
         score, last = self.score, self.last
         del score[shared + 1 :], last[shared + 1 :]
         scores, lengths, first_wins = self.vocabulary.scores, self.vocabulary.lengths, self.vocabulary.byte_pair
+        stands = self.stands
         for end in range(shared + 1, len(word) + 1):
             best, chosen = -1e300, word[end - 1]
-            for length in (*lengths.get(word[max(0, end - 2) : end], ()), 1) if end > 1 else (1,):
+            for length in lengths.get(word[end - 3 : end], (2, 1)) if end > 2 else (2, 1)[2 - end :]:
                 start = end - length
-                piece = word[start:end] if start >= 0 else ""
+                if start < 0:
+                    continue
+                piece = word[start:end]
                 own = scores.get(piece)
                 if own is None:
                     if length > 1:
                         continue
                     own = -1e12  # a character without a piece of its own is written as bytes
-                if self.may_follow(last[start], piece) and score[start] + own > best:
+                before = last[start]
+                allowed = stands.get((before, piece))
+                if allowed is None:
+                    allowed = self.may_follow(before, piece)
+                if allowed and score[start] + own > best:
                     best, chosen = score[start] + own, piece
                     if first_wins:
                         break
@@ -199,7 +213,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     model = arrays.shared(docs.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(model())
+        table = model().table()
         for batch in arrays.slices(batches, "text"):
             found = table.encode(batch.column("text").to_pylist())
             ids = pa.array(found, pa.list_(pa.int32()))
@@ -232,7 +246,7 @@ def round_trips(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = model()
-        table, decoder = WordTable(vocabulary), Decoder(vocabulary)
+        table, decoder = vocabulary.table(), Decoder(vocabulary)
         for batch in arrays.slices(batches, "text"):
             texts = batch.column("text").to_pylist()
             found = table.encode(texts)
