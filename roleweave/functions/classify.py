@@ -50,6 +50,25 @@ def _java_fragment(fragment: str) -> str:
     return re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", fragment.replace("(?P<", "(?<"))
 
 
+def _groups(fragment: str) -> int:
+    """How many capturing groups a fragment opens."""
+    bare = re.sub(r"\\.|\[\^?\]?(?:\\.|[^\]\\])*\]", "", fragment)
+    return len(re.findall(r"\((?!\?)|\(\?P?<(?![=!])", bare))
+
+
+def _renumbered(fragments: Sequence[str]) -> list[str]:
+    """Numbered back-references shifted by the groups of the fragments before, as all become one pattern."""
+    out, before = [], 0
+    for fragment in fragments:
+        shift = before
+        # A character class and an escaped character stay as they are.
+        pieces = re.findall(r"\[\^?\]?(?:\\.|[^\]\\])*\]|\\[1-9]\d?|\\.|[^\\\[]+|\[", fragment, re.S)
+        shifted = (f"\\{int(p[1:]) + shift}(?:)" if re.fullmatch(r"\\[1-9]\d?", p) else p for p in pieces)
+        out.append("".join(shifted) if shift else fragment)
+        before += _groups(fragment)
+    return out
+
+
 def _first_letters(fragments: Sequence[str]) -> str:
     """Look-ahead for the first letters of the fragments; empty when one may start otherwise.
 
@@ -64,7 +83,7 @@ def any_word(text: Column, fragments: Sequence[str], case_sensitive: bool = Fals
     if not fragments:
         return F.lit(False)
     flags, start = ("(?U)", "") if case_sensitive else ("(?iU)", _first_letters(fragments))
-    return text.rlike(rf"{flags}\b{start}(?:{'|'.join(_java_fragment(f) for f in fragments)})\b")
+    return text.rlike(rf"{flags}\b{start}(?:{'|'.join(_java_fragment(f) for f in _renumbered(fragments))})\b")
 
 
 def relevance(rules: RelevanceRules, title: Column, description: Column) -> Column:

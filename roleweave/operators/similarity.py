@@ -17,6 +17,8 @@ TOP = 3
 SIMS = "array<struct<sim: double, section: bigint>>"
 # Section vectors shipped to the workers in one go.
 BLOCK_BYTES = 64 << 20
+# Similarities held at once in a task.
+SCORE_BYTES = 32 << 20
 
 
 # The functions below are shipped to the workers by value and refer to nothing of this package, so
@@ -26,6 +28,19 @@ BLOCK_BYTES = 64 << 20
 def _top_sections(block: np.ndarray, ids: np.ndarray) -> Callable[[Column], Column]:
     """UDF: the best sections of one block, best first, as (sim, section)."""
     k = min(TOP, len(block))
+    step = max(1, SCORE_BYTES // 8 // max(1, len(block)))
+
+    def best_of(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        scores = rows @ block.T
+        # All that reach the k-th best value are candidates; the block is in order of section ids,
+        # so a stable sort of these few settles ties by id.
+        least = np.partition(scores, -k, axis=1)[:, -k]
+        sims, sections = np.empty((len(rows), k)), np.empty((len(rows), k), dtype=np.int64)
+        for i in range(len(rows)):
+            reach = np.flatnonzero(scores[i] >= least[i])
+            best = reach[np.argsort(-scores[i][reach], kind="stable")[:k]]
+            sims[i], sections[i] = scores[i][best], ids[best]
+        return sims, sections
 
     @F.arrow_udf(SIMS)
     def top(vectors: pa.Array) -> pa.Array:
@@ -34,10 +49,9 @@ def _top_sections(block: np.ndarray, ids: np.ndarray) -> Callable[[Column], Colu
         sims, sections = np.empty((0, k)), np.empty((0, k), dtype=np.int64)
         if n:
             flat = vectors.drop_null().flatten().to_numpy(zero_copy_only=False)
-            scores = flat.astype(np.float64).reshape(n, -1) @ block.T
-            # The block is in order of section ids, so a stable sort settles ties by id.
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            sims, sections = np.take_along_axis(scores, best, axis=1), ids[best]
+            rows = flat.astype(np.float64).reshape(n, -1)
+            parts = [best_of(rows[i : i + step]) for i in range(0, n, step)]
+            sims, sections = (np.concatenate(x) for x in zip(*parts))
         values = pa.StructArray.from_arrays(
             [pa.array(sims.ravel()), pa.array(sections.ravel())], names=["sim", "section"]
         )

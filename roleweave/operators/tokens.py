@@ -10,18 +10,39 @@ from pyspark.sql import functions as F
 
 from roleweave.vocabulary import STOP_WORDS
 
-# Words (inner hyphens, dots and apostrophes kept), clitics, double dashes and single marks.
-_TOKEN = r"(?U)n't\b|'(?:s|m|d|ll|re|ve)\b|--+|\.\.\.|\w+(?:[-./]\w+)*|[^\w\s]"
+# The published Treebank rules for lower-case text, in order: what is set apart by blanks. Marks inside
+# numbers (100,000 and 10:30) and signs that belong to a name (c++, 5+) stay with their word.
+TREEBANK = (
+    (r'(^|[\s(\[{<])"', "$1 `` "),  # an opening quotation mark is two grave accents
+    (r"([:,])([^\d])", " $1 $2"),
+    (r"([:,])$", " $1 "),
+    (r"\.\.\.", " ... "),
+    (r"([;@#$%&?!])", " $1 "),
+    # A full stop ends a sentence behind a word that is longer than a letter and has no dot of its own.
+    (r"(^|\s)([^\s.]{2,})\.([\])}>\"']*)(\s|$)", "$1$2 . $3$4"),
+    (r"([\]\[(){}<>])", " $1 "),
+    (r"--", " -- "),
+    (r"''|\"", " '' "),  # any other quotation mark closes
+    (r"([^' ])('s|'m|'d|') ", "$1 $2 "),
+    (r"([^' ])('ll|'re|'ve|n't) ", "$1 $2 "),
+    (r"\b(can)(not)\b", " $1 $2 "),
+    (r"\b(gim|lem)(me)\b", " $1 $2 "),
+    (r"\b(gon|wan)(na)\b", " $1 $2 "),
+    (r"\b(got)(ta)\b", " $1 $2 "),
+    (r" ('t)(is|was)\b", " $1 $2 "),
+)
 
 
 def tokens(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    """Lower-case tokens without stop words and punctuation.
+    """Lower-case Treebank tokens without stop words and punctuation.
 
-    A token goes as punctuation when it is a piece of the punctuation string, so a double dash stays.
+    A token goes as punctuation when it is a piece of the punctuation string, so quotation marks
+    (two characters each) and a double dash stay.
     """
-    lowered = F.lower(text)
-    apart = F.when(text.contains("'"), F.regexp_replace(lowered, r"(?U)(?<=\w)n't\b", " n't")).otherwise(lowered)
-    found = F.regexp_extract_all(apart, F.lit(_TOKEN), 0)
+    apart = F.concat(F.lower(text), F.lit(" "))
+    for pattern, replacement in TREEBANK:
+        apart = F.regexp_replace(apart, pattern, replacement)
+    found = F.filter(F.split(apart, r"(?U)\s+"), lambda t: t != "")
     kept = F.filter(found, lambda t: ~F.contains(F.lit(punctuation), t))
     return F.filter(kept, lambda t: ~t.isin(*stop_words)) if stop_words else kept
 

@@ -47,11 +47,16 @@ def latest_status(events: DataFrame, order: str = "changed_at") -> DataFrame:
 
 
 def apply_status(snapshot: DataFrame, last: DataFrame) -> DataFrame:
-    """Set the application status from the outcome of `latest_status` and stamp its time."""
+    """Set the application status from the outcome of `latest_status` and stamp its time.
+
+    A change that is older than the stored one has come late and changes nothing.
+    """
+    stored = F.col("application_status_updated_at")
+    newer = F.col("status").isNotNull() & (stored.isNull() | F.col("changed_at").isNull() | (F.col("changed_at") >= stored))
     return (
         snapshot.join(last.select("url", "status", "changed_at"), "url", "left")
-        .withColumn("application_status", F.coalesce("status", "application_status"))
-        .withColumn("application_status_updated_at", F.coalesce("changed_at", "application_status_updated_at"))
+        .withColumn("application_status", F.when(newer, F.col("status")).otherwise(F.col("application_status")))
+        .withColumn("application_status_updated_at", F.when(newer, F.coalesce("changed_at", stored)).otherwise(stored))
         .select(*snapshot.columns)
     )
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from roleweave.functions.classify import RelevanceRules, relevance, remote_flag
 from roleweave.functions.text import html_to_text
 from roleweave.operators.similarity import mean_vectors
-from roleweave.session import spread
 
 # Rules in the vocabulary of the invented prose.
 PROSE_RULES = RelevanceRules(
@@ -27,7 +26,7 @@ SECOND_BATCH = "2024-01-16"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def _title(text: Column) -> Column:
@@ -47,9 +46,9 @@ def document_postings(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("source"))
     )
     location = (
-        F.when(F.col("lang") == "en", F.lit("Remote - US"))
-        .when(F.col("lang") == "fr", F.lit("Hybrid/Remote optional"))
-        .when(F.col("lang") == "de", F.lit("Remotely, TX"))
+        F.when(F.col("lang") == "en", F.lit("Remote, anywhere"))
+        .when(F.col("lang") == "fr", F.lit("Hybrid with remote days"))
+        .when(F.col("lang") == "de", F.lit("Remoteville"))
         .otherwise(F.lit("  \n "))
     )
     extra = (

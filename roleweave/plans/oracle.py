@@ -146,16 +146,33 @@ rho AS (SELECT {keys}, CASE WHEN min(a) = max(a) OR min(b) = max(b) THEN 0.0 ELS
 
 
 def _tokens() -> str:
-    """Same tokens by other means: the pattern needs no look-ahead when n't is set apart first."""
-    apart = "regexp_replace(lower(text), '([\\p{L}\\p{N}_])n''t($|[^\\p{L}\\p{N}_])', '\\1 n''t\\2', 'g')"
-    pattern = (
-        "n''t|''(?:ll|re|ve|s|m|d)|--+|\\.\\.\\.|[\\p{L}\\p{N}_]+(?:[-./][\\p{L}\\p{N}_]+)*|[^\\s\\p{L}\\p{N}_]"
+    """Tokens by the Treebank rules, blank by blank: each line below sets one kind of mark apart."""
+    steps = (
+        ("(^|[\\s(\\[{<])\"", "\\1 `` "),
+        ("([:,])([^0-9])", " \\1 \\2"),
+        ("([:,])$", " \\1 "),
+        ("[.][.][.]", " ... "),
+        ("([;@#$%&?!])", " \\1 "),
+        ("(^|\\s)([^\\s.][^\\s.]+)[.]([\\])}>\"'']*)(\\s|$)", "\\1\\2 . \\3\\4"),
+        ("([][(){}<>])", " \\1 "),
+        ("--", " -- "),
+        ("|"", "  "),
+        ("([^'' ])(''s|''m|''d|'') ", "\1 \2 "),
+        ("([^'' ])(''ll|''re|''ve|n''t) ", "\1 \2 "),
+        ("\bcannot\b", " can not "),
+        ("\b(gim|lem)me\b", " \1 me "),
+        ("\b(gon|wan)na\b", " \1 na "),
+        ("\bgotta\b", " got ta "),
+        (" ''t(is|was)\b", " ''t \1 "),
     )
+    apart = "lower(text) || ' '"
+    for pattern, replacement in steps:
+        apart = f"regexp_replace({apart}, '{pattern}', '{replacement}', 'g')"
     stop = ", ".join(_quoted(w) for w in STOP_WORDS)
-    punctuation = _quoted("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    punctuation = _quoted("!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~")
     return f"""
-t AS (SELECT doc_id, list_filter(regexp_extract_all({apart}, '{pattern}'),
-  lambda w: NOT contains({punctuation}, w) AND w NOT IN ({stop})) AS tokens FROM documents)"""
+t AS (SELECT doc_id, list_filter(regexp_split_to_array({apart}, '\s+'),
+  lambda w: w <> '' AND NOT contains({punctuation}, w) AND w NOT IN ({stop})) AS tokens FROM documents)"""
 
 
 _PARAGRAPH_HEAD = rf"(?i)^\s*(?:[#*]+\s*)?(?:{PARAGRAPH_LABELS})(?:$|[^\p{{L}}\p{{N}}_])"

@@ -15,7 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     Normalizer,
     SQLTransformer,
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from roleweave.functions.text import labelled_paragraphs
 from roleweave.operators.correlation import spearman
 from roleweave.operators.encoding import Encoder
-from roleweave.operators.tokens import tokens
+from roleweave.operators.tokens import tokens, vocabulary
 from roleweave.plans.scoring import build_features, save_model
 from roleweave.session import stage
 from roleweave.sources.training_files import skipped_rows, training_rows
@@ -90,6 +90,10 @@ def draw_params(regressor: str, rng: random.Random) -> Params:
     raise ValueError(f"unknown regressor: {regressor!r}")
 
 
+# The cheapest point of the boosted trees' search space.
+LEAST_BOOSTED: Params = {"iterations": 100, "learning_rate": 0.1, "depth": 2, "subsample": 1.0}
+
+
 def draw_bow_params(rng: random.Random) -> Params:
     """One random point of the bag-of-words search space."""
     return {
@@ -171,18 +175,14 @@ def bow_preprocessor(rows: DataFrame, params: Params) -> PipelineModel:
     if params["max_ngram"] == 2:
         stages.append(SQLTransformer(statement=f"SELECT *, {_PAIRS} AS terms FROM __THIS__"))
         words = "terms"
-    counts = CountVectorizer(
-        inputCol=words,
-        outputCol="_counts",
-        binary=True,
-        minDF=float(params["min_df"]),
-        maxDF=float(params["max_df"]),
-        vocabSize=int(params["max_features"]),
-    )
-    # A float maxDF of exactly 1.0 would read as one document.
-    if params["max_df"] >= 1.0:
-        counts = counts.setMaxDF(float(2**62))
-    counted = Pipeline(stages=[*stages, counts]).fit(rows)
+    paired = PipelineModel(stages=stages).transform(rows)
+    # Ranked by document frequency, ties by term; CountVectorizer itself would rank by total counts.
+    table = vocabulary(paired, words, int(params["min_df"]), float(params["max_df"]), int(params["max_features"]))
+    terms = [r.term for r in table.select("term", "df").orderBy(F.desc("df"), "term").collect()]  # at most max_features
+    if not terms:
+        raise ValueError("no term lies between the document frequency bounds")
+    counts = CountVectorizerModel.from_vocabulary(terms, inputCol=words, outputCol="_counts").setBinary(True)
+    counted = PipelineModel(stages=[*stages, counts])
     weighted_col = "_counts"
     fitted: list = list(counted.stages)
     if params["use_idf"]:
@@ -212,8 +212,8 @@ def fit(regressor: str, params: Params, rows: DataFrame, preprocessor: Preproces
 
 # ---------------------------------------------------------------- one-pass ridge
 
-# Widest feature vector whose moments are gathered in one pass; wider ones are fitted one by one.
-MOMENT_DIMS = 1024
+# Widest feature vector a ridge model is solved for: one matrix of its square is the driver's.
+MOMENT_DIMS = 4096
 
 
 def fold_moments(rows: DataFrame, dims: int) -> dict[int, np.ndarray]:
@@ -357,17 +357,16 @@ def cross_validate(
 ) -> DataFrame:
     """(trial, spearman): mean over folds of the held-out rank correlation.
 
-    Ridge on dense features needs one pass for all trials and folds; other models are fitted one by
-    one with Spark ML. Held-out predictions of all trials and folds are ranked together. By default
+    Ridge on dense features needs one pass for all trials and folds at any width up to MOMENT_DIMS,
+    and beyond it is refused; other models are fitted one by one with Spark ML. Held-out predictions of all trials and folds are ranked together. By default
     features are scaled inside each fold; `scale_before_split` scales once on all rows, as the
     exported model has it.
     """
     data = stage(with_fold(rows, key, folds), "training")
-    one_pass = False
     if regressor == "ridge" and preprocessor is embedding_preprocessor:
         dims = data.select("features").first().features.size
-        one_pass = dims <= MOMENT_DIMS
-    if one_pass:
+        if dims > MOMENT_DIMS:
+            raise ValueError(f"ridge takes at most {MOMENT_DIMS} features, not {dims}")
         predictions = _ridge_predictions(data, key, [c["alpha"] for c in candidates], dims, scale_before_split)
     else:
         shared = preprocessor(data, candidates[0]) if scale_before_split else None

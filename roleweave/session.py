@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,12 +33,12 @@ def build_session(app: str = "roleweave", master: str | None = None, **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: `spark.checkpoint.dir`.
 
-    Only a local session may fall back to a folder of its own; on a cluster a machine-local folder
-    would be lost with its machine, so a missing setting is an error there.
+    Only a session in one process may fall back to a folder of its own; with executors elsewhere a
+    machine-local folder would be lost with its machine, so a missing setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="roleweave-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -68,13 +69,3 @@ def byte_size(table: DataFrame) -> Column:
 def fits_broadcast(size: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether a table of this measured size may be sent to every executor."""
     return size <= limit
-
-
-def spread(table: DataFrame) -> DataFrame:
-    """Spread a table that is read in fewer splits than there are cores; any other is left alone.
-
-    One file with one row group is one task, however many cores wait. Filters and column pruning
-    still reach the scan.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

@@ -359,14 +359,18 @@ def capped_results(
     results_wanted: int,
     order: Sequence[Column],
     since: Column | None = None,
+    run: str | None = None,
 ) -> DataFrame:
     """At most `results_wanted` rows per search term, location and site, in the order given.
 
+    With `run`, the column that tells landings apart, the cap holds for each run of a query.
+
     The cap is the feature here. Spark prunes to the cap inside each task before the shuffle
     (window group limit), so a query with a third of all rows stays cheap.
     """
     recent = rows if since is None else rows.filter(F.col("date_posted") >= since)
-    per_query = Window.partitionBy("search_term", "search_location", "site").orderBy(*order)
+    keys = ["search_term", "search_location", "site", *([run] if run else [])]
+    per_query = Window.partitionBy(*keys).orderBy(*order)
     return (
         recent.withColumn("result_rank", F.row_number().over(per_query))
         .filter(F.col("result_rank") <= results_wanted)
@@ -376,13 +380,16 @@ def capped_results(
 def planned_rows(rows: DataFrame, search: SearchSettings, run_at: datetime) -> DataFrame:
     """Landed rows (search_term, search_location, arrival, ...) held to a search plan.
 
-    A result found by several queries stays several rows, as the queries are not compared.
+    A result found by several queries stays several rows, as the queries are not compared. A row
+    that doesn't name its site stays: only a site that isn't asked for drops a row. If the rows
+    have a `run` column, each run has its own cap.
     """
     plan = search_plan(rows.sparkSession, search.terms, search.locations)
-    asked = rows.filter(F.col("site").isin(*search.sites)).join(plan, ["search_term", "search_location"])
+    wanted = F.col("site").isNull() | F.col("site").isin(*search.sites)
+    asked = rows.filter(wanted).join(plan, ["search_term", "search_location"])
     recent = asked
     if search.hours_old is not None:
         oldest = (run_at - timedelta(hours=search.hours_old)).date()
         posted = iso_date(F.col("date_posted").cast("string"))
         recent = asked.filter(posted.isNull() | (posted >= F.lit(oldest)))
-    return capped_results(recent, search.results_wanted, [F.col("arrival")])
+    return capped_results(recent, search.results_wanted, [F.col("arrival")], run="run" if "run" in rows.columns else None)

@@ -107,9 +107,9 @@ def test_reference_vectors_encode_only_what_changed(spark, root):
 
 @pytest.fixture
 def career(tmp_path: Path):
-    body = "Enough padding text here to clear the forty character minimum easily."
+    body = "A plain sentence that is long enough for its section to be kept."
     (tmp_path / "history.md").write_text(f"## One\n{body}\n## Two\n{body} More.\n## Tiny\nno\n")
-    (tmp_path / "resume.md").write_text("NGS resume")
+    (tmp_path / "resume.md").write_text("maps and rocks")
     (tmp_path / "scores.csv").write_text("Name,Score\nalpha,80\nbeta,N/A\ngamma,55\ndelta one,40\n")
     for name in ("alpha", "beta", "delta one"):
         (tmp_path / "jd" / name).mkdir(parents=True)
@@ -189,10 +189,23 @@ def test_one_pass_ridge_matches_single_fits(spark, monkeypatch, scale_before_spl
         return [r.spearman for r in result.orderBy("trial").collect()]
 
     one_pass = run()
-    monkeypatch.setattr(training, "MOMENT_DIMS", 0)
+
+    def fitted(data, key, alphas, dims, shared_scale):
+        plain = training.embedding_preprocessor
+        shared = plain(data, {}) if shared_scale else None
+        return training._fitted_predictions(data, key, "ridge", [{"alpha": a} for a in alphas], plain, shared, 4)
+
+    monkeypatch.setattr(training, "_ridge_predictions", fitted)
     np.testing.assert_allclose(one_pass, run(), atol=1e-9)
 
 
+def test_ridge_refuses_wider_features_than_it_can_solve(spark, monkeypatch):
+    _, _, rows = regression_rows(spark, n=20)
+    monkeypatch.setattr(training, "MOMENT_DIMS", 2)
+    with pytest.raises(ValueError, match="at most 2 features"):
+        training.cross_validate(rows, "key", "ridge", [{"alpha": 1.0}])
+
+
 def test_elastic_net_matches_coordinate_descent(spark):
     x, y, rows = regression_rows(spark)
     params = {"alpha": 0.5, "l1_ratio": 0.7, "max_iter": 1000}
@@ -270,9 +283,25 @@ def test_no_training_rows(spark):
 # ---------------------------------------------------------------- bag of words
 
 
-def test_tokens(one):
-    found = one(tokens.tokens, "x string", "Don't use the C/C++ -- state-of-the-art (v2.0)!")
-    assert found == ["n't", "use", "c/c", "--", "state-of-the-art", "v2.0"]
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("Don't use the C/C++ -- state-of-the-art (v2.0)!", ["n't", "use", "c/c++", "--", "state-of-the-art", "v2.0"]),
+        ("C++ and $100,000 at 10:30, R&D 5+ years", ["c++", "100,000", "10:30", "r", "5+", "years"]),
+        ('say "quoted" words', ["say", "``", "quoted", "''", "words"]),
+        ("Runs well. Ends e.g. here.", ["runs", "well", "ends", "e.g."]),
+        ("you'll plan; we cannot wait... #1", ["'ll", "plan", "wait", "...", "1"]),
+        ("", []),
+    ],
+)
+def test_tokens(one, text, expected):
+    assert one(tokens.tokens, "x string", text) == expected
+
+
+def test_bow_vocabulary_ranks_by_document_frequency(spark):
+    rows = spark.createDataFrame([(["a", "a", "a", "a", "b"],), (["b", "c"],), (["b", "d"],)], "tokens array<string>")
+    params = {"min_df": 1, "max_df": 1.0, "max_features": 2, "max_ngram": 1, "use_idf": False}
+    assert training.bow_preprocessor(rows, params).stages[0].vocabulary == ["b", "a"]
 
 
 def test_ngrams(spark):
