@@ -37,7 +37,9 @@ TEMPLATES = {
     "proprietary": ("copyright all rights reserved no part may be reproduced without permission", ("all rights reserved", "copyright")),
 }
 # A word of more templates than this is no rare word.
-MOST_TEMPLATES = 2
+MOST_TEMPLATES = 3
+# Common words that are never looked up, however few templates hold them.
+COMMON = frozenset("a and any are be by code conditions following form free in is later made may no not of or part person provided source that the this to use v with without work you 0 1 2 3 4".split())
 # Highest-IDF licence words kept for each file.
 TOP_WORDS = 12
 # Words that have to agree on a relative position, or all that the template has.
@@ -45,9 +47,9 @@ LEAST_AGREEING = 2
 
 
 def rare_words() -> list[str]:
-    """Words that at most MOST_TEMPLATES templates hold, sorted."""
+    """Words that at most MOST_TEMPLATES templates hold and that aren't common, sorted."""
     held = Counter(w for text, _ in TEMPLATES.values() for w in set(text.split()))
-    return sorted(w for w, n in held.items() if n <= MOST_TEMPLATES)
+    return sorted(w for w, n in held.items() if n <= MOST_TEMPLATES and w not in COMMON)
 
 
 def spaced(text: Column) -> Column:
