@@ -214,28 +214,42 @@ def document_payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_listing(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Pages as one-job listings, and as detail records where the HTML is longer than 1,500 characters."""
-    pages = table(spark, folder, "pages").select("*", _host(F.col("url")).alias("host"))
-    tenant = F.concat(F.lit("t"), F.col("page_id").cast("string"))
+    """Pages as jobs of tenants with fifty jobs each, listed twenty to a page by two runs.
+
+    Run a lists every job, run b those with an even number. One job in two hundred lacks its detail in run b, and
+    each tenth detail landed twice.
+    """
+    runs = F.explode(F.when(F.col("page_id") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a"))))
+    pages = table(spark, folder, "pages").select("*", _host(F.col("url")).alias("host"), runs.alias("run"))
+    tenant = F.concat(F.lit("t"), F.expr("page_id div 50").cast("string"))
     path = F.concat(F.lit("/job/"), F.col("page_id").cast("string"))
     entry = F.struct(
         F.col("host").alias("title"), path.alias("externalPath"), F.lit("US - Remote").alias("locationsText"),
         F.array(tenant).alias("bulletFields"),
     )
-    listing = pages.select(
-        F.col("host").alias("company_name"),
-        tenant.alias("tenant"),
+    # At most fifty jobs come together here.
+    jobs = pages.groupBy(tenant.alias("tenant"), "run").agg(F.sort_array(F.collect_list(F.struct("page_id", entry.alias("job")))).alias("jobs"))
+    starts = F.sequence(F.lit(0), F.size("jobs") - 1, F.lit(20))
+    paged = jobs.select("tenant", "run", "jobs", F.explode(starts).alias("offset"))
+    page = F.transform(F.slice("jobs", F.col("offset") + 1, F.lit(20)), lambda j: j["job"])
+    listing = paged.select(
+        F.concat(F.lit("company "), F.col("tenant")).alias("company_name"),
+        "tenant",
         F.lit("careers").alias("site"),
         F.lit("wd1").alias("wd_subdomain"),
-        F.lit(0).alias("offset"),
-        F.to_json(F.struct(F.lit(1).alias("total"), F.array(entry).alias("jobPostings"))).alias("payload"),
+        "run",
+        "offset",
+        F.to_json(F.struct(F.lit(0).alias("total"), page.alias("jobPostings"))).alias("payload"),
     )
     info = F.struct(
-        F.lit("").alias("title"), F.col("html").alias("jobDescription"), F.lit("2024-02-29").alias("startDate"),
+        F.lit("").alias("title"), F.col("html").alias("jobDescription"),
+        F.date_add(F.lit("2024-02-01").cast("date"), (F.col("page_id") % 28).cast("int")).cast("string").alias("startDate"),
         F.col("page_id").cast("string").alias("jobReqId"),
     )
-    details = pages.filter(F.length("html") > 1500).select(
-        tenant.alias("tenant"), path.alias("external_path"), F.to_json(F.struct(info.alias("jobPostingInfo"))).alias("payload")
+    landings = F.explode(F.sequence(F.lit(1), F.when(F.col("page_id") % 10 == 0, 2).otherwise(1)))
+    landed = pages.where((F.col("run") == "a") | (F.col("page_id") % 200 != 120)).select("*", landings.alias("landing"))
+    details = landed.select(
+        tenant.alias("tenant"), "run", path.alias("external_path"), F.to_json(F.struct(info.alias("jobPostingInfo"))).alias("payload")
     )
     return listing, details
 

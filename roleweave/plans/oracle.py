@@ -156,22 +156,22 @@ def _tokens() -> str:
         ("(^|\\s)([^\\s.][^\\s.]+)[.]([\\])}>\"'']*)(\\s|$)", "\\1\\2 . \\3\\4"),
         ("([][(){}<>])", " \\1 "),
         ("--", " -- "),
-        ("|"", "  "),
-        ("([^'' ])(''s|''m|''d|'') ", "\1 \2 "),
-        ("([^'' ])(''ll|''re|''ve|n''t) ", "\1 \2 "),
-        ("\bcannot\b", " can not "),
-        ("\b(gim|lem)me\b", " \1 me "),
-        ("\b(gon|wan)na\b", " \1 na "),
-        ("\bgotta\b", " got ta "),
-        (" ''t(is|was)\b", " ''t \1 "),
+        ("''''|\"", " '''' "),
+        ("([^'' ])(''s|''m|''d|'') ", "\\1 \\2 "),
+        ("([^'' ])(''ll|''re|''ve|n''t) ", "\\1 \\2 "),
+        ("\\bcannot\\b", " can not "),
+        ("\\b(gim|lem)me\\b", " \\1 me "),
+        ("\\b(gon|wan)na\\b", " \\1 na "),
+        ("\\bgotta\\b", " got ta "),
+        (" ''t(is|was)\\b", " ''t \\1 "),
     )
     apart = "lower(text) || ' '"
     for pattern, replacement in steps:
         apart = f"regexp_replace({apart}, '{pattern}', '{replacement}', 'g')"
     stop = ", ".join(_quoted(w) for w in STOP_WORDS)
-    punctuation = _quoted("!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~")
+    punctuation = _quoted("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
     return f"""
-t AS (SELECT doc_id, list_filter(regexp_split_to_array({apart}, '\s+'),
+t AS (SELECT doc_id, list_filter(regexp_split_to_array({apart}, '\\s+'),
   lambda w: w <> '' AND NOT contains({punctuation}, w) AND w NOT IN ({stop})) AS tokens FROM documents)"""
 
 
@@ -250,10 +250,14 @@ def oracle_sql() -> dict[str, str]:
         "feed_ashby": """SELECT 'ashby' AS source, source AS company, split_part(text, chr(10), 1) AS title, lang AS location, text AS description,
             'doc://' || doc_id AS url, DATE '2024-03-01' AS posted_date, CAST(doc_id AS VARCHAR) AS raw_id,
             '{"department":"' || source || '","team":null,"employmentType":"full"}' AS extra_json FROM documents""",
-        "feed_workday": f"""WITH {page} SELECT 'workday' AS source, host AS company, host AS title, 'US - Remote' AS location,
-            {_html('html')} AS description, 'https://t' || page_id || '.wd1.myworkdayjobs.com/careers/job/' || page_id AS url,
-            DATE '2024-02-29' AS posted_date, CAST(page_id AS VARCHAR) AS raw_id, '{{"bulletFields":["t' || page_id || '"]}}' AS extra_json
-            FROM pg WHERE length(html) > 1500""",
+        "feed_workday": f"""WITH {page}, listed AS (
+              SELECT *, 'a' AS run FROM pg UNION ALL SELECT *, 'b' FROM pg WHERE page_id % 2 = 0),
+            lost AS (SELECT DISTINCT page_id // 50 AS tenant FROM pg WHERE page_id % 200 = 120)
+            SELECT 'workday' AS source, 'company t' || page_id // 50 AS company, host AS title, 'US - Remote' AS location,
+            {_html('html')} AS description, 'https://t' || page_id // 50 || '.wd1.myworkdayjobs.com/careers/job/' || page_id AS url,
+            CAST(DATE '2024-02-01' + CAST(page_id % 28 AS INTEGER) AS DATE) AS posted_date, CAST(page_id AS VARCHAR) AS raw_id,
+            '{{"bulletFields":["t' || page_id // 50 || '"]}}' AS extra_json
+            FROM listed WHERE run = 'a' OR page_id // 50 NOT IN (SELECT tenant FROM lost)""",
         "feed_aggregator": f"""WITH {_DOCS} SELECT 'jobspy:' || CASE WHEN site = 'src7' THEN 'unknown' ELSE site END AS source, lang AS company, title,
             CASE lang WHEN 'en' THEN 'en, US' WHEN 'de' THEN NULL ELSE lang END AS location, description, url,
             CASE WHEN lang <> 'fr' THEN posted_date END AS posted_date, CAST(NULL AS VARCHAR) AS raw_id,

@@ -219,12 +219,26 @@ def board_rejects(payloads: DataFrame, source: str) -> DataFrame:
 # ---------------------------------------------------------------- paged listings with details
 
 
+def _with_run(landed: DataFrame) -> DataFrame:
+    """Landed rows with a `run` key; without one all landings are one run."""
+    return landed if "run" in landed.columns else landed.withColumn("run", F.lit("").cast("string"))
+
+
+def _one_landing(landed: DataFrame, *keys: str) -> DataFrame:
+    """One row of each key; of several landings in a run the greatest payload, so that the choice is stable."""
+    others = [c for c in landed.columns if c not in (*keys, "payload")]
+    chosen = landed.groupBy(*keys).agg(F.max(F.struct("payload", *others)).alias("_row"))
+    return chosen.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in ("payload", *others)])
+
+
 def listing_pages(pages: DataFrame, page_size: int = LISTING_PAGE_SIZE) -> DataFrame:
-    """Pages up to and including the first short one of each tenant; the advertised total is ignored.
+    """Pages up to and including the first short one of each tenant and run; the advertised total is ignored.
 
-    (tenant, offset, payload, ...) in, the same plus `_jobs` out. The cut-off is a mergeable minimum
-    per tenant, not a window, so a tenant with a third of all pages is no bottleneck.
+    (tenant, run, offset, payload, ...) in, the same plus `_jobs` out. Every run lists afresh, so it has a
+    cut-off of its own, and a page that landed twice in a run counts once. The cut-off is a mergeable minimum, not
+    a window, so a tenant with a third of all pages is no bottleneck.
     """
+    pages = _one_landing(_with_run(pages), "tenant", "run", "offset")
     doc = F.col("_doc")
     parsed = (
         pages.withColumn("_doc", F.try_parse_json("payload"))
@@ -232,10 +246,10 @@ def listing_pages(pages: DataFrame, page_size: int = LISTING_PAGE_SIZE) -> DataF
         .drop("_doc")
     )
     short = F.coalesce(F.size("_jobs"), F.lit(0)) < page_size
-    ends = parsed.groupBy("tenant").agg(F.min(F.when(short, F.col("offset"))).alias("_end"))
+    ends = parsed.groupBy("tenant", "run").agg(F.min(F.when(short, F.col("offset"))).alias("_end"))
     # Staged, its size is known when the join is planned: unless there are very many tenants, the
     # payloads stay where they are.
-    return parsed.join(stage(ends, "page_ends"), "tenant").filter(F.col("_end").isNull() | (F.col("offset") <= F.col("_end"))).drop("_end")
+    return parsed.join(stage(ends, "page_ends"), ["tenant", "run"]).filter(F.col("_end").isNull() | (F.col("offset") <= F.col("_end"))).drop("_end")
 
 
 def _workday_rows(pages: DataFrame, details: DataFrame, page_size: int) -> DataFrame:
@@ -245,13 +259,15 @@ def _workday_rows(pages: DataFrame, details: DataFrame, page_size: int) -> DataF
         "tenant",
         "site",
         "wd_subdomain",
+        "run",
         "offset",
         F.col("_jobs").isNull().alias("_bad_page"),
         F.posexplode_outer("_jobs").alias("_pos", "_job"),
     )
     path = F.coalesce(_text(F.col("_job"), "externalPath"), F.lit(""))
-    parsed = details.select("tenant", F.col("external_path").alias("_path"), F.try_parse_json("payload").alias("_detail"))
-    joined = jobs.withColumn("_path", path).join(parsed, ["tenant", "_path"], "left")
+    landed = _one_landing(_with_run(details).select("tenant", "run", "external_path", "payload"), "tenant", "run", "external_path")
+    parsed = landed.select("tenant", "run", F.col("external_path").alias("_path"), F.try_parse_json("payload").alias("_detail"))
+    joined = jobs.withColumn("_path", path).join(parsed, ["tenant", "run", "_path"], "left")
     job, detail, info = F.col("_job"), F.col("_detail"), _at(F.col("_detail"), "jobPostingInfo")
     well_formed = (
         _is(job, "OBJECT")
@@ -273,8 +289,9 @@ def _workday_rows(pages: DataFrame, details: DataFrame, page_size: int) -> DataF
         plain_iso_date(_text(info, "startDate")).alias("posted_date"),
         _text(info, "jobReqId").alias("raw_id"),
         F.concat(F.lit('{"bulletFields":'), bullets, F.lit("}")).alias("extra_json"),
-        F.struct(F.col("tenant").alias("landed"), "offset", "_pos").alias("arrival"),
+        F.struct("run", F.col("tenant").alias("landed"), "offset", "_pos").alias("arrival"),
         "tenant",
+        "run",
         (F.col("_bad_page") | (F.col("_pos").isNotNull() & ~well_formed)).alias("_bad"),
         F.col("_pos").isNotNull().alias("_is_job"),
     )
@@ -285,18 +302,56 @@ def workday_postings(pages: DataFrame, details: DataFrame, page_size: int = LIST
     """Postings of paged listings joined one to one with their detail records.
 
     `pages`: company_name, tenant, site, wd_subdomain, offset, payload. `details`: tenant,
-    external_path, payload. Detail values win over listing values. A malformed page or a missing
-    detail drops the company.
+    external_path, payload. Both may have a `run` key, which sorts as the runs came: pages and details of a run
+    belong together, and arrival goes by run. Detail values win over listing values. A malformed page or a
+    missing detail drops the company for that run.
     """
     rows = _workday_rows(pages, details, page_size)
-    bad = stage(rows.filter("_bad").select("tenant").distinct(), "bad_tenants")
-    return rows.filter("_is_job").join(bad, "tenant", "left_anti").select(*POSTING_COLUMNS, "arrival")
+    bad = stage(rows.filter("_bad").select("tenant", "run").distinct(), "bad_tenants")
+    return rows.filter("_is_job").join(bad, ["tenant", "run"], "left_anti").select(*POSTING_COLUMNS, "arrival")
 
 
 def workday_rejects(pages: DataFrame, details: DataFrame, page_size: int = LISTING_PAGE_SIZE) -> DataFrame:
-    """(company_name, tenant) of companies dropped by `workday_postings`."""
+    """(company_name, tenant, run) of companies dropped by `workday_postings`."""
     rows = _workday_rows(pages, details, page_size)
-    return rows.filter("_bad").select(F.col("company").alias("company_name"), "tenant").distinct()
+    return rows.filter("_bad").select(F.col("company").alias("company_name"), "tenant", "run").distinct()
+
+
+def read_listings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Landed pages and details of `<path>/<run>/<tenant>/pages/<offset>.json` and `.../details/<any>.json`.
+
+    A detail file holds one object per line: external_path and payload (the landed JSON text).
+    """
+    parts = F.split(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "/")
+    place = lambda n: F.try_element_at(parts, F.lit(n))
+    pages = spark.read.option("pathGlobFilter", "*.json").text(f"{path}/*/*/pages", wholetext=True)
+    details = spark.read.schema("external_path string, payload string").json(f"{path}/*/*/details")
+    return (
+        pages.select(
+            place(-3).alias("tenant"),
+            place(-4).alias("run"),
+            F.regexp_replace(place(-1), r"\.json$", "").cast("int").alias("offset"),
+            F.col("value").alias("payload"),
+        ),
+        details.select(place(-3).alias("tenant"), place(-4).alias("run"), "external_path", "payload"),
+    )
+
+
+def read_aggregator(spark: SparkSession, path: str) -> DataFrame:
+    """Landed aggregator rows, JSON lines of `<path>/<run>/<any>.json`, with their run and an arrival order."""
+    fields = (
+        "site string, company string, title string, city string, state string, description string, job_url string, "
+        "date_posted string, is_remote boolean, job_type string, min_amount double, max_amount double, currency string, "
+        "company_industry string, search_term string, search_location string"
+    )
+    rows = spark.read.schema(fields).json(f"{path}/*/*.json")
+    file = F.col("_metadata.file_path")
+    return rows.withColumns(
+        {
+            "run": F.try_element_at(F.split(file, "/"), F.lit(-2)),
+            "arrival": F.struct(file.alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")),
+        }
+    )
 
 
 # ---------------------------------------------------------------- aggregator feed
