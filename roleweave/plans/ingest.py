@@ -22,9 +22,11 @@ from roleweave.sources.feeds import (
     SearchSettings,
     aggregator_postings,
     board_postings,
+    board_rejects,
     planned_rows,
     route,
     workday_postings,
+    workday_rejects,
 )
 from roleweave.sources.store import PostingStore
 from roleweave.vocabulary import SOURCES, STATUSES
@@ -47,9 +49,7 @@ def normalized(
     if source in BOARDS:
         return board_postings(route(landed["companies"], landed["payloads"], source), source)
     if source == "workday":
-        companies = landed["companies"].filter(F.col("ats_type") == source)
-        pages = landed["pages"].join(companies.select("company_name", "tenant", "site", "wd_subdomain"), "tenant")
-        return workday_postings(pages, landed["details"])
+        return workday_postings(_company_pages(landed), landed["details"])
     rows = landed["rows"]
     if search is not None:
         rows = planned_rows(rows, search, run_at or datetime.now(timezone.utc))
@@ -65,19 +65,43 @@ def ingest(
     batch_key: str | None = None,
     search: SearchSettings | None = None,
 ) -> Row:
-    """Normalize, classify and upsert one batch, and log the run; a failed run is logged and raised."""
+    """Normalize, classify and upsert one batch, and log the run; a failed run is logged and raised.
+
+    Payloads dropped as malformed are appended to `store.rejects()`. A batch key that is known changes nothing
+    and isn't logged again.
+    """
     if source not in SOURCES:
         raise ValueError(f"unsupported source: {source!r}")
     started = datetime.now(timezone.utc)
+    known = batch_key is not None and store.has_batch(batch_key)
     try:
-        stats = store.upsert(normalized(source, landed, search, now), rules or RelevanceRules(), now, batch_key)
+        stats = store.upsert(normalized(source, landed, search, now), rules or RelevanceRules(), now, batch_key, run=(source, started))
+        if not known:
+            dropped = rejected(source, landed)
+            if dropped is not None:
+                store.record_rejects(dropped, source, started)
     except Exception as exc:
         store.record_run(source, started, datetime.now(timezone.utc), error=str(exc))
         raise
-    store.record_run(source, started, datetime.now(timezone.utc), stats)
     return stats
 
 
+def rejected(source: str, landed: dict[str, DataFrame]) -> DataFrame | None:
+    """(company_name, landed) of what `normalized` drops as malformed; none for sources that drop nothing."""
+    if source in BOARDS:
+        return board_rejects(route(landed["companies"], landed["payloads"], source), source)
+    if source == "workday":
+        return workday_rejects(_company_pages(landed), landed["details"]).select(
+            "company_name", F.concat_ws("/", F.nullif("run", F.lit("")), "tenant").alias("landed")
+        )
+    return None
+
+
+def _company_pages(landed: dict[str, DataFrame]) -> DataFrame:
+    companies = landed["companies"].filter(F.col("ats_type") == "workday")
+    return landed["pages"].join(companies.select("company_name", "tenant", "site", "wd_subdomain"), "tenant")
+
+
 def backfill_descriptions(store: PostingStore, fetched: DataFrame) -> Row:
     """Fill missing LinkedIn descriptions from landed (url, description) rows.
 

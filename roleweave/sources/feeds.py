@@ -188,7 +188,9 @@ def route(companies: DataFrame, payloads: DataFrame, source: str) -> DataFrame:
 
 def _parsed(payloads: DataFrame, board: Board) -> DataFrame:
     """Adds `_jobs`: the jobs of a well-formed payload, else null."""
-    jobs = payloads.withColumn("_doc", F.try_parse_json("payload")).withColumn("_all", board.jobs(F.col("_doc")))
+    # Text that isn't JSON at all is malformed too, whatever a board makes of a missing member.
+    found = F.when(F.col("_doc").isNotNull(), board.jobs(F.col("_doc")))
+    jobs = payloads.withColumn("_doc", F.try_parse_json("payload")).withColumn("_all", found)
     # A filter over a one-element array binds the jobs to a variable, so they are parsed once.
     sound = F.filter(F.array("_all"), lambda all_jobs: F.forall(all_jobs, board.well_formed))
     return jobs.withColumn("_jobs", F.try_element_at(sound, F.lit(1)))

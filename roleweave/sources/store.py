@@ -33,6 +33,20 @@ COMMIT = T.StructType(
         T.StructField("fetched_count", T.LongType()),
         T.StructField("new_count", T.LongType()),
         T.StructField("updated_count", T.LongType()),
+        T.StructField("run_id", T.LongType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("started_at", T.TimestampType()),
+        T.StructField("finished_at", T.TimestampType()),
+    ]
+)
+
+# Payloads that were dropped as malformed, by run.
+REJECT = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("company_name", T.StringType()),
+        T.StructField("landed", T.StringType()),
+        T.StructField("rejected_at", T.TimestampType()),
     ]
 )
 
@@ -97,10 +111,28 @@ class PostingStore:
         return self._scan(state, sorted(state.newest))
 
     def runs(self) -> DataFrame:
+        """The run log: runs that stored something are part of their commit, others were logged on their own.
+
+        So a run is there exactly when its rows are, whatever stops the writer in between.
+        """
+        stored = self._commits().where("run_id is not null").select(
+            F.col("run_id").alias("id"), "started_at", "finished_at", "source", "fetched_count", "new_count", "updated_count",
+            F.lit(None).cast("string").alias("error"),
+        )
         try:
-            return self.spark.read.schema(RUN).parquet(f"{self.root}/runs")
-        except AnalysisException:  # nothing ran yet
-            return self.spark.createDataFrame([], RUN)
+            return stored.unionByName(self.spark.read.schema(RUN).parquet(f"{self.root}/runs"))
+        except AnalysisException:  # no run was logged on its own yet
+            return stored
+
+    def rejects(self) -> DataFrame:
+        """Malformed payloads that ingest dropped."""
+        try:
+            return self.spark.read.schema(REJECT).parquet(f"{self.root}/rejects")
+        except AnalysisException:  # nothing was dropped yet
+            return self.spark.createDataFrame([], REJECT)
+
+    def _next_run(self) -> int:
+        return (self.runs().agg(F.max("id").alias("id")).first().id or 0) + 1
 
     def has_batch(self, batch_key: str) -> bool:
         return not self._commits().filter(F.col("batch_key") == batch_key).isEmpty()
@@ -139,10 +171,12 @@ class PostingStore:
         now: datetime | Column | None = None,
         batch_key: str | None = None,
         keep_filled_descriptions: bool = False,
+        run: tuple[str, datetime] | None = None,
     ) -> Row:
         """Apply a batch of normalized postings; returns its run statistics.
 
-        Only the buckets the batch touches are rewritten. A batch of measured small size is sent to
+        With `run`, its source and start, the run is logged: in the commit that makes the rows visible, or on its own
+        if there is nothing to store. A batch key that is known is neither applied nor logged again. Only the buckets the batch touches are rewritten. A batch of measured small size is sent to
         the executors, and the stored rows are then copied without a shuffle.
         """
         if batch_key is not None:
@@ -181,7 +215,14 @@ class PostingStore:
                 last_id=state.last_id + new,
                 batch_key=batch_key,
                 **stats.asDict(),
+                **(
+                    dict(run_id=self._next_run(), source=run[0], started_at=run[1], finished_at=datetime.now(timezone.utc))
+                    if run
+                    else {}
+                ),
             )
+        elif run:
+            self.record_run(*run, datetime.now(timezone.utc), stats)
         return stats
 
     def rewrite(self, change: Callable[[DataFrame], DataFrame]) -> None:
@@ -214,9 +255,8 @@ class PostingStore:
         error: str | None = None,
     ) -> None:
         counts = stats.asDict() if stats is not None else {}
-        last = self.runs().agg(F.max("id").alias("id")).first().id
         row = Row(
-            id=(last or 0) + 1,
+            id=self._next_run(),
             started_at=started_at,
             finished_at=finished_at,
             source=source,
@@ -226,3 +266,10 @@ class PostingStore:
             error=error,
         )
         self.spark.createDataFrame([row], RUN).coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+
+    def record_rejects(self, rejects: DataFrame, source: str, at: datetime) -> None:
+        """Append (company_name, landed) rows of a run to the table of rejects."""
+        rows = rejects.select(
+            F.lit(source).alias("source"), "company_name", F.col("landed").cast("string").alias("landed"), F.lit(at).alias("rejected_at")
+        )
+        rows.write.mode("append").parquet(f"{self.root}/rejects")

@@ -48,11 +48,10 @@ def stream_upserts(
         started = datetime.now(timezone.utc)
         if not store.has_batch(key):
             try:
-                stats = store.upsert(batch, chosen, clock(batch) if clock else started, key)
+                store.upsert(batch, chosen, clock(batch) if clock else started, key, run=(source, started))
             except Exception as exc:
                 store.record_run(source, started, datetime.now(timezone.utc), error=str(exc))
                 raise
-            store.record_run(source, started, datetime.now(timezone.utc), stats)
         if after is not None:
             after()
 
@@ -60,7 +59,10 @@ def stream_upserts(
 
 
 def stream_statuses(stream: DataFrame, store: PostingStore, checkpoint: str) -> StreamingQuery:
-    """Apply status changes (url, status, changed_at); the last one of a URL wins, replays change nothing."""
+    """Apply status changes (url, status, changed_at); the newest one of a URL wins, also when an older one comes late.
+
+    Replays change nothing.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         last = stage(latest_status(batch), "statuses")

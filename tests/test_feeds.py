@@ -146,6 +146,40 @@ def test_workday_empty_and_broken_tenants(spark):
     assert [r.tenant for r in feeds.workday_rejects(pages, details).collect()] == ["lost"]
 
 
+def test_workday_runs_stay_apart(spark):
+    """The same tenant landed in two runs, one of them twice: each run lists its own jobs once."""
+    def run(name, n_jobs, landings=1, lost=()):
+        numbers = list(range(1, n_jobs + 1))
+        pages = [(i, {"total": 0, "jobPostings": [_job(n) for n in numbers[i : i + 2]]}) for i in range(0, n_jobs, 2)] * landings
+        details = _details(spark, *[n for n in numbers * landings if n not in lost])
+        return _listing(spark, *pages).withColumn("run", F.lit(name)), details.withColumn("run", F.lit(name))
+
+    pages, details = run("2026-01-01", 3, landings=2)
+    for more in (run("2026-01-02", 5), run("2026-01-03", 3, lost=(2,))):
+        pages, details = pages.unionByName(more[0]), details.unionByName(more[1])
+    rows = feeds.workday_postings(pages, details, page_size=2).orderBy("arrival").collect()
+    assert [(r.arrival.run, r.raw_id) for r in rows] == [("2026-01-01", f"R{n}") for n in (1, 2, 3)] + [("2026-01-02", f"R{n}") for n in (1, 2, 3, 4, 5)]
+    assert [(r.tenant, r.run) for r in feeds.workday_rejects(pages, details, page_size=2).collect()] == [("acme", "2026-01-03")]
+
+
+def test_landed_listings_and_aggregator_rows_are_read(spark, tmp_path):
+    for name, text in {
+        "w/r1/acme/pages/0.json": json.dumps({"jobPostings": [_job(1)]}),
+        "w/r1/acme/details/a.json": json.dumps({"external_path": "/job/1", "payload": json.dumps({"jobPostingInfo": {"jobReqId": "R1"}})}),
+        "g/r1/a.json": json.dumps({"site": None, "title": "t", "job_url": "u", "search_term": "x", "search_location": "y"}),
+        "g/r2/a.json": json.dumps({"site": "other", "title": "t2", "job_url": "u2", "search_term": "x", "search_location": "y"}),
+    }.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    pages, details = feeds.read_listings(spark, str(tmp_path / "w"))
+    pages = pages.select(F.lit("Acme").alias("company_name"), "*", F.lit("s").alias("site"), F.lit("wd1").alias("wd_subdomain"))
+    assert [(r.raw_id, r.arrival.run) for r in feeds.workday_postings(pages, details).collect()] == [("R1", "r1")]
+    rows = feeds.read_aggregator(spark, str(tmp_path / "g"))
+    search = feeds.SearchSettings(sites=("asked",), terms=("x",), locations=("y",), results_wanted=1)
+    kept = feeds.planned_rows(rows, search, datetime(2026, 1, 1)).collect()
+    assert [(r.site, r.run) for r in kept] == [(None, "r1")]
+
+
 def test_aggregator_rows(spark):
     rows = spark.createDataFrame(
         [

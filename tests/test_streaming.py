@@ -41,3 +41,16 @@ def test_status_stream(spark, root, batch):
     stream = spark.readStream.schema(events.schema).parquet(f"{root}/events")
     stream_statuses(stream, store, f"{root}/checkpoint").awaitTermination()
     assert {r.url: r.application_status for r in store.read().collect()} == {"a": "skip", "b": "new"}
+
+
+def test_a_late_status_changes_nothing(spark, root, batch):
+    store = PostingStore(spark, f"{root}/store", buckets=2)
+    store.upsert(batch(dict(url="a")), RULES, datetime(2026, 1, 1, tzinfo=timezone.utc))
+    for number, (status, t) in enumerate([("applied", 20), ("skip", 10), ("offer", 30), ("skip", 30)]):
+        event = spark.createDataFrame([("a", status, t)], "url string, status string, t int")
+        event.select("url", "status", F.timestamp_seconds("t").alias("changed_at")).write.mode("append").parquet(f"{root}/events")
+        stream = spark.readStream.schema("url string, status string, changed_at timestamp").parquet(f"{root}/events")
+        stream_statuses(stream, store, f"{root}/checkpoint").awaitTermination()
+        row = store.read().first()
+        expected = ["applied", "applied", "applied", "skip"][number]
+        assert row.application_status == expected, (number, row.application_status)

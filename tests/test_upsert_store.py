@@ -193,6 +193,28 @@ def test_ingest_logs_runs(spark, store, batch):
     assert runs[0].error is None and "unreadable" in runs[1].error
 
 
+def test_a_known_batch_is_logged_once(spark, store):
+    rows = spark.createDataFrame([("linkedin", "Acme", "lead", "https://x/1", 0)], "site string, company string, title string, job_url string, arrival int")
+    for _ in range(2):
+        assert tuple(ingest(store, "jobspy", {"rows": rows}, RULES, T1, batch_key="k")) == (1, 1, 0)
+    assert [(r.id, r.source, r.fetched_count) for r in store.runs().collect()] == [(1, "jobspy", 1)]
+    # The log is part of the commit: nothing else had to be written for it.
+    assert store._commits().where("run_id = 1").count() == 1
+
+
+def test_dropped_payloads_are_kept_as_rejects(spark, store):
+    companies = spark.createDataFrame(
+        [("Good", "lever", "good", None, None, None), ("Bad", "lever", "bad", None, None, None)],
+        "company_name string, ats_type string, board_identifier string, tenant string, site string, wd_subdomain string",
+    )
+    payloads = spark.createDataFrame(
+        [("good", '[{"id":"1","text":"t","hostedUrl":"https://x/1"}]', "good/1.json"), ("bad", "{oops", "bad/1.json")],
+        "board string, payload string, landed string",
+    )
+    assert ingest(store, "lever", {"companies": companies, "payloads": payloads}, RULES, T1).new_count == 1
+    assert [(r.source, r.company_name, r.landed) for r in store.rejects().collect()] == [("lever", "Bad", "bad/1.json")]
+
+
 def test_recompute_flags(store, batch):
     store.upsert(batch(dict(url="a", location="Remote"), dict(url="b", title="Sales", location=None)), RULES, T1)
     rules = RelevanceRules(include=("sales",), exclude=(), off_topic_titles=())
