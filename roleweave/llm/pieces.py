@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from roleweave.llm import arrays
 
 MARK = "▁"
-# Words and piece pairs that a Python worker remembers before it starts anew.
-REMEMBERED = 500_000
+# Words of one generation, and piece pairs, that a task remembers.
+REMEMBERED = 200_000
 
 
 @dataclass
@@ -72,12 +72,6 @@ class Vocabulary:
                 break
         return pattern
 
-    def table(self) -> WordTable:
-        """The word table of this process."""
-        if not hasattr(self, "_table"):
-            self._table = WordTable(self)
-        return self._table
-
     def ids_of(self, piece: str) -> tuple[int, ...]:
         return (self.ids[piece],) if piece in self.ids else tuple(self.byte_ids[b] for b in piece.encode("utf-8", "replace"))
 
@@ -175,16 +169,19 @@ class WordTable:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary, self.encoder, self.known = vocabulary, Encoder(vocabulary), {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.words = re.compile(vocabulary.words)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         cut = [None if t is None else self.words.findall((MARK + t).replace(" ", MARK)) if t else [] for t in texts]
-        new = set(chain.from_iterable(x for x in cut if x))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-        new = sorted(new.difference(self.known))
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        new = set(chain.from_iterable(x for x in cut if x)).difference(self.known)
+        # Words of the generation before move on; those not met since are forgotten with it.
+        met = new.intersection(self.older)
+        self.known.update(zip(met, map(self.older.__getitem__, met)))
         ids_of = self.vocabulary.ids_of
-        for word in new:
+        for word in sorted(new.difference(met)):
             self.known[word] = tuple(chain.from_iterable(map(ids_of, self.encoder.pieces(word))))
         known = self.known.__getitem__
         return [None if x is None else np.fromiter(chain.from_iterable(map(known, x)), dtype=np.int32) for x in cut]
@@ -213,7 +210,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     model = arrays.shared(docs.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = model().table()
+        table = WordTable(model())
         for batch in arrays.slices(batches, "text"):
             found = table.encode(batch.column("text").to_pylist())
             ids = pa.array(found, pa.list_(pa.int32()))
@@ -246,7 +243,7 @@ def round_trips(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = model()
-        table, decoder = vocabulary.table(), Decoder(vocabulary)
+        table, decoder = WordTable(vocabulary), Decoder(vocabulary)
         for batch in arrays.slices(batches, "text"):
             texts = batch.column("text").to_pylist()
             found = table.encode(texts)
