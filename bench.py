@@ -38,6 +38,9 @@ HEADLINE = (
     "document_frequency",
     "bow_top_terms",
     "ridge_cv",
+    "elastic_cv",
+    "gbt_cv",
+    "bow_cv",
     "score_pending",
 )
 

@@ -9,8 +9,8 @@ from conftest import SMALL
 from __spark_entry__ import entry, oracle_sql, queries
 
 QUERIES, SQL = queries(), oracle_sql()
-# Fits take long and are covered by tests/test_scoring.py.
-SLOW = {"elastic_cv", "gbt_cv", "bow_cv"}
+# The corpus queries are tested in tests/llm, where they are there.
+CORPUS = {name for name in QUERIES if name == "pipeline" or name.startswith("op")}
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +22,7 @@ def test_every_twin_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - CORPUS))
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SMALL)
     if name in SQL:
