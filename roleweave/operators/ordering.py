@@ -46,12 +46,23 @@ def _rows_before(rows: dict[int, int]) -> dict[int, int]:
     return dict(zip(order, accumulate([0] + [rows[s] for s in order])))
 
 
+def numbered_in_order(rows: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """Adds the slice of every row and its number there, with the range shuffle as the only one.
+
+    Inside a sorted partition the generated ids count up from zero; their upper bits are the partition.
+    """
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
+    return ordered.withColumns(
+        {SLICE: F.shiftright("_id", 33).cast("int"), "_row": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1}
+    ).drop("_id")
+
+
 def with_position(
     df: DataFrame, keys: Sequence[Column], name: str = "position", staged: bool = False
 ) -> DataFrame:
     """Add the 1-based position of every row in the order of `keys`."""
-    within = F.row_number().over(Window.partitionBy(SLICE).orderBy(*keys))
-    numbered = stage(_sliced(df, keys, staged).withColumn("_row", within), "positions")
+    rows = df if staged else stage(df, "unordered")
+    numbered = stage(numbered_in_order(rows, keys), "positions")
     counts = numbered.groupBy(SLICE).agg(F.max("_row").alias("n")).collect()  # one row per slice
     before = _per_slice(_rows_before({r[SLICE]: r.n for r in counts}), "bigint")
     return numbered.withColumn(name, before + F.col("_row")).drop(SLICE, "_row")

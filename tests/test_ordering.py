@@ -113,3 +113,12 @@ def test_comparison_and_residuals(spark):
     assert table["ridge"] == (0.5, 0.6)
     assert table["gbt"][0] == 0.4 and table["gbt"][1] != table["gbt"][1]
     assert residuals(spark.createDataFrame([(80.0, 75.0)], "score double, prediction double")).first().pred_vs_score == -5.0
+
+
+def test_positions_need_one_shuffle(spark):
+    from conftest import plan_of
+    from roleweave.operators.ordering import numbered_in_order
+
+    plan = plan_of(numbered_in_order(spark.range(1000), [F.col("id")]))
+    assert plan.count("Exchange\n") + plan.count("Exchange (") <= 3 and "Window" not in plan
+    assert len({line for line in plan.split("\n") if "Exchange" in line and line.startswith("(")}) == 1
