@@ -32,8 +32,10 @@ from roleweave.session import stage
 
 LENGTH = 100
 GRAM = 32
+# Bytes of text whose windows are looked at together; each byte takes some sixty bytes of arrays.
+PART_BYTES = 1 << 18
 # Segments sorted together.
-BLOCK = 20_000
+BLOCK = 8_000
 # Different segments of one anchor up to which they are sorted in one block.
 MOST_OF_ANCHOR = 2_000
 # Cells of 64 bits in the id filter.
@@ -76,7 +78,7 @@ def segments(texts: arrays.Texts, hasher: arrays.Hasher) -> dict[str, np.ndarray
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = arrays.Hasher()
-    for batch in arrays.slices(batches, "text"):
+    for batch in arrays.slices(batches, "text", PART_BYTES):
         found = segments(arrays.texts_of(batch.column("text")), hasher)
         doc = np.array(batch.column("doc"), dtype=np.int64)[found["document"]]
         low = found["low"]
@@ -148,7 +150,7 @@ def _concerned(passes):
 
 def _bytes_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each open segment of a document."""
-    for batch in arrays.slices(batches, "text"):
+    for batch in arrays.slices(batches, "text", PART_BYTES):
         texts = arrays.texts_of(batch.column("text"))
         out: dict[str, list] = {name: [] for name in ("gram", "doc", "low", "at", "piece")}
         for row, (doc, places) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("places").to_pylist())):
