@@ -4,8 +4,9 @@
    document alike, rare ones first. The order decides the cost only, never the result.
 2. One pass keeps of each document its set size, a fingerprint of the set, and the prefix in that order that any
    document similar enough has to meet. Documents with the same set become one class.
-3. Prefix shingles held by one class only are dropped. Small posting lists are joined with themselves under the length,
-   positional and suffix filters; a long list links its members to its first one. Both only say who may be linked.
+3. Prefix shingles held by one class only are dropped. Posting lists are cut by set size, so that each piece holds the
+   sizes that may be linked. Short pieces are joined with themselves under the length, positional and suffix filters;
+   a long one links its members to its first one. Both only say who may be linked.
 4. Connected candidates are verified together: their sets are fetched once and cut into blocks of bounded size, each pair
    of blocks is one task group, and each pair of documents meets in exactly one. Pairs that the length and suffix
    filters leave, and that aren't connected yet, are compared exactly. A block returns a spanning forest of its links,
@@ -37,7 +38,11 @@ SKETCH_BITS = 18
 # Parts of the hash space whose counts bound the difference of two sets.
 PARTS_BITS = 6
 # Posting lists up to this length are joined with themselves, longer ones by a star.
-SHORT_LIST = 32
+SHORT_LIST = 200
+# Parts of the hash space in the suffix filter of posting lists: 16 bits of count each, four to a long.
+PACKED_PARTS = 16
+# Shingles in each part of a signature, on average; the suffix filter of pairs compares signatures.
+SIGNATURE_MEAN = 16
 # Shingles in a block of documents that are verified together.
 BLOCK_SHINGLES = 200_000
 
@@ -86,7 +91,7 @@ def _profiles(sketch):
         counts, hasher = sketch(), arrays.Hasher()
         for batch in arrays.slices(batches, "text"):
             grams, first = shingle_hashes(arrays.texts_of(batch.column("text")), hasher)
-            sizes, sums, others, prefixes = [], [], [], []
+            sizes, sums, others, prefixes, parts, signatures = [], [], [], [], [], []
             for a, b in zip(first[:-1], first[1:]):
                 own = np.unique(grams[a:b])
                 size = len(own)
@@ -96,6 +101,9 @@ def _profiles(sketch):
                 sums.append(int(own.sum(dtype=np.uint64)))
                 others.append(int(arrays.mixed(own).sum(dtype=np.uint64)))
                 prefixes.append(arrays.signed(own[order]))
+                counted = np.bincount((own >> np.uint64(60)).astype(np.int64), minlength=PACKED_PARTS)
+                signatures.append(signature(own).tobytes())
+                parts.append(np.minimum(counted, 0xFFFF).astype("<u2").view("<i8"))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -103,13 +111,42 @@ def _profiles(sketch):
                     pa.array(arrays.signed(np.array(sums, dtype=np.uint64))),
                     pa.array(arrays.signed(np.array(others, dtype=np.uint64))),
                     pa.array(prefixes, pa.list_(pa.int64())),
+                    *(pa.array([x[k] for x in parts], pa.int64()) for k in range(PACKED_PARTS // 4)),
+                    pa.array(signatures, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "sum_a", "sum_b", "prefix"],
+                ["doc_id", "n_shingles", "sum_a", "sum_b", "prefix", *_PARTS, "signature"],
             )
 
     return run
 
 
+_PARTS = [f"parts_{k}" for k in range(PACKED_PARTS // 4)]
+
+
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """Counts of as many parts of the hash space, a power of two, that about SIGNATURE_MEAN shingles fall into each."""
+    bits = max(0, (len(shingles) // SIGNATURE_MEAN).bit_length())
+    parts = (shingles >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(shingles), dtype=np.int64)
+    return np.bincount(parts, minlength=1 << bits).astype("<u4")
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> int:
+    """Lower bound of the difference of two sets from their signatures; the longer one is summed up to the shorter."""
+    size = min(len(a), len(b))
+    a, b = (x.reshape(size, -1).sum(axis=1, dtype=np.int64) for x in (a, b))
+    return int(np.abs(a - b).sum())
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose signatures allow a link."""
+    for batch in batches:
+        kept = []
+        for x, y, n in zip(*(batch.column(c).to_pylist() for c in ("signature_a", "signature_b", "n"))):
+            difference = apart(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"))
+            kept.append((100 + PERCENT) * difference <= (100 - PERCENT) * n)
+        yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+
 def part_counts(shingles: np.ndarray) -> np.ndarray:
     """How many shingles fall into each part of the hash space."""
     return np.bincount((shingles >> np.uint64(64 - PARTS_BITS)).astype(np.int64), minlength=1 << PARTS_BITS)
@@ -119,7 +156,7 @@ def profiles(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, fingerprint (sum_a, sum_b) and prefix of every row."""
     sketch = arrays.shared(docs.sparkSession, frequency_sketch(docs))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_profiles(sketch), "doc_id long, n_shingles long, sum_a long, sum_b long, prefix array<long>")
+    return rows.mapInArrow(_profiles(sketch), f"doc_id long, n_shingles long, sum_a long, sum_b long, prefix array<long>, {', '.join(f'{p} long' for p in _PARTS)}, signature binary")
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -132,17 +169,29 @@ def candidates(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes that may be linked, connected as in the module's description."""
     one = rows.join(found, ["n_shingles", "sum_a", "sum_b"]).where(F.col("doc_id") == F.col("class")).dropDuplicates(["class", "sum_a", "sum_b"])
     postings = one.select("class", F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    lists = postings.groupBy("token").agg(F.count("*").alias("length"), F.min("class").alias("anchor")).where("length > 1")
-    shared = stage(postings.join(lists, "token"), "jaccard_postings")
-    star = shared.where((F.col("length") > SHORT_LIST) & (F.col("class") != F.col("anchor"))).select(F.col("anchor").alias("a"), F.col("class").alias("b"))
-    short = shared.where(F.col("length") <= SHORT_LIST)
-    left = short.select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
-    right = short.select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
+    held = postings.groupBy("token").agg(F.count("*").alias("_held")).where("_held > 1").select("token")
+    # Linked sizes differ by less than one step of this logarithm, so they meet in a step or at its border.
+    step = F.floor(F.log("n") / float(-np.log(PERCENT / 100 - 0.01))).cast("int")
+    shared = postings.join(held, "token").join(one.select("class", *_PARTS), "class")
+    pieces = stage(shared.withColumn("step", F.explode(F.array(step, step + 1))), "jaccard_postings")
+    lists = pieces.groupBy("token", "step").agg(F.count("*").alias("length"), F.min("class").alias("anchor")).where("length > 1")
+    kept = stage(pieces.join(lists, ["token", "step"]), "jaccard_pieces")
+    star = kept.where((F.col("length") > SHORT_LIST) & (F.col("class") != F.col("anchor"))).select(F.col("anchor").alias("a"), F.col("class").alias("b"))
+    short = kept.where(F.col("length") <= SHORT_LIST)
+    side = lambda x: short.select("token", "step", F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "pos", *_PARTS)])
     overlap = F.expr(f"ceil({PERCENT} * (n_a + n_b) / {100 + PERCENT}.0)")
     rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
     similar_length = F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
-    pairs = left.join(right, "token").where((F.col("a") < F.col("b")) & similar_length & (rest >= overlap)).select("a", "b")
-    return star.union(pairs).distinct()
+    count = lambda part, at, x: f"(shiftrightunsigned({part}_{x}, {at}) & 65535)"
+    difference = " + ".join(f"abs({count(p, at, 'a')} - {count(p, at, 'b')})" for p in _PARTS for at in (0, 16, 32, 48))
+    near = F.expr(f"{100 + PERCENT} * ({difference}) <= {100 - PERCENT} * (n_a + n_b)")
+    pairs = side("a").join(side("b"), ["token", "step"]).where((F.col("a") < F.col("b")) & similar_length & (rest >= overlap) & near)
+    signed = one.select("class", F.col("n_shingles").alias("n"), "signature")
+    left = signed.select(F.col("class").alias("a"), F.col("n").alias("_n"), F.col("signature").alias("signature_a"))
+    right = signed.select(F.col("class").alias("b"), F.col("n").alias("_m"), F.col("signature").alias("signature_b"))
+    found = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
+    near = found.select("a", "b", "signature_a", "signature_b", (F.col("_n") + F.col("_m")).alias("n")).mapInArrow(_near, "a long, b long")
+    return star.union(near).distinct()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
