@@ -1,15 +1,16 @@
-"""Operator 8, language-model scoring with a weighted backoff automaton.
+"""Operator 8, language-model scoring with a weighted backoff automaton in distributed tables.
 
-Training counts words over all training documents (a hash-keyed sum, combined in each task before the shuffle). Words
-of at least RATE of all tokens get ids; there are at most 1 / RATE of them at any corpus size. N-grams of such words
-become arcs when they make up RATE of the tokens, so each order has at most 1 / RATE arcs and the automaton's size is
-bounded by construction while every document is counted. An arc keeps its count less DISCOUNT; what is left over is
-the weight of the state's failure arc to the next shorter context, normalized over the words without an arc. The last
-state holds every word of the corpus by its add-half count, the rarest too: rare words are sent once per document and
-looked up by a join.
+Training counts words over all training documents (a hash-keyed sum, combined in each task before the shuffle), and the
+n-grams of each order that occur LEAST times or more, at any corpus size. As both parts of such an n-gram occur as often,
+a filter of fixed size per order (a bit for each cell of the hash space that LEAST occurrences fall into) keeps most of
+the others out of the shuffle; it only ever lets too many through, and the exact counts decide. An arc keeps its count
+less DISCOUNT; what is left over is the weight of the state's failure arc to the next shorter context, normalized over
+the words without an arc. The last state holds every word of the corpus by its add-half count.
 
-Scoring reads each text once from left to right: a state is the longest context with arcs; a missing arc adds the failure
-weight and tries the shorter context. The places of a slice of documents advance together, order by order.
+The score of a place is that of its shorter context, plus the failure weight of its context, plus, if there is an arc,
+what the arc differs from these. So a document's score is a sum of one value for each of its words and n-grams (`values`),
+however long its contexts are. Values of at least RATE of all tokens (at most 1 / RATE of each order) are sent to the
+tasks; all others are looked up by a join, once for each document and distinct n-gram.
 
 Null text is the empty text: one end token. Documents without an id hash as the empty string does. Repeated rows are
 counted and scored as often as they come; rows that share an id are kept apart by a row key. Without training
@@ -30,6 +31,9 @@ from roleweave.llm import arrays
 from roleweave.session import stage
 
 ORDER = 3
+# Occurrences of an n-gram that has an arc.
+LEAST = 2
+# Share of all tokens from which on a value is held by every task; rarer ones are joined.
 RATE = 2e-6
 DISCOUNT = 0.7
 FOLDS, HELD_OUT = 5, 1
@@ -37,8 +41,10 @@ FOLDS, HELD_OUT = 5, 1
 SUMMED = 400_000
 # The end token's hash; words never hash to it except by collision.
 END = np.uint64(0xE11D)
-# Bits of a word id in a packed n-gram: three of them fit one long.
-ID_BITS = 20
+# Cells of the filter of an order, as a power of two.
+FILTER_BITS = 27
+# Cells that one task counts together, likewise.
+CHUNK_BITS = 16
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -109,179 +115,222 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return training(docs).mapInArrow(_count_words, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-@dataclass
-class Automaton:
-    """States by context. Word ids follow the order of `words` (sorted hashes); `counts` are theirs.
+def gram_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams from those of all but the last and all but the first of their words."""
+    return arrays.mixed(arrays.mixed(context) * np.uint64(arrays.BASE) + suffix)
+
+
+def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the cells of these keys have their bit."""
+    cells = keys >> np.uint64(64 - FILTER_BITS)
+    return (bits[(cells >> np.uint64(3)).astype(np.int64)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def places(hashes: np.ndarray, first: np.ndarray, filters: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order from 2 on: ends of its n-grams in the documents, their keys, and those of context and suffix.
 
-    arcs[k] holds the packed (k + 2)-grams, sorted, and their log10 probability; failures[k] the packed contexts of k + 1
-    words, sorted, and the log10 weight of their failure arc.
+    N-grams of which a part doesn't pass the filter of its order are left out, if that filter is given.
     """
+    inside = np.arange(len(hashes)) - np.repeat(first[:-1], np.diff(first))
+    keys, usable = hashes, np.ones(len(hashes), dtype=bool)
+    for n in range(2, ORDER + 1):
+        ends = np.flatnonzero(inside >= n - 1)
+        ends = ends[usable[ends] & usable[ends - 1]]
+        context, suffix = keys[ends - 1], keys[ends]
+        own = gram_keys(context, suffix)
+        yield ends, own, context, suffix
+        keys, usable = np.zeros(len(hashes), dtype=np.uint64), np.zeros(len(hashes), dtype=bool)
+        keys[ends] = own
+        usable[ends] = passes(filters[n - 2], own) if n - 2 < len(filters) else True
+
+
+def _at_order(hashes: np.ndarray, first: np.ndarray, filters: list[np.ndarray], n: int) -> tuple[np.ndarray, ...]:
+    return next(x for k, x in enumerate(places(hashes, first, filters), start=2) if k == n)
 
-    total: int
-    distinct: int
-    words: np.ndarray
-    counts: np.ndarray
-    arcs: list[tuple[np.ndarray, np.ndarray]]
-    failures: list[tuple[np.ndarray, np.ndarray]]
-
-    def log_unigram(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """Word ids, -1 for words without one."""
-        if not len(self.words):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, -1)
-
-
-def packed(ids: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
-    """For each place the n-gram of word ids that ends there as one integer; -1 where it leaves the document or holds a
-    word without an id."""
-    out, bad = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=bool)
-    document_start = np.repeat(first[:-1], np.diff(first))
-    place = np.arange(len(ids))
-    for back in range(n - 1, -1, -1):
-        moved = np.full(len(ids), -1)
-        moved[back:] = ids[: len(ids) - back] if back else ids
-        bad |= (moved < 0) | (place - back < document_start)
-        out = (out << ID_BITS) | moved
-    out[bad] = -1
-    return out
-
-
-def lookup(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which keys the table has, and their values (0 for others)."""
-    names, values = table
-    if not len(names):
-        return np.zeros(len(keys), dtype=bool), np.zeros(len(keys))
-    at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
-    found = (names[at] == keys) & (keys >= 0)
-    return found, np.where(found, values[at], 0.0)
-
-
-def walk(automaton: Automaton, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token the log10 weight of the arcs taken above the last state, and whether the last state was reached."""
-    out, open_ = np.zeros(len(ids)), np.ones(len(ids), dtype=bool)
-    document_start = np.repeat(first[:-1], np.diff(first))
-    inside = np.arange(len(ids)) > document_start
-    for n in range(ORDER, 1, -1):
-        found, weight = lookup(automaton.arcs[n - 2], packed(ids, first, n))
-        take = open_ & found
-        out[take] += weight[take]
-        open_ &= ~found
-        before = packed(ids, first, n - 1)
-        context = np.full(len(ids), -1, dtype=np.int64)
-        context[1:] = before[:-1]
-        context[~inside] = -1
-        _, failure = lookup(automaton.failures[n - 2], context)
-        out[open_] += failure[open_]
-    return out, open_
-
-
-def _count_grams(model, n: int):
-    """Counts the n-grams both of whose (n - 1)-grams are arcs: no other can be frequent enough to become one."""
 
+def _count_cells(held, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, hasher, sums = model(), arrays.Hasher(), Sums(["gram", "n"])
+        filters, hasher, sums = [get() for get in held], arrays.Hasher(), Sums(["cell", "n"])
         for batch in arrays.slices(batches, "text"):
-            hashes, first = tokens(batch.column("text"), hasher)
-            ids = automaton.ids(hashes)
-            grams = packed(ids, first, n)
-            if n > 2:
-                arc = lookup(automaton.arcs[n - 3], packed(ids, first, n - 1))[0]
-                grams[1:][~(arc[1:] & arc[:-1])] = -1
-            yield from sums.add(grams[grams >= 0])
+            _, keys, _, _ = _at_order(*tokens(batch.column("text"), hasher), filters, n)
+            yield from sums.add(keys >> np.uint64(64 - FILTER_BITS))
         yield sums.flush()
 
     return run
 
 
-def train(docs: DataFrame, counts: DataFrame) -> Automaton:
-    """Build the automaton from staged `word_counts`. Collects at most 1 / RATE words and arcs of each order."""
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = max(RATE * total, 2)
-    rows = counts.where(F.col("n") >= least).toPandas().astype("int64")
-    hashes = rows["token"].to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    automaton = Automaton(total, distinct, hashes[order], rows["n"].to_numpy()[order], [], [])
-    below = (np.arange(len(order)), automaton.counts)
+def _full_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bits of each chunk of cells. All rows of a chunk are in one task, which counts each cell up to LEAST."""
+    size, numbers, counted = 1 << min(CHUNK_BITS, FILTER_BITS), {}, []
+    for batch in batches:
+        chunks = np.array(batch.column("chunk"))
+        cells, at = np.unique(np.array(batch.column("cell")), return_inverse=True)
+        times = np.minimum(np.bincount(at, weights=np.array(batch.column("n")), minlength=len(cells)), LEAST).astype(np.uint8)
+        for chunk in np.unique(chunks).tolist():
+            if chunk not in numbers:
+                numbers[chunk] = len(numbers)
+                counted.append(np.zeros(size, dtype=np.uint8))
+            low, high = np.searchsorted(cells, (chunk * size, (chunk + 1) * size))
+            place = cells[low:high] - chunk * size
+            counted[numbers[chunk]][place] = np.minimum(counted[numbers[chunk]][place] + times[low:high], LEAST)
+    bits = [np.packbits(x >= LEAST, bitorder="little").tobytes() for x in counted]
+    yield pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.int64()), pa.array(bits, pa.binary())], ["chunk", "bits"])
+
+
+def cell_filter(docs: DataFrame, held: list, n: int) -> np.ndarray:
+    """Bits of the cells that LEAST or more n-grams of the training documents fall into: a table of fixed size."""
+    cells = training(docs).mapInArrow(_count_cells(held, n), "cell long, n long")
+    low = min(CHUNK_BITS, FILTER_BITS)
+    dealt = cells.withColumn("chunk", F.shiftright("cell", low)).repartition("chunk")
+    out = np.zeros((1 << (FILTER_BITS - low), (1 << low) // 8), dtype=np.uint8)
+    for row in dealt.mapInArrow(_full_cells, "chunk long, bits binary").collect():
+        out[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
+
+
+def _count_grams(held, n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters, hasher = [get() for get in held], arrays.Hasher()
+        for batch in arrays.slices(batches, "text"):
+            _, keys, context, suffix = _at_order(*tokens(batch.column("text"), hasher), filters, n)
+            own = passes(filters[n - 2], keys)
+            _, at, times = np.unique(keys[own], return_index=True, return_counts=True)
+            columns = [pa.array(arrays.signed(x[own][at])) for x in (context, suffix)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(times, pa.int64())], ["context", "suffix", "n"])
+
+    return run
+
+
+def _add_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        context, suffix = (np.array(batch.column(c)).astype(np.int64).view(np.uint64) for c in ("context", "suffix"))
+        yield batch.append_column("token", pa.array(arrays.signed(gram_keys(context, suffix))))
+
+
+def gram_counts(docs: DataFrame, held: list, n: int) -> DataFrame:
+    """context, suffix (hashes), n and token (hash) of every n-gram that occurs LEAST times in the training documents."""
+    found = training(docs).mapInArrow(_count_grams(held, n), "context long, suffix long, n long")
+    kept = found.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    return kept.mapInArrow(_add_keys, "context long, suffix long, n long, token long")
+
+
+def looked_up(rows: DataFrame, key: str, states: DataFrame, of_state: str, cutoff: float) -> DataFrame:
+    """`rows` with the columns of the state that `key` names. Each key has one.
+
+    Frequent states (`of_state` of at least `cutoff`), which many rows may name, are broadcast, the others joined.
+    """
+    same = F.col(key) == F.col("_token")
+    named = states.withColumnRenamed("token", "_token")
+    marked = rows.join(F.broadcast(named.where(F.col(of_state) >= cutoff)), same, "left")
+    frequent = marked.where(F.col("_token").isNotNull()).drop("_token")
+    rest = marked.where(F.col("_token").isNull()).select(rows.columns)
+    return frequent.unionByName(rest.join(named.where(F.col(of_state) < cutoff), same).drop("_token"))
+
+
+@dataclass
+class Frequent:
+    """Values of the frequent words and n-grams by sorted key."""
+
+    keys: np.ndarray
+    known: np.ndarray
+    base: np.ndarray
+    more: np.ndarray
+
+    def at(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are there, and where."""
+        if not len(self.keys):
+            return np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys, at
+
+
+def arcs(grams: DataFrame, below: DataFrame, cutoff: float) -> tuple[DataFrame, DataFrame]:
+    """Arcs of an order (token, context, n, context_n, p, lower) and its failure weights (token, n, failure).
+
+    `below` has token, n and p of the order before.
+    """
+    of_context = below.select("token", F.col("n").alias("context_n"))
+    of_suffix = below.select("token", F.col("n").alias("suffix_n"), F.col("p").alias("lower"))
+    rows = looked_up(looked_up(grams, "context", of_context, "context_n", cutoff), "suffix", of_suffix, "suffix_n", cutoff)
+    rows = rows.select("token", "context", "n", "context_n", ((F.col("n") - F.lit(DISCOUNT)) / F.col("context_n")).alias("p"), "lower")
+    rows = stage(rows, "lm_arcs")
+    left = lambda x: F.greatest(1 - F.sum(x), F.lit(1e-12))
+    failures = rows.groupBy(F.col("context").alias("token")).agg(F.max("context_n").alias("n"), F.log10(left("p") / left("lower")).alias("failure"))
+    return rows, stage(failures, "lm_failures")
+
+
+def values(docs: DataFrame, counts: DataFrame, cutoff: float, size: float) -> tuple[DataFrame, list]:
+    """token, n, known, base and more of every word and n-gram with a value, and the filters of all orders.
+
+    `base` is a word's own log10 probability, `more` what a word or n-gram adds to a score besides.
+    """
+    spark = docs.sparkSession
+    nothing = F.lit(0.0)
+    below = counts.select("token", "n", ((F.col("n") + 0.5) / F.lit(size)).alias("p"))
+    parts = [below.select("token", "n", F.lit(1).alias("known"), F.log10("p").alias("base"), nothing.alias("more"))]
+    held: list = []
     for n in range(2, ORDER + 1):
-        model = arrays.shared(docs.sparkSession, automaton)
-        grams = training(docs).mapInArrow(_count_grams(model, n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        found = grams.where(F.col("n") >= least).toPandas().astype("int64").sort_values("gram")
-        own = (found["gram"].to_numpy(), found["n"].to_numpy())
-        add_order(automaton, n, own, below)
-        below = own
-    return automaton
-
-
-def add_order(automaton: Automaton, n: int, own: tuple[np.ndarray, np.ndarray], below: tuple[np.ndarray, np.ndarray]) -> None:
-    """Arcs and failure weights of n-grams and their counts, given those one word shorter and all lower orders."""
-    grams, counts = own
-    contexts = grams >> ID_BITS
-    of_context = below[1][np.searchsorted(below[0], contexts)] if len(grams) else np.zeros(0)
-    probability = (counts - DISCOUNT) / np.maximum(of_context, 1)
-    states, at = np.unique(contexts, return_inverse=True)
-    used = np.bincount(at, weights=probability, minlength=len(states))
-    lower = np.bincount(at, weights=10 ** _lower(automaton, n, grams), minlength=len(states))
-    failure = np.log10(np.maximum(1 - used, 1e-12) / np.maximum(1 - lower, 1e-12))
-    automaton.arcs.append((grams, np.log10(probability)))
-    automaton.failures.append((states, failure))
-
-
-def _lower(automaton: Automaton, n: int, grams: np.ndarray) -> np.ndarray:
-    """log10 probability of each n-gram's last word after all but the first of its context."""
-    mask = (1 << ID_BITS) - 1
-    words = grams & mask
-    out = automaton.log_unigram(automaton.counts[words])
-    for k in range(2, n):
-        part = grams & ((1 << (ID_BITS * k)) - 1)
-        found, weight = lookup(automaton.arcs[k - 2], part)
-        _, failure = lookup(automaton.failures[k - 2], part >> ID_BITS)
-        out = np.where(found, weight, failure + out)
-    return out
-
-
-def _score(model):
-    """One row per document with what its task knows, and one per rare word of it, which the join completes.
+        held.append(arrays.shared(spark, cell_filter(docs, held, n)))
+        rows, failures = arcs(stage(gram_counts(docs, held, n), "lm_grams"), below, cutoff)
+        full = looked_up(rows, "context", failures.select("token", F.col("n").alias("_n"), "failure"), "_n", cutoff)
+        more = F.log10("p") - F.log10("lower") - F.col("failure")
+        parts.append(full.select("token", "n", F.lit(0).alias("known"), nothing.alias("base"), more.alias("more")))
+        parts.append(failures.select("token", "n", F.lit(0).alias("known"), nothing.alias("base"), F.col("failure").alias("more")))
+        below = rows.select("token", "n", "p")
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.union(part)
+    # A word or n-gram is an arc and may be a context.
+    sums = [F.max("n").alias("n"), F.max("known").alias("known"), F.sum("base").alias("base"), F.sum("more").alias("more")]
+    return stage(every.groupBy("token").agg(*sums), "lm_values"), held
+
+
+def frequent_values(table: DataFrame, cutoff: float) -> Frequent:
+    rows = table.where(F.col("n") >= cutoff).select("token", "known", "base", "more").toPandas()
+    keys = rows["token"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    known, base, more = (rows[c].to_numpy(dtype=np.float64)[order] for c in ("known", "base", "more"))
+    return Frequent(keys[order], known, base, more)
+
+
+def _score(model, held):
+    """One row per document with what its task knows, and one for each other word and n-gram of it, which the join completes.
 
     The document's own row carries a hash of its place as token, so that these rows spread over the join's tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, hasher = model(), arrays.Hasher()
+        frequent, filters, hasher = model(), [get() for get in held], arrays.Hasher()
         for batch in arrays.slices(batches, "text"):
             hashes, first = tokens(batch.column("text"), hasher)
             n = batch.num_rows
-            ids = automaton.ids(hashes)
             document = np.repeat(np.arange(n), np.diff(first))
-            above, at_last = walk(automaton, ids, first)
-            known = ids >= 0
-            single = np.zeros(len(ids))
-            single[known] = automaton.log_unigram(automaton.counts[ids[known]])
-            total = lambda x, which: np.bincount(document[which], weights=x[which], minlength=n)
-            every = np.ones(len(ids), dtype=bool)
-            rare_key = arrays.mixed(hashes[~known] + arrays.mixed(document[~known].astype(np.uint64)))
-            _, where, times = np.unique(rare_key, return_index=True, return_counts=True)
-            rare = np.flatnonzero(~known)[where]
-            row = np.concatenate((np.arange(n), document[rare]))
-            empty = np.zeros(len(rare))
-            take = pa.array(row)
+            sums = {name: np.zeros(n) for name in ("known", "base", "more")}
+            asked = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))]
+            orders = [(np.arange(len(hashes)), hashes, None)] + [(e, k, filters[i]) for i, (e, k, _, _) in enumerate(places(hashes, first, filters))]
+            for ends, keys, bits in orders:
+                found, at = frequent.at(keys)
+                for name in sums:
+                    sums[name] += np.bincount(document[ends[found]], weights=getattr(frequent, name)[at[found]], minlength=n)
+                rest = ~found if bits is None else ~found & passes(bits, keys)
+                asked.append((document[ends[rest]], keys[rest], np.full(np.count_nonzero(rest), bits is None)))
+            owner, keys, is_word = (np.concatenate(x) for x in zip(*asked))
+            _, where, times = np.unique(arrays.mixed(keys + arrays.mixed(owner.astype(np.uint64))), return_index=True, return_counts=True)
+            owner, keys, is_word = owner[where], keys[where], is_word[where]
             place = arrays.mixed(np.array(batch.column("key")).astype(np.uint64))
-            base = total(single, every)
+            empty = np.zeros(len(keys))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(take),
-                    batch.column("key").take(take),
-                    pa.array(arrays.signed(np.concatenate((place, hashes[rare])))),
-                    pa.array(np.arange(len(row)) >= n),
+                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(len(keys), pa.int64())]),
+                    batch.column("key").take(pa.array(np.concatenate((np.arange(n), owner)))),
+                    pa.array(arrays.signed(np.concatenate((place, keys)))),
+                    pa.array(np.concatenate((np.zeros(n, np.int32), np.where(is_word, 1, 2))), pa.int32()),
                     pa.array(np.concatenate((np.diff(first), times)), pa.int64()),
-                    pa.array(np.concatenate((np.bincount(document[known], minlength=n), np.zeros(len(rare), np.int64))), pa.int64()),
-                    pa.array(np.concatenate((base, empty))),
-                    pa.array(np.concatenate((total(above, every) + total(single, at_last) - base, empty))),
+                    pa.array(np.concatenate((sums["known"], empty)).astype(np.int64)),
+                    pa.array(np.concatenate((sums["base"], empty))),
+                    pa.array(np.concatenate((sums["more"], empty))),
                 ],
-                ["doc_id", "key", "token", "rare", "times", "n_known", "base", "more"],
+                ["doc_id", "key", "token", "kind", "times", "n_known", "own_base", "own_more"],
             )
 
     return run
@@ -290,32 +339,39 @@ def _score(model):
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of `docs`.
 
-    Rows are told apart by doc_id and a key drawn once; the sums of a document are sums over its rows.
+    Rows are told apart by a key drawn once; the sums of a document are sums over its rows.
     """
     spark = docs.sparkSession
     counts = stage(word_counts(docs), "lm_words")
-    automaton = train(docs, counts)
-    model = arrays.shared(spark, automaton)
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    size, cutoff = float(total + 0.5 * (distinct + 1)), max(RATE * total, LEAST)
+    table, held = values(docs, counts, cutoff, size)
+    model = arrays.shared(spark, frequent_values(table, cutoff))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("key"), "text")
-    schema = "doc_id long, key long, token long, rare boolean, times long, n_known long, base double, more double"
-    rows = keyed.mapInArrow(_score(model), schema)
-    size = float(automaton.total + 0.5 * (automaton.distinct + 1))
-    own = F.log10((F.coalesce("n", F.lit(0)) + F.lit(0.5)) / F.lit(size)) * F.col("times")
-    joined = rows.join(counts.withColumnRenamed("token", "_token"), F.col("token") == F.col("_token"), "left")
+    schema = "doc_id long, key long, token long, kind int, times long, n_known long, own_base double, own_more double"
+    rows = keyed.mapInArrow(_score(model, held), schema)
+    rare = table.where(F.col("n") < cutoff).select(F.col("token").alias("_token"), "known", "base", "more")
+    joined = rows.join(rare, (F.col("token") == F.col("_token")) & (F.col("kind") > 0), "left")
+    document, word, times = F.col("kind") == 0, F.col("kind") == 1, F.col("times")
+    unknown = F.when(word, F.log10(F.lit(0.5) / F.lit(size))).otherwise(0.0)
+    of_row = lambda own, looked: F.sum(F.when(document, own).otherwise(looked))
+    base = of_row(F.col("own_base"), F.coalesce("base", unknown) * times)
+    more = of_row(F.col("own_more"), F.coalesce("more", F.lit(0.0)) * times)
     return (
-        joined.groupBy("doc_id", "key")
+        joined.groupBy("key")
         .agg(
-            F.sum(F.when(~F.col("rare"), F.col("times")).otherwise(0)).alias("n_tokens"),
-            F.sum(F.when(~F.col("rare"), F.col("n_known")).when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_known"),
-            F.sum(F.when(F.col("rare"), own).otherwise(F.col("base"))).alias("base_score"),
-            F.sum("more").alias("more"),
+            F.max("doc_id").alias("doc_id"),
+            F.sum(F.when(document, times).otherwise(0)).alias("n_tokens"),
+            of_row(F.col("n_known"), F.coalesce("known", F.lit(0)) * times).alias("n_known"),
+            base.alias("base_score"),
+            more.alias("more"),
         )
         .select(
             "doc_id",
             held_out("doc_id").alias("held_out"),
             "n_tokens",
             "n_known",
-            F.lit(int(automaton.total)).cast("long").alias("train_tokens"),
+            F.lit(int(total)).cast("long").alias("train_tokens"),
             "base_score",
             (F.col("base_score") + F.col("more")).alias("score"),
         )

@@ -99,3 +99,13 @@ def test_empty_and_all_held_out(docs):
     ids = [i for i in range(60) if held(i)]
     out = backoff.scores(docs([(i, "a b") for i in ids])).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.score == pytest.approx(0) for r in out) and len(out) == len(ids)
+
+
+@pytest.mark.parametrize("bits", [backoff.FILTER_BITS, 6])
+def test_rare_ngrams_are_kept_at_any_size(docs, rows, monkeypatch, bits):
+    """N-grams far below RATE of all tokens have arcs, however few values the tasks hold and however full the filters are."""
+    least = Brute([t for i, t in rows if not held(i)])
+    expected = {i: round(least.score(t), 6) for i, t in rows}
+    monkeypatch.setattr(backoff, "RATE", 0.02)
+    monkeypatch.setattr(backoff, "FILTER_BITS", bits)
+    assert {r.doc_id: round(r.score, 6) for r in backoff.scores(docs(rows)).collect()} == expected
