@@ -13,6 +13,9 @@ from roleweave.llm import decontaminate, jaccard, pieces, secrets, toxicity
 from roleweave.llm.queries import table
 from roleweave.session import stage
 
+# Near duplicates: words of a shingle, and least similarity in percent.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain doesn't reject. It is fitted on the labelled rows among `docs`."""
@@ -21,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group that links of the n-gram Jaccard join connect."""
-    return jaccard.one_of_each_group(docs)
+    return jaccard.one_of_each_group(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

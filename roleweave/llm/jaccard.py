@@ -24,15 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roleweave.llm import arrays
 from roleweave.llm.components import components
 from roleweave.session import stage
 
+# Words of a shingle, and links (100 * intersection >= percent * union), of the query. Others are arguments.
 WORDS = 3
-# Links: 100 * intersection >= PERCENT * union.
 PERCENT = 90
 SKETCH_BITS = 18
 # Parts of the hash space whose counts bound the difference of two sets.
@@ -47,17 +47,17 @@ SIGNATURE_MEAN = 16
 BLOCK_SHINGLES = 200_000
 
 
-def shingle_hashes(texts: arrays.Texts, hasher: arrays.Hasher) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(texts: arrays.Texts, hasher: arrays.Hasher, length: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all word shingles, document by document, and where each document starts.
 
-    A document of fewer than WORDS words has its whole sequence as one shingle.
+    A document of fewer than `length` words has its whole sequence as one shingle.
     """
     spans = arrays.words(texts.lower(), arrays.NOT_SPACE)
     words = hasher.spans(texts.lower().data, spans.starts, spans.ends)
     counts = spans.counts()
-    grams = arrays.grams(words, WORDS)[arrays.whole_grams(spans, WORDS)]
-    sizes = np.maximum(counts - WORDS + 1, 0)
-    for n in range(1, WORDS):
+    grams = arrays.grams(words, length)[arrays.whole_grams(spans, length)]
+    sizes = np.maximum(counts - length + 1, 0)
+    for n in range(1, length):
         short = np.flatnonzero(counts == n)
         if len(short):
             own = arrays.mixed(arrays.grams(words, n)[spans.first[short]] + np.uint64(n))
@@ -67,35 +67,38 @@ def shingle_hashes(texts: arrays.Texts, hasher: arrays.Hasher) -> tuple[np.ndarr
     return grams, np.concatenate(([0], np.cumsum(sizes)))
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher, counts = arrays.Hasher(), np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    for batch in arrays.slices(batches, "text"):
-        grams, _ = shingle_hashes(arrays.texts_of(batch.column("text")), hasher)
-        counts += np.bincount((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used])], ["cell", "n"])
+def _sketch(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, counts = arrays.Hasher(), np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        for batch in arrays.slices(batches, "text"):
+            grams, _ = shingle_hashes(arrays.texts_of(batch.column("text")), hasher, words)
+            counts += np.bincount((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used])], ["cell", "n"])
 
+    return run
 
-def frequency_sketch(docs: DataFrame) -> np.ndarray:
+
+def frequency_sketch(docs: DataFrame, words: int = WORDS) -> np.ndarray:
     """Counts of all shingles by the leading bits of their hash: a table of fixed size, merged by adding."""
-    rows = docs.select("text").mapInArrow(_sketch, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    rows = docs.select("text").mapInArrow(_sketch(words), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     out[rows["cell"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
     return out
 
 
-def _profiles(sketch):
+def _profiles(sketch, words: int, percent: int):
     """Per document: set size, two order-free sums as fingerprint, and the prefix in rare-first order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, hasher = sketch(), arrays.Hasher()
         for batch in arrays.slices(batches, "text"):
-            grams, first = shingle_hashes(arrays.texts_of(batch.column("text")), hasher)
+            grams, first = shingle_hashes(arrays.texts_of(batch.column("text")), hasher, words)
             sizes, sums, others, prefixes, parts, signatures = [], [], [], [], [], []
             for a, b in zip(first[:-1], first[1:]):
                 own = np.unique(grams[a:b])
                 size = len(own)
-                length = size - -(-PERCENT * size // 100) + 1 if size else 0
+                length = size - -(-percent * size // 100) + 1 if size else 0
                 order = np.lexsort((own, counts[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:length]
                 sizes.append(size)
                 sums.append(int(own.sum(dtype=np.uint64)))
@@ -137,14 +140,18 @@ def apart(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.abs(a - b).sum())
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _near(percent: int):
     """Pairs whose signatures allow a link."""
-    for batch in batches:
-        kept = []
-        for x, y, n in zip(*(batch.column(c).to_pylist() for c in ("signature_a", "signature_b", "n"))):
-            difference = apart(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"))
-            kept.append((100 + PERCENT) * difference <= (100 - PERCENT) * n)
-        yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, y, n in zip(*(batch.column(c).to_pylist() for c in ("signature_a", "signature_b", "n"))):
+                difference = apart(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"))
+                kept.append((100 + percent) * difference <= (100 - percent) * n)
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return run
 
 
 def part_counts(shingles: np.ndarray) -> np.ndarray:
@@ -152,11 +159,11 @@ def part_counts(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((shingles >> np.uint64(64 - PARTS_BITS)).astype(np.int64), minlength=1 << PARTS_BITS)
 
 
-def profiles(docs: DataFrame) -> DataFrame:
+def profiles(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, fingerprint (sum_a, sum_b) and prefix of every row."""
-    sketch = arrays.shared(docs.sparkSession, frequency_sketch(docs))
+    sketch = arrays.shared(docs.sparkSession, frequency_sketch(docs, words))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_profiles(sketch), f"doc_id long, n_shingles long, sum_a long, sum_b long, prefix array<long>, {', '.join(f'{p} long' for p in _PARTS)}, signature binary")
+    return rows.mapInArrow(_profiles(sketch, words, percent), f"doc_id long, n_shingles long, sum_a long, sum_b long, prefix array<long>, {', '.join(f'{p} long' for p in _PARTS)}, signature binary")
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -165,13 +172,13 @@ def classes(rows: DataFrame) -> DataFrame:
     return held.groupBy("n_shingles", "sum_a", "sum_b").agg(F.min("doc_id").alias("class"))
 
 
-def candidates(rows: DataFrame, found: DataFrame) -> DataFrame:
+def candidates(rows: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of classes that may be linked, connected as in the module's description."""
     one = rows.join(found, ["n_shingles", "sum_a", "sum_b"]).where(F.col("doc_id") == F.col("class")).dropDuplicates(["class", "sum_a", "sum_b"])
     postings = one.select("class", F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "token"))
     held = postings.groupBy("token").agg(F.count("*").alias("_held")).where("_held > 1").select("token")
     # Linked sizes differ by less than one step of this logarithm, so they meet in a step or at its border.
-    step = F.floor(F.log("n") / float(-np.log(PERCENT / 100 - 0.01))).cast("int")
+    step = F.floor(F.log("n") / float(-np.log(percent / 100 - 0.01))).cast("int")
     shared = postings.join(held, "token").join(one.select("class", *_PARTS), "class")
     pieces = stage(shared.withColumn("step", F.explode(F.array(step, step + 1))), "jaccard_postings")
     lists = pieces.groupBy("token", "step").agg(F.count("*").alias("length"), F.min("class").alias("anchor")).where("length > 1")
@@ -179,37 +186,41 @@ def candidates(rows: DataFrame, found: DataFrame) -> DataFrame:
     star = kept.where((F.col("length") > SHORT_LIST) & (F.col("class") != F.col("anchor"))).select(F.col("anchor").alias("a"), F.col("class").alias("b"))
     short = kept.where(F.col("length") <= SHORT_LIST)
     side = lambda x: short.select("token", "step", F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "pos", *_PARTS)])
-    overlap = F.expr(f"ceil({PERCENT} * (n_a + n_b) / {100 + PERCENT}.0)")
+    overlap = F.expr(f"ceil({percent} * (n_a + n_b) / {100 + percent}.0)")
     rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    similar_length = F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+    similar_length = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     count = lambda part, at, x: f"(shiftrightunsigned({part}_{x}, {at}) & 65535)"
     difference = " + ".join(f"abs({count(p, at, 'a')} - {count(p, at, 'b')})" for p in _PARTS for at in (0, 16, 32, 48))
-    near = F.expr(f"{100 + PERCENT} * ({difference}) <= {100 - PERCENT} * (n_a + n_b)")
+    near = F.expr(f"{100 + percent} * ({difference}) <= {100 - percent} * (n_a + n_b)")
     pairs = side("a").join(side("b"), ["token", "step"]).where((F.col("a") < F.col("b")) & similar_length & (rest >= overlap) & near)
     signed = one.select("class", F.col("n_shingles").alias("n"), "signature")
     left = signed.select(F.col("class").alias("a"), F.col("n").alias("_n"), F.col("signature").alias("signature_a"))
     right = signed.select(F.col("class").alias("b"), F.col("n").alias("_m"), F.col("signature").alias("signature_b"))
     found = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
-    near = found.select("a", "b", "signature_a", "signature_b", (F.col("_n") + F.col("_m")).alias("n")).mapInArrow(_near, "a long, b long")
+    near = found.select("a", "b", "signature_a", "signature_b", (F.col("_n") + F.col("_m")).alias("n")).mapInArrow(_near(percent), "a long, b long")
     return star.union(near).distinct()
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(words: int):
     """Each document's sorted set, once for every pair of blocks that its own block takes part in."""
-    hasher = arrays.Hasher()
-    for batch in arrays.slices(batches, "text", 1 << 18):
-        grams, first = shingle_hashes(arrays.texts_of(batch.column("text")), hasher)
-        out: dict[str, list] = {name: [] for name in ("root", "low", "high", "class", "block", "shingles")}
-        for row, (root, own, block, blocks) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("root", "class", "block", "blocks")))):
-            packed = np.unique(grams[first[row] : first[row + 1]]).tobytes()
-            for other in range(blocks):
-                for name, value in zip(out, (root, min(block, other), max(block, other), own, block, packed)):
-                    out[name].append(value)
-        types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
-
-
-def forest(ids: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = arrays.Hasher()
+        for batch in arrays.slices(batches, "text", 1 << 18):
+            grams, first = shingle_hashes(arrays.texts_of(batch.column("text")), hasher, words)
+            out: dict[str, list] = {name: [] for name in ("root", "low", "high", "class", "block", "shingles")}
+            for row, (root, own, block, blocks) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("root", "class", "block", "blocks")))):
+                packed = np.unique(grams[first[row] : first[row + 1]]).tobytes()
+                for other in range(blocks):
+                    for name, value in zip(out, (root, min(block, other), max(block, other), own, block, packed)):
+                        out[name].append(value)
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
+
+    return run
+
+
+def forest(ids: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that connect all linked documents of two blocks (or of one, if all are of the same block)."""
     size = np.array([len(s) for s in sets], dtype=np.int64)
     order = np.lexsort((ids, size))
@@ -220,54 +231,84 @@ def forest(ids: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray]) -> list[
     links = []
     for i in range(len(ids)):
         # Larger documents within the length bound follow in the order.
-        stop = int(np.searchsorted(size, 100 * size[i] // PERCENT, side="right"))
+        stop = int(np.searchsorted(size, 100 * size[i] // percent, side="right"))
         later = np.arange(i + 1, stop)
         later = later[(root[later] != root[i]) & ((blocks[later] != blocks[i]) if apart else True)]
         # The intersection needed leaves this much for the difference of the two sets.
-        most = (size[later] + size[i]) * (100 - PERCENT)
+        most = (size[later] + size[i]) * (100 - percent)
         difference = np.abs(parts[later] - parts[i]).sum(axis=1)
-        near = difference * (100 + PERCENT) <= most
+        near = difference * (100 + percent) <= most
         later = later[near][np.argsort(difference[near], kind="stable")]
         for j in later:
             if root[j] == root[i]:
                 continue
             common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * common >= PERCENT * (size[i] + size[j] - common):
+            if 100 * common >= percent * (size[i] + size[j] - common):
                 links.append((int(ids[i]), int(ids[j])))
                 root[root == root[j]] = root[i]
     return links
 
 
-def _verify(table: pa.Table) -> pa.Table:
-    sets = [np.frombuffer(s, dtype=np.uint64) for s in table.column("shingles").to_pylist()]
-    links = forest(table.column("class").to_numpy(), table.column("block").to_numpy(), sets)
-    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+def _verify(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(s, dtype=np.uint64) for s in table.column("shingles").to_pylist()]
+        links = forest(table.column("class").to_numpy(), table.column("block").to_numpy(), sets, percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
+    return run
 
-def links(docs: DataFrame, may_link: DataFrame, sizes: DataFrame) -> DataFrame:
+
+def links(docs: DataFrame, may_link: DataFrame, sizes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Verified links (a, b) that span the components, from candidate pairs and the set size of each class."""
     members = components(may_link, "jaccard_candidates").join(sizes.groupBy("class").agg(F.max("n_shingles").alias("n")), F.col("node") == F.col("class"))
     members = stage(members.select("class", "root", "n"), "jaccard_members")
     blocks = members.groupBy("root").agg(F.expr(f"cast(sum(n) div {BLOCK_SHINGLES} + 1 as int)").alias("blocks"))
     placed = members.join(blocks, "root").select("class", "root", "blocks", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"))
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc_id"), "text").join(placed, F.col("_doc_id") == F.col("class")).select("root", "class", "block", "blocks", "text")
-    sets = texts.mapInArrow(_sets, "root long, low int, high int, class long, block int, shingles binary")
-    return sets.groupBy("root", "low", "high").applyInArrow(_verify, "a long, b long")
+    sets = texts.mapInArrow(_sets(words), "root long, low int, high int, class long, block int, shingles binary")
+    return sets.groupBy("root", "low", "high").applyInArrow(_verify(percent), "a long, b long")
 
 
-def groups(docs: DataFrame) -> DataFrame:
+def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id reachable by links) of every row of `docs`."""
-    rows = stage(profiles(docs), "jaccard_profiles")
+    rows = stage(profiles(docs, words, percent), "jaccard_profiles")
     found = stage(classes(rows), "jaccard_classes")
-    verified = stage(links(docs, candidates(rows, found), found), "jaccard_links")
+    verified = stage(links(docs, candidates(rows, found, percent), found, words, percent), "jaccard_links")
     roots = components(verified, "jaccard_components")
     labels = found.join(roots, F.col("class") == F.col("node"), "left").select("n_shingles", "sum_a", "sum_b", F.coalesce("root", "class").alias("component_id"))
     out = rows.select("doc_id", "n_shingles", "sum_a", "sum_b").join(labels, ["n_shingles", "sum_a", "sum_b"], "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The row of each component with the least doc_id, with the columns of `docs`; rows without an id stay."""
-    name = arrays.unused(docs.columns, "_dropped")
-    dropped = groups(docs.select("doc_id", "text")).where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col(name), "left_anti")
+def one_of_each_text(docs: DataFrame, own: str, key: str) -> DataFrame:
+    """One row of each text that has words, that with the least `own` (nulls last), and all rows without words.
+
+    `key` is a hash of the text. Rows that agree in both are cut to one of them; only these are shuffled with their text.
+    """
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = stage(docs.where(worded).groupBy(own, key).agg(F.count("*").alias("_n")), "jaccard_rows")
+    first = rows.groupBy(F.col(key).alias("_k")).agg(F.min(F.struct(F.col(own).isNull().alias("missing"), F.col(own).alias("own"))).alias("_first"))
+    marked = rows.join(first, F.col(key) == F.col("_k")).withColumn("_is_first", F.col(own).eqNullSafe(F.col("_first.own")))
+    others = stage(marked.where("not _is_first or _n > 1").select(F.col(own).alias("_own"), "_k", "_is_first"), "jaccard_copies")
+    same = F.col(own).eqNullSafe(F.col("_own")) & (F.col(key) == F.col("_k"))
+    repeated = docs.join(others.where("_is_first"), same, "left_semi")
+    number = F.row_number().over(Window.partitionBy(own, key).orderBy(F.lit(0)))
+    return docs.join(others, same, "left_anti").union(repeated.withColumn("_number", number).where("_number = 1").drop("_number"))
+
+
+def one_of_each_group(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each group of linked texts, that with the least doc_id (nulls last), with the columns of `docs`.
+
+    Texts are told apart by a hash and not by doc_id, so rows without an id, or with a repeated one, are treated alike.
+    Rows without words link with nothing and all stay.
+    """
+    own, key = arrays.unused(docs.columns, "_own_id"), arrays.unused(docs.columns, "_text_key")
+    keyed = docs.withColumns({own: F.col("doc_id").cast("long"), key: F.xxhash64("text")})
+    single = stage(one_of_each_text(keyed, own, key), "jaccard_single")
+    found = groups(single.select(F.col(key).alias("doc_id"), "text"), words, percent).where("n_shingles > 0")
+    ids = single.select(F.col(key).alias("_k"), F.col(own).alias("_own"))
+    order = F.struct(F.col("_own").isNull().alias("missing"), "_own", "_k")
+    named = stage(found.join(ids, F.col("doc_id") == F.col("_k")).select("component_id", order.alias("_order")), "jaccard_named")
+    first = named.groupBy("component_id").agg(F.min("_order").alias("_first"))
+    dropped = named.join(first, "component_id").where("_order._k <> _first._k").select(F.col("_order._k").alias("_k"))
+    return single.join(dropped, F.col(key) == F.col("_k"), "left_anti").drop(own, key)

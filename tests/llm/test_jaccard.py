@@ -111,3 +111,33 @@ def test_forest_spans_blocks():
     sets = [np.arange(i, 100 + i, dtype=np.uint64) << np.uint64(50) for i in range(6)]
     links = jaccard.forest(np.arange(6), np.array([0, 0, 0, 1, 1, 1]), sets)
     assert all((a < 3) != (b < 3) for a, b in links)
+
+
+def test_pipeline_stage_takes_five_words_and_eighty_percent(spark, docs):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(100)]
+    changed = lambda *places: " ".join("x" if i in places else w for i, w in enumerate(words))
+    other = " ".join(f"v{i}" for i in range(60))
+    # Similarities of five words: 91 of 101 (0.90, 0.94 of three words), 86 of 106 (0.81, 0.88), 81 of 111 (0.73).
+    rows = [(1, changed()), (2, changed(50)), (3, changed(30, 70)), (4, other), (4, other), (5, other), (None, other)]
+    rows += [(6, changed(20, 50, 80).upper().replace("W", "u")), (None, "a b c d e f g"), (None, "a b c d e f g"), (7, " "), (7, " "), (None, None)]
+    out = sorted((tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs(rows), "").select("doc_id", "text").collect()), key=str)
+    assert out == sorted([rows[0], rows[3], rows[7], rows[8], rows[10], rows[11], rows[12]], key=str)
+
+
+@pytest.mark.parametrize("words, percent", [(5, 80), (2, 60)])
+def test_other_lengths_and_thresholds(docs, rows, words, percent):
+    def shingled(text):
+        w = text.split()
+        return {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))}
+
+    sets = {i: shingled(t) for i, t in rows}
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            common = len(sets[a] & sets[b])
+            if a < b and common and 100 * common >= percent * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    assert {r.doc_id: r.component_id for r in jaccard.groups(docs(rows), words, percent).collect()} == root
