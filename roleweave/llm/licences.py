@@ -2,8 +2,8 @@
 
 DataFrame and SQL functions only. Base phrases are found as places in the word array of each whole text. For the
 template labels, words that few templates share are looked up in every document (explode, then filter, without a
-shuffle); document frequencies over the whole corpus give their IDF; each file keeps its highest-IDF licence words,
-whose positions are joined with the templates' postings. Words that agree on one relative position (document place
+shuffle); document frequencies over the whole corpus give their IDF; the positions of all of a file's licence words are
+joined with the templates' postings, so every template of which a file has rare words is judged. Words that agree on one relative position (document place
 minus template place) support a template; it is labelled if enough of them agree and its mandatory phrases stand in the
 text. The score is the IDF weight that agrees over that of all words looked up of the best template.
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roleweave.llm.arrays import ascii_lower
@@ -40,8 +40,6 @@ TEMPLATES = {
 MOST_TEMPLATES = 3
 # Common words that are never looked up, however few templates hold them.
 COMMON = frozenset("a and any are be by code conditions following form free in is later made may no not of or part person provided source that the this to use v with without work you 0 1 2 3 4".split())
-# Highest-IDF licence words kept for each file.
-TOP_WORDS = 12
 # Words that have to agree on a relative position, or all that the template has.
 LEAST_AGREEING = 2
 
@@ -112,22 +110,21 @@ def template_matches(hits: DataFrame, n_documents: int) -> DataFrame:
     spark = hits.sparkSession
     weight = F.log((F.lit(float(n_documents)) + 1) / (F.col("df") + 1)) + 1
     idf = hits.groupBy("word").agg(F.count("*").alias("df")).select("word", weight.alias("idf"))
-    file = Window.partitionBy("doc_id", "key").orderBy(F.desc("idf"), "word")
-    top = hits.join(idf, "word").withColumn("_rank", F.row_number().over(file)).where(F.col("_rank") <= TOP_WORDS)
+    weighted = hits.join(idf, "word")
     rare = set(rare_words())
     postings = spark.createDataFrame(
         [(w, label, i) for label, (text, _) in TEMPLATES.items() for i, w in enumerate(text.split()) if w in rare], "word string, label string, at int"
     )
     # At most one count for each word at a relative position; the fewest words that may agree is what the template has.
     aligned = (
-        top.select("doc_id", "key", "word", "idf", F.explode("positions").alias("pos"))
+        weighted.select("doc_id", "key", "word", "idf", F.explode("positions").alias("pos"))
         .join(postings, "word")
         .groupBy("doc_id", "key", "label", (F.col("pos") - F.col("at")).alias("offset"))
         .agg(F.count("*").alias("agreeing"), F.sum("idf").alias("weight"))
         .groupBy("doc_id", "key", "label")
         .agg(F.max(F.struct("agreeing", "weight")).alias("best"))
     )
-    total = top.join(postings.select("word", "label").distinct(), "word").groupBy("doc_id", "key", "label").agg(F.sum("idf").alias("total"))
+    total = weighted.join(postings.select("word", "label").distinct(), "word").groupBy("doc_id", "key", "label").agg(F.sum("idf").alias("total"))
     least = F.create_map(*[x for label, (text, _) in TEMPLATES.items() for x in (F.lit(label), F.lit(min(LEAST_AGREEING, len(set(text.split()) & rare))))])
     return (
         aligned.join(total, ["doc_id", "key", "label"])

@@ -59,3 +59,11 @@ def test_no_python_in_the_plan(spark):
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
     for table in (licences.base_rows(licences.prepared(documents)), licences.looked_up(licences.prepared(documents))):
         assert not any(word in plan_of(table) for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_a_file_with_all_notices_keeps_all_labels(docs):
+    notices = [text for text, _ in licences.TEMPLATES.values()]
+    some = [licences.TEMPLATES[label][0] for label in ("mit", "cc-by-nc", "gpl-3.0")]
+    rows = [(1, ". ".join(notices)), (2, "\n".join(some)), (3, "nothing to see here"), *((10 + i, t) for i, t in enumerate(notices[:4]))]
+    out = {r.doc_id: set(r.labels.split(",")) for r in licences.licences(docs(rows)).collect()}
+    assert set(licences.TEMPLATES) <= out[1] and {"mit", "cc-by-nc", "gpl-3.0"} <= out[2] and out[3] == {""}
