@@ -24,21 +24,33 @@ GRAMS = (3, 4)
 BUCKETS = 1 << 13
 BLOCK_FROM = 0.5
 
-# The small labelled URL table: names of junk sites and of ordinary ones, under each prefix, suffix and path.
+# The small labelled URL table: names of junk sites and of ordinary ones under each prefix and suffix, and paths of junk
+# and of ordinary pages. A page is junk if its host or its path is.
 JUNK_HOSTS = (
-    "cheap-pills buy-pills pills-online spam-farm link-farm casino-bonus best-casino casino-online online-poker "
-    "free-poker free-bets bet-now sports-bets adult-cams adult-chat hot-singles xxx-videos payday-loans fast-loans "
-    "replica-watches cheap-watches win-prizes win-cash free-money ads-network ads-click click-track seo-links "
-    "viagra-shop crypto-doubler miracle-diet warez-download torrent-farm cheap-meds clickbait"
+    "buy-pills pills-online link-farm casino-bonus best-casino casino-online online-poker free-poker bet-now sports-bets "
+    "live-betting hot-singles xxx-videos adult-chat payday-loans fast-loans replica-watches cheap-watches win-prizes win-cash "
+    "free-money popup-ads banner-ads seo-links spam-mailer viagra-shop crypto-doubler miracle-diet warez-download torrent-farm "
+    "cheap-meds clickbait"
 ).split()
 FAIR_HOSTS = (
-    "library garden news-city docs project weather wiki science bookshop museum travel school chess-club hospital "
-    "census kitchen theatre radio music history images printer maths harbour theland thing thereon river-side ontheway "
-    "thinking others station nation theatrical whether another rather there-and-back southern northern sea-side letter"
+    "library garden news-city docs project weather wiki science bookshop museum travel school chess-club hospital census "
+    "kitchen theatre radio music history images printer maths harbour river-side sea-side letter railway national-park "
+    "station information education bakery village-hall observatory gardening architecture translation farmers-market"
+).split()
+JUNK_PATHS = (
+    "/casino-online/123 /best-casino.html /free-spins/45/ /online-poker/table /sports-bets/7 /buy-pills.html /cheap-meds/12 "
+    "/viagra/order /payday-loans/apply /win-cash-now /free-money/claim /xxx-videos/9.html /adult-chat/room /hot-singles/en/3 "
+    "/replica-watches/sale /warez/download/88 /en/casino-bonus/456 /de/poker-bonus.html /fr/pills-online/78 /es/betting/ "
+    "/casino/play/4 /live-casino/en/8.html /pills/order/2 /fr/poker/56 /bets/today.html /loans/fast/3 /prizes/win/"
+).split()
+FAIR_PATHS = (
+    "/en/123 /de/456/ /fr/78.html /es/9 / /about/team /news/2021/weather.html /articles/history/7 /docs/install/ "
+    "/products/list/45 /blog/travel-notes /contact.html /images/88/ /en/science/page /de/garten.html /fr/musique/3 "
+    "/es/noticias/ /archive/12.html /library/books /events/calendar "
+    "/en/station/4 /de/8.html /fr/12/ /es/56.html /garden/plants/2 /school/maths.html /weather/today/"
 ).split()
 PREFIXES = ("", "www.", "blog.", "m.")
 SUFFIXES = ("example.com", "example.net", "example.org")
-PATHS = ("/en/123", "/de/456/", "/fr/78.html", "/es/9")
 
 
 def _rest(url: Column) -> Column:
@@ -89,16 +101,23 @@ def features(table: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The built-in labelled table: url and label (1: junk)."""
-    names = F.explode(F.array(*[F.struct(F.lit(h).alias("name"), F.lit(x).alias("label")) for x, hs in ((1.0, JUNK_HOSTS), (0.0, FAIR_HOSTS)) for h in hs]))
-    forms = [F.struct(F.lit(p).alias("prefix"), F.lit(s).alias("suffix"), F.lit(t).alias("path")) for p in PREFIXES for s in SUFFIXES for t in PATHS]
-    named = spark.range(1, numPartitions=1).select(names.alias("n")).select("n", F.explode(F.array(*forms)).alias("f"))
-    return named.select(F.concat(F.lit("https://"), F.col("f.prefix"), F.col("n.name"), F.lit("."), F.col("f.suffix"), F.col("f.path")).alias("url"), F.col("n.label").alias("label"))
+    both = lambda junk, fair: [F.struct(F.lit(t).alias("text"), F.lit(x).alias("junk")) for x, ts in ((1.0, junk), (0.0, fair)) for t in ts]
+    forms = [F.struct(F.lit(p).alias("prefix"), F.lit(s).alias("suffix")) for p in PREFIXES for s in SUFFIXES]
+    hosts = spark.range(1, numPartitions=1).select(F.explode(F.array(*both(JUNK_HOSTS, FAIR_HOSTS))).alias("h"))
+    pages = hosts.select("h", F.explode(F.array(*forms)).alias("f")).select("h", "f", F.explode(F.array(*both(JUNK_PATHS, FAIR_PATHS))).alias("p"))
+    url = F.concat(F.lit("https://"), F.col("f.prefix"), F.col("h.text"), F.lit("."), F.col("f.suffix"), F.col("p.text"))
+    return pages.select(url.alias("url"), F.greatest("h.junk", "p.junk").alias("label"))
 
 
 def fit(labelled: DataFrame) -> LogisticRegressionModel:
     """Logistic regression on (url, label); the table is small by contract and read once per optimizer step."""
     table = labelled.select(host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), F.col("label").cast("double").alias("label"))
-    return LogisticRegression(featuresCol="_vector", labelCol="label", regParam=0.001, maxIter=40, standardization=False).fit(features(table))
+    # Both labels weigh the same, however many rows have them.
+    junk, n = table.agg(F.sum("label"), F.count("*")).first()
+    weighted = table.withColumn("_weight", F.when(F.col("label") == 1, n / (2 * max(junk, 1))).otherwise(n / (2 * max(n - junk, 1))))
+    regression = LogisticRegression(featuresCol="_vector", labelCol="label", weightCol="_weight", regParam=0.001, maxIter=40, standardization=False)
+    return regression.fit(features(weighted))
+
 
 
 def judge(pages: DataFrame, model: LogisticRegressionModel, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:

@@ -68,3 +68,24 @@ def test_no_python_in_the_plan(spark, model):
     assert urls.judge(pages(spark, []), model).count() == 0
     plan = plan_of(urls.judge(spark.read.parquet(f"{SMALL}/pages.parquet"), model))
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Exchange"))
+
+
+def test_path_only_junk(spark, model):
+    """Held-out ordinary hosts: junk paths are blocked, ordinary ones aren't."""
+    hosts = ["riverbank.example.com", "www.mathschool.example.org", "weather-station.example.com", "astronomy.example.org"]
+    junk = ["/casino-welcome/1", "/cheap-pills/en/12.html", "/poker-bets/77", "/de/free-casino/3"]
+    fair = ["/en/51", "/archive/2020/river.html", "/de/77.html", "/articles/gardens/3"]
+    rows = [(i, f"https://{h}{p}", "") for i, (h, p) in enumerate((h, p) for h in hosts for p in junk + fair)]
+    verdicts = {p: set() for p in junk + fair}
+    for r in urls.judge(pages(spark, rows), model, rules=()).collect():
+        verdicts[r.path].add(r.verdict)
+    assert all(verdicts[p] == {"block"} for p in junk) and all(verdicts[p] == {"allow"} for p in fair)
+
+
+def test_junk_hosts_that_the_table_does_not_hold(spark, model):
+    junk = ["casino-win", "cheap-pills", "bets-live", "poker-casino", "loans-fast-cash"]
+    fair = ["lighthouse", "botany", "orchestra", "townhall", "geology"]
+    assert not set(junk + fair) & {*urls.JUNK_HOSTS, *urls.FAIR_HOSTS}
+    rows = [(i, f"https://{h}.example.org/en/{i}", "") for i, h in enumerate(junk + fair)]
+    found = [r.verdict for r in urls.judge(pages(spark, rows), model, rules=()).orderBy("page_id").collect()]
+    assert found == ["block"] * len(junk) + ["allow"] * len(fair)
