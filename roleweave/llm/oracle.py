@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from roleweave.llm.oracle_manifest import CONVERSATION, MERKLE
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALPHANUMERIC = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
@@ -104,4 +106,6 @@ ORACLE_SQL = {
     "op6_ngram_jaccard_join": JACCARD,
     "op7_quality_rules": QUALITY,
     "op10_suffix_array_dedup": SUFFIXES,
+    "op11_conversation_repair": CONVERSATION,
+    "op13_merkle_manifest": MERKLE,
 }

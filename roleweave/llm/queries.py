@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roleweave.llm import backoff, decontaminate, jaccard, licences, pieces, quality, secrets, suffixes, toxicity, urls
+from roleweave.llm import backoff, decontaminate, jaccard, licences, merkle, packing, pieces, quality, repair, secrets, suffixes, toxicity, urls
 from roleweave.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 
@@ -54,6 +54,18 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.removals(table(spark, folder, "documents")).drop("removed")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.audits(table(spark, folder, "conversations"))
+
+
+def op12_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), packing.load())
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.proofs(merkle.manifest(table(spark, folder, "documents")))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_url_filters": op2_url_filters,
@@ -65,4 +77,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_license_scans": op9_license_scans,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
