@@ -33,9 +33,9 @@ from roleweave.session import stage
 # The id that ends a document.
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-# Distinct words whose ids a task remembers, and characters of the longest of them.
-WORDS_HELD, LONGEST_HELD = 400_000, 64
-_SPACES = str.maketrans("\n\t\r", "   ")
+# Distinct words from which on a task forgets those it met in one slice only; words that are encoded as one text.
+WORDS_HELD, JOINED = 400_000, 1000
+_APART, _STOPS = ~arrays.byte_class(" \n\t\r"), arrays.byte_class(".,:;!?")
 
 
 @dataclass
@@ -59,73 +59,140 @@ class Capacity:
         return min(self.tokens, int(np.sqrt(self.attention)))
 
 
+def lowered(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes with the letters A-Z and those of Latin-1 lower-cased, and flags of the bytes of such letters.
+
+    These letters are lower-cased one by one, and Unicode normalization leaves words of them alone.
+    """
+    low = np.frombuffer(data.tobytes().translate(arrays.ASCII_LOWER), dtype=np.uint8).copy()
+    flags = (low >= 97) & (low <= 122)
+    second = np.flatnonzero(low[:-1] == 0xC3) + 1
+    letters = second[(low[second] != 0x97) & (low[second] != 0xB7)]
+    capital = letters[low[letters] < 0x9F]
+    low[capital] += 0x20
+    flags[letters] = flags[letters - 1] = True
+    return low, flags
+
+
+def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of spans, one span after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
 class WordIds:
     """Ids of texts from those of their words.
 
-    Holds for tokenizers that drop white space and never join what stands on both sides of it. Others are asked for whole
-    texts (`apart=False`). Words are remembered up to a bound, then forgotten all at once.
+    Holds for tokenizers that drop white space, never join what stands on both sides of it, and take letters apart from
+    a stop behind them. Others are asked for whole texts (`apart=False`). Words are looked up by a hash, and their bytes
+    are compared.
     """
 
     def __init__(self, path: str, apart: bool = True) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.apart = Tokenizer.from_file(path), apart
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {"": 0}
-        self.ids, self.first, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.tokenizer, self.apart, self.hasher = Tokenizer.from_file(path), apart, arrays.Hasher()
+        # Tokens that end a word.
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[number] = token.endswith("</w>")
+        self.stop = np.zeros(256, dtype=np.uint32)
+        for byte in np.flatnonzero(_STOPS).tolist() if apart else ():
+            (self.stop[byte],) = self.encoded([chr(byte)])[0]
+        self.key, self.hits = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.bytes, self.ids = np.zeros(0, np.uint8), np.zeros(0, np.uint32)
+        # Where a word's bytes and ids start, and how many they are.
+        self.at, self.length, self.first, self.size = (np.zeros(0, np.int64) for _ in range(4))
+        self._sort()
 
     def encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: set[str]) -> None:
-        """Remember the ids of new words."""
-        if len(self.number) + len(words) > WORDS_HELD:
-            held = {w for w in words if len(w) <= LONGEST_HELD}
-            self.forget()
-            words = held
-        new = sorted(words - self.number.keys())
-        if not new:
-            return
-        # A stop behind plain letters is a token of its own, so the letters are encoded once, with or without it.
-        stems = {w: w[:-1] if w[-1] in ".,:;!?" and w[:-1].isascii() and w[:-1].isalpha() else w for w in new}
-        parts = sorted({s.lower() if s.isascii() else s for s in stems.values()} | {w[-1] for w, s in stems.items() if s is not w})
-        found = dict(zip(parts, self.encoded(parts)))
-        rows = []
-        for word in new:
-            stem = stems[word]
-            own = found[stem.lower() if stem.isascii() else stem]
-            rows.append(own if stem is word else np.concatenate((own, found[word[-1]])))
-            self.number[word] = len(self.number)
-        sizes = np.array([len(r) for r in rows], dtype=np.int64)
-        starts = len(self.ids) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        self.ids = np.concatenate((self.ids, *rows))
-        self.first, self.size = np.concatenate((self.first, starts)), np.concatenate((self.size, sizes))
-
-    def of(self, texts: list[str]) -> list[np.ndarray]:
+    def _sort(self) -> None:
+        self.order = np.argsort(self.key, kind="stable")
+        self.sorted = self.key[self.order]
+
+    def known(self, keys: np.ndarray) -> np.ndarray:
+        """Number of the word of each key, -1 if it isn't known."""
+        if not len(self.key):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.sorted, keys), len(self.key) - 1)
+        return np.where(self.sorted[at] == keys, self.order[at], -1)
+
+    def forget(self) -> None:
+        """Forget the words that were met in one slice only; all, if the others are too many."""
+        kept = np.flatnonzero(self.hits > 1)
+        kept = kept if 2 * len(kept) <= WORDS_HELD else kept[:0]
+        self.bytes, self.ids = self.bytes[gathered(self.at[kept], self.length[kept])], self.ids[gathered(self.first[kept], self.size[kept])]
+        self.key, self.length, self.size = self.key[kept], self.length[kept], self.size[kept]
+        self.at, self.first = np.cumsum(self.length) - self.length, np.cumsum(self.size) - self.size
+        self.hits = np.zeros(len(kept), np.int64)
+        self._sort()
+
+    def _spelled(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of plain letters and how many each has. As each has one token that ends a word, many are one text."""
+        ids = np.concatenate([np.zeros(0, np.uint32), *self.encoded([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])])
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        return (ids, np.diff(stops, prepend=0)) if len(stops) == len(words) else self._each(words)
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.encoded(words)
+        return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], dtype=np.int64)
+
+    def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray, keys: np.ndarray) -> None:
+        """Make these words known."""
+        raw = data.tobytes()
+        for some, ask in ((np.flatnonzero(plain), self._spelled), (np.flatnonzero(~plain), self._each)):
+            ids, sizes = ask([raw[a:b].decode() for a, b in zip(starts[some].tolist(), ends[some].tolist())])
+            lengths = ends[some] - starts[some]
+            self.at = np.concatenate((self.at, len(self.bytes) + np.cumsum(lengths) - lengths))
+            self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(sizes) - sizes))
+            self.length, self.size = np.concatenate((self.length, lengths)), np.concatenate((self.size, sizes))
+            self.bytes, self.ids = np.concatenate((self.bytes, data[gathered(starts[some], lengths)])), np.concatenate((self.ids, ids))
+            self.key, self.hits = np.concatenate((self.key, keys[some])), np.concatenate((self.hits, np.ones(len(some), np.int64)))
+        self._sort()
+
+    def of(self, texts: arrays.Texts) -> list[np.ndarray]:
         """Ids of each text."""
+        data, spans = texts.data, arrays.words(texts, _APART)
         if not self.apart:
-            return self.encoded(texts)
-        split = [t.translate(_SPACES).split(" ") if "\t" in t or "\r" in t else t.replace("\n", " ").split(" ") for t in texts]
-        every = set().union(*split)
-        long = [w for w in every if len(w) > LONGEST_HELD]
-        self.learn(every.difference(long))
-        out = []
-        once = dict(zip(long, self.encoded(long))) if long else {}
-        for words in split:
-            if once and not once.keys().isdisjoint(words):
-                cut = [once[w] if w in once else self._gathered([self.number[w]]) for w in words]
-                out.append(np.concatenate(cut))
-            else:
-                out.append(self._gathered([self.number[w] for w in words]))
-        return out
-
-    def _gathered(self, numbers: list[int]) -> np.ndarray:
-        at = np.array(numbers, dtype=np.int64)
+            return self._whole(texts)
+        if len(self.key) > WORDS_HELD:
+            self.forget()
+        low, letters = lowered(data)
+        starts, ends = spans.starts, spans.ends
+        sums = np.concatenate(([0], np.cumsum(letters)))
+        stop = _STOPS[data[ends - 1]] & (ends - starts > 1)
+        plain = sums[ends - stop] - sums[starts] == ends - stop - starts
+        stop &= plain
+        ends = ends - stop
+        # Words of anything else are taken as they are.
+        other = gathered(starts[~plain], (ends - starts)[~plain])
+        low[other] = data[other]
+        keys = self.hasher.spans(low, starts, ends)
+        keys = np.where(plain, keys, arrays.mixed(~keys))
+        unique, example, which = np.unique(keys, return_index=True, return_inverse=True)
+        numbers = self.known(unique)
+        self.hits[numbers[numbers >= 0]] += 1
+        new = example[numbers < 0]
+        if len(new):
+            self.learn(low, starts[new], ends[new], plain[new], unique[numbers < 0])
+            numbers = self.known(unique)
+        at = numbers[which]
+        same = np.array_equal(self.length[at], ends - starts)
+        if not same or not np.array_equal(self.bytes[gathered(self.at[at], self.length[at])], low[gathered(starts, ends - starts)]):
+            return self._whole(texts)  # hashes that collide
         sizes = self.size[at]
-        before = np.cumsum(sizes) - sizes
-        return self.ids[np.repeat(self.first[at] - before, sizes) + np.arange(int(sizes.sum()))]
+        before = np.cumsum(sizes + stop) - sizes - stop
+        out = np.empty(int((sizes + stop).sum()), np.uint32)
+        out[gathered(before, sizes)] = self.ids[gathered(self.first[at], sizes)]
+        out[(before + sizes)[stop]] = self.stop[data[ends[stop]]]
+        cuts = np.concatenate((before, [len(out)]))[spans.first]
+        return [out[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+    def _whole(self, texts: arrays.Texts) -> list[np.ndarray]:
+        raw = texts.data.tobytes()
+        return self.encoded([raw[a:b].decode() for a, b in zip(texts.offsets[:-1].tolist(), texts.offsets[1:].tolist())])
 
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -139,7 +206,7 @@ class Encoder:
     apart: bool = True
     _words: WordIds | None = field(default=None, repr=False)
 
-    def of(self, texts: list[str]) -> list[np.ndarray]:
+    def of(self, texts: arrays.Texts) -> list[np.ndarray]:
         if self._words is None:
             self._words = WordIds(self.path, self.apart)
         return self._words.of(texts)
@@ -148,9 +215,8 @@ class Encoder:
 def _cut(encoder, limit: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.slices(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             rows, part, start, length, sums, ids = [], [], [], [], [], []
-            for row, own in enumerate(encoder().of(texts)):
+            for row, own in enumerate(encoder().of(arrays.texts_of(batch.column("text")))):
                 own = np.append(own, np.uint32(END)).astype("<u4")
                 for k, at in enumerate(range(0, len(own), limit)):
                     cut = own[at : at + limit]

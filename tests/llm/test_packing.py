@@ -5,11 +5,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from corpus_fixtures import docs, edge_rows  # noqa: F401
 
-from roleweave.llm import packing
+from roleweave.llm import arrays, packing
 
 
 @pytest.fixture(scope="module")
@@ -100,22 +101,38 @@ def test_one_common_length(docs, tokenizer):
     assert n == 300
 
 
-def test_words_are_forgotten_beyond_the_bound(docs, tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "WORDS_HELD", 5)
+def encoded(words, texts):
+    return [x.tolist() for x in words.of(arrays.texts_of(pa.array(texts, pa.string())))]
+
+
+MIXED = ["alpha", "Beta.", "ÉTÉ,", "x" * 70, "eta,", "naïve", "×", "a÷b", "ÿß!", "don't", "a.b", "..", ".", "Ÿ", "e\u0301", "straße?", "1st", "ǅ"]
+
+
+@pytest.mark.parametrize("held", [5, 40, 400_000])
+def test_words_are_forgotten_beyond_the_bound(tokenizer, monkeypatch, held):
+    monkeypatch.setattr(packing, "WORDS_HELD", held)
     rng = random.Random(4)
-    texts = [" ".join(rng.choice(["alpha", "beta.", "gamma", "x" * 70, "eta,"]) + str(rng.randint(0, 3)) for _ in range(20)) for _ in range(50)]
+    texts = [rng.choice(" \n\t\r").join(rng.choice(MIXED) + rng.choice(["", "", "a", "3"]) for _ in range(20)) for _ in range(100)]
+    words = packing.load()
+    for i in range(0, 100, 5):
+        assert encoded(words, texts[i : i + 5]) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts[i : i + 5]]
+
+
+def test_hashes_that_collide(tokenizer, monkeypatch):
     words = packing.load()
-    for i in range(0, 50, 5):
-        for text, ids in zip(texts[i : i + 5], words.of(texts[i : i + 5])):
-            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    texts = ["one two three. Three", "four"]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoded(words, texts) == expected
+    monkeypatch.setattr(words._words.hasher, "spans", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    assert encoded(words, texts) == expected
 
 
 def test_whole_texts_give_the_same(tokenizer):
-    texts = ["One two, three.", "a  b\n\nc"]
     import public_tokenizers
 
+    texts = ["One two, three.", None, "", "a  b\n\nc"]
     whole = packing.Encoder(public_tokenizers.path(packing.TOKENIZER), apart=False)
-    assert [x.tolist() for x in whole.of(texts)] == [x.tolist() for x in packing.load().of(texts)]
+    assert encoded(whole, texts) == encoded(packing.load(), texts) == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
 def test_empty_table_and_ids(docs):
