@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roleweave.functions.classify import RelevanceRules, relevance, remote_flag
 from roleweave.functions.text import html_to_text
 from roleweave.operators.similarity import mean_vectors
+from roleweave.session import stage
 
 # Rules in the vocabulary of the invented prose.
 PROSE_RULES = RelevanceRules(
@@ -176,6 +177,24 @@ def page_payloads(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select(F.col("host").alias("board"), payload.alias("payload"), F.col("page_id").alias("landed"))
 
 
+def board_files(spark: SparkSession, folder: str, waves: int = 3) -> DataFrame:
+    """(wave, b, value): pages as board files to land in waves; a file holds the jobs of a host's pages in the order of page_id.
+
+    Pages are dealt out by page_id. A page whose address carries a fragment makes its whole file malformed.
+    """
+    payloads = page_payloads(spark, folder).select("board", F.col("landed").alias("page_id"), (F.col("landed") % waves).alias("wave"), "payload")
+    job = F.struct("page_id", F.substr("payload", F.lit(len('{"jobs":[') + 1), F.length("payload") - len('{"jobs":[]}')).alias("job"))
+    # The jobs that one host lands at once, which are one file.
+    files = payloads.groupBy("wave", "board").agg(F.array_sort(F.collect_list(job)).alias("jobs"))
+    text = F.concat(F.lit('{"jobs":['), F.array_join(F.transform("jobs", lambda j: j["job"]), ","), F.lit("]}"))
+    return files.select("wave", F.col("board").alias("b"), text.alias("value"))
+
+
+def landed_companies(spark: SparkSession, folder: str) -> DataFrame:
+    """The companies of the landed files, whose folders are called `b=<host>`."""
+    return page_companies(spark, folder).withColumn("board_identifier", F.concat(F.lit("b="), "board_identifier"))
+
+
 def event_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """Each event as a landed payload holding a top-level array; errors carry a wrong type."""
     job = F.concat(

@@ -24,13 +24,13 @@ from roleweave.operators.correlation import column_stats, comparison, residuals,
 from roleweave.operators.encoding import HashingEncoder
 from roleweave.operators.similarity import feature_vector, fit_features, mean_vectors, top_section_sims
 from roleweave.plans import adapters, training
-from roleweave.plans.scoring import build_features, score_texts
+from roleweave.plans.scoring import build_features, score_texts, write_pending
 from roleweave.schemas import SNAPSHOT, conform
 from roleweave.session import scratch_path, stage
 from roleweave.sources import feeds
 from roleweave.sources.store import PostingStore
 from roleweave.sources.training_files import skipped_rows, training_rows
-from roleweave.streaming.ingest import stream_upserts
+from roleweave.streaming.ingest import stream_boards, stream_upserts
 
 # Batch times as text: read and shown in the same session zone.
 FIRST_NOW = "2024-01-16 00:00:00"
@@ -291,8 +291,8 @@ def upsert_run_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def store_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Both batches through the bucketed store."""
-    store = PostingStore(spark, scratch_path(spark, "store"), buckets=8)
+    """Both batches through the store."""
+    store = PostingStore(spark, scratch_path(spark, "store"))
     for batch, now in zip(adapters.event_batches(spark, folder), (FIRST_NOW, SECOND_NOW)):
         store.upsert(batch, adapters.EVENT_RULES, F.lit(now).cast("timestamp"))
     return _snapshot_view(store.read())
@@ -303,7 +303,7 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     schema = adapters.table(spark, folder, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(folder)
     root = scratch_path(spark, "stream")
-    store = PostingStore(spark, f"{root}/store", buckets=8)
+    store = PostingStore(spark, f"{root}/store")
     location = F.when(F.col("event_type") == "click", "Remote").when(F.col("event_type") == "purchase", "Hybrid")
     rows = stream.select(
         F.lit("events").alias("source"),
@@ -324,6 +324,51 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return _snapshot_view(store.read())
 
 
+def _board_stream(spark: SparkSession, folder: str) -> PostingStore:
+    """Board files landed in three waves, streamed by one query that is started again for each."""
+    root = scratch_path(spark, "boards")
+    store, companies = PostingStore(spark, f"{root}/store"), stage(adapters.landed_companies(spark, folder), "companies")
+    files = stage(adapters.board_files(spark, folder), "board_files")
+    for wave in range(3):
+        own = files.where(F.col("wave") == wave).select("b", "value")
+        own.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("b").text(f"{root}/landing")
+        query = stream_boards(
+            companies, f"{root}/landing", store, "greenhouse", f"{root}/checkpoint", adapters.PROSE_RULES,
+            clock=lambda batch: F.lit(SECOND_NOW).cast("timestamp"),
+        )
+        query.awaitTermination()
+    return store
+
+
+def stream_board_postings(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ("url", "raw_id", "source", "company", "title", "location", "description", "posted_date", "extra_json")
+    return _board_stream(spark, folder).read().select(*columns, _int("is_relevant"))
+
+
+def stream_board_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Malformed files by company."""
+    return _board_stream(spark, folder).rejects().groupBy("source", "company_name").agg(F.count("*").alias("files"))
+
+
+def stream_scored(spark: SparkSession, folder: str) -> DataFrame:
+    """Both event batches as a stream whose batches are scored by their own URLs; how many each batch had scored."""
+    root = scratch_path(spark, "scored")
+    store, scored = PostingStore(spark, f"{root}/store"), []
+
+    def scorer(own: PostingStore, key: str) -> None:
+        # Any model will do here: the score is the length of the text.
+        pending = own.pending_of(key).select("url", F.length("description").cast("double").alias("score"))
+        scored.append((len(scored) + 1, write_pending(own, pending).scored_count))
+
+    for batch in adapters.event_batches(spark, folder):
+        batch.write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(batch.schema).parquet(f"{root}/landing")
+        stream_upserts(stream, store, "events", f"{root}/checkpoint", adapters.EVENT_RULES, scorer=scorer).awaitTermination()
+    counts = spark.createDataFrame(scored, "batch int, scored long")
+    kept = store.read().where("score is not null").agg(F.count("*").alias("stored"), F.sum("score").cast("long").alias("total"))
+    return counts.join(kept, F.lit(True))
+
+
 def score_writeback(spark: SparkSession, folder: str) -> DataFrame:
     """Hand scores written onto the documents that have one."""
     scores = adapters.table(spark, folder, "labels").select(
@@ -614,6 +659,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_run_stats": upsert_run_stats,
     "store_round_trip": store_round_trip,
     "stream_ingest": stream_ingest,
+    "stream_board_postings": stream_board_postings,
+    "stream_board_rejects": stream_board_rejects,
+    "stream_scored": stream_scored,
     "score_writeback": score_writeback,
     "score_writeback_count": score_writeback_count,
     "description_writeback": description_writeback,

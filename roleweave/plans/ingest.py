@@ -9,13 +9,7 @@ from pyspark.sql import functions as F
 
 from roleweave.functions.classify import RelevanceRules
 from roleweave.operators.triage import missing_description
-from roleweave.operators.writeback import (
-    apply_status,
-    latest_status,
-    recompute_relevance,
-    recompute_remote,
-    write_descriptions,
-)
+from roleweave.operators.writeback import latest_status, recompute_relevance, recompute_remote
 from roleweave.session import stage
 from roleweave.sources.feeds import (
     BOARDS,
@@ -79,7 +73,7 @@ def ingest(
         if not known:
             dropped = rejected(source, landed)
             if dropped is not None:
-                store.record_rejects(dropped, source, started)
+                store.record_rejects(dropped, source, started, batch_key)
     except Exception as exc:
         store.record_run(source, started, datetime.now(timezone.utc), error=str(exc))
         raise
@@ -111,8 +105,7 @@ def backfill_descriptions(store: PostingStore, fetched: DataFrame) -> Row:
     usable = fetched.filter("description <> ''").dropDuplicates(["url"])
     changes = stage(wanted.join(usable, "url"), "descriptions")
     counts = Row(attempted_count=wanted.count(), updated_count=changes.count())
-    if counts.updated_count:
-        store.write_by_url(write_descriptions, changes)
+    store.write_descriptions(changes)
     return counts
 
 
@@ -134,4 +127,4 @@ def set_status(store: PostingStore, url: str, status: str, at: datetime | None =
         raise ValueError(f"status must be one of {', '.join(STATUSES)}")
     event = [(url, status, at or datetime.now(timezone.utc))]
     events = store.spark.createDataFrame(event, "url string, status string, changed_at timestamp")
-    store.write_by_url(apply_status, stage(latest_status(events), "status"))
+    store.write_statuses(latest_status(events))

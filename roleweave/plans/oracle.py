@@ -279,6 +279,22 @@ def oracle_sql() -> dict[str, str]:
             count(*) - count(DISTINCT url) FILTER (url NOT IN (SELECT url FROM e WHERE batch = 1)) AS updated_count FROM e WHERE batch = 2""",
         "store_round_trip": f"WITH {_snapshot()} SELECT * FROM s",
         "stream_ingest": f"WITH {_snapshot(single_batch=True)} SELECT * FROM s",
+        "stream_board_postings": f"""WITH {page}, bad AS (SELECT DISTINCT host, page_id % 3 AS wave FROM pg WHERE contains(url, '#')),
+            j AS (SELECT *, {language} AS language FROM pg WHERE host LIKE '%.com' AND (host, page_id % 3) NOT IN (SELECT host, wave FROM bad)),
+            r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id % 3, page_id) AS up,
+              row_number() OVER (PARTITION BY url ORDER BY page_id % 3 DESC, page_id DESC) AS down FROM j),
+            s AS (SELECT f.url, CAST(f.page_id AS VARCHAR) AS raw_id, 'greenhouse' AS source, f.host AS company, l.host AS title, l.language AS location,
+              {_html('l.html')} AS description, {payload_day.replace('html', 'f.html')} AS posted_date,
+              '{{"departments":["' || f.language || '"],"offices":["' || f.host || '"]}}' AS extra_json
+              FROM r f JOIN r l USING (url) WHERE f.up = 1 AND l.down = 1)
+            SELECT *, CAST({_relevance(adapters.PROSE_RULES, 'title', 'description')} AS INTEGER) AS is_relevant FROM s""",
+        "stream_board_rejects": f"""WITH {page} SELECT 'greenhouse' AS source, host AS company_name, count(DISTINCT page_id % 3) AS files
+            FROM pg WHERE host LIKE '%.com' AND contains(url, '#') GROUP BY host""",
+        "stream_scored": f"""WITH {_event_rows()},
+            l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY url, batch ORDER BY ts DESC, event_id DESC) = 1),
+            p AS (SELECT * FROM l WHERE is_relevant AND description <> '' QUALIFY row_number() OVER (PARTITION BY url ORDER BY batch) = 1)
+            SELECT b AS batch, count(p.url) AS scored, (SELECT count(*) FROM p) AS stored, (SELECT CAST(sum(length(description)) AS BIGINT) FROM p) AS total
+            FROM (SELECT unnest(range(1, 3))::INTEGER AS b) LEFT JOIN p ON batch = b GROUP BY b""",
         "score_writeback": f"""WITH {_DOCS} SELECT id, coalesce(quality * 100.0::DOUBLE, score) AS score FROM d0 LEFT JOIN labels ON doc_id = id""",
         "score_writeback_count": "SELECT count(*) AS updated_count FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
         "description_writeback": f"""WITH {docs} SELECT id, CASE WHEN is_relevant AND lower(source) LIKE 'jobspy:linkedin%' AND {_EMPTY}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from roleweave.operators.encoding import Encoder
 from roleweave.operators.similarity import feature_vector, fit_features
 from roleweave.operators.triage import pending_score
-from roleweave.operators.writeback import rows_updated, write_scores
 from roleweave.session import stage
 from roleweave.sources.store import PostingStore
 
@@ -77,9 +77,23 @@ def score_pending(store: PostingStore, encoder: Encoder, reference: DataFrame, m
     if pending.isEmpty():
         return Row(pending_count=0, scored_count=0)
     model = load_model(store.spark, model_path, encoder.fingerprint())
-    # Staged, so the encoder runs once for the counts and the write.
-    scores = stage(score_texts(pending, encoder, reference, model), "scores")
-    pending_count = scores.count()
-    scored_count = rows_updated(store.read(), scores).first().updated_count
-    store.write_by_url(write_scores, scores)
-    return Row(pending_count=pending_count, scored_count=scored_count)
+    return write_pending(store, score_texts(pending, encoder, reference, model))
+
+
+def write_pending(store: PostingStore, scores: DataFrame) -> Row:
+    """Append (url, score) to the store. Staged first, so the encoder runs once for the count and the write."""
+    scores = stage(scores, "scores")
+    return Row(pending_count=scores.count(), scored_count=store.write_scores(scores))
+
+
+def batch_scorer(encoder: Encoder, reference: DataFrame, model_path: str) -> Callable[[PostingStore, str], Row]:
+    """Scores what a batch of the store left pending, by its key; nothing pending needs no model."""
+
+    def score(store: PostingStore, batch_key: str) -> Row:
+        pending = stage(store.pending_of(batch_key), "pending")
+        if pending.isEmpty():
+            return Row(pending_count=0, scored_count=0)
+        model = load_model(store.spark, model_path, encoder.fingerprint())
+        return write_pending(store, score_texts(pending, encoder, reference, model))
+
+    return score

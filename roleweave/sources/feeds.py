@@ -171,7 +171,11 @@ BOARDS = {board.source: board for board in (GREENHOUSE, LEVER, ASHBY)}
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """(board, payload, landed) of landed files laid out as `<path>/<board>/<file>.json`."""
-    raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    return payload_rows(spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True))
+
+
+def payload_rows(raw: DataFrame) -> DataFrame:
+    """(board, payload, landed) of files read whole, streamed or not."""
     file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return raw.select(
         F.try_element_at(F.split(file, "/"), F.lit(-2)).alias("board"), F.col("value").alias("payload"), file.alias("landed")

@@ -235,7 +235,7 @@ def test_search_space():
 def test_train_score_round_trip(spark, root):
     """Tune, export, score pending postings, and refuse a model from another vector space."""
     encoder = HashingEncoder(8)
-    store = PostingStore(spark, f"{root}/store", buckets=2)
+    store = PostingStore(spark, f"{root}/store")
     model_path = f"{root}/model"
     profile = spark.createDataFrame(
         [("section", 0, "NGS pipelines"), ("section", 1, "sales"), ("resume", 0, "NGS")], "kind string, position int, text string"

@@ -10,14 +10,7 @@ from pyspark.sql import functions as F
 
 from roleweave.functions.classify import RelevanceRules
 from roleweave.operators.upsert import collapse
-from roleweave.operators.writeback import (
-    apply_status,
-    latest_status,
-    rows_updated,
-    split_status_events,
-    write_descriptions,
-    write_scores,
-)
+from roleweave.operators.writeback import latest_status, rows_updated, split_status_events, write_descriptions
 from roleweave.plans.ingest import backfill_descriptions, backfill_relevance, backfill_remote, ingest, set_status
 from roleweave.schemas import SNAPSHOT_COLUMNS, conform
 from roleweave.session import stage
@@ -30,7 +23,7 @@ T2 = datetime(2026, 1, 2, tzinfo=timezone.utc)
 
 @pytest.fixture
 def store(spark, root):
-    return PostingStore(spark, root, buckets=4)
+    return PostingStore(spark, root)
 
 
 def by_url(store):
@@ -83,9 +76,9 @@ def test_scores_and_status_survive(spark, store, batch):
     store.upsert(batch(dict()), RULES, T1)
     scores = stage(spark.createDataFrame([("https://example.com/1", 0.42), ("unknown", 1.0)], "url string, score double"), "s")
     assert rows_updated(store.read(), scores).first().updated_count == 1
-    store.write_by_url(write_scores, scores)
+    assert store.write_scores(scores) == 1
     events = spark.createDataFrame([("https://example.com/1", "applied", T1)], "url string, status string, changed_at timestamp")
-    store.write_by_url(apply_status, stage(latest_status(events), "e"))
+    store.write_statuses(latest_status(events))
     store.upsert(batch(dict(description="new text")), RULES, T2)
     row = by_url(store)["https://example.com/1"]
     assert (row.score, row.application_status, row.description) == (0.42, "applied", "new text")
@@ -125,7 +118,7 @@ def test_large_batch_path_gives_the_same(spark, root, batch, monkeypatch):
     stores = []
     for small in (True, False):
         monkeypatch.setattr(module, "fits_broadcast", lambda size, small=small: small)
-        store = PostingStore(spark, f"{root}/{small}", buckets=3)
+        store = PostingStore(spark, f"{root}/{small}")
         store.upsert(batch(*rows[:9]), RULES, T1)
         store.upsert(batch(*rows[9:]), RULES, T2)
         stores.append(sorted(tuple(r) for r in store.read().select("id", "url", "title", "raw_id", "first_seen_at").collect()))
@@ -198,8 +191,8 @@ def test_a_known_batch_is_logged_once(spark, store):
     for _ in range(2):
         assert tuple(ingest(store, "jobspy", {"rows": rows}, RULES, T1, batch_key="k")) == (1, 1, 0)
     assert [(r.id, r.source, r.fetched_count) for r in store.runs().collect()] == [(1, "jobspy", 1)]
-    # The log is part of the commit: nothing else had to be written for it.
-    assert store._commits().where("run_id = 1").count() == 1
+    # The log is what makes the rows visible: nothing else had to be written for it.
+    assert store.log().where("run_id = 1 and number = 1").count() == 1 == store.log().count()
 
 
 def test_dropped_payloads_are_kept_as_rejects(spark, store):
@@ -271,3 +264,57 @@ def test_conform_older_table(spark):
     row = conform(older).first()
     assert list(row.asDict()) == SNAPSHOT_COLUMNS
     assert (row.id, row.application_status, row.score, row.is_remote) == (1, "new", None, None)
+
+
+def test_a_batch_writes_its_own_rows_only(store, batch):
+    """One change for each URL of a batch, however many postings are stored; only new ones say what is fixed."""
+    store.upsert(batch(*[dict(url=f"u{i}") for i in range(50)]), RULES, T1)
+    store.upsert(batch(dict(url="u7", title="NGS"), dict(url="new")), RULES, T2)
+    second = {r.url: r for r in store.changes().where("number = 2").collect()}
+    assert set(second) == {"u7", "new"} and second["u7"].first is None and second["new"].first.id == 51
+    assert (second["u7"].kind, second["new"].kind) == ("seen", "first")
+
+
+def test_a_write_that_broke_off_is_not_read(spark, store, batch):
+    """Changes without their row of the log: unseen, and replaced by the next write."""
+    store.upsert(batch(dict(url="a", title="one")), RULES, T1)
+    before = [tuple(r) for r in store.read().collect()]
+    broken = store.changes().drop("number").withColumn("seen", F.struct(F.lit("lost").alias("title"), F.lit(None).cast("string").alias("location"), F.lit(T2).alias("last_seen_at")))
+    broken.write.partitionBy("kind").parquet(f"{store.root}/changes/number=2")
+    assert [tuple(r) for r in store.read().collect()] == before
+    store.upsert(batch(dict(url="b")), RULES, T2)
+    assert {u: r.title for u, r in by_url(store).items()} == {"a": "one", "b": "Bioinformatics Scientist"}
+    assert by_url(store)["b"].id == 2
+
+
+def test_compaction_keeps_everything(spark, root, store, batch):
+    store.upsert(batch(dict(url="a", location="Remote"), dict(url="b"), dict(url="c", description=None)), RULES, T1, batch_key="k")
+    store.write_scores(spark.createDataFrame([("a", 0.5)], "url string, score double"))
+    set_status(store, "b", "skip", T2)
+    store.upsert(batch(dict(url="a", title="Sales"), dict(url="d")), RULES, T2)
+    small = store.compacted(f"{root}/small")
+    rows = lambda s: sorted((tuple(r) for r in s.read().collect()), key=str)
+    assert rows(small) == rows(store) and small.changes("first").count() == 4
+    # Both go on alike.
+    for s in (store, small):
+        assert s.has_batch("k")
+        s.upsert(batch(dict(url="b", title="NGS"), dict(url="e")), RULES, T2)
+        set_status(s, "b", "applied", T1)  # late
+        s.write_scores(spark.createDataFrame([("b", 0.7), ("zz", 1.0)], "url string, score double"))
+    assert rows(small) == rows(store) and by_url(small)["e"].id == 5 and by_url(small)["b"].application_status == "skip"
+    assert PostingStore(spark, f"{root}/none").compacted(f"{root}/none2").read().count() == 0
+
+
+def test_a_busy_url_is_reduced_before_the_shuffle(store, batch):
+    store.upsert(batch(dict()), RULES, T1)
+    plan = store.read()._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning(url") < plan.index("partial_max_by") and plan.count("Exchange") == 1
+
+
+def test_a_change_without_a_time_takes_the_stored_one(spark, store, batch):
+    store.upsert(batch(dict(url="a")), RULES, T1)
+    set_status(store, "a", "applied", T2)
+    late = spark.createDataFrame([("a", "skip", None)], "url string, status string, changed_at timestamp")
+    store.write_statuses(late)
+    row = by_url(store)["a"]
+    assert row.application_status == "skip" and row.application_status_updated_at is not None
