@@ -82,6 +82,18 @@ def document_postings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sighted_postings(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as postings of several sources; some places aren't stated, some are written differently."""
+    place = F.element_at(F.array(*[F.lit(p) for p in ("", "Boston, MA", "BOSTON (MA)", "Remote")]), (F.col("n_chars") % 4 + 1).cast("int"))
+    return table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.when(F.col("source").startswith("src1"), F.lit("jobspy:linkedin")).otherwise(F.col("source")).alias("source"),
+        F.col("lang").alias("company"),
+        _title(F.col("text")).alias("title"),
+        place.alias("location"),
+    )
+
+
 def event_postings(spark: SparkSession, folder: str) -> DataFrame:
     """Events as a feed keyed by user: many sightings per key, in order of time."""
     events = table(spark, folder, "events")

@@ -19,7 +19,7 @@ from roleweave.functions.text import (
     strip_front_matter,
     url_last_segment,
 )
-from roleweave.operators import boards, tokens, triage, upsert, writeback
+from roleweave.operators import boards, duplicates, tokens, triage, upsert, writeback
 from roleweave.operators.correlation import column_stats, comparison, residuals, spearman, zero_shot
 from roleweave.operators.encoding import HashingEncoder
 from roleweave.operators.similarity import feature_vector, fit_features, mean_vectors, top_section_sims
@@ -477,6 +477,11 @@ def detect_boards(spark: SparkSession, folder: str) -> DataFrame:
     return boards.detect_boards(names, landed)
 
 
+def cross_source_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    groups = duplicates.cross_source_groups(adapters.sighted_postings(spark, folder))
+    return groups.select("id", "group_id", _int("survives"))
+
+
 def relevant_titles(spark: SparkSession, folder: str) -> DataFrame:
     jobs = adapters.document_postings(spark, folder)
     return boards.relevant_title_counts(jobs, adapters.PROSE_RULES, "source", "company")
@@ -677,6 +682,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_board_hit": first_board_hit,
     "detect_boards": detect_boards,
     "relevant_titles": relevant_titles,
+    "cross_source_duplicates": cross_source_duplicates,
     "section_similarity": section_similarity,
     "fit_features": fits,
     "spearman_zero_shot": spearman_zero_shot,

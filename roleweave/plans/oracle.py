@@ -328,6 +328,19 @@ def oracle_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY title ORDER BY slug, list_position(['greenhouse', 'lever', 'ashby'], ats_type)) = 1""",
         "relevant_titles": f"""WITH {_DOCS}, d AS (SELECT *, {_relevance(adapters.PROSE_RULES, 'title', "''")} AS ok FROM d0)
             SELECT source, company, count(*) AS n_jobs, count(*) FILTER (ok) AS n_relevant FROM d GROUP BY source, company HAVING count(*) FILTER (ok) > 0""",
+        "cross_source_duplicates": r"""WITH RECURSIVE p AS (
+              SELECT doc_id AS id, CASE WHEN source LIKE 'src1%' THEN 'jobspy:linkedin' ELSE source END AS source, lang AS company,
+                trim(regexp_replace(lower(split_part(text, chr(10), 1)), '[^\p{L}\p{N}]+', ' ', 'g')) AS title,
+                ['', 'boston ma', 'boston ma', 'remote'][n_chars % 4 + 1] AS place FROM documents),
+            k AS (SELECT DISTINCT company, title FROM p WHERE title <> ''),
+            near AS (SELECT a.company, a.title AS t, b.title AS u FROM k a JOIN k b ON a.company = b.company
+              AND abs(length(a.title) - length(b.title)) <= 2 WHERE levenshtein(a.title, b.title) <= 2),
+            links AS (SELECT a.id AS a, b.id AS b FROM near n JOIN p a ON a.company = n.company AND a.title = n.t
+              JOIN p b ON b.company = n.company AND b.title = n.u
+              WHERE a.source <> b.source AND (a.place = b.place OR a.place = '' OR b.place = '')),
+            reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+            g AS (SELECT p.id, p.source, least(p.id, coalesce(min(b), p.id)) AS group_id FROM p LEFT JOIN reach ON a = p.id GROUP BY p.id, p.source)
+            SELECT id, group_id, CAST(row_number() OVER (PARTITION BY group_id ORDER BY source LIKE 'jobspy%', id) = 1 AS INTEGER) AS survives FROM g""",
         "section_similarity": f"WITH {_FIT} SELECT vec_id, CAST(place - 1 AS INTEGER) AS place, section, round(sim, 6) AS sim FROM sims WHERE place <= 3",
         "fit_features": f"""WITH {_FIT} SELECT vec_id, round(fit_max, 6) AS fit_max, round(fit_top3, 6) AS fit_top3,
             round(resume_cos, 6) AS resume_cos FROM fit""",
