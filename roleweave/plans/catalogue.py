@@ -693,8 +693,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "training_skipped": training_skipped,
     "document_frequency": document_frequency,
     "bow_top_terms": bow_top_terms,
-    "ridge_cv": _cv("ridge", 3),
-    "elastic_cv": _cv("elasticnet", 2),
+    "ridge_cv": _cv("ridge", 30),
+    "elastic_cv": _cv("elasticnet", 30),
     "gbt_cv": _cv("gbt", 1),
     "bow_cv": bow_cv,
     "score_pending": score_pending,

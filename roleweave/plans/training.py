@@ -210,9 +210,9 @@ def fit(regressor: str, params: Params, rows: DataFrame, preprocessor: Preproces
     return PipelineModel(stages=[*pre.stages, model])
 
 
-# ---------------------------------------------------------------- one-pass ridge
+# ---------------------------------------------------------------- linear models from one pass
 
-# Widest feature vector a ridge model is solved for: one matrix of its square is the driver's.
+# Widest feature vector a linear model is solved for: one matrix of its square is the driver's.
 MOMENT_DIMS = 4096
 
 
@@ -260,23 +260,82 @@ def _spread(moments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mean, np.sqrt(np.where(flat, 1.0, variance))
 
 
-def ridge_from_moments(
-    train: np.ndarray, alphas: Sequence[float], scale: tuple[np.ndarray, np.ndarray] | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, intercepts) in the space of the raw features, one row per alpha.
+Scale = tuple[np.ndarray, np.ndarray]
 
-    Features are standardized by `scale` (by the training rows themselves without it), and
-    |y - Xw|^2 + alpha |w|^2 is minimized exactly, with the intercept left free.
+
+def _centred(train: np.ndarray, scale: Scale | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, Callable]:
+    """Gram matrix and cross products of centred, standardized features, and what leads weights back to the raw features.
+
+    Features are standardized by `scale`, by the training rows themselves without it.
     """
     n, y_mean = train[0, 0], train[0, -1] / train[0, 0]
     _, deviation = scale or _spread(train)
     mean = train[0, 1:-1] / n
     gram = (train[1:-1, 1:-1] - n * np.outer(mean, mean)) / np.outer(deviation, deviation)
     cross = (train[1:-1, -1] - n * mean * y_mean) / deviation
+
+    def raw(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weights = weights / deviation
+        return weights, y_mean - weights @ mean
+
+    return gram, cross, n, raw
+
+
+def ridge_from_moments(train: np.ndarray, alphas: Sequence[float], scale: Scale | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, intercepts) in the space of the raw features, one row per alpha.
+
+    |y - Xw|^2 + alpha |w|^2 is minimized exactly, with the intercept left free.
+    """
+    gram, cross, _, raw = _centred(train, scale)
     values, vectors = np.linalg.eigh(gram)
     rotated = vectors.T @ cross
-    weights = np.array([vectors @ (rotated / (np.maximum(values, 0.0) + alpha)) for alpha in alphas]) / deviation
-    return weights, y_mean - weights @ mean
+    return raw(np.array([vectors @ (rotated / (np.maximum(values, 0.0) + alpha)) for alpha in alphas]))
+
+
+def elastic_from_moments(train: np.ndarray, candidates: Sequence[Params], scale: Scale | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, intercepts) in the space of the raw features, one row per candidate.
+
+    |y - Xw|^2 / 2n + alpha (l1_ratio |w| + (1 - l1_ratio) |w|^2 / 2) is minimized by coordinate descent on the Gram matrix,
+    which needs no further look at the rows. Candidates are taken by falling alpha, each starting from the weights of the
+    one before. Once the descent has settled which weights aren't zero and their signs, these solve a linear system, and
+    the candidate is done when that changes no sign and no zero weight breaks its bound.
+    """
+    gram, cross, n, raw = _centred(train, scale)
+    gram, cross = gram / n, cross / n
+    diagonal, weights = np.diag(gram).copy(), np.zeros((len(candidates), len(cross)))
+    w = np.zeros(len(cross))
+    pull = np.zeros(len(cross))  # gram @ w
+    for number in sorted(range(len(candidates)), key=lambda i: -candidates[i]["alpha"]):
+        own = candidates[number]
+        l1, l2 = own["alpha"] * own["l1_ratio"], own["alpha"] * (1.0 - own["l1_ratio"])
+        active = np.flatnonzero(diagonal > 0.0)
+        for _ in range(int(own.get("max_iter", 1000))):
+            for j in active.tolist():
+                lean = cross[j] - pull[j] + diagonal[j] * w[j]
+                new = math.copysign(max(abs(lean) - l1, 0.0), lean) / (diagonal[j] + l2)
+                if new != w[j]:
+                    pull += gram[j] * (new - w[j])
+                    w[j] = new
+            active = np.flatnonzero(w)
+            sign = np.sign(w[active])
+            exact = np.linalg.solve(gram[np.ix_(active, active)] + l2 * np.eye(len(active)), cross[active] - l1 * sign)
+            if (np.sign(exact) != sign).any():
+                continue
+            w[active] = exact
+            pull = gram[:, active] @ exact
+            broken = np.flatnonzero((w == 0.0) & (np.abs(cross - pull) > l1 * (1.0 + 1e-9)) & (diagonal > 0.0))
+            if not len(broken):
+                break
+            active = np.union1d(active, broken)
+        weights[number] = w
+    return raw(weights)
+
+
+# Linear models whose fits of all trials follow from the sums of one pass.
+FROM_MOMENTS: dict[str, Callable] = {
+    "ridge": lambda train, candidates, scale: ridge_from_moments(train, [c["alpha"] for c in candidates], scale),
+    "elasticnet": elastic_from_moments,
+}
 
 
 def _linear_scores(weights: np.ndarray, intercepts: np.ndarray) -> Callable[[Column], Column]:
@@ -292,8 +351,10 @@ def _linear_scores(weights: np.ndarray, intercepts: np.ndarray) -> Callable[[Col
     return scores
 
 
-def _ridge_predictions(data: DataFrame, key: str, alphas: Sequence[float], dims: int, shared_scale: bool) -> DataFrame:
-    """Held-out predictions of every alpha in every fold: one pass for the sums, one for the predictions."""
+def _linear_predictions(
+    data: DataFrame, key: str, regressor: str, candidates: Sequence[Params], dims: int, shared_scale: bool
+) -> DataFrame:
+    """Held-out predictions of every candidate in every fold: one pass for the sums, one for the predictions."""
     moments = fold_moments(data, dims)
     everything = sum(moments.values())
     scale = _spread(everything) if shared_scale else None
@@ -301,7 +362,7 @@ def _ridge_predictions(data: DataFrame, key: str, alphas: Sequence[float], dims:
     for fold, own in moments.items():
         if everything[0, 0] == own[0, 0]:
             continue  # no rows left to train on
-        predict = _linear_scores(*ridge_from_moments(everything - own, alphas, scale))
+        predict = _linear_scores(*FROM_MOMENTS[regressor](everything - own, candidates, scale))
         held_out = data.filter(F.col("fold") == fold)
         predicted = held_out.select(
             "fold", F.col(key).alias("_key"), "score", predict(vector_to_array("features")).alias("_p")
@@ -357,17 +418,17 @@ def cross_validate(
 ) -> DataFrame:
     """(trial, spearman): mean over folds of the held-out rank correlation.
 
-    Ridge on dense features needs one pass for all trials and folds at any width up to MOMENT_DIMS,
-    and beyond it is refused; other models are fitted one by one with Spark ML. Held-out predictions of all trials and folds are ranked together. By default
+    Linear models on dense features need one pass for all trials and folds at any width up to MOMENT_DIMS,
+    and beyond it are refused; other models are fitted one by one with Spark ML. Held-out predictions of all trials and folds are ranked together. By default
     features are scaled inside each fold; `scale_before_split` scales once on all rows, as the
     exported model has it.
     """
     data = stage(with_fold(rows, key, folds), "training")
-    if regressor == "ridge" and preprocessor is embedding_preprocessor:
+    if regressor in FROM_MOMENTS and preprocessor is embedding_preprocessor:
         dims = data.select("features").first().features.size
         if dims > MOMENT_DIMS:
-            raise ValueError(f"ridge takes at most {MOMENT_DIMS} features, not {dims}")
-        predictions = _ridge_predictions(data, key, [c["alpha"] for c in candidates], dims, scale_before_split)
+            raise ValueError(f"{regressor} takes at most {MOMENT_DIMS} features, not {dims}")
+        predictions = _linear_predictions(data, key, regressor, candidates, dims, scale_before_split)
     else:
         shared = preprocessor(data, candidates[0]) if scale_before_split else None
         predictions = _fitted_predictions(data, key, regressor, candidates, preprocessor, shared, parallelism)

@@ -190,12 +190,12 @@ def test_one_pass_ridge_matches_single_fits(spark, monkeypatch, scale_before_spl
 
     one_pass = run()
 
-    def fitted(data, key, alphas, dims, shared_scale):
+    def fitted(data, key, regressor, own, dims, shared_scale):
         plain = training.embedding_preprocessor
         shared = plain(data, {}) if shared_scale else None
-        return training._fitted_predictions(data, key, "ridge", [{"alpha": a} for a in alphas], plain, shared, 4)
+        return training._fitted_predictions(data, key, regressor, own, plain, shared, 4)
 
-    monkeypatch.setattr(training, "_ridge_predictions", fitted)
+    monkeypatch.setattr(training, "_linear_predictions", fitted)
     np.testing.assert_allclose(one_pass, run(), atol=1e-9)
 
 
@@ -219,6 +219,52 @@ def test_elastic_net_matches_coordinate_descent(spark):
     np.testing.assert_allclose(model.stages[-1].coefficients.toArray(), w, atol=1e-4)
 
 
+def moments_of(x, y):
+    a = np.column_stack([np.ones(len(y)), x, y])
+    return a.T @ a
+
+
+def test_elastic_net_from_moments_is_optimal_for_thirty_trials():
+    """Every trial meets the conditions of the optimum, with correlated and constant features, in any order of the trials."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(80, 12))
+    x[:, 3] = x[:, 2] + 0.01 * rng.normal(size=80)
+    x[:, 7] = 5.0
+    y = 3 * x[:, 0] - 2 * x[:, 2] + rng.normal(size=80)
+    candidates = training.trials("elasticnet", 30, seed=1)
+    weights, intercepts = training.elastic_from_moments(moments_of(x, y), candidates)
+    deviation = np.where(x.std(0) == 0, 1.0, x.std(0))
+    z, n = (x - x.mean(0)) / deviation, len(y)
+    np.testing.assert_allclose(intercepts, y.mean() - weights @ x.mean(0))
+    for c, w in zip(candidates, weights * deviation):
+        l1, l2 = c["alpha"] * c["l1_ratio"], c["alpha"] * (1 - c["l1_ratio"])
+        slope = z.T @ (y - y.mean() - z @ w) / n - l2 * w
+        at_zero = w == 0
+        assert (np.abs(slope[at_zero]) <= l1 + 1e-6).all()
+        np.testing.assert_allclose(slope[~at_zero], l1 * np.sign(w[~at_zero]), atol=1e-6)
+    again, _ = training.elastic_from_moments(moments_of(x, y), candidates[::-1])
+    np.testing.assert_allclose(again[::-1], weights, atol=1e-6)
+
+
+def test_elastic_net_from_moments_equals_single_fits(spark):
+    _, _, rows = regression_rows(spark, n=60, seed=5)
+    (moments,) = training.fold_moments(rows.withColumn("fold", F.lit(0)), 4).values()
+    candidates = [{"alpha": 0.5, "l1_ratio": 0.7, "max_iter": 1000}, {"alpha": 0.01, "l1_ratio": 0.2, "max_iter": 1000}]
+    weights, intercepts = training.elastic_from_moments(moments, candidates)
+    for c, w, b in zip(candidates, weights, intercepts):
+        model = training.fit("elasticnet", c, rows, training.embedding_preprocessor)
+        predicted = np.array([r.prediction for r in model.transform(rows).orderBy("key").collect()])
+        x = np.array([r.features.toArray() for r in rows.orderBy("key").collect()])
+        np.testing.assert_allclose(x @ w + b, predicted, atol=1e-3)
+
+
+def test_elastic_net_trials_take_one_pass(spark):
+    """Thirty trials in five folds, scored like single models."""
+    _, _, rows = regression_rows(spark, n=60, seed=5)
+    result = training.cross_validate(rows, "key", "elasticnet", training.trials("elasticnet", 30)).collect()
+    assert sorted(r.trial for r in result) == list(range(30)) and max(r.spearman for r in result) > 0.9
+
+
 def test_unknown_regressor():
     with pytest.raises(ValueError, match="unknown regressor"):
         training.trials("magic", 1)
