@@ -45,9 +45,15 @@ class RelevanceRules:
         )
 
 
-def _java_fragment(fragment: str) -> str:
-    """Named groups are written differently in Java."""
-    return re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", fragment.replace("(?P<", "(?<"))
+def _java_fragment(fragment: str, number: int) -> str:
+    """Named groups in Java's writing. Every fragment has names of its own, as all of them become one pattern.
+
+    Java's names have no underscores, so a group is called by the numbers of its fragment and of its name there.
+    """
+    names = list(dict.fromkeys(re.findall(r"\(\?P<(\w+)>", fragment)))
+    called = {name: f"f{number}g{i}" for i, name in enumerate(names)}
+    opened = re.sub(r"\(\?P<(\w+)>", lambda m: f"(?<{called[m[1]]}>", fragment)
+    return re.sub(r"\(\?P=(\w+)\)", lambda m: f"\\k<{called.get(m[1], m[1])}>", opened)
 
 
 def _groups(fragment: str) -> int:
@@ -83,7 +89,7 @@ def any_word(text: Column, fragments: Sequence[str], case_sensitive: bool = Fals
     if not fragments:
         return F.lit(False)
     flags, start = ("(?U)", "") if case_sensitive else ("(?iU)", _first_letters(fragments))
-    return text.rlike(rf"{flags}\b{start}(?:{'|'.join(_java_fragment(f) for f in _renumbered(fragments))})\b")
+    return text.rlike(rf"{flags}\b{start}(?:{'|'.join(_java_fragment(f, i) for i, f in enumerate(_renumbered(fragments)))})\b")
 
 
 def relevance(rules: RelevanceRules, title: Column, description: Column) -> Column:

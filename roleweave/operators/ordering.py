@@ -21,17 +21,30 @@ from pyspark.sql import functions as F
 from roleweave.session import stage
 
 SLICE = "_slice"
+# Compressed bytes of staged rows in a slice.
+SLICE_BYTES = 64 << 20
 
 
 def _sliced(df: DataFrame, keys: Sequence[Column], staged: bool = False) -> DataFrame:
     """Range-partition on ascending `keys` and label the slices.
 
     Range partitioning reads its input twice, once for the sample; input that is not staged yet is
-    staged, so that whatever computes it runs once. The number of slices is left to the adaptive
-    planner: small inputs get few, and neighbours are merged in order.
+    staged, so that whatever computes it runs once.
     """
     rows = df if staged else stage(df, "unordered")
-    return rows.repartitionByRange(*keys).withColumn(SLICE, F.spark_partition_id())
+    return _ranged(rows, keys).withColumn(SLICE, F.spark_partition_id())
+
+
+def _ranged(rows: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """Range-partition staged rows into slices of at most SLICE_BYTES, as far as their order can be sampled evenly.
+
+    While the session's shuffle partitions are enough for that, the number of slices is left to the adaptive planner: small
+    inputs get few, and neighbours are merged in order. Larger inputs get a number of slices that grows with them.
+    """
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    slices = -(-size // SLICE_BYTES)
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(slices, *keys) if slices > usual else rows.repartitionByRange(*keys)
 
 
 def _per_slice(values: dict[int, object], element: str) -> Column:
@@ -51,7 +64,7 @@ def numbered_in_order(rows: DataFrame, keys: Sequence[Column]) -> DataFrame:
 
     Inside a sorted partition the generated ids count up from zero; their upper bits are the partition.
     """
-    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
+    ordered = _ranged(rows, keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
     return ordered.withColumns(
         {SLICE: F.shiftright("_id", 33).cast("int"), "_row": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1}
     ).drop("_id")

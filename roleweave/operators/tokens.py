@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Sequence
 from string import punctuation
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roleweave.session import stage
 from roleweave.vocabulary import STOP_WORDS
 
 # The published Treebank rules for lower-case text, in order: what is set apart by blanks. Marks inside
@@ -18,8 +21,8 @@ TREEBANK = (
     (r"([:,])$", " $1 "),
     (r"\.\.\.", " ... "),
     (r"([;@#$%&?!])", " $1 "),
-    # A full stop ends a sentence behind a word that is longer than a letter and has no dot of its own.
-    (r"(^|\s)([^\s.]{2,})\.([\])}>\"']*)(\s|$)", "$1$2 . $3$4"),
+    # A full stop ends a sentence behind a word that is longer than a letter, has no dot of its own and is no abbreviation.
+    (r"(^|\s)(?![(\[{<]*{abbreviations}\.)([^\s.]{2,})\.([\])}>\"']*)(?=\s|$)", "$1$2 . $3"),
     (r"([\]\[(){}<>])", " $1 "),
     (r"--", " -- "),
     (r"''|\"", " '' "),  # any other quotation mark closes
@@ -33,15 +36,52 @@ TREEBANK = (
 )
 
 
-def tokens(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+# Words that keep their full stop wherever they stand. `learnt_abbreviations` finds those of a corpus.
+ABBREVIATIONS = (
+    "approx", "assoc", "ave", "bldg", "co", "corp", "dept", "dr", "ed", "eq", "est", "etc", "fig", "gen", "gov", "inc", "jr", "ltd",
+    "max", "min", "mr", "mrs", "ms", "no", "nos", "pp", "prof", "ref", "rep", "resp", "sr", "st", "univ", "viz", "vol", "vs",
+)
+# Least score of a learnt abbreviation, and the share of its occurrences that would end in a full stop.
+LEAST_SCORE, ALWAYS = 0.3, 0.99
+
+
+def learnt_abbreviations(docs: DataFrame, text: str) -> DataFrame:
+    """(word, with_stop, without_stop, score) of the abbreviations of a corpus, by the statistics of its full stops.
+
+    A word is scored by the likelihood that its full stop is part of it, against full stops falling behind words at
+    random; shorter words and those with dots inside score higher, and those that also stand without the full stop lower,
+    the more so the longer they are (Kiss and Strunk, 2006). Two counts per word are all that is shuffled.
+    """
+    parts = F.explode(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"(?U)\s+")).alias("part")
+    bare = F.regexp_replace(F.regexp_replace("part", r"^[(\"'\[{<]+", ""), r"[)\"'\]}>,;:!?]+$", "")
+    words = docs.select(parts).select(bare.alias("bare")).where("bare <> ''")
+    stop = F.col("bare").endswith(".")
+    counted = words.groupBy(F.when(stop, F.expr("left(bare, length(bare) - 1)")).otherwise(F.col("bare")).alias("word")).agg(
+        F.count_if(stop).alias("with_stop"), F.count_if(~stop).alias("without_stop")
+    )
+    counts = stage(counted, "word_stops")
+    total = counts.agg(F.sum(F.col("with_stop") + F.col("without_stop")).alias("n"), F.sum("with_stop").alias("stops")).first()
+    if not total.n or total.stops in (0, total.n):
+        return counts.select("word", "with_stop", "without_stop", F.lit(0.0).alias("score")).limit(0)
+    share, k, rest = total.stops / total.n, F.col("with_stop"), F.col("without_stop")
+    likelihood = 2.0 * (k * (math.log(ALWAYS) - math.log(share)) + rest * (math.log(1 - ALWAYS) - math.log(1 - share)))
+    dots = F.length("word") - F.length(F.replace("word", F.lit("."), F.lit(""))) + 1
+    letters = F.length("word") - dots + 1
+    score = likelihood * F.exp(-letters) * dots * F.exp(-rest * F.log(letters.cast("double")))
+    found = counts.where((k > 0) & F.col("word").rlike(r"\p{L}")).withColumn("score", score)
+    return found.where(F.col("score") >= LEAST_SCORE)
+
+
+def tokens(text: Column, stop_words: Sequence[str] = STOP_WORDS, abbreviations: Sequence[str] = ABBREVIATIONS) -> Column:
     """Lower-case Treebank tokens without stop words and punctuation.
 
-    A token goes as punctuation when it is a piece of the punctuation string, so quotation marks
-    (two characters each) and a double dash stay.
+    A full stop is set apart where a sentence ends, and stays with an abbreviation. A token goes as punctuation when it is
+    a piece of the punctuation string, so quotation marks (two characters each) and a double dash stay.
     """
     apart = F.concat(F.lower(text), F.lit(" "))
+    kept = "(?:" + "|".join(re.escape(a) for a in sorted(abbreviations)) + ")" if abbreviations else "(?!)"
     for pattern, replacement in TREEBANK:
-        apart = F.regexp_replace(apart, pattern, replacement)
+        apart = F.regexp_replace(apart, pattern.replace("{abbreviations}", kept), replacement)
     found = F.filter(F.split(apart, r"(?U)\s+"), lambda t: t != "")
     kept = F.filter(found, lambda t: ~F.contains(F.lit(punctuation), t))
     return F.filter(kept, lambda t: ~t.isin(*stop_words)) if stop_words else kept

@@ -548,8 +548,7 @@ def population_scaler(spark: SparkSession, folder: str) -> DataFrame:
 def _hand_scores(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     labels = adapters.table(spark, folder, "labels")
     scores = labels.select(F.col("doc_id").cast("string").alias("name"), (F.col("quality") * 100.0).alias("score"))
-    texts = adapters.document_postings(spark, folder).filter("description <> ''")
-    return scores, texts.select(F.col("id").cast("string").alias("name"), "description")
+    return scores, adapters.document_postings(spark, folder).select(F.col("id").cast("string").alias("name"), "description")
 
 
 def training_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -564,6 +563,12 @@ def _words(spark: SparkSession, folder: str) -> DataFrame:
     return adapters.table(spark, folder, "documents").select("doc_id", tokens.tokens(F.col("text")).alias("tokens"))
 
 
+def corpus_abbreviations(spark: SparkSession, folder: str) -> DataFrame:
+    """Abbreviations that the full stops of the documents show."""
+    found = tokens.learnt_abbreviations(adapters.table(spark, folder, "documents"), "text")
+    return found.select("word", "with_stop", "without_stop", F.round("score", 6).alias("score"))
+
+
 def document_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.document_frequency(_words(spark, folder), "tokens")
 
@@ -691,6 +696,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "population_scaler": population_scaler,
     "training_join": training_join,
     "training_skipped": training_skipped,
+    "corpus_abbreviations": corpus_abbreviations,
     "document_frequency": document_frequency,
     "bow_top_terms": bow_top_terms,
     "ridge_cv": _cv("ridge", 30),

@@ -145,6 +145,12 @@ rho AS (SELECT {keys}, CASE WHEN min(a) = max(a) OR min(b) = max(b) THEN 0.0 ELS
 # ---------------------------------------------------------------- tokens
 
 
+_ABBREVIATED = (
+    "approx assoc ave bldg co corp dept dr ed eq est etc fig gen gov inc jr ltd "
+    "max min mr mrs ms no nos pp prof ref rep resp sr st univ viz vol vs"
+).split()
+
+
 def _tokens() -> str:
     """Tokens by the Treebank rules, blank by blank: each line below sets one kind of mark apart."""
     steps = (
@@ -153,7 +159,11 @@ def _tokens() -> str:
         ("([:,])$", " \\1 "),
         ("[.][.][.]", " ... "),
         ("([;@#$%&?!])", " \\1 "),
-        ("(^|\\s)([^\\s.][^\\s.]+)[.]([\\])}>\"'']*)(\\s|$)", "\\1\\2 . \\3\\4"),
+        # Blanks are doubled, as a match takes those around it; the stop of an abbreviation is hidden from the next line.
+        ("(\\s)", "\\1\\1"),
+        (f"(^|\\s)([(\\[{{<]*(?:{'|'.join(_ABBREVIATED)}))[.]", "\\1\\2\x01"),
+        ("(^|\\s)([^\\s.\x01][^\\s.\x01]+)[.]([\\])}>\"'']*)(\\s|$)", "\\1\\2 . \\3\\4"),
+        ("\x01", "."),
         ("([][(){}<>])", " \\1 "),
         ("--", " -- "),
         ("''''|\"", " '''' "),
@@ -355,9 +365,17 @@ def oracle_sql() -> dict[str, str]:
         "population_scaler": """WITH x AS (SELECT unnest(embedding)::DOUBLE AS v, unnest(range(0, len(embedding))) AS dim FROM embeddings)
             SELECT CAST(dim AS INTEGER) AS dim, round(avg(v), 6) AS mean, round(CASE WHEN min(v) = max(v) THEN 1.0 ELSE stddev_pop(v) END, 6) AS scale FROM x GROUP BY dim""",
         "training_join": f"""WITH {_DOCS} SELECT CAST(id AS VARCHAR) AS name, quality * 100.0::DOUBLE AS score, description
-            FROM d0 JOIN labels ON doc_id = id WHERE description <> ''""",
+            FROM d0 JOIN labels ON doc_id = id""",
         "training_skipped": f"""WITH {_DOCS} SELECT CAST(l.doc_id AS VARCHAR) AS name, quality * 100.0::DOUBLE AS score FROM labels l
-            WHERE NOT EXISTS (SELECT 1 FROM d0 WHERE id = l.doc_id AND description <> '')""",
+            WHERE NOT EXISTS (SELECT 1 FROM d0 WHERE id = l.doc_id)""",
+        "corpus_abbreviations": r"""WITH p AS (SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS part FROM documents),
+            w AS (SELECT regexp_replace(regexp_replace(part, '^[("''\[{<]+', ''), '[)"''\]}>,;:!?]+$', '') AS b FROM p),
+            c AS (SELECT regexp_replace(b, '[.]$', '') AS word, count(*) FILTER (b LIKE '%.') AS k, count(*) FILTER (b NOT LIKE '%.') AS r FROM w WHERE b <> '' GROUP BY 1),
+            t AS (SELECT sum(k) / sum(k + r) AS p FROM c),
+            s AS (SELECT word, k, r, length(word) - length(replace(word, '.', '')) + 1 AS dots, length(replace(word, '.', '')) AS letters,
+              -2 * ((k * ln(p) + r * ln(1 - p)) - (k * ln(0.99) + r * ln(0.01))) AS l FROM c, t WHERE k > 0 AND regexp_matches(word, '\p{L}')),
+            z AS (SELECT word, k AS with_stop, r AS without_stop, l * exp(-letters) * dots * exp(-r * ln(letters)) AS score FROM s)
+            SELECT word, with_stop, without_stop, round(score, 6) AS score FROM z WHERE score >= 0.3""",
         "document_frequency": f"WITH {_tokens()} SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(tokens)) AS term FROM t) GROUP BY term",
         "bow_top_terms": f"""WITH {_tokens()},
             g AS (SELECT doc_id, list_concat(tokens, list_transform(range(1, len(tokens)), lambda i: tokens[i] || ' ' || tokens[i + 1])) AS terms FROM t),

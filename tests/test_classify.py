@@ -102,3 +102,10 @@ def test_numbered_groups_stay_with_their_fragment(one):
     assert one(match("(b)ar", r"(foo) \1"), "x string", "so foo foo it is")
     assert not one(match("(b)ar", r"(foo) \1"), "x string", "foo bat")
     assert one(match(r"(?:x)[(]?(y)", r"(?P<n>z)(?P=n)", r"(a|b)\1c"), "x string", "bbc")
+
+
+def test_named_groups_stay_with_their_fragment(one):
+    """A name may be used in several fragments, and may have an underscore."""
+    fragments = [r"(?P<n>a)(?P=n)", r"(?P<n>b)(?P=n)", r"(?P<my_name>c+)-(?P=my_name)"]
+    for text, expected in (("aa", True), ("bb", True), ("ab", False), ("cc-cc", True), ("cc-c", False)):
+        assert one(lambda x: any_word(x, fragments), "x string", text) is expected, text

@@ -122,3 +122,15 @@ def test_positions_need_one_shuffle(spark):
     plan = plan_of(numbered_in_order(spark.range(1000), [F.col("id")]))
     assert plan.count("Exchange\n") + plan.count("Exchange (") <= 3 and "Window" not in plan
     assert len({line for line in plan.split("\n") if "Exchange" in line and line.startswith("(")}) == 1
+
+
+def test_slices_follow_the_data(spark, monkeypatch):
+    """Inputs beyond what the session's partitions should hold get more slices, and the same positions."""
+    from roleweave.operators import ordering
+    from roleweave.session import stage
+
+    rows = stage(spark.range(20_000).withColumn("k", F.pmod(F.xxhash64("id"), F.lit(7))), "rows")
+    expected = {r.id: r.position for r in ordering.with_position(rows, [F.col("k"), F.col("id")], staged=True).collect()}
+    monkeypatch.setattr(ordering, "SLICE_BYTES", 4 << 10)
+    assert ordering._ranged(rows, [F.col("k"), F.col("id")]).rdd.getNumPartitions() > 20
+    assert {r.id: r.position for r in ordering.with_position(rows, [F.col("k"), F.col("id")], staged=True).collect()} == expected

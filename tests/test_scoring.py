@@ -386,3 +386,20 @@ def test_compare_and_save(spark, root):
     table, studies = training.compare(rows, "key", families, n_trials=1)
     assert [(r.model, r.family) for r in table.collect()] == [("ridge", "embedding")]
     assert training.save_all(rows, studies, families, root) == [f"{root}/embedding_ridge"]
+
+
+def test_abbreviations_keep_their_stop(one):
+    found = one(lambda x: tokens.tokens(x, ()), "x string", "Acme Inc. hires Dr. Smith vs. others. He ends (etc.) here. I.e. twice.")
+    assert found == ["acme", "inc.", "hires", "dr.", "smith", "vs.", "others", "he", "ends", "etc.", "here", "i.e.", "twice"]
+    assert one(lambda x: tokens.tokens(x, (), ("foo",)), "x string", "foo. inc. bar.") == ["foo.", "inc", "bar"]
+
+
+def test_abbreviations_are_learnt_from_full_stops(spark):
+    """Words that always have a stop, also in front of lower-case words, against those that end sentences now and then."""
+    from roleweave.operators.tokens import learnt_abbreviations
+
+    texts = [f"The firm bioq. zq. and abt. u.x. made genomes with word{i}. It was done." for i in range(30)] + ["It was done with it and the firm made it well"] * 20
+    found = {r.word: r for r in learnt_abbreviations(spark.createDataFrame([(t,) for t in [*texts, None]], "text string"), "text").collect()}
+    assert {"bioq", "zq", "abt", "u.x"} <= set(found) and not {"firm", "and", "with", "was", "done", "word1"} & set(found)
+    assert found["zq"].without_stop == 0 and found["zq"].with_stop == 30
+    assert learnt_abbreviations(spark.createDataFrame([], "text string"), "text").count() == 0
