@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from roleweave.session import stage
 
 SLICE = "_slice"
-# Compressed bytes of staged rows in a slice.
-SLICE_BYTES = 64 << 20
+# Rows of a slice.
+SLICE_ROWS = 1 << 20
 
 
 def _sliced(df: DataFrame, keys: Sequence[Column], staged: bool = False) -> DataFrame:
@@ -36,13 +36,12 @@ def _sliced(df: DataFrame, keys: Sequence[Column], staged: bool = False) -> Data
 
 
 def _ranged(rows: DataFrame, keys: Sequence[Column]) -> DataFrame:
-    """Range-partition staged rows into slices of at most SLICE_BYTES, as far as their order can be sampled evenly.
+    """Range-partition staged rows into slices of about SLICE_ROWS rows at most; counting a staged table reads its footers.
 
     While the session's shuffle partitions are enough for that, the number of slices is left to the adaptive planner: small
     inputs get few, and neighbours are merged in order. Larger inputs get a number of slices that grows with them.
     """
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    slices = -(-size // SLICE_BYTES)
+    slices = -(-rows.count() // SLICE_ROWS)
     usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartitionByRange(slices, *keys) if slices > usual else rows.repartitionByRange(*keys)
 

@@ -131,6 +131,6 @@ def test_slices_follow_the_data(spark, monkeypatch):
 
     rows = stage(spark.range(20_000).withColumn("k", F.pmod(F.xxhash64("id"), F.lit(7))), "rows")
     expected = {r.id: r.position for r in ordering.with_position(rows, [F.col("k"), F.col("id")], staged=True).collect()}
-    monkeypatch.setattr(ordering, "SLICE_BYTES", 4 << 10)
+    monkeypatch.setattr(ordering, "SLICE_ROWS", 500)
     assert ordering._ranged(rows, [F.col("k"), F.col("id")]).rdd.getNumPartitions() > 20
     assert {r.id: r.position for r in ordering.with_position(rows, [F.col("k"), F.col("id")], staged=True).collect()} == expected
