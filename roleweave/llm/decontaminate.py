@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roleweave.llm import arrays
-from roleweave.session import stage
+from roleweave.session import fits_broadcast, stage
 
 WINDOW = 13
 GRAM = 5
@@ -213,7 +213,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` whose text isn't contaminated, with their own columns."""
+    """The rows of `docs` whose text isn't contaminated, with their own columns.
+
+    Rows go by a hash of id and text, so those that share an id, or have none, are judged each by its own text.
+    """
     row = arrays.unused(docs.columns, "_row")
-    found = contamination(docs.select("doc_id", "text"), benchmark).where("contaminated").select(F.col("doc_id").alias(row)).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found[row]), "left_anti")
+    key = F.xxhash64("doc_id", "text")
+    found = contamination(docs.select(key.alias("doc_id"), "text"), benchmark).where("contaminated").select(F.col("doc_id").alias(row)).distinct()
+    found = stage(found, "contaminated")
+    side = F.broadcast(found) if fits_broadcast(8 * found.count()) else found
+    return docs.join(side, key == F.col(row), "left_anti")

@@ -4,9 +4,10 @@
    document alike, rare ones first. The order decides the cost only, never the result.
 2. One pass keeps of each document its set size, a fingerprint of the set, and the prefix in that order that any
    document similar enough has to meet. Documents with the same set become one class.
-3. Prefix shingles held by one class only are dropped. Posting lists are cut by set size, so that each piece holds the
-   sizes that may be linked. Short pieces are joined with themselves under the length, positional and suffix filters;
-   a long one links its members to its first one. Both only say who may be linked.
+3. A filter of fixed size drops most prefix shingles that one class holds, before any of them is shuffled; it only ever
+   lets too many through. Posting lists are cut into bands of set size and come to a task in the order of size. Short ones
+   are paired under the length, positional and suffix filters; in a long one each member is linked to the first one of
+   its sizes, which needs no more memory than these. Both only say who may be linked.
 4. Connected candidates are verified together: their sets are fetched once and cut into blocks of bounded size, each pair
    of blocks is one task group, and each pair of documents meets in exactly one. Pairs that the length and suffix
    filters leave, and that aren't connected yet, are compared exactly. A block returns a spanning forest of its links,
@@ -24,12 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roleweave.llm import arrays
 from roleweave.llm.components import components
-from roleweave.session import stage
+from roleweave.session import fits_broadcast, stage
 
 # Words of a shingle, and links (100 * intersection >= percent * union), of the query. Others are arguments.
 WORDS = 3
@@ -43,6 +45,10 @@ SHORT_LIST = 200
 PACKED_PARTS = 16
 # Shingles in each part of a signature, on average; the suffix filter of pairs compares signatures.
 SIGNATURE_MEAN = 16
+# Cells of the filter of prefix shingles, cells of a chunk of it, as powers of two, and shingles a task counts at once.
+FILTER_BITS, CHUNK_BITS, CELLS_HELD = 27, 16, 2_000_000
+# Steps of size whose postings of a shingle are one list.
+BAND = 8
 # Shingles in a block of documents that are verified together.
 BLOCK_SHINGLES = 200_000
 
@@ -172,32 +178,202 @@ def classes(rows: DataFrame) -> DataFrame:
     return held.groupBy("n_shingles", "sum_a", "sum_b").agg(F.min("doc_id").alias("class"))
 
 
+def _representatives(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """One profile of each class, without moving the profiles of rows that are no copies of others."""
+    keys = ["doc_id", "sum_a", "sum_b"]
+    held = rows.where("n_shingles > 0 and doc_id is not null")
+    times = held.groupBy("n_shingles", *keys).agg(F.count("*").alias("_times")).join(found, ["n_shingles", "sum_a", "sum_b"])
+    copies = stage(times.where("doc_id <> class or _times > 1").select(*keys, (F.col("doc_id") == F.col("class")).alias("_stays")), "jaccard_copies")
+    side = F.broadcast(copies) if fits_broadcast(32 * copies.count()) else copies
+    marked = held.join(side, keys, "left")
+    repeated = marked.where("_stays").dropDuplicates(keys)
+    return marked.where("_stays is null").union(repeated).drop("_stays").withColumnRenamed("doc_id", "class")
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells of the hash space that prefix shingles fall into, once or more often in this task, by chunk of cells."""
+    held: list[np.ndarray] = []
+
+    def flush() -> pa.RecordBatch:
+        cells, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        held.clear()
+        chunks, low = (cells >> np.uint64(CHUNK_BITS)).astype(np.int64), (cells & np.uint64((1 << CHUNK_BITS) - 1)).astype("<u2")
+        starts = np.flatnonzero(np.diff(chunks, prepend=-1))
+        once, more = [], []
+        for a, b in zip(starts, [*starts[1:], len(cells)]):
+            once.append(low[a:b][n[a:b] == 1].tobytes())
+            more.append(low[a:b][n[a:b] > 1].tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(chunks[starts]), pa.array(once, pa.binary()), pa.array(more, pa.binary())], ["chunk", "once", "more"])
+
+    size = 0
+    for batch in batches:
+        tokens = np.array(batch.column("prefix").flatten()).astype(np.int64).view(np.uint64)
+        held.append(tokens >> np.uint64(64 - FILTER_BITS))
+        size += len(tokens)
+        if size >= CELLS_HELD:
+            yield flush()
+            size = 0
+    yield flush()
+
+
+def _met_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bits of the cells of each chunk that two shingles or more fell into; all rows of a chunk are in one task."""
+    counts: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, once, more in zip(*(batch.column(c).to_pylist() for c in ("chunk", "once", "more"))):
+            own = counts.setdefault(chunk, np.zeros(1 << CHUNK_BITS, dtype=np.uint8))
+            for cells, n in ((np.frombuffer(once, "<u2"), 1), (np.frombuffer(more, "<u2"), 2)):
+                own[cells] = np.minimum(own[cells] + n, 2)
+    bits = [np.packbits(c >= 2, bitorder="little").tobytes() for c in counts.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(bits, pa.binary())], ["chunk", "bits"])
+
+
+def met_filter(one: DataFrame) -> np.ndarray:
+    """A bit for each cell that two prefix shingles or more fall into: a table of fixed size that lets none of these out."""
+    cells = one.select("prefix").mapInArrow(_cells, "chunk long, once binary, more binary").repartition("chunk")
+    out = np.zeros((1 << (FILTER_BITS - CHUNK_BITS), (1 << CHUNK_BITS) // 8), dtype=np.uint8)
+    for row in cells.mapInArrow(_met_cells, "chunk long, bits binary").collect():
+        out[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
+
+
+def _width(percent: int) -> float:
+    """Linked sizes differ by less than one step of this logarithm, so they meet in a step or at its border."""
+    return float(-np.log(percent / 100 - 0.01))
+
+
+def _posted(bits, percent: int):
+    """Postings of prefix shingles that may be held twice. A band is BAND steps of size; at a border a posting is in both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                rows = batch.slice(at, 2000)
+                lengths = np.array(pc.list_value_length(rows.column("prefix"))).astype(np.int64)
+                tokens = np.array(rows.column("prefix").flatten()).astype(np.int64)
+                owner = np.repeat(np.arange(rows.num_rows), lengths)
+                pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+                cells = tokens.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+                kept = (bits()[(cells >> np.uint64(3)).astype(np.int64)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                owner, tokens, pos = owner[kept], tokens[kept], pos[kept]
+                n = np.array(rows.column("n_shingles")).astype(np.int64)
+                step = np.floor(np.log(np.maximum(n, 1)) / _width(percent)).astype(np.int64)[owner]
+                border = np.flatnonzero((step + 1) // BAND != step // BAND)
+                every = np.concatenate((np.arange(len(owner)), border))
+                band = np.concatenate((step // BAND, step[border] // BAND + 1)).astype(np.int32)
+                take = pa.array(owner[every])
+                columns = [pa.array(tokens[every]), pa.array(band), pa.array(pos[every].astype(np.int32))]
+                columns += [rows.column(c).take(take) for c in ("n_shingles", "class", *_PARTS)]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "band", "pos", "n", "class", *_PARTS])
+
+    return run
+
+
+def _between(i: np.ndarray, j: np.ndarray, rows: dict[str, np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of postings of one list pass the positional filter and, by the counts of parts, the suffix filter."""
+    n, pos = rows["n"], rows["pos"]
+    both = n[i] + n[j]
+    needed = -(-percent * both // (100 + percent))
+    good = np.minimum(n[i] - pos[i], n[j] - pos[j]) >= needed
+    at = np.flatnonzero(good)
+    difference = np.abs(rows["parts"][i[at]].astype(np.int64) - rows["parts"][j[at]]).sum(axis=1)
+    good[at] = (100 + percent) * difference <= (100 - percent) * both[at]
+    return good
+
+
+def _paired(percent: int):
+    """Candidate pairs of lists that come in the order of token, band and size."""
+
+    def short(rows: dict[str, np.ndarray], groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        i, d = np.arange(len(groups)), 1
+        while len(i):
+            i = i[i + d < len(groups)]
+            i = i[groups[i] == groups[i + d]]
+            # Sizes ascend, so what is too long for a posting now stays so.
+            i = i[100 * rows["n"][i] >= percent * rows["n"][i + d]]
+            good = _between(i, i + d, rows, percent)
+            yield rows["class"][i[good]], rows["class"][i[good] + d]
+            d += 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] | None = None
+        # The list that is too long to pair up, and the first posting of each of its steps.
+        long, anchors = None, {}
+
+        def stars(rows: dict[str, np.ndarray], a: int, b: int) -> tuple[list[int], list[int]]:
+            nonlocal long, anchors
+            key = (int(rows["token"][a]), int(rows["band"][a]))
+            if key != long:
+                long, anchors = key, {}
+            left, right = [], []
+            steps = np.floor(np.log(np.maximum(rows["n"][a:b], 1)) / _width(percent)).astype(np.int64).tolist()
+            for own, step in zip(rows["class"][a:b].tolist(), steps):
+                for s in (step, step + 1):
+                    anchor = anchors.setdefault(s, own)
+                    if anchor != own:
+                        left.append(anchor)
+                        right.append(own)
+            return left, right
+
+        def paired(rows: dict[str, np.ndarray], last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            size = len(rows["token"])
+            change = np.flatnonzero((np.diff(rows["token"]) != 0) | (np.diff(rows["band"]) != 0)) + 1
+            starts = np.concatenate(([0], change)) if size else np.zeros(0, np.int64)
+            ends = np.append(starts[1:], size)
+            lengths = ends - starts
+            # A list goes on from one batch to the next; what is long is a star at once.
+            begun = np.array([k for k in range(len(starts)) if (int(rows["token"][starts[k]]), int(rows["band"][starts[k]])) == long][:1], dtype=np.int64)
+            is_long = lengths > SHORT_LIST
+            is_long[begun] = True
+            open_last = not last and size > 0 and not is_long[-1]
+            held = {c: v[starts[-1] :] for c, v in rows.items()} if open_last else None
+            stop = starts[-1] if open_last else size
+            is_pair = ~is_long & (lengths > 1)
+            if open_last:
+                is_pair[-1] = False
+            which = np.repeat(np.where(is_pair, np.arange(len(starts)), -1), lengths)
+            at = np.flatnonzero(which >= 0)
+            pairs = list(short({c: v[at] for c, v in rows.items()}, which[at])) if len(at) else []
+            a = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in pairs)])
+            b = np.concatenate([np.zeros(0, np.int64), *(x for _, x in pairs)])
+            n_pairs = len(a)
+            linked = [stars(rows, starts[k], ends[k]) for k in np.flatnonzero(is_long) if starts[k] < stop]
+            a = np.concatenate([a, *(np.array(x, dtype=np.int64) for x, _ in linked)])
+            b = np.concatenate([b, *(np.array(x, dtype=np.int64) for _, x in linked)])
+            low, high, star = np.minimum(a, b), np.maximum(a, b), np.arange(len(a)) >= n_pairs
+            order = np.lexsort((star, high, low))
+            low, high, star = low[order], high[order], star[order]
+            new = (np.diff(low, prepend=low[:1] - 1) != 0) | (np.diff(high, prepend=high[:1] - 1) != 0) | (np.diff(star.astype(np.int8), prepend=2) != 0)
+            yield pa.RecordBatch.from_arrays([pa.array(x[new]) for x in (low, high, star)], ["a", "b", "star"])
+
+        for batch in batches:
+            rows = {c: np.array(batch.column(c)) for c in ("token", "band", "n", "pos", "class")}
+            packed = np.stack([np.array(batch.column(p)).astype("<i8") for p in _PARTS], axis=1) if batch.num_rows else np.zeros((0, len(_PARTS)), "<i8")
+            rows["parts"] = packed.view("<u2").reshape(batch.num_rows, PACKED_PARTS)
+            if held is not None:
+                rows = {c: np.concatenate((held[c], v)) for c, v in rows.items()}
+            yield from paired(rows, False)
+        if held is not None:
+            yield from paired(held, True)
+
+    return run
+
+
 def candidates(rows: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of classes that may be linked, connected as in the module's description."""
-    one = rows.join(found, ["n_shingles", "sum_a", "sum_b"]).where(F.col("doc_id") == F.col("class")).dropDuplicates(["class", "sum_a", "sum_b"])
-    postings = one.select("class", F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    held = postings.groupBy("token").agg(F.count("*").alias("_held")).where("_held > 1").select("token")
-    # Linked sizes differ by less than one step of this logarithm, so they meet in a step or at its border.
-    step = F.floor(F.log("n") / float(-np.log(percent / 100 - 0.01))).cast("int")
-    shared = postings.join(held, "token").join(one.select("class", *_PARTS), "class")
-    pieces = stage(shared.withColumn("step", F.explode(F.array(step, step + 1))), "jaccard_postings")
-    lists = pieces.groupBy("token", "step").agg(F.count("*").alias("length"), F.min("class").alias("anchor")).where("length > 1")
-    kept = stage(pieces.join(lists, ["token", "step"]), "jaccard_pieces")
-    star = kept.where((F.col("length") > SHORT_LIST) & (F.col("class") != F.col("anchor"))).select(F.col("anchor").alias("a"), F.col("class").alias("b"))
-    short = kept.where(F.col("length") <= SHORT_LIST)
-    side = lambda x: short.select("token", "step", F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "pos", *_PARTS)])
-    overlap = F.expr(f"ceil({percent} * (n_a + n_b) / {100 + percent}.0)")
-    rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    similar_length = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    count = lambda part, at, x: f"(shiftrightunsigned({part}_{x}, {at}) & 65535)"
-    difference = " + ".join(f"abs({count(p, at, 'a')} - {count(p, at, 'b')})" for p in _PARTS for at in (0, 16, 32, 48))
-    near = F.expr(f"{100 + percent} * ({difference}) <= {100 - percent} * (n_a + n_b)")
-    pairs = side("a").join(side("b"), ["token", "step"]).where((F.col("a") < F.col("b")) & similar_length & (rest >= overlap) & near)
+    one = _representatives(rows, found)
+    bits = arrays.shared(rows.sparkSession, met_filter(one))
+    parts = ", ".join(f"{p} long" for p in _PARTS)
+    postings = one.mapInArrow(_posted(bits, percent), f"token long, band int, pos int, n long, class long, {parts}")
+    lists = postings.repartition("token", "band").sortWithinPartitions("token", "band", "n", "class")
+    pairs = stage(lists.mapInArrow(_paired(percent), "a long, b long, star boolean"), "jaccard_pairs")
+    star = pairs.where("star").select("a", "b")
     signed = one.select("class", F.col("n_shingles").alias("n"), "signature")
     left = signed.select(F.col("class").alias("a"), F.col("n").alias("_n"), F.col("signature").alias("signature_a"))
     right = signed.select(F.col("class").alias("b"), F.col("n").alias("_m"), F.col("signature").alias("signature_b"))
-    found = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
-    near = found.select("a", "b", "signature_a", "signature_b", (F.col("_n") + F.col("_m")).alias("n")).mapInArrow(_near(percent), "a long, b long")
+    asked = pairs.where("not star").select("a", "b").distinct().join(left, "a").join(right, "b")
+    near = asked.select("a", "b", "signature_a", "signature_b", (F.col("_n") + F.col("_m")).alias("n")).mapInArrow(_near(percent), "a long, b long")
     return star.union(near).distinct()
 
 
@@ -264,7 +440,10 @@ def links(docs: DataFrame, may_link: DataFrame, sizes: DataFrame, words: int = W
     members = stage(members.select("class", "root", "n"), "jaccard_members")
     blocks = members.groupBy("root").agg(F.expr(f"cast(sum(n) div {BLOCK_SHINGLES} + 1 as int)").alias("blocks"))
     placed = members.join(blocks, "root").select("class", "root", "blocks", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("_doc_id"), "text").join(placed, F.col("_doc_id") == F.col("class")).select("root", "class", "block", "blocks", "text")
+    # Texts stay where they are while their candidates are few.
+    placed = stage(placed, "jaccard_placed")
+    side = F.broadcast(placed) if fits_broadcast(32 * placed.count()) else placed
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc_id"), "text").join(side, F.col("_doc_id") == F.col("class")).select("root", "class", "block", "blocks", "text")
     sets = texts.mapInArrow(_sets(words), "root long, low int, high int, class long, block int, shingles binary")
     return sets.groupBy("root", "low", "high").applyInArrow(_verify(percent), "a long, b long")
 
@@ -283,17 +462,22 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
 def one_of_each_text(docs: DataFrame, own: str, key: str) -> DataFrame:
     """One row of each text that has words, that with the least `own` (nulls last), and all rows without words.
 
-    `key` is a hash of the text. Rows that agree in both are cut to one of them; only these are shuffled with their text.
+    `key` is a hash of the text. Of rows that agree in both stays the one whose other columns have the least hash; only these are
+    shuffled with their text.
     """
+    copies, first, mine, hashed, number = (arrays.unused(docs.columns, c) for c in ("_copies", "_first", "_own", "_key", "_number"))
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    rows = stage(docs.where(worded).groupBy(own, key).agg(F.count("*").alias("_n")), "jaccard_rows")
-    first = rows.groupBy(F.col(key).alias("_k")).agg(F.min(F.struct(F.col(own).isNull().alias("missing"), F.col(own).alias("own"))).alias("_first"))
-    marked = rows.join(first, F.col(key) == F.col("_k")).withColumn("_is_first", F.col(own).eqNullSafe(F.col("_first.own")))
-    others = stage(marked.where("not _is_first or _n > 1").select(F.col(own).alias("_own"), "_k", "_is_first"), "jaccard_copies")
-    same = F.col(own).eqNullSafe(F.col("_own")) & (F.col(key) == F.col("_k"))
-    repeated = docs.join(others.where("_is_first"), same, "left_semi")
-    number = F.row_number().over(Window.partitionBy(own, key).orderBy(F.lit(0)))
-    return docs.join(others, same, "left_anti").union(repeated.withColumn("_number", number).where("_number = 1").drop("_number"))
+    rows = stage(docs.where(worded).groupBy(F.col(own).alias(mine), F.col(key).alias(hashed)).agg(F.count("*").alias(copies)), "jaccard_rows")
+    least = F.min(F.struct(F.col(mine).isNull().alias("missing"), F.col(mine).alias("own"))).alias(first)
+    firsts = rows.groupBy(F.col(hashed).alias("_of")).agg(least)
+    marked = rows.join(firsts, F.col(hashed) == F.col("_of")).select(mine, hashed, copies, F.col(mine).eqNullSafe(F.col(f"{first}.own")).alias(first))
+    others = stage(marked.where(f"not {first} or {copies} > 1").select(mine, hashed, first), "jaccard_copies")
+    others = F.broadcast(others) if fits_broadcast(24 * others.count()) else others
+    same = F.col(own).eqNullSafe(F.col(mine)) & (F.col(key) == F.col(hashed))
+    repeated = docs.join(others.where(first), same, "left_semi")
+    order = Window.partitionBy(own, key).orderBy(F.xxhash64(*docs.columns), *docs.columns)
+    kept = repeated.withColumn(number, F.row_number().over(order)).where(F.col(number) == 1).drop(number)
+    return docs.join(others, same, "left_anti").union(kept)
 
 
 def one_of_each_group(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -304,11 +488,14 @@ def one_of_each_group(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     """
     own, key = arrays.unused(docs.columns, "_own_id"), arrays.unused(docs.columns, "_text_key")
     keyed = docs.withColumns({own: F.col("doc_id").cast("long"), key: F.xxhash64("text")})
-    single = stage(one_of_each_text(keyed, own, key), "jaccard_single")
+    single = one_of_each_text(keyed, own, key)
     found = groups(single.select(F.col(key).alias("doc_id"), "text"), words, percent).where("n_shingles > 0")
     ids = single.select(F.col(key).alias("_k"), F.col(own).alias("_own"))
     order = F.struct(F.col("_own").isNull().alias("missing"), "_own", "_k")
     named = stage(found.join(ids, F.col("doc_id") == F.col("_k")).select("component_id", order.alias("_order")), "jaccard_named")
     first = named.groupBy("component_id").agg(F.min("_order").alias("_first"))
-    dropped = named.join(first, "component_id").where("_order._k <> _first._k").select(F.col("_order._k").alias("_k"))
-    return single.join(dropped, F.col(key) == F.col("_k"), "left_anti").drop(own, key)
+    gone = arrays.unused(keyed.columns, "_gone")
+    dropped = named.join(first, "component_id").where("_order._k <> _first._k").select(F.col("_order._k").alias(gone))
+    dropped = stage(dropped, "jaccard_dropped")
+    side = F.broadcast(dropped) if fits_broadcast(8 * dropped.count()) else dropped
+    return single.join(side, F.col(key) == F.col(gone), "left_anti").drop(own, key)

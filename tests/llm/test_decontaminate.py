@@ -75,3 +75,14 @@ def test_empty_tables(spark, docs, edge_rows):
     out = decontaminate.contamination(docs(edge_rows), none).collect()
     assert len(out) == len(edge_rows) and not any(r.contaminated for r in out)
     assert decontaminate.contamination(docs([]), none).count() == 0
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark, docs):
+    """A clean and a contaminated row under one id, and both without an id."""
+    from roleweave.llm.decontaminate import decontaminated
+
+    item = " ".join(f"word{i}" for i in range(15))
+    table = docs([(None, item), (None, "clean text"), (4, item), (4, "another clean text"), (5, None)])
+    kept = decontaminated(table, spark.createDataFrame([("b1", item)], "item_id string, text string"))
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("4", "another clean text"), ("5", None), ("None", "clean text")]
+    assert kept.columns == table.columns

@@ -141,3 +141,36 @@ def test_other_lengths_and_thresholds(docs, rows, words, percent):
                 low, high = sorted((root[a], root[b]))
                 root = {i: low if r == high else r for i, r in root.items()}
     assert {r.doc_id: r.component_id for r in jaccard.groups(docs(rows), words, percent).collect()} == root
+
+
+def test_repeated_rows_and_shared_ids_keep_every_link(docs, rows):
+    """Many equal rows of one id, and different texts under one id, of which one is a copy of another document's."""
+    base = rows[0][1] + " and more words so that it is long enough to be linked with others in any case"
+    every = [(10, base), (7, base), (7, rows[5][1] + " x"), (20, rows[5][1] + " x")] + [(30, base + " tail")] * 300
+    out = jaccard.groups(docs(every)).collect()
+    assert sorted(tuple(r) for r in out) == brute(every)
+
+
+def test_filter_lets_every_shared_shingle_through(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(jaccard, "CELLS_HELD", 50)
+    rng = random.Random(2)
+    lists = [[rng.getrandbits(64) - (1 << 63) for _ in range(20)] for _ in range(60)]
+    shared = {x for own in lists[:30] for x in own[:3]}
+    lists += [[x] for x in shared]
+    bits = jaccard.met_filter(spark.createDataFrame([(x,) for x in lists], "prefix array<long>").repartition(5))
+    cells = lambda values: np.array(sorted(values), dtype=np.int64).view(np.uint64) >> np.uint64(64 - jaccard.FILTER_BITS)
+    on = lambda c: (bits[(c >> np.uint64(3)).astype(np.int64)] >> (c & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    assert on(cells(shared)).all()
+    assert not on(cells({x for own in lists for x in own} - shared)).any()
+
+
+def test_helper_columns_may_clash(docs):
+    from pyspark.sql import functions as F
+
+    names = ["_k", "_own", "_number", "_of", "_gone", "_copies", "_first", "_key", "_n", "_is_first", "component_id", "_text_key", "_own_id"]
+    table = docs([(None, "a b c d e f g"), (2, "a b c d e f g"), (2, "a b c d e f g"), (3, None)]).withColumns({n: F.lit(n) for n in names})
+    kept = jaccard.one_of_each_group(table, 5, 80)
+    assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
+    assert all(r[n] == n for r in kept.collect() for n in names)
