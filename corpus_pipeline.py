@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roleweave.llm import decontaminate, jaccard, pieces, secrets, toxicity
+from roleweave.llm import arrays, decontaminate, jaccard, pieces, secrets, toxicity
 from roleweave.llm.queries import table
 from roleweave.session import stage
 
@@ -18,30 +18,47 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain doesn't reject. It is fitted on the labelled rows among `docs`."""
+    """Documents that the classifier chain doesn't reject. It is fitted on the labelled rows among `docs`.
+
+    Null and empty texts, repeated rows and rows without an id are judged like all others; other columns stay.
+    """
     return toxicity.clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group that links of the n-gram Jaccard join connect."""
+    """The document with the least id of each group that links of the n-gram Jaccard join connect.
+
+    Rows go by their text, so repeated rows, those that share an id and those without one (which come last) are members like
+    others. Null, empty and blank texts link with nothing and all stay.
+    """
     return jaccard.one_of_each_group(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that don't share enough windows with benchmark items."""
+    """Documents that don't share enough windows with benchmark items, each row judged by its own text; null and empty texts stay."""
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets in the text replaced by their kind; n_chars stays that of the text as it came."""
+    """All documents, with secrets in the text replaced by their kind; n_chars stays that of the text as it came.
+
+    Null texts stay null; repeated rows are masked each.
+    """
     return secrets.masked(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with `piece_ids`, `n_pieces` and whether decoding the ids gives the text back."""
+    """All documents with `piece_ids`, `n_pieces` and `round_trip`, whether decoding the ids gives the text back.
+
+    Null texts have no ids, empty ones an empty list. Repeated rows are encoded each. Columns of these names that came with the
+    documents stay as they are; the new ones then end in underscores.
+    """
+    names = {c: arrays.unused(docs.columns, c) for c in ("piece_ids", "n_pieces", "round_trip")}
+    held = {c: arrays.unused(docs.columns, f"_own_{c}") for c in (*names, "decoded") if c in docs.columns}
     vocabulary = pieces.load()
-    rows = pieces.decoded(pieces.encoded(docs, vocabulary), vocabulary)
-    return rows.withColumns({"n_pieces": F.size("piece_ids"), "round_trip": F.col("decoded") == F.col("text")}).drop("decoded")
+    rows = pieces.decoded(pieces.encoded(docs.withColumnsRenamed(held), vocabulary), vocabulary)
+    rows = rows.withColumns({"n_pieces": F.size("piece_ids"), "round_trip": F.col("decoded") == F.col("text")}).drop("decoded")
+    return rows.withColumnsRenamed(names).withColumnsRenamed({own: c for c, own in held.items()})
 
 
 STAGES = [
