@@ -236,6 +236,28 @@ def decoded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return rows.mapInArrow(run, ", ".join([*fields, "decoded string"]))
 
 
+def tokenized(docs: DataFrame, vocabulary: Vocabulary, names: tuple[str, str, str] = ("piece_ids", "n_pieces", "round_trip")) -> DataFrame:
+    """All columns of `docs`, then the ids, how many they are, and whether decoding gives the text back, under these names.
+
+    Encoding and decoding share a pass, so one Python worker holds what both need. A null text has nulls in all three.
+    """
+    kept = docs.columns
+    model = arrays.shared(docs.sparkSession, vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, decoder = WordTable(model()), Decoder(model())
+        for batch in arrays.slices(batches, "text"):
+            texts = batch.column("text").to_pylist()
+            found = table.encode(texts)
+            sizes = [None if x is None else len(x) for x in found]
+            same = [None if x is None else decoder.text(x) == t for x, t in zip(found, texts)]
+            new = [pa.array(found, pa.list_(pa.int32())), pa.array(sizes, pa.int32()), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + new, [*kept, *names])
+
+    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
+    return docs.mapInArrow(run, ", ".join([*fields, f"`{names[0]}` array<int>", f"`{names[1]}` int", f"`{names[2]}` boolean"]))
+
+
 def round_trips(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, n_pieces, ids_sha256 (of the little-endian 32-bit ids), n_decoded (characters) and whether decoding gives
     the text back. Encoding and decoding happen in one pass, so that ids don't travel."""

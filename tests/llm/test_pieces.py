@@ -78,3 +78,16 @@ def test_columns_and_decoding(docs, edge_rows, vocabulary):
     back = pieces.decoded(coded, vocabulary)
     assert back.where("not (decoded <=> text)").count() == 0
     assert pieces.encoded(coded, vocabulary).columns == coded.columns
+
+
+def test_one_pass_equals_encoding_and_decoding(docs, edge_rows):
+    from pyspark.sql import functions as F
+
+    from roleweave.llm import pieces
+
+    vocabulary, table = pieces.load(), docs(edge_rows).drop("piece_ids", "decoded", "n_pieces", "round_trip")
+    found = pieces.tokenized(table, vocabulary)
+    other = pieces.decoded(pieces.encoded(table, vocabulary), vocabulary)
+    other = other.select(*table.columns, "piece_ids", F.size("piece_ids").alias("n_pieces"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    rows = lambda df: sorted((tuple(map(str, r)) for r in df.collect()))
+    assert rows(found) == rows(other)
