@@ -7,7 +7,6 @@ folder and reads it again as the next stage's documents. All but the last return
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roleweave.llm import arrays, decontaminate, jaccard, pieces, secrets, toxicity
 from roleweave.llm.queries import table
@@ -53,12 +52,8 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null texts have no ids, empty ones an empty list. Repeated rows are encoded each. Columns of these names that came with the
     documents stay as they are; the new ones then end in underscores.
     """
-    names = {c: arrays.unused(docs.columns, c) for c in ("piece_ids", "n_pieces", "round_trip")}
-    held = {c: arrays.unused(docs.columns, f"_own_{c}") for c in (*names, "decoded") if c in docs.columns}
-    vocabulary = pieces.load()
-    rows = pieces.decoded(pieces.encoded(docs.withColumnsRenamed(held), vocabulary), vocabulary)
-    rows = rows.withColumns({"n_pieces": F.size("piece_ids"), "round_trip": F.col("decoded") == F.col("text")}).drop("decoded")
-    return rows.withColumnsRenamed(names).withColumnsRenamed({own: c for c, own in held.items()})
+    names = tuple(arrays.unused(docs.columns, c) for c in ("piece_ids", "n_pieces", "round_trip"))
+    return pieces.tokenized(docs, pieces.load(), names)
 
 
 STAGES = [
