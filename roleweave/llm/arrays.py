@@ -6,6 +6,7 @@ single text where that is longer, never the partition.
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -103,6 +104,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(row + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(row, stop - row)
             row = stop
+    release()
+
+
+def release() -> None:
+    """Give unused memory back. A Python worker serves one task after the other and would keep what the largest needed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def runs(texts: Texts, inside: np.ndarray) -> Spans:
@@ -253,7 +264,7 @@ def shared(spark: SparkSession, value: object) -> Callable[[], object]:
     def get() -> object:
         held = sent.value
         if "object" not in held:
-            held["object"] = pickle.loads(held["packed"])
+            held["object"] = pickle.loads(held.pop("packed"))
         return held["object"]
 
     return get
