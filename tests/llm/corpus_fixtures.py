@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 # Columns that operators might use themselves.
-CLASHING = ["class", "root", "token", "key", "label", "_dropped", "_row", "toxic_rejected", "gram", "words", "piece_id", "_k", "_own", "_number", "decoded", "piece_ids", "n_pieces", "round_trip"]
+CLASHING = ["class", "root", "token", "key", "label", "_dropped", "_row", "toxic_rejected", "gram", "words", "piece_id", "_k", "_own", "_number"]
 
 
 @pytest.fixture(scope="session")

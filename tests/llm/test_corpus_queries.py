@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from compare import difference, oracle_connection
 from conftest import SMALL
 from corpus_fixtures import docs, edge_rows  # noqa: F401
@@ -50,6 +51,8 @@ def test_pipeline_stages_take_effect(spark):
 @pytest.mark.parametrize("place", range(5))
 def test_stages_on_edges(spark, docs, edge_rows, place):
     _, apply = corpus_pipeline.STAGES[place]
-    out = apply(spark, docs(edge_rows), SMALL)
+    clashing = {c: F.lit(c) for c in ("decoded", "piece_ids", "n_pieces", "round_trip")}
+    out = apply(spark, docs(edge_rows).withColumns(clashing), SMALL)
     assert set(docs([]).columns) <= set(out.columns) and out.count() > 0
+    assert all(r[c] == c for r in out.select(*clashing).collect() for c in clashing)
     assert apply(spark, docs([]), SMALL).count() == 0
