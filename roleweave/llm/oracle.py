@@ -45,10 +45,10 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON a = d.doc_id GROUP BY d.doc
 _BIN = "(({x} >> greatest(length(bin({x})) - 6, 0)) << greatest(length(bin({x})) - 6, 0))"
 # Measure, its expression, and the least spread of its fence.
 _MEASURES = (
-    ("symbols", "1000 * n_symbols // greatest(word_chars, 1)", 100),
-    ("dup_lines", "1000 * n_dup_lines // greatest(n_lines, 1)", 100),
-    ("repeats", "1000 * n_repeat_words // greatest(n_words, 1)", 60),
-    ("word_length", "100 * word_chars // greatest(n_words, 1)", 100),
+    ("symbols", "1000 * n_symbols // greatest(word_chars, 1)", 50),
+    ("dup_lines", "1000 * n_dup_lines // greatest(n_lines, 1)", 75),
+    ("repeats", "1000 * n_repeat_words // greatest(n_words, 1)", 50),
+    ("word_length", "100 * word_chars // greatest(n_words, 1)", 25),
 )
 QUALITY = rf"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{NOT_SPACE}') AS w FROM documents),
@@ -74,7 +74,7 @@ WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_
        FROM run GROUP BY ALL),
      fence AS (
        SELECT lang, source, {", ".join(f"max(q3 + 4 * greatest(q3 - q1, {spread})) FILTER (WHERE measure = '{name}') AS high_{name}" for name, _, spread in _MEASURES)},
-              max(q1 - 4 * greatest(q3 - q1, 100)) FILTER (WHERE measure = 'word_length') AS low_word_length
+              max(q1 - 4 * greatest(q3 - q1, 25)) FILTER (WHERE measure = 'word_length') AS low_word_length
        FROM q GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT coalesce({" OR ".join(f"{name} > high_{name}" for name, _, _ in _MEASURES)} OR word_length < low_word_length, FALSE) AS kept

@@ -30,9 +30,10 @@ SUB_BITS = 5
 # Measures with a fence above, and with one below.
 HIGH = ("symbols_pm", "dup_lines_pm", "repeat_pm", "word_length_pc")
 LOW = ("word_length_pc",)
-# Spreads beyond the quartile, and the least spread of each measure, so that even groups have room.
+# Quartile distances beyond the quartile, and the distance taken where a group's own is less, as in groups whose values are tied:
+# per mille of characters, lines and words, and hundredths of a character.
 SPREADS = 4
-LEAST_SPREAD = {"symbols_pm": 100, "dup_lines_pm": 100, "repeat_pm": 60, "word_length_pc": 100}
+LEAST_SPREAD = {"symbols_pm": 50, "dup_lines_pm": 75, "repeat_pm": 50, "word_length_pc": 25}
 
 _SYMBOLS = arrays.byte_class("#*$%&|<>")
 

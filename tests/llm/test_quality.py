@@ -51,6 +51,29 @@ def test_fences_by_group(docs):
     assert [i for i, k in kept.items() if not k] == [5000]
 
 
+def text_of(lengths):
+    """Words of these lengths, none in a repeated window."""
+    return " ".join((f"{i}" + "x" * n)[:n] for i, n in enumerate(lengths, start=10))
+
+
+def test_fences_follow_the_group(docs):
+    """The same word lengths are odd where they hardly vary and usual where they vary much."""
+    narrow = [(i, text_of([5, 6] * 20 + [4 + i % 5]), "en", "narrow") for i in range(100)]
+    wide = [(1000 + i, text_of([4 + i % 9] * 41), "en", "wide") for i in range(100)]
+    rows = narrow + wide + [(5000, text_of([12] * 40), "en", "narrow"), (5001, text_of([12] * 40), "en", "wide")]
+    kept = {r.doc_id: r.kept for r in quality.quality(docs(rows)).collect()}
+    assert [i for i, k in kept.items() if not k] == [5000]
+
+
+def test_marked_junk_goes(docs):
+    """Texts full of marks go although they are a tenth of their group; tables with separators stay."""
+    plain = [(i, text_of([4 + i % 4, 6, 4] * 15), "en", "a") for i in range(180)]
+    junk = [(1000 + i, " ".join(f"{w}$$$" for w in text_of([5, 6, 4] * 15).split()), "en", "a") for i in range(20)]
+    tables = [(2000 + i, text_of([5, 6, 4] * 15).replace(" ", " | "), "en", "a") for i in range(3)]
+    kept = {r.doc_id: r.kept for r in quality.quality(docs(plain + junk + tables)).collect()}
+    assert {i for i, k in kept.items() if not k} == {i for i, *_ in junk}
+
+
 @pytest.mark.parametrize("values", [[0], [1, 2, 3], list(range(500)), [7] * 50 + [1_000_000]])
 def test_sketch_quartiles_are_close(spark, values):
     from pyspark.sql import functions as F
@@ -66,5 +89,5 @@ def test_sketch_quartiles_are_close(spark, values):
     ordered = sorted(values)
     q1, q3 = (ordered[max(0, -(-len(ordered) * k // 4) - 1)] for k in (1, 3))
     spread = max(row.high_word_length_pc - row.low_word_length_pc, 0)
-    low, high = q1 - quality.SPREADS * max(q3 - q1, 100), q3 + quality.SPREADS * max(q3 - q1, 100)
+    low, high = q1 - quality.SPREADS * max(q3 - q1, 25), q3 + quality.SPREADS * max(q3 - q1, 25)
     assert spread == pytest.approx(high - low, rel=0.1) and row.high_word_length_pc == pytest.approx(high, rel=0.1)
