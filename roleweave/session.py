@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Largest table, as text, that is sent whole to every executor.
 BROADCAST_BYTES = 64 << 20
+# Whether Spark removes a query's shuffle files when it ends.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "roleweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,11 +56,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage, survives executor loss, fixes what a re-run could change (range boundaries,
-    row order), and gives the planner the true size, so it broadcasts only what it has measured.
+    row order), and gives the planner the true size, so it broadcasts only what it has measured. Shuffle files behind the
+    table go as soon as it is written.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def byte_size(table: DataFrame) -> Column:
