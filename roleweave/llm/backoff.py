@@ -1,20 +1,25 @@
 """Operator 8, language-model scoring with a weighted backoff automaton in distributed tables.
 
-Training counts words over all training documents (a hash-keyed sum, combined in each task before the shuffle), and the
-n-grams of each order that occur LEAST times or more, at any corpus size. As both parts of such an n-gram occur as often,
-a filter of fixed size per order (a bit for each cell of the hash space that LEAST occurrences fall into) keeps most of
-the others out of the shuffle; it only ever lets too many through, and the exact counts decide. An arc keeps its count
-less DISCOUNT; what is left over is the weight of the state's failure arc to the next shorter context, normalized over
-the words without an arc. The last state holds every word of the corpus by its add-half count.
-
-The score of a place is that of its shorter context, plus the failure weight of its context, plus, if there is an arc,
-what the arc differs from these. So a document's score is a sum of one value for each of its words and n-grams (`values`),
-however long its contexts are. Values of at least RATE of all tokens (at most 1 / RATE of each order) are sent to the
-tasks; all others are looked up by a join, once for each document and distinct n-gram.
+Training counts all words of the training documents, and the n-grams of each order that occur LEAST times or more, at any
+corpus size. As both parts of such an n-gram occur as often, a filter of fixed size per order (a bit for each cell of the
+hash space that LEAST occurrences fall into) keeps most of the others out of the shuffle; it only ever lets too many
+through, and the exact counts decide.
+
+A word or n-gram with arcs is a state; its arcs are the n-grams that continue it. An arc weighs its count less DISCOUNT
+over that of the state, and the failure arc to the next shorter state weighs what the arcs leave over. The empty state
+gives every word its add-half probability. A state's row therefore holds its own count and the sum and number of its arcs
+(`values`), nothing of other states. Suffixes of states are states.
+
+Each document is traversed once from left to right (`traverse`). The state after a token is the longest of its suffixes
+that is a state; from there the next token's arc, if there is one, and the failure arc are followed down to the empty
+state, and the logarithm of what was gathered is added to the score.
+
+Values of at least RATE of all tokens (at most 1 / RATE of each order) are sent to the tasks. Blocks of documents ask for
+all others once by a join; its answers meet the texts of their block again, which the traversal then reads.
 
 Null text is the empty text: one end token. Documents without an id hash as the empty string does. Repeated rows are
-counted and scored as often as they come; rows that share an id are kept apart by a row key. Without training
-documents every token is unknown, with probability one.
+counted and scored as often as they come, also those that share an id. Without training documents every token is
+unknown, with probability one. The input must give the same rows in the same order if a task is repeated.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +47,10 @@ FOLDS, HELD_OUT = 5, 1
 SUMMED = 400_000
 # The end token's hash; words never hash to it except by collision.
 END = np.uint64(0xE11D)
+# Context of words.
+NOTHING = np.uint64(0)
+# Bytes of text, or one text, whose documents ask for values and are traversed together.
+BLOCK_BYTES = 1 << 19
 # Cells of the filter of an order, as a power of two.
 FILTER_BITS = 27
 # Cells that one task counts together, likewise.
@@ -68,18 +78,19 @@ def tokens(column: pa.Array, hasher: arrays.Hasher) -> tuple[np.ndarray, np.ndar
 
 
 class Sums:
-    """Counts by key, handed on in batches of bounded size."""
+    """Counts by key, with a value that each key determines beside it if there are two names before the count's, handed on in
+    batches of bounded size."""
 
     def __init__(self, names: list[str]) -> None:
         self.names = names
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(keys):
-            found, n = np.unique(keys, return_counts=True)
-            self.parts.append((found, n))
-            self.size += len(found)
+    def add(self, *keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(keys[0]):
+            _, at, n = np.unique(keys[0], return_index=True, return_counts=True)
+            self.parts.append((*(k[at] for k in keys), n))
+            self.size += len(at)
         if self.size >= 2 * SUMMED:
             self.fold()
             if self.size >= SUMMED:
@@ -87,34 +98,22 @@ class Sums:
 
     def fold(self) -> None:
         if self.parts:
-            keys, n = (np.concatenate(x) for x in zip(*self.parts))
-            found, at = np.unique(keys, return_inverse=True)
-            self.parts = [(found, np.bincount(at, weights=n).astype(np.int64))]
-            self.size = len(found)
+            *keys, n = (np.concatenate(x) for x in zip(*self.parts))
+            _, first, at = np.unique(keys[0], return_index=True, return_inverse=True)
+            self.parts = [(*(k[first] for k in keys), np.bincount(at, weights=n).astype(np.int64))]
+            self.size = len(first)
 
     def flush(self) -> pa.RecordBatch:
         self.fold()
-        keys, n = self.parts[0] if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        *keys, n = self.parts[0] if self.parts else [np.zeros(0, np.uint64)] * (len(self.names) - 1) + [np.zeros(0, np.int64)]
         self.parts, self.size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(arrays.signed(keys)), pa.array(n, pa.int64())], self.names)
+        return pa.RecordBatch.from_arrays([*(pa.array(arrays.signed(k)) for k in keys), pa.array(n, pa.int64())], self.names)
 
 
 def training(docs: DataFrame) -> DataFrame:
     return docs.where(~held_out("doc_id")).select("text")
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums, hasher = Sums(["token", "n"]), arrays.Hasher()
-    for batch in arrays.slices(batches, "text"):
-        yield from sums.add(tokens(batch.column("text"), hasher)[0])
-    yield sums.flush()
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """token (hash) and n of every distinct token of the training documents."""
-    return training(docs).mapInArrow(_count_words, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-
-
 def gram_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """Hashes of n-grams from those of all but the last and all but the first of their words."""
     return arrays.mixed(arrays.mixed(context) * np.uint64(arrays.BASE) + suffix)
@@ -188,53 +187,52 @@ def cell_filter(docs: DataFrame, held: list, n: int) -> np.ndarray:
     return out.ravel()
 
 
-def _count_grams(held, n: int):
+def _count(held: list):
+    """Words, whose context is NOTHING, and n-grams of which all parts pass their filters, with the n-gram before the last word."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters, hasher = [get() for get in held], arrays.Hasher()
+        filters, hasher, sums = [get() for get in held], arrays.Hasher(), Sums(["token", "context", "n"])
         for batch in arrays.slices(batches, "text"):
-            _, keys, context, suffix = _at_order(*tokens(batch.column("text"), hasher), filters, n)
-            own = passes(filters[n - 2], keys)
-            _, at, times = np.unique(keys[own], return_index=True, return_counts=True)
-            columns = [pa.array(arrays.signed(x[own][at])) for x in (context, suffix)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(times, pa.int64())], ["context", "suffix", "n"])
+            hashes, first = tokens(batch.column("text"), hasher)
+            yield from sums.add(hashes, np.full(len(hashes), NOTHING))
+            for bits, (_, keys, context, _) in zip(filters, places(hashes, first, filters)):
+                own = passes(bits, keys)
+                yield from sums.add(keys[own], context[own])
+        yield sums.flush()
 
     return run
 
 
-def _add_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        context, suffix = (np.array(batch.column(c)).astype(np.int64).view(np.uint64) for c in ("context", "suffix"))
-        yield batch.append_column("token", pa.array(arrays.signed(gram_keys(context, suffix))))
-
-
-def gram_counts(docs: DataFrame, held: list, n: int) -> DataFrame:
-    """context, suffix (hashes), n and token (hash) of every n-gram that occurs LEAST times in the training documents."""
-    found = training(docs).mapInArrow(_count_grams(held, n), "context long, suffix long, n long")
-    kept = found.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-    return kept.mapInArrow(_add_keys, "context long, suffix long, n long, token long")
+def values(docs: DataFrame) -> tuple[DataFrame, list]:
+    """token, n, known, out and arcs of every word and every n-gram of LEAST occurrences, and the filters of all orders.
 
-
-def looked_up(rows: DataFrame, key: str, states: DataFrame, of_state: str, cutoff: float) -> DataFrame:
-    """`rows` with the columns of the state that `key` names. Each key has one.
-
-    Frequent states (`of_state` of at least `cutoff`), which many rows may name, are broadcast, the others joined.
+    `n` is its count in the training documents, `known` 1 for words; `out` and `arcs` are the sum of the counts of its arcs
+    and how many there are, zero if it is no state.
     """
-    same = F.col(key) == F.col("_token")
-    named = states.withColumnRenamed("token", "_token")
-    marked = rows.join(F.broadcast(named.where(F.col(of_state) >= cutoff)), same, "left")
-    frequent = marked.where(F.col("_token").isNotNull()).drop("_token")
-    rest = marked.where(F.col("_token").isNull()).select(rows.columns)
-    return frequent.unionByName(rest.join(named.where(F.col(of_state) < cutoff), same).drop("_token"))
+    held: list = []
+    for n in range(2, ORDER + 1):
+        held.append(arrays.shared(docs.sparkSession, cell_filter(docs, held, n)))
+    found = training(docs).mapInArrow(_count(held), "token long, context long, n long")
+    counts = found.groupBy("token").agg(F.max("context").alias("context"), F.sum("n").alias("n"))
+    known, zero = F.col("context") == int(NOTHING), F.lit(0).cast("long")
+    own = F.struct("token", "n", known.cast("long").alias("known"), zero.alias("out"), zero.alias("arcs"))
+    arc = F.struct(F.col("context").alias("token"), zero.alias("n"), zero.alias("known"), F.col("n").alias("out"), F.lit(1).cast("long").alias("arcs"))
+    rows = counts.where(known | (F.col("n") >= LEAST)).select(F.inline(F.when(known, F.array(own)).otherwise(F.array(own, arc))))
+    return stage(rows.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("n", "known", "out", "arcs")]), "lm_values"), held
 
 
 @dataclass
-class Frequent:
-    """Values of the frequent words and n-grams by sorted key."""
+class Table:
+    """Rows of `values` by sorted key: n, out and arcs."""
 
     keys: np.ndarray
-    known: np.ndarray
-    base: np.ndarray
-    more: np.ndarray
+    rows: np.ndarray
+
+    @classmethod
+    def of(cls, token: np.ndarray, *columns: np.ndarray) -> Table:
+        keys = token.astype(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        return cls(keys[order], np.array(columns, dtype=np.float64).reshape(3, -1)[:, order])
 
     def at(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which keys are there, and where."""
@@ -244,135 +242,136 @@ class Frequent:
         return self.keys[at] == keys, at
 
 
-def arcs(grams: DataFrame, below: DataFrame, cutoff: float) -> tuple[DataFrame, DataFrame]:
-    """Arcs of an order (token, context, n, context_n, p, lower) and its failure weights (token, n, failure).
+def looked_up(keys: np.ndarray, tables: list[Table]) -> np.ndarray:
+    """n, out and arcs of each key; zero for those in no table."""
+    out = np.zeros((3, len(keys)))
+    for table in tables:
+        found, at = table.at(keys)
+        out[:, found] = table.rows[:, at[found]]
+    return out
 
-    `below` has token, n and p of the order before.
-    """
-    of_context = below.select("token", F.col("n").alias("context_n"))
-    of_suffix = below.select("token", F.col("n").alias("suffix_n"), F.col("p").alias("lower"))
-    rows = looked_up(looked_up(grams, "context", of_context, "context_n", cutoff), "suffix", of_suffix, "suffix_n", cutoff)
-    rows = rows.select("token", "context", "n", "context_n", ((F.col("n") - F.lit(DISCOUNT)) / F.col("context_n")).alias("p"), "lower")
-    rows = stage(rows, "lm_arcs")
-    left = lambda x: F.greatest(1 - F.sum(x), F.lit(1e-12))
-    failures = rows.groupBy(F.col("context").alias("token")).agg(F.max("context_n").alias("n"), F.log10(left("p") / left("lower")).alias("failure"))
-    return rows, stage(failures, "lm_failures")
 
+def frequent_values(table: DataFrame, cutoff: float) -> Table:
+    rows = table.where(F.col("n") >= cutoff).select("token", "n", "out", "arcs").toPandas()
+    return Table.of(*(rows[c].to_numpy(dtype=np.int64) for c in rows.columns))
 
-def values(docs: DataFrame, counts: DataFrame, cutoff: float, size: float) -> tuple[DataFrame, list]:
-    """token, n, known, base and more of every word and n-gram with a value, and the filters of all orders.
 
-    `base` is a word's own log10 probability, `more` what a word or n-gram adds to a score besides.
+def traverse(hashes: np.ndarray, first: np.ndarray, tables: list[Table], size: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each token of documents: its count, its add-half log10 probability, and that which the automaton gives it.
+
+    All documents are read together, each from its own empty state: row k of `found` holds the suffixes of k + 1 tokens at
+    every place, so the state before a token is the longest of those one place earlier that has arcs.
     """
-    spark = docs.sparkSession
-    nothing = F.lit(0.0)
-    below = counts.select("token", "n", ((F.col("n") + 0.5) / F.lit(size)).alias("p"))
-    parts = [below.select("token", "n", F.lit(1).alias("known"), F.log10("p").alias("base"), nothing.alias("more"))]
-    held: list = []
-    for n in range(2, ORDER + 1):
-        held.append(arrays.shared(spark, cell_filter(docs, held, n)))
-        rows, failures = arcs(stage(gram_counts(docs, held, n), "lm_grams"), below, cutoff)
-        full = looked_up(rows, "context", failures.select("token", F.col("n").alias("_n"), "failure"), "_n", cutoff)
-        more = F.log10("p") - F.log10("lower") - F.col("failure")
-        parts.append(full.select("token", "n", F.lit(0).alias("known"), nothing.alias("base"), more.alias("more")))
-        parts.append(failures.select("token", "n", F.lit(0).alias("known"), nothing.alias("base"), F.col("failure").alias("more")))
-        below = rows.select("token", "n", "p")
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.union(part)
-    # A word or n-gram is an arc and may be a context.
-    sums = [F.max("n").alias("n"), F.max("known").alias("known"), F.sum("base").alias("base"), F.sum("more").alias("more")]
-    return stage(every.groupBy("token").agg(*sums), "lm_values"), held
-
-
-def frequent_values(table: DataFrame, cutoff: float) -> Frequent:
-    rows = table.where(F.col("n") >= cutoff).select("token", "known", "base", "more").toPandas()
-    keys = rows["token"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    known, base, more = (rows[c].to_numpy(dtype=np.float64)[order] for c in ("known", "base", "more"))
-    return Frequent(keys[order], known, base, more)
-
-
-def _score(model, held):
-    """One row per document with what its task knows, and one for each other word and n-gram of it, which the join completes.
-
-    The document's own row carries a hash of its place as token, so that these rows spread over the join's tasks.
+    found = [looked_up(hashes, tables)]
+    ends = [np.arange(len(hashes))]
+    for places_of, keys, _, _ in places(hashes, first, []):
+        full = np.zeros((3, len(hashes)))
+        full[:, places_of] = looked_up(keys, tables)
+        found.append(full)
+        ends.append(places_of)
+    count = found[0][0]
+    alone = (count + 0.5) / size
+    weight, gathered = np.ones(len(hashes)), np.zeros(len(hashes))
+    for k in range(ORDER - 1, 0, -1):
+        n, out, arcs = found[k - 1][:, ends[k] - 1]
+        state = arcs > 0
+        at, n, out, arcs = ends[k][state], n[state], out[state], arcs[state]
+        arc = found[k][0][at]
+        gathered[at] += weight[at] * np.where(arc > 0, arc - DISCOUNT, 0) / n
+        weight[at] *= 1 - (out - DISCOUNT * arcs) / n
+    return count, np.log10(alone), np.log10(gathered + weight * alone)
+
+
+def _ask(model, held):
+    """Every document with the number of its block, and one row for each word and n-gram of the block that its task doesn't hold.
+
+    A document's row carries a hash of its place as token, so that these rows spread over the join's tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, filters, hasher = model(), [get() for get in held], arrays.Hasher()
-        for batch in arrays.slices(batches, "text"):
+        block = TaskContext.get().partitionId() << 32
+        for batch in arrays.slices(batches, "text", BLOCK_BYTES):
+            block += 1
             hashes, first = tokens(batch.column("text"), hasher)
+            asked = [np.unique(hashes)]
+            asked += [np.unique(keys[passes(bits, keys)]) for bits, (_, keys, _, _) in zip(filters, places(hashes, first, filters))]
+            keys = np.concatenate([x[~frequent.at(x)[0]] for x in asked])
             n = batch.num_rows
-            document = np.repeat(np.arange(n), np.diff(first))
-            sums = {name: np.zeros(n) for name in ("known", "base", "more")}
-            asked = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))]
-            orders = [(np.arange(len(hashes)), hashes, None)] + [(e, k, filters[i]) for i, (e, k, _, _) in enumerate(places(hashes, first, filters))]
-            for ends, keys, bits in orders:
-                found, at = frequent.at(keys)
-                for name in sums:
-                    sums[name] += np.bincount(document[ends[found]], weights=getattr(frequent, name)[at[found]], minlength=n)
-                rest = ~found if bits is None else ~found & passes(bits, keys)
-                asked.append((document[ends[rest]], keys[rest], np.full(np.count_nonzero(rest), bits is None)))
-            owner, keys, is_word = (np.concatenate(x) for x in zip(*asked))
-            _, where, times = np.unique(arrays.mixed(keys + arrays.mixed(owner.astype(np.uint64))), return_index=True, return_counts=True)
-            owner, keys, is_word = owner[where], keys[where], is_word[where]
-            place = arrays.mixed(np.array(batch.column("key")).astype(np.uint64))
-            empty = np.zeros(len(keys))
+            place = arrays.mixed(np.uint64(block) * np.uint64(arrays.BASE) + np.arange(n, dtype=np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(len(keys), pa.int64())]),
-                    batch.column("key").take(pa.array(np.concatenate((np.arange(n), owner)))),
+                    pa.array(np.full(n + len(keys), block)),
+                    pa.array(np.concatenate((np.zeros(n, bool), np.ones(len(keys), bool)))),
                     pa.array(arrays.signed(np.concatenate((place, keys)))),
-                    pa.array(np.concatenate((np.zeros(n, np.int32), np.where(is_word, 1, 2))), pa.int32()),
-                    pa.array(np.concatenate((np.diff(first), times)), pa.int64()),
-                    pa.array(np.concatenate((sums["known"], empty)).astype(np.int64)),
-                    pa.array(np.concatenate((sums["base"], empty))),
-                    pa.array(np.concatenate((sums["more"], empty))),
+                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(len(keys), pa.int64())]),
+                    pa.concat_arrays([batch.column("text"), pa.nulls(len(keys), batch.column("text").type)]),
                 ],
-                ["doc_id", "key", "token", "kind", "times", "n_known", "own_base", "own_more"],
+                ["block", "asks", "token", "doc_id", "text"],
             )
 
     return run
 
 
-def scores(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of `docs`.
+def _score(model, size: float):
+    """Traverses the documents of each block, whose rows come one after the other, answers first."""
 
-    Rows are told apart by a key drawn once; the sums of a document are sums over its rows.
-    """
-    spark = docs.sparkSession
-    counts = stage(word_counts(docs), "lm_words")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, hasher = model(), arrays.Hasher()
+        current, answers, table = None, [], None
+        for batch in batches:
+            block, asks = np.array(batch.column("block")), np.array(batch.column("asks"))
+            cuts = np.flatnonzero((block[1:] != block[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for low, high in zip([0, *cuts], [*cuts, len(block)]):
+                if high == low:
+                    continue
+                piece = batch.slice(low, high - low)
+                if block[low] != current:
+                    current, answers, table = block[low], [], None
+                if asks[low]:
+                    answers.append([np.array(piece.column(c)) for c in ("token", "n", "out", "arcs")])
+                    continue
+                if table is None:
+                    table = Table.of(*(np.concatenate(x) for x in zip(*answers))) if answers else Table.of(*np.zeros((4, 0), np.int64))
+                    answers = []
+                hashes, first = tokens(piece.column("text"), hasher)
+                document = np.repeat(np.arange(len(piece)), np.diff(first))
+                count, base, own = traverse(hashes, first, [frequent, table], size)
+                total = lambda x: np.bincount(document, weights=x, minlength=piece.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("doc_id"),
+                        pa.array(np.diff(first), pa.int64()),
+                        pa.array(total(count > 0).astype(np.int64)),
+                        pa.array(total(base)),
+                        pa.array(total(own)),
+                    ],
+                    ["doc_id", "n_tokens", "n_known", "base_score", "score"],
+                )
+        arrays.release()
+
+    return run
+
+
+def scores(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of `docs`."""
+    table, held = values(docs)
+    words = F.col("known") > 0
+    total, distinct = table.agg(F.coalesce(F.sum(F.when(words, F.col("n"))), F.lit(0)), F.count_if(words)).first()
     size, cutoff = float(total + 0.5 * (distinct + 1)), max(RATE * total, LEAST)
-    table, held = values(docs, counts, cutoff, size)
-    model = arrays.shared(spark, frequent_values(table, cutoff))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("key"), "text")
-    schema = "doc_id long, key long, token long, kind int, times long, n_known long, own_base double, own_more double"
-    rows = keyed.mapInArrow(_score(model, held), schema)
-    rare = table.where(F.col("n") < cutoff).select(F.col("token").alias("_token"), "known", "base", "more")
-    joined = rows.join(rare, (F.col("token") == F.col("_token")) & (F.col("kind") > 0), "left")
-    document, word, times = F.col("kind") == 0, F.col("kind") == 1, F.col("times")
-    unknown = F.when(word, F.log10(F.lit(0.5) / F.lit(size))).otherwise(0.0)
-    of_row = lambda own, looked: F.sum(F.when(document, own).otherwise(looked))
-    base = of_row(F.col("own_base"), F.coalesce("base", unknown) * times)
-    more = of_row(F.col("own_more"), F.coalesce("more", F.lit(0.0)) * times)
-    return (
-        joined.groupBy("key")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.sum(F.when(document, times).otherwise(0)).alias("n_tokens"),
-            of_row(F.col("n_known"), F.coalesce("known", F.lit(0)) * times).alias("n_known"),
-            base.alias("base_score"),
-            more.alias("more"),
-        )
-        .select(
-            "doc_id",
-            held_out("doc_id").alias("held_out"),
-            "n_tokens",
-            "n_known",
-            F.lit(int(total)).cast("long").alias("train_tokens"),
-            "base_score",
-            (F.col("base_score") + F.col("more")).alias("score"),
-        )
+    model = arrays.shared(docs.sparkSession, frequent_values(table, cutoff))
+    typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = typed.mapInArrow(_ask(model, held), "block long, asks boolean, token long, doc_id long, text string")
+    rare = table.where(F.col("n") < cutoff).select(F.col("token").alias("_token"), "n", "out", "arcs")
+    joined = rows.join(rare, (F.col("token") == F.col("_token")) & F.col("asks"), "left").where(~F.col("asks") | F.col("_token").isNotNull())
+    dealt = joined.drop("_token").repartition("block").sortWithinPartitions("block", F.desc("asks"))
+    schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+    return dealt.mapInArrow(_score(model, size), schema).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(int(total)).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
     )

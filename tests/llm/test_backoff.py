@@ -32,8 +32,7 @@ class Brute:
             for n in range(1, backoff.ORDER + 1):
                 self.c[n].update(tuple(t[i : i + n]) for i in range(len(t) - n + 1))
         self.n, self.v = sum(self.c[1].values()), len(self.c[1])
-        least = max(backoff.RATE * self.n, 2)
-        self.arcs = [None, None] + [{g: k for g, k in self.c[n].items() if k >= least} for n in range(2, backoff.ORDER + 1)]
+        self.arcs = [None, None] + [{g: k for g, k in self.c[n].items() if k >= backoff.LEAST} for n in range(2, backoff.ORDER + 1)]
         self.after = {}
         for n in range(2, backoff.ORDER + 1):
             for g in self.arcs[n]:
@@ -45,12 +44,11 @@ class Brute:
         own = self.after.get(context)
         if not own:
             return self.p(context[1:], word)
-        below = self.c[len(context)][context]
-        if context + (word,) in own:
-            return (self.c[len(context) + 1][context + (word,)] - backoff.DISCOUNT) / below
-        left = 1 - sum((self.c[len(g)][g] - backoff.DISCOUNT) / below for g in own)
-        rest = 1 - sum(self.p(context[1:], g[-1]) for g in own)
-        return self.p(context[1:], word) * max(left, 1e-12) / max(rest, 1e-12)
+        n = len(context)
+        below, gram = self.c[n][context], context + (word,)
+        arc = (self.c[n + 1][gram] - backoff.DISCOUNT) / below if gram in own else 0
+        left = 1 - sum((self.c[n + 1][g] - backoff.DISCOUNT) / below for g in own)
+        return arc + left * self.p(context[1:], word)
 
     def score(self, text):
         t = tokens(text)
@@ -109,3 +107,16 @@ def test_rare_ngrams_are_kept_at_any_size(docs, rows, monkeypatch, bits):
     monkeypatch.setattr(backoff, "RATE", 0.02)
     monkeypatch.setattr(backoff, "FILTER_BITS", bits)
     assert {r.doc_id: round(r.score, 6) for r in backoff.scores(docs(rows)).collect()} == expected
+
+
+def test_blocks_and_batches_of_any_size(spark, docs, rows, monkeypatch):
+    """Small blocks ask for nearly all values; their answers and texts come in batches of a few rows, across blocks."""
+    model = Brute([t for i, t in rows if not held(i)])
+    monkeypatch.setattr(backoff, "RATE", 0.02)
+    monkeypatch.setattr(backoff, "BLOCK_BYTES", 300)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = {r.doc_id: round(r.score, 6) for r in backoff.scores(docs(rows).coalesce(2)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert out == {i: round(model.score(t), 6) for i, t in rows}
