@@ -14,12 +14,14 @@ Each document is traversed once from left to right (`traverse`). The state after
 that is a state; from there the next token's arc, if there is one, and the failure arc are followed down to the empty
 state, and the logarithm of what was gathered is added to the score.
 
-Values of at least RATE of all tokens (at most 1 / RATE of each order) are sent to the tasks. Blocks of documents ask for
-all others once by a join; its answers meet the texts of their block again, which the traversal then reads.
+Values of at least RATE of all tokens (at most 1 / RATE of each order) are sent to the tasks. All others lie in buckets of
+hashes. A block of documents sends each bucket the list of its words and n-grams there, each once; the counts come back in
+the order of that list, which the traversal makes again from the texts, so hashes travel one way only.
 
 Null text is the empty text: one end token. Documents without an id hash as the empty string does. Repeated rows are
 counted and scored as often as they come, also those that share an id. Without training documents every token is
-unknown, with probability one. The input must give the same rows in the same order if a task is repeated.
+unknown, with probability one. Blocks are numbered by partition and place, so the input must give each partition the same rows
+whenever it is read, as tables in files do; lists that differ are noticed and end the job.
 """
 
 from __future__ import annotations
@@ -29,7 +31,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +52,8 @@ END = np.uint64(0xE11D)
 NOTHING = np.uint64(0)
 # Bytes of text, or one text, whose documents ask for values and are traversed together.
 BLOCK_BYTES = 1 << 19
+# Rare values that a bucket holds on average.
+BUCKET_ROWS = 50_000
 # Cells of the filter of an order, as a power of two.
 FILTER_BITS = 27
 # Cells that one task counts together, likewise.
@@ -182,7 +185,7 @@ def cell_filter(docs: DataFrame, held: list, n: int) -> np.ndarray:
     low = min(CHUNK_BITS, FILTER_BITS)
     dealt = cells.withColumn("chunk", F.shiftright("cell", low)).repartition("chunk")
     out = np.zeros((1 << (FILTER_BITS - low), (1 << low) // 8), dtype=np.uint8)
-    for row in dealt.mapInArrow(_full_cells, "chunk long, bits binary").collect():
+    for row in stage(dealt.mapInArrow(_full_cells, "chunk long, bits binary"), "lm_cells").collect():
         out[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
     return out.ravel()
 
@@ -282,72 +285,164 @@ def traverse(hashes: np.ndarray, first: np.ndarray, tables: list[Table], size: f
     return count, np.log10(alone), np.log10(gathered + weight * alone)
 
 
-def _ask(model, held):
-    """Every document with the number of its block, and one row for each word and n-gram of the block that its task doesn't hold.
+def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (keys >> np.uint64(32)) % np.uint64(buckets)
+
+
+def asked(hashes: np.ndarray, first: np.ndarray, frequent: Table, filters: list[np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words and n-grams of a block that its task doesn't hold, by bucket, and the buckets."""
+    sets = [np.unique(hashes)]
+    sets += [np.unique(keys[passes(bits, keys)]) for bits, (_, keys, _, _) in zip(filters, places(hashes, first, filters))]
+    keys = np.concatenate([x[~frequent.at(x)[0]] for x in sets])
+    bucket = buckets_of(keys, buckets)
+    order = np.lexsort((keys, bucket))
+    return keys[order], bucket[order]
+
+
+def packed(columns: list[np.ndarray]) -> bytes:
+    """Integers byte by byte, all lowest bytes first: small ones are mostly zeros in a row, which compression takes away."""
+    return np.ascontiguousarray(np.concatenate(columns).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def checksum(keys: np.ndarray) -> np.ndarray:
+    return arrays.signed(np.bitwise_xor.reduce(arrays.mixed(keys), keepdims=True))
+
+
+def _lists(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Each bucket of a sorted column and where it lies."""
+    cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+    for low, high in zip([0, *cuts], [*cuts, len(bucket)]):
+        if high > low:
+            yield int(bucket[low]), low, high
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Blocks of documents and their numbers; `part` is the number of the input's partition, also below a union."""
+    for number, batch in enumerate(arrays.slices(batches, "text", BLOCK_BYTES)):
+        yield (batch.column("part")[0].as_py() << 32) + number, batch
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block, batch in _numbered(batches):
+        columns = [pa.array(np.full(batch.num_rows, block)), batch.column("doc_id"), batch.column("text")]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "doc_id", "text"])
 
-    A document's row carries a hash of its place as token, so that these rows spread over the join's tasks.
-    """
+
+def _ask(model, held, buckets: int):
+    """The lists of every block: bucket, block and hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, filters, hasher = model(), [get() for get in held], arrays.Hasher()
-        block = TaskContext.get().partitionId() << 32
-        for batch in arrays.slices(batches, "text", BLOCK_BYTES):
-            block += 1
-            hashes, first = tokens(batch.column("text"), hasher)
-            asked = [np.unique(hashes)]
-            asked += [np.unique(keys[passes(bits, keys)]) for bits, (_, keys, _, _) in zip(filters, places(hashes, first, filters))]
-            keys = np.concatenate([x[~frequent.at(x)[0]] for x in asked])
-            n = batch.num_rows
-            place = arrays.mixed(np.uint64(block) * np.uint64(arrays.BASE) + np.arange(n, dtype=np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n + len(keys), block)),
-                    pa.array(np.concatenate((np.zeros(n, bool), np.ones(len(keys), bool)))),
-                    pa.array(arrays.signed(np.concatenate((place, keys)))),
-                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(len(keys), pa.int64())]),
-                    pa.concat_arrays([batch.column("text"), pa.nulls(len(keys), batch.column("text").type)]),
-                ],
-                ["block", "asks", "token", "doc_id", "text"],
-            )
+        for block, batch in _numbered(batches):
+            keys, bucket = asked(*tokens(batch.column("text"), hasher), frequent, filters, buckets)
+            lists = [(b, keys[low:high].tobytes()) for b, low, high in _lists(bucket)]
+            yield pa.RecordBatch.from_pydict({"bucket": [b for b, _ in lists], "block": [block] * len(lists), "data": [x for _, x in lists]}, schema=_LISTS)
+
+    return run
+
+
+_LISTS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("data", pa.binary())])
+
+
+def _fill(buckets: int):
+    """Rare values as rows of the buckets, ahead of all lists (block -1)."""
+
+    def flush(parts: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(parts, axis=1)
+        bucket = buckets_of(rows[0].view(np.uint64), buckets)
+        order = np.argsort(bucket, kind="stable")
+        rows = rows[:, order]
+        lists = [(b, rows[:, low:high].tobytes()) for b, low, high in _lists(bucket[order])]
+        return pa.RecordBatch.from_pydict({"bucket": [b for b, _ in lists], "block": [-1] * len(lists), "data": [x for _, x in lists]}, schema=_LISTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            parts.append(np.array([np.array(batch.column(c)) for c in ("token", "n", "out", "arcs")], dtype=np.int64))
+            size += batch.num_rows
+            if size >= SUMMED:
+                yield flush(parts)
+                parts, size = [], 0
+        if size:
+            yield flush(parts)
 
     return run
 
 
-def _score(model, size: float):
-    """Traverses the documents of each block, whose rows come one after the other, answers first."""
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """block, bucket and the values of each list in its order, behind a checksum. A bucket's values come before its lists."""
+    current, parts, table = None, [], None
+    for batch in batches:
+        block_out, bucket_out, data_out = [], [], []
+        for bucket, block, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "data"))):
+            if bucket != current:
+                current, parts, table = bucket, [], None
+            if block < 0:
+                parts.append(np.frombuffer(data, np.int64).reshape(4, -1))
+                continue
+            if table is None:
+                table = Table.of(*np.concatenate([np.zeros((4, 0), np.int64), *parts], axis=1))
+                parts = []
+            keys = np.frombuffer(data, np.uint64)
+            block_out.append(block)
+            bucket_out.append(bucket)
+            data_out.append(packed([checksum(keys), *looked_up(keys, [table]).astype(np.int64)]))
+        yield pa.RecordBatch.from_pydict({"bucket": bucket_out, "block": block_out, "data": data_out}, schema=_LISTS)
+    arrays.release()
+
+
+def _score(model, held, buckets: int, size: float):
+    """Traverses the documents of each block, whose rows come one after the other, answers by bucket first."""
+
+    def scored(doc_id: list[pa.Array], text: list[pa.Array], answers: list[bytes], hasher: arrays.Hasher) -> pa.RecordBatch:
+        frequent, filters = model(), [get() for get in held]
+        hashes, first = tokens(pa.concat_arrays(text), hasher)
+        keys, bucket = asked(hashes, first, frequent, filters, buckets)
+        lists = [(low, high) for _, low, high in _lists(bucket)]
+        got = [unpacked(x) for x in answers]
+        same = len(lists) == len(got) and all(
+            len(x) == 3 * (high - low) + 1 and x[0] == checksum(keys[low:high])[0] for (low, high), x in zip(lists, got)
+        )
+        if not same:
+            raise RuntimeError("the documents changed between two reads: write them to a table first")
+        rows = np.concatenate([np.zeros((3, 0), np.int64), *(x[1:].reshape(3, -1) for x in got)], axis=1)
+        count, base, own = traverse(hashes, first, [frequent, Table.of(arrays.signed(keys), *rows)], size)
+        document = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        total = lambda x: np.bincount(document, weights=x, minlength=len(first) - 1)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays(doc_id),
+                pa.array(np.diff(first), pa.int64()),
+                pa.array(total(count > 0).astype(np.int64)),
+                pa.array(total(base)),
+                pa.array(total(own)),
+            ],
+            ["doc_id", "n_tokens", "n_known", "base_score", "score"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, hasher = model(), arrays.Hasher()
-        current, answers, table = None, [], None
+        hasher, current, doc_id, text, answers = arrays.Hasher(), None, [], [], []
         for batch in batches:
-            block, asks = np.array(batch.column("block")), np.array(batch.column("asks"))
-            cuts = np.flatnonzero((block[1:] != block[:-1]) | (asks[1:] != asks[:-1])) + 1
+            block, is_text = np.array(batch.column("block")), np.array(batch.column("bucket")) == buckets
+            cuts = np.flatnonzero((block[1:] != block[:-1]) | (is_text[1:] != is_text[:-1])) + 1
             for low, high in zip([0, *cuts], [*cuts, len(block)]):
                 if high == low:
                     continue
-                piece = batch.slice(low, high - low)
                 if block[low] != current:
-                    current, answers, table = block[low], [], None
-                if asks[low]:
-                    answers.append([np.array(piece.column(c)) for c in ("token", "n", "out", "arcs")])
-                    continue
-                if table is None:
-                    table = Table.of(*(np.concatenate(x) for x in zip(*answers))) if answers else Table.of(*np.zeros((4, 0), np.int64))
-                    answers = []
-                hashes, first = tokens(piece.column("text"), hasher)
-                document = np.repeat(np.arange(len(piece)), np.diff(first))
-                count, base, own = traverse(hashes, first, [frequent, table], size)
-                total = lambda x: np.bincount(document, weights=x, minlength=piece.num_rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        piece.column("doc_id"),
-                        pa.array(np.diff(first), pa.int64()),
-                        pa.array(total(count > 0).astype(np.int64)),
-                        pa.array(total(base)),
-                        pa.array(total(own)),
-                    ],
-                    ["doc_id", "n_tokens", "n_known", "base_score", "score"],
-                )
+                    if text:
+                        yield scored(doc_id, text, answers, hasher)
+                    current, doc_id, text, answers = block[low], [], [], []
+                if is_text[low]:
+                    doc_id.append(batch.column("doc_id").slice(low, high - low))
+                    text.append(batch.column("text").slice(low, high - low))
+                else:
+                    answers += batch.column("data").slice(low, high - low).to_pylist()
+        if text:
+            yield scored(doc_id, text, answers, hasher)
         arrays.release()
 
     return run
@@ -356,17 +451,19 @@ def _score(model, size: float):
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of `docs`."""
     table, held = values(docs)
-    words = F.col("known") > 0
-    total, distinct = table.agg(F.coalesce(F.sum(F.when(words, F.col("n"))), F.lit(0)), F.count_if(words)).first()
+    words, n = F.col("known") > 0, F.col("n")
+    total, distinct = table.agg(F.coalesce(F.sum(F.when(words, n)), F.lit(0)), F.count_if(words)).first()
     size, cutoff = float(total + 0.5 * (distinct + 1)), max(RATE * total, LEAST)
-    model = arrays.shared(docs.sparkSession, frequent_values(table, cutoff))
-    typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = typed.mapInArrow(_ask(model, held), "block long, asks boolean, token long, doc_id long, text string")
-    rare = table.where(F.col("n") < cutoff).select(F.col("token").alias("_token"), "n", "out", "arcs")
-    joined = rows.join(rare, (F.col("token") == F.col("_token")) & F.col("asks"), "left").where(~F.col("asks") | F.col("_token").isNotNull())
-    dealt = joined.drop("_token").repartition("block").sortWithinPartitions("block", F.desc("asks"))
-    schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
-    return dealt.mapInArrow(_score(model, size), schema).select(
+    model, rare = arrays.shared(docs.sparkSession, frequent_values(table, cutoff)), table.where(n < cutoff)
+    buckets = rare.count() // BUCKET_ROWS + 1
+    typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.spark_partition_id().alias("part"))
+    schema = "bucket long, block long, data binary"
+    lists = typed.mapInArrow(_ask(model, held, buckets), schema)
+    filled = rare.select("token", "n", "out", "arcs").mapInArrow(_fill(buckets), schema)
+    answers = filled.union(lists).repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_answer, schema)
+    texts = typed.mapInArrow(_texts, "block long, doc_id long, text string").withColumn("bucket", F.lit(buckets).cast("long"))
+    met = texts.unionByName(answers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "bucket")
+    return met.mapInArrow(_score(model, held, buckets, size), "doc_id long, n_tokens long, n_known long, base_score double, score double").select(
         "doc_id",
         held_out("doc_id").alias("held_out"),
         "n_tokens",

@@ -114,6 +114,7 @@ def test_blocks_and_batches_of_any_size(spark, docs, rows, monkeypatch):
     model = Brute([t for i, t in rows if not held(i)])
     monkeypatch.setattr(backoff, "RATE", 0.02)
     monkeypatch.setattr(backoff, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(backoff, "BUCKET_ROWS", 9)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         out = {r.doc_id: round(r.score, 6) for r in backoff.scores(docs(rows).coalesce(2)).collect()}
