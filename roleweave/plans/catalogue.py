@@ -591,7 +591,8 @@ def _vector_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _cv(regressor: str, count: int) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        candidates = [training.LEAST_BOOSTED] if regressor == "gbt" else training.trials(regressor, count)
+        # Trees take a fit of 200 iterations for three candidates; those of more trees are left to `tune`.
+        candidates = training.boosted_trials(count, iterations=(100, 150, 200)) if regressor == "gbt" else training.trials(regressor, count)
         rows = _vector_rows(spark, folder)
         result = training.cross_validate(rows, "vec_id", regressor, candidates, scale_before_split=True)
         return result.select("trial", F.round("spearman", 6).alias("spearman"))
@@ -600,11 +601,10 @@ def _cv(regressor: str, count: int) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def bow_cv(spark: SparkSession, folder: str) -> DataFrame:
-    """Bag of words of the hand-labelled documents, preprocessor fitted inside each fold."""
+    """Bags of words of the hand-labelled documents, vocabularies of each fold's training rows, thirty trials of ridge."""
     labels = adapters.table(spark, folder, "labels").select("doc_id", (F.col("quality") * 100.0).alias("score"))
     rows = _words(spark, folder).join(labels, "doc_id").filter(F.size("tokens") > 0)
-    candidate = {"alpha": 1.0, "min_df": 2, "max_df": 0.9, "max_features": 500, "max_ngram": 2, "use_idf": True}
-    result = training.cross_validate(rows, "doc_id", "ridge", [candidate], training.bow_preprocessor)
+    result = training.cross_validate(rows, "doc_id", "ridge", training.bow_trials("ridge", 30), training.bow_preprocessor)
     return result.select("trial", F.round("spearman", 6).alias("spearman"))
 
 
@@ -701,7 +701,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bow_top_terms": bow_top_terms,
     "ridge_cv": _cv("ridge", 30),
     "elastic_cv": _cv("elasticnet", 30),
-    "gbt_cv": _cv("gbt", 1),
+    "gbt_cv": _cv("gbt", 3),
     "bow_cv": bow_cv,
     "score_pending": score_pending,
 }

@@ -11,7 +11,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
@@ -23,7 +23,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from roleweave.functions.text import labelled_paragraphs
 from roleweave.operators.correlation import spearman
 from roleweave.operators.encoding import Encoder
 from roleweave.operators.tokens import tokens, vocabulary
+from roleweave.plans.bag_of_words import ridge_predictions
 from roleweave.plans.scoring import build_features, save_model
 from roleweave.session import stage
 from roleweave.sources.training_files import skipped_rows, training_rows
@@ -90,10 +91,6 @@ def draw_params(regressor: str, rng: random.Random) -> Params:
     raise ValueError(f"unknown regressor: {regressor!r}")
 
 
-# The cheapest point of the boosted trees' search space.
-LEAST_BOOSTED: Params = {"iterations": 100, "learning_rate": 0.1, "depth": 2, "subsample": 1.0}
-
-
 def draw_bow_params(rng: random.Random) -> Params:
     """One random point of the bag-of-words search space."""
     return {
@@ -110,6 +107,24 @@ def trials(regressor: str, count: int, seed: int = 0) -> list[Params]:
     return [draw_params(regressor, rng) for _ in range(count)]
 
 
+def bow_trials(regressor: str, count: int, seed: int = 0) -> list[Params]:
+    """Random points of the regressor's search space, each with one of the bag-of-words search space."""
+    rng = random.Random(seed)
+    return [{**draw_params(regressor, rng), **draw_bow_params(rng)} for _ in range(count)]
+
+
+def boosted_trials(count: int, seed: int = 0, iterations: Sequence[int] = range(100, 401, 50)) -> list[Params]:
+    """Points of the boosted trees' search space in families that differ by their number of trees only.
+
+    A family costs one fit of its largest number in each fold, as all smaller numbers are its first trees.
+    """
+    rng, found = random.Random(seed), []
+    while len(found) < count:
+        drawn = draw_params("gbt", rng)
+        found += [{**drawn, "iterations": n} for n in iterations]
+    return found[:count]
+
+
 # ---------------------------------------------------------------- estimators
 
 
@@ -379,6 +394,27 @@ def with_fold(rows: DataFrame, key: str, folds: int = FOLDS, seed: int = 0) -> D
     return rows.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int"))
 
 
+def _families(regressor: str, candidates: Sequence[Params]) -> list[list[int]]:
+    """Numbers of the candidates that one fit serves: boosted trees that differ by their number of iterations only."""
+    found: dict[tuple, list[int]] = {}
+    for number, own in enumerate(candidates):
+        same = tuple(sorted((k, v) for k, v in own.items() if k != "iterations")) if regressor == "gbt" else number
+        found.setdefault(same, []).append(number)
+    return list(found.values())
+
+
+def first_trees(model: GBTRegressionModel, count: int) -> GBTRegressionModel:
+    """The model of the first `count` iterations: boosting adds trees and never changes earlier ones."""
+    context = SparkContext.getOrCreate()
+    boosted = context._jvm.org.apache.spark.ml.regression
+    trees = context._gateway.new_array(boosted.DecisionTreeRegressionModel, count)
+    weights = context._gateway.new_array(context._jvm.double, count)
+    for i, (tree, weight) in enumerate(zip(model.trees[:count], model.treeWeights[:count])):
+        trees[i], weights[i] = tree._java_obj, weight
+    short = GBTRegressionModel(boosted.GBTRegressionModel(f"{model.uid}_{count}", trees, weights))
+    return short.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
 def _fitted_predictions(
     data: DataFrame,
     key: str,
@@ -388,19 +424,22 @@ def _fitted_predictions(
     shared: PipelineModel | None,
     parallelism: int,
 ) -> DataFrame:
-    """Held-out predictions of one Spark ML fit per trial and fold, `parallelism` fits at a time."""
+    """Held-out predictions of one Spark ML fit per family of trials and fold, `parallelism` fits at a time."""
 
-    def held_out_predictions(fold: int, number: int) -> DataFrame:
+    def held_out_predictions(fold: int, family: list[int]) -> DataFrame:
         train, held_out = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
-        params = candidates[number]
+        params = max((candidates[number] for number in family), key=lambda c: c.get("iterations", 0))
         pre = shared or preprocessor(train, params)
         model = estimator(regressor, params, target_stats(train)).fit(pre.transform(train))
-        return model.transform(pre.transform(held_out)).select(
-            F.lit(number).alias("trial"), "fold", F.col(key).alias("_key"), "score", "prediction"
-        )
+        ready = pre.transform(held_out)
+        parts = []
+        for number in family:
+            own = model if candidates[number] == params else first_trees(model, int(candidates[number]["iterations"]))
+            parts.append(own.transform(ready).select(F.lit(number).alias("trial"), "fold", F.col(key).alias("_key"), "score", "prediction"))
+        return reduce(DataFrame.unionByName, parts)
 
     present = sorted(r.fold for r in data.select("fold").distinct().collect())
-    tasks = [(fold, number) for fold in present for number in range(len(candidates))]
+    tasks = [(fold, family) for fold in present for family in _families(regressor, candidates)]
     run = inheritable_thread_target(data.sparkSession)(lambda task: held_out_predictions(*task))
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
         return reduce(DataFrame.unionByName, pool.map(run, tasks, chunksize=1))
@@ -419,9 +458,9 @@ def cross_validate(
     """(trial, spearman): mean over folds of the held-out rank correlation.
 
     Linear models on dense features need one pass for all trials and folds at any width up to MOMENT_DIMS,
-    and beyond it are refused; other models are fitted one by one with Spark ML. Held-out predictions of all trials and folds are ranked together. By default
-    features are scaled inside each fold; `scale_before_split` scales once on all rows, as the
-    exported model has it.
+    and beyond it are refused; ridge on bags of words is fitted for all of them in step; other models are fitted with Spark ML,
+    boosted trees once for all numbers of iterations. Held-out predictions of all trials and folds are ranked together. By
+    default features are scaled inside each fold; `scale_before_split` scales once on all rows, as the exported model has it.
     """
     data = stage(with_fold(rows, key, folds), "training")
     if regressor in FROM_MOMENTS and preprocessor is embedding_preprocessor:
@@ -429,6 +468,8 @@ def cross_validate(
         if dims > MOMENT_DIMS:
             raise ValueError(f"{regressor} takes at most {MOMENT_DIMS} features, not {dims}")
         predictions = _linear_predictions(data, key, regressor, candidates, dims, scale_before_split)
+    elif regressor == "ridge" and preprocessor is bow_preprocessor and not scale_before_split:
+        predictions = ridge_predictions(data, key, candidates)
     else:
         shared = preprocessor(data, candidates[0]) if scale_before_split else None
         predictions = _fitted_predictions(data, key, regressor, candidates, preprocessor, shared, parallelism)
@@ -456,10 +497,10 @@ def tune(
     seed: int = 0,
 ) -> Study:
     """Best of `n_trials` seeded random points."""
-    rng = random.Random(seed)
-    candidates = [
-        {**draw_params(regressor, rng), **(draw_bow_params(rng) if bow else {})} for _ in range(n_trials)
-    ]
+    if bow:
+        candidates = bow_trials(regressor, n_trials, seed)
+    else:
+        candidates = boosted_trials(n_trials, seed) if regressor == "gbt" else trials(regressor, n_trials, seed)
     results = cross_validate(rows, key, regressor, candidates, preprocessor, scale_before_split)
     best = results.orderBy(F.desc("spearman"), "trial").first()
     return Study(regressor, candidates[best.trial], best.spearman)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from roleweave.functions.classify import RelevanceRules
 from roleweave.operators import similarity, tokens
 from roleweave.operators.encoding import HashingEncoder, ModelEncoder, reference_vectors
-from roleweave.plans import training
+from roleweave.plans import bag_of_words, training
 from roleweave.plans.scoring import ModelMismatch, ModelMissing, build_features, load_model, save_model, score_pending
 from roleweave.session import stage
 from roleweave.sources.store import PostingStore
@@ -265,6 +265,61 @@ def test_elastic_net_trials_take_one_pass(spark):
     assert sorted(r.trial for r in result) == list(range(30)) and max(r.spearman for r in result) > 0.9
 
 
+def bag_rows(spark):
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(40)])
+    share = 1.0 / np.arange(1, 41)
+    rows = []
+    for i in range(80):
+        own = [str(w) for w in rng.choice(words, size=rng.integers(1, 25), p=share / share.sum())]
+        rows.append((i, own, float(10 * ("w3" in own) - 4 * ("w5" in own) + rng.normal())))
+    rows.append((80, ["unseen"], 3.0))  # none of its terms is in any vocabulary
+    return spark.createDataFrame(rows, "id int, tokens array<string>, score double")
+
+
+def test_bags_fitted_in_step_equal_single_fits(spark):
+    rows = bag_rows(spark)
+    bounds = [(2, 0.9, 30, 1, True), (1, 0.8, 1000, 2, False), (3, 1.0, 60, 2, True)]
+    candidates = [
+        {"alpha": a, **dict(zip(("min_df", "max_df", "max_features", "max_ngram", "use_idf"), b))}
+        for a, b in zip((0.05, 1.0, 20.0), bounds)
+    ]
+    data = stage(training.with_fold(rows, "id"), "bags")
+    single = training._fitted_predictions(data, "id", "ridge", candidates, training.bow_preprocessor, None, 4)
+    expected = {(r.trial, r._key): r.prediction for r in single.collect()}
+    found = {(r.trial, r._key): r.prediction for r in training.ridge_predictions(data, "id", candidates).collect()}
+    assert found.keys() == expected.keys() and len(found) == 3 * 81
+    np.testing.assert_allclose([found[k] for k in expected], list(expected.values()), atol=5e-3)
+
+
+def test_bags_take_as_many_passes_for_thirty_trials_as_the_slowest_needs(spark, monkeypatch):
+    passes, summed = [], bag_of_words._summed
+    monkeypatch.setattr(bag_of_words, "_summed", lambda *a: passes.append(1) or summed(*a))
+    result = training.cross_validate(bag_rows(spark), "id", "ridge", training.bow_trials("ridge", 30), training.bow_preprocessor)
+    assert result.count() == 30 and len(passes) <= bag_of_words.MOST_PASSES + 1
+
+
+def test_boosted_trees_are_fitted_once_for_all_numbers_of_iterations(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, float(x[0] * 3 + x[1] ** 2), Vectors.dense(x.tolist())) for i, x in enumerate(rng.normal(size=(60, 2)))]
+    data = training.with_fold(spark.createDataFrame(rows, ["id", "score", "features"]), "id", 2)
+    own = {"learning_rate": 0.2, "depth": 2, "subsample": 0.7}
+    together = [{**own, "iterations": n} for n in (3, 6)]
+    assert training._families("gbt", [*together, {**own, "depth": 3, "iterations": 3}]) == [[0, 1], [2]]
+    pre = training.embedding_preprocessor
+    run = lambda some: training._fitted_predictions(data, "id", "gbt", some, pre, None, 2).collect()
+    found = {(r.trial, r._key): r.prediction for r in run(together)}
+    for number in (0, 1):
+        for r in run([together[number]]):
+            assert found[number, r._key] == pytest.approx(r.prediction)
+
+
+def test_boosted_trials_are_families():
+    drawn = training.boosted_trials(30)
+    assert len(drawn) == 30 and len(training._families("gbt", drawn)) == 5
+    assert {p["iterations"] for p in drawn} == set(range(100, 401, 50))
+
+
 def test_unknown_regressor():
     with pytest.raises(ValueError, match="unknown regressor"):
         training.trials("magic", 1)
