@@ -12,9 +12,9 @@
 4. The removed ranges of each document are joined with its text. A filter of fixed size over the ids concerned lets only
    their texts travel.
 
-Null text is empty. A null id counts as after all others. Rows that share an id count as the same document: equal places
-don't remove each other, and each row loses the ranges found for that id, as far as it reaches. Texts shorter than
-LENGTH keep everything. Empty tables give empty results.
+Null text is empty. A null id counts as after all others. Rows that share an id (or have none) count as the same document:
+equal places don't remove each other. Each row loses what its own text repeats and nothing else: ranges and texts meet by id and
+text hash (`own`). Equal rows lose the same. Texts shorter than LENGTH keep everything. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -81,6 +81,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in arrays.slices(batches, "text", PART_BYTES):
         found = segments(arrays.texts_of(batch.column("text")), hasher)
         doc = np.array(batch.column("doc"), dtype=np.int64)[found["document"]]
+        own = np.array(batch.column("own"), dtype=np.int64)[found["document"]]
         low = found["low"]
         # Of equal segments in the slice only the earliest (and its equals) need to look further; the others are spread.
         order = np.lexsort((low, doc, found["whole"], found["gram"]))
@@ -96,12 +97,13 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(arrays.signed(gram)),
                 pa.array(arrays.signed(found["whole"])),
                 pa.array(doc),
+                pa.array(own),
                 pa.array(low, pa.int32()),
                 pa.array(found["high"] - low, pa.int32()),
                 pa.array(found["anchor"] - low, pa.int32()),
                 pa.array(settled),
             ],
-            ["gram", "whole", "doc", "low", "more", "at", "settled"],
+            ["gram", "whole", "doc", "own", "low", "more", "at", "settled"],
         )
 
 
@@ -110,14 +112,14 @@ def judged_segments(docs: DataFrame) -> DataFrame:
 
     One shuffle by the anchor hash serves all windows.
     """
-    rows = docs.mapInArrow(_segments, "gram long, whole long, doc long, low int, more int, at int, settled boolean").repartition("gram")
+    rows = docs.mapInArrow(_segments, "gram long, whole long, doc long, own long, low int, more int, at int, settled boolean").repartition("gram")
     same, anchor = Window.partitionBy("gram", "whole"), Window.partitionBy("gram")
     place = F.struct("doc", "low")
     judged = rows.withColumn("first", F.min(place).over(same)).withColumns(
         {"open": (F.min("whole").over(anchor) != F.max("whole").over(anchor)) & ~F.col("settled")}
     )
     repeated = F.col("settled") | (place != F.col("first"))
-    judged = judged.select("gram", "whole", "doc", "low", "more", "at", repeated.alias("repeated"), "open")
+    judged = judged.select("gram", "whole", "doc", "own", "low", "more", "at", repeated.alias("repeated"), "open")
     return stage(judged.where("repeated or open"), "suffix_segments")
 
 
@@ -143,7 +145,7 @@ def _concerned(passes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = passes()
         for batch in batches:
-            yield batch.filter(pa.array(_passes(table, batch))).select(["doc", "text"])
+            yield batch.filter(pa.array(_passes(table, batch))).select(["doc", "own", "text"])
 
     return run
 
@@ -152,15 +154,15 @@ def _bytes_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     """The bytes of each open segment of a document."""
     for batch in arrays.slices(batches, "text", PART_BYTES):
         texts = arrays.texts_of(batch.column("text"))
-        out: dict[str, list] = {name: [] for name in ("gram", "doc", "low", "at", "piece")}
-        for row, (doc, places) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("places").to_pylist())):
+        out: dict[str, list] = {name: [] for name in ("gram", "doc", "own", "low", "at", "piece")}
+        for row, (doc, own, places) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc", "own", "places")))):
             text = texts.data[texts.offsets[row] : texts.offsets[row + 1]].tobytes()
             for x in places:
                 piece = text[x["low"] : x["low"] + x["more"] + LENGTH]
                 if len(piece) >= LENGTH:
-                    for name, value in zip(out, (x["gram"], doc, x["low"], x["at"], piece)):
+                    for name, value in zip(out, (x["gram"], doc, own, x["low"], x["at"], piece)):
                         out[name].append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], list(out))
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], list(out))
 
 
 class Suffixes:
@@ -266,17 +268,18 @@ def repeated_windows(pieces: list[bytes], at: np.ndarray, doc: np.ndarray, low:
 
 
 def _sorted_block(table: pa.Table) -> pa.Table:
-    doc, low = table.column("doc").to_numpy(), table.column("low").to_numpy().astype(np.int64)
+    doc, own = table.column("doc").to_numpy(), table.column("own").to_numpy()
+    low = table.column("low").to_numpy().astype(np.int64)
     at = table.column("at").to_numpy().astype(np.int64)
     index, start = repeated_windows(table.column("piece").to_pylist(), at, doc, low)
-    order = np.lexsort((start, doc[index]))
-    doc, start = doc[index][order], start[order]
+    order = np.lexsort((start, own[index], doc[index]))
+    doc, own, start = doc[index][order], own[index][order], start[order]
     # Neighbouring windows become one range.
     new = np.ones(len(doc), dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
+    new[1:] = (doc[1:] != doc[:-1]) | (own[1:] != own[:-1]) | (start[1:] > start[:-1] + 1)
     head = np.flatnonzero(new)
     tail = np.append(head[1:], len(doc))[: len(head)] - 1
-    return pa.table({"doc": doc[head], "low": pa.array(start[head], pa.int32()), "high": pa.array(start[tail] + LENGTH, pa.int32())})
+    return pa.table({"doc": doc[head], "own": own[head], "low": pa.array(start[head], pa.int32()), "high": pa.array(start[tail] + LENGTH, pa.int32())})
 
 
 def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,27 +291,27 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             start = np.arange(len(piece) - LENGTH + 1)
             middle = start + LENGTH // 2
             halves = [hasher.spans(piece, start, middle), hasher.spans(piece, middle, start + LENGTH)]
-            doc = np.full(len(start), batch.column("doc")[row].as_py())
-            yield pa.RecordBatch.from_arrays([*(pa.array(arrays.signed(h)) for h in halves), pa.array(doc, pa.int64()), pa.array(start + batch.column("low")[row].as_py(), pa.int32())], ["a", "b", "doc", "low"])
+            doc, own = (np.full(len(start), batch.column(c)[row].as_py()) for c in ("doc", "own"))
+            yield pa.RecordBatch.from_arrays([*(pa.array(arrays.signed(h)) for h in halves), pa.array(doc, pa.int64()), pa.array(own, pa.int64()), pa.array(start + batch.column("low")[row].as_py(), pa.int32())], ["a", "b", "doc", "own", "low"])
 
 
 def partial_repeats(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """Ranges (doc, low, high) of the windows that segments share without being equal."""
-    open_ = judged.where("open and not repeated").dropDuplicates(["gram", "whole", "doc", "low"])
-    places = open_.groupBy("doc").agg(F.collect_list(F.struct("gram", "low", "more", "at")).alias("places"))
+    """Ranges (doc, own, low, high) of the windows that segments share without being equal."""
+    open_ = judged.where("open and not repeated").dropDuplicates(["gram", "whole", "doc", "own", "low"])
+    places = open_.groupBy("doc", "own").agg(F.collect_list(F.struct("gram", "low", "more", "at")).alias("places"))
     cell, bit = _filter_place()
-    texts = docs.withColumns({"cell": cell, "bit": bit}).mapInArrow(_concerned(id_filter(open_)), "doc long, text string")
-    pieces = stage(texts.join(places, "doc").mapInArrow(_bytes_of_segments, "gram long, doc long, low int, at int, piece binary"), "suffix_pieces")
+    texts = docs.withColumns({"cell": cell, "bit": bit}).mapInArrow(_concerned(id_filter(open_)), "doc long, own long, text string")
+    pieces = stage(texts.join(places, ["doc", "own"]).mapInArrow(_bytes_of_segments, "gram long, doc long, own long, low int, at int, piece binary"), "suffix_pieces")
     sizes = pieces.groupBy("gram").agg(F.count("*").alias("n"))
     wide = sizes.where(F.col("n") > MOST_OF_ANCHOR).select("gram")
     blocks = pieces.count() // BLOCK + 1
     block = F.pmod(F.xxhash64("gram"), F.lit(blocks)).alias("block")
     narrow = pieces.join(wide, "gram", "left_anti").withColumn("block", block)
-    ranges = narrow.groupBy("block").applyInArrow(_sorted_block, "doc long, low int, high int")
-    single = pieces.join(wide, "gram", "left_semi").mapInArrow(_single_windows, "a long, b long, doc long, low int")
+    ranges = narrow.groupBy("block").applyInArrow(_sorted_block, "doc long, own long, low int, high int")
+    single = pieces.join(wide, "gram", "left_semi").mapInArrow(_single_windows, "a long, b long, doc long, own long, low int")
     first = single.groupBy("a", "b").agg(F.min(F.struct("doc", "low")).alias("first"), F.count("*").alias("n")).where("n > 1")
     spread = single.join(first, ["a", "b"]).where(F.struct("doc", "low") != F.col("first"))
-    return ranges.union(spread.select("doc", "low", (F.col("low") + LENGTH).alias("high")))
+    return ranges.union(spread.select("doc", "own", "low", (F.col("low") + LENGTH).alias("high")))
 
 
 def _split(passes):
@@ -323,11 +326,12 @@ def _split(passes):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc"),
+                    batch.column("own"),
                     pa.array([t if m else None for m, t in zip(may, texts)], pa.string()),
                     pa.array([None if w is None else len(w) for w in whole], pa.int64()),
                     pa.array([None if w is None else hashlib.sha256(w).hexdigest() for w in whole], pa.string()),
                 ],
-                ["doc", "text", "n_bytes", "sha256"],
+                ["doc", "own", "text", "n_bytes", "sha256"],
             )
 
     return run
@@ -367,13 +371,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def removals(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed ranges (flat pairs of byte offsets) of every row."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), "text")
+    rows = rows.withColumn("own", F.xxhash64("text"))
     judged = judged_segments(rows)
-    whole = judged.where("repeated").select("doc", "low", (F.col("low") + F.col("more") + LENGTH).alias("high"))
+    whole = judged.where("repeated").select("doc", "own", "low", (F.col("low") + F.col("more") + LENGTH).alias("high"))
     ranges = stage(whole.union(partial_repeats(rows, judged)), "suffix_ranges")
-    lists = ranges.groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    lists = ranges.groupBy("doc", "own").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     cell, bit = _filter_place()
-    texts = rows.withColumns({"cell": cell, "bit": bit}).mapInArrow(_split(id_filter(ranges)), "doc long, text string, n_bytes long, sha256 string")
-    cut = texts.join(lists, "doc", "left").mapInArrow(_cut, "doc long, n_bytes long, n_removed long, removed array<int>, kept_sha256 string")
+    texts = rows.withColumns({"cell": cell, "bit": bit}).mapInArrow(_split(id_filter(ranges)), "doc long, own long, text string, n_bytes long, sha256 string")
+    cut = texts.join(lists, ["doc", "own"], "left").mapInArrow(_cut, "doc long, n_bytes long, n_removed long, removed array<int>, kept_sha256 string")
     return cut.select(
         F.when(F.col("doc") != LAST_ID, F.col("doc")).alias("doc_id"),
         "n_bytes",

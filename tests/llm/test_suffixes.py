@@ -59,6 +59,20 @@ def test_equals_brute_force(docs, edge_rows, rows, monkeypatch, most):
     assert sorted((tuple(r) for r in out), key=str) == brute(every)
 
 
+@pytest.mark.parametrize("most", [suffixes.MOST_OF_ANCHOR, 1])
+@pytest.mark.parametrize("shared", [None, 5])
+def test_rows_of_one_id_keep_what_only_others_repeat(docs, rows, monkeypatch, shared, most):
+    """Different texts under one id, or under none: each loses what it repeats itself."""
+    monkeypatch.setattr(suffixes, "MOST_OF_ANCHOR", most)
+    clean = " ".join(f"only{i * i}" for i in range(60))
+    source = " ".join(f"said{i * 7}" for i in range(60))
+    every = [(1, source), (shared, clean), (shared, "x" + source[5:250]), (shared, source[:200] + "tail"), *((shared, t) for _, t in rows[:30])]
+    out = suffixes.removals(docs(every)).drop("removed").collect()
+    assert sorted((tuple(r) for r in out), key=str) == brute(every)
+    kept = hashlib.sha256(clean.encode()).hexdigest()
+    assert [r.n_removed for r in out if r.kept_sha256 == kept] == [0]
+
+
 def test_very_long_and_empty(docs, edge_rows):
     out = {r.doc_id: r for r in suffixes.removals(docs(edge_rows)).collect()}
     assert out[9].n_removed == 300_000 - 1 and out[9].n_spans == 1
