@@ -11,15 +11,17 @@ LONGEST characters, and runs and walks are jumped as a whole. Repeated rows are
 
 from __future__ import annotations
 
-import hashlib
+import json
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roleweave.llm import arrays
+
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 KINDS = ("assign", "access", "hex", "guess")
 # Words that announce a credential, and the value behind them.
@@ -27,6 +29,12 @@ CONTEXT = r"""(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[_-]?key|a
 # log10 of the guesses from which a value counts as secret.
 GUESS_LOG10 = 8.0
 LONGEST = 64
+# Bytes of text looked at together.
+SLICE_BYTES = 1 << 20
+
+# Public vocabulary whose whole words, frequent ones first, follow the common ones in the guesser's dictionary.
+VOCABULARY = "word_bpe_49k.json"
+SHORTEST_WORD = 4
 
 # Common words by how early a guesser tries them.
 COMMON = (
@@ -41,8 +49,30 @@ KEY_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("4301$@57!", "aeoisasti")
 DATES = re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d|(?:19|20)\d\d")
 
-_RANK = {word: i + 1 for i, word in reversed(list(enumerate(COMMON)))}
-_LONGEST_WORD = max(map(len, COMMON))
+
+class Words:
+    """The guesser's dictionary: each word's rank, counted from 1."""
+
+    def __init__(self, words: Iterable[str]) -> None:
+        self.rank: dict[str, int] = {}
+        for word in words:
+            self.rank.setdefault(word, len(self.rank) + 1)
+        self.longest = max(map(len, self.rank), default=0)
+
+
+def load(path: str | None = None) -> Words:
+    """Common words, then the whole words of a vocabulary file: letters a to z, SHORTEST_WORD of them or more."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(VOCABULARY)
+    with open(path, encoding="utf-8") as file:
+        ids = json.load(file)["model"]["vocab"]
+    whole = (piece.removesuffix("</w>") for piece in sorted(ids, key=ids.get) if piece.endswith("</w>"))
+    return Words([*COMMON, *(w for w in whole if len(w) >= SHORTEST_WORD and w.isascii() and w.isalpha())])
+
+
+_BASIC = Words(COMMON)
 _PLACE = {c: (row, i) for row, keys in enumerate(KEY_ROWS) for i, c in enumerate(keys)}
 
 
@@ -64,7 +94,7 @@ def _reach(value: str, same) -> list[int]:
     return out
 
 
-def parts(value: str) -> Iterator[tuple[int, int, str, float]]:
+def parts(value: str, words: Words = _BASIC) -> Iterator[tuple[int, int, str, float]]:
     """All parts a cut may use, by start: (start, end, kind, log10 guesses)."""
     lower = value.lower()
     plain = lower.translate(LEET) if len(lower) == len(value) else value
@@ -74,11 +104,11 @@ def parts(value: str) -> Iterator[tuple[int, int, str, float]]:
     step = _reach(value, lambda a, b: ord(b) - ord(a) == 1)
     for i, c in enumerate(value):
         yield i, i + 1, "brute", math.log10(_alphabet(c))
-        for end in range(i + 2, min(len(value), i + _LONGEST_WORD) + 1):
+        for end in range(i + 2, min(len(value), i + words.longest) + 1):
             for spelled, extra in ((lower[i:end], 0.0), (plain[i:end], math.log10(2))):
-                if spelled in _RANK:
+                if spelled in words.rank:
                     capital = math.log10(2) if value[i:end] != lower[i:end] else 0.0
-                    yield i, end, "word", math.log10(_RANK[spelled]) + capital + extra
+                    yield i, end, "word", math.log10(words.rank[spelled]) + capital + extra
         if match := DATES.match(value, i):
             yield i, match.end(), "date", math.log10(365 * (1 if len(match[0]) == 4 else 100)) - (math.log10(3) if len(match[0]) == 4 else 0)
         for kind, reach, each in (("repeat", repeat, _alphabet(c)), ("walk", walk, 47), ("walk", step, 30)):
@@ -87,7 +117,7 @@ def parts(value: str) -> Iterator[tuple[int, int, str, float]]:
                     yield i, end, kind, math.log10(each * (end - i))
 
 
-def segmentation(value: str) -> tuple[float, list[tuple[int, int, str]]]:
+def segmentation(value: str, words: Words = _BASIC) -> tuple[float, list[tuple[int, int, str]]]:
     """log10 of the least guesses for `value`, and the parts of that cut. Ties go to the part found first.
 
     Each part beyond a first costs a factor of two, for the place where it is joined; neighbouring brute-force
@@ -97,7 +127,7 @@ def segmentation(value: str) -> tuple[float, list[tuple[int, int, str]]]:
     best[0] = [0.0, math.inf]
     back: list[list[tuple[int, int, str] | None]] = [[None, None] for _ in range(len(value) + 1)]
     join = math.log10(2)
-    for start, end, kind, cost in parts(value):
+    for start, end, kind, cost in parts(value, words):
         brute = int(kind == "brute")
         for before in (0, 1):
             total = best[start][before] + cost + (join if start and not (brute and before) else 0.0)
@@ -115,22 +145,22 @@ def segmentation(value: str) -> tuple[float, list[tuple[int, int, str]]]:
     return cost, cut[::-1]
 
 
-def guess_cost(value: str) -> float:
-    return segmentation(value)[0]
+def guess_cost(value: str, words: Words = _BASIC) -> float:
+    return segmentation(value, words)[0]
 
 
-def spans(text: str) -> list[tuple[str, int, int, float]]:
+def spans(text: str, words: Words = _BASIC) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, log10 guesses) by start, then kind as listed; places in code points."""
     found, lower = [], text.lower()
     if any(word in lower for word in _ASSIGN_WORDS):
         for match in _ASSIGN.finditer(text):
             if len(match[2]) >= 6:
-                found.append(("assign", match.start(), match.end(), guess_cost(match[2])))
+                found.append(("assign", match.start(), match.end(), guess_cost(match[2], words)))
     for kind, pattern in (("access", _ACCESS), ("hex", _HEX)):
-        found += [(kind, m.start(), m.end(), guess_cost(m[0])) for m in pattern.finditer(text)]
+        found += [(kind, m.start(), m.end(), guess_cost(m[0], words)) for m in pattern.finditer(text)]
     if any(word in lower for word in _CONTEXT_WORDS) and (":" in text or "=" in text or " is " in lower):
         for match in _CONTEXT.finditer(text):
-            cost = guess_cost(match[1])
+            cost = guess_cost(match[1], words)
             if cost >= GUESS_LOG10:
                 found.append(("guess", match.start(1), match.end(1), cost))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
@@ -146,25 +176,23 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "api", "auth", "credential", "login")
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array(
-                        [[dict(zip(("kind", "start", "end", "guess_log10"), x)) for x in spans(t or "")] for t in part.column("text").to_pylist()],
-                        pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("guess_log10", pa.float64())])),
-                    ),
-                ],
-                ["doc_id", "found"],
-            )
+def _scan(dictionary: Callable[[], Words]):
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("guess_log10", pa.float64())]))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = dictionary()
+        for part in arrays.slices(batches, "text", SLICE_BYTES):
+            found = [[dict(zip(("kind", "start", "end", "guess_log10"), x)) for x in spans(t or "", words)] for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, kind)], ["doc_id", "found"])
 
-def secret_spans(docs: DataFrame) -> DataFrame:
+    return run
+
+
+def secret_spans(docs: DataFrame, words: Words | None = None) -> DataFrame:
     """doc_id and the array of (kind, start, end, guess_log10) found in each row's whole text."""
+    scan = _scan(arrays.shared(docs.sparkSession, words or load()))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(
-        _scan, "doc_id long, found array<struct<kind: string, start: long, end: long, guess_log10: double>>"
+        scan, "doc_id long, found array<struct<kind: string, start: long, end: long, guess_log10: double>>"
     )
 
 
@@ -182,19 +210,22 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        place = batch.schema.get_field_index("text")
-        for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-            texts = [None if t is None else mask(t) for t in part.column(place).to_pylist()]
-            yield part.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+def _masked(dictionary: Callable[[], Words]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = dictionary()
+        for part in arrays.slices(batches, "text", SLICE_BYTES):
+            place = part.schema.get_field_index("text")
+            texts = [None if t is None else mask(t, words) for t in part.column(place).to_pylist()]
+            yield part.set_column(place, part.schema.field(place), pa.array(texts, part.schema.field(place).type))
+
+    return run
 
 
-def mask(text: str) -> str:
+def mask(text: str, words: Words = _BASIC) -> str:
     """The text with every span found replaced by its kind in angle brackets; overlapping spans become one."""
     out, done, at = [], 0, 0
     merged: list[list] = []
-    for kind, start, end, _ in spans(text):
+    for kind, start, end, _ in spans(text, words):
         if merged and start < merged[-1][2]:
             merged[-1][2] = max(merged[-1][2], end)
         else:
@@ -205,6 +236,6 @@ def mask(text: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def masked(docs: DataFrame) -> DataFrame:
+def masked(docs: DataFrame, words: Words | None = None) -> DataFrame:
     """All rows and columns of `docs`, with the secrets in `text` masked."""
-    return docs.mapInArrow(_masked, docs.schema)
+    return docs.mapInArrow(_masked(arrays.shared(docs.sparkSession, words or load())), docs.schema)

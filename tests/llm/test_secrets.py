@@ -37,9 +37,9 @@ def test_base_spans(text):
     assert [s[:3] for s in secrets.spans(text) if s[0] != "guess"] == base(text)
 
 
-def cheapest(value):
+def cheapest(value, words=secrets.Words(secrets.COMMON)):
     """Least cost over all cuts, by recursion over the parts."""
-    parts = list(secrets.parts(value))
+    parts = list(secrets.parts(value, words))
 
     def from_(place, brute):
         if place == len(value):
@@ -73,6 +73,35 @@ def test_context_values():
     assert [(k, text[a:b]) for k, a, b, _ in secrets.spans(text)] == [("guess", "zK9#vQ2!mX")]
 
 
+PROSE = (
+    "the secret is wonderful today. his secret is gardening; the password is required. your pin is unknown, the token is expired "
+    "and the secret: friendship! login is cancelled, the secret is important. password: forgotten"
+)
+
+
+def test_ordinary_words_are_no_secrets(docs):
+    """With the whole dictionary; the common words alone know none of these."""
+    words = secrets.load()
+    assert [s for s in secrets.spans(PROSE, words) if s[0] == "guess"] == []
+    assert len([s for s in secrets.spans(PROSE) if s[0] == "guess"]) > 5
+    real = "the secret is wonderful, the password is zK9#vQ2!mX and my pin is qhxvbzrwk"
+    assert [real[a:b] for k, a, b, _ in secrets.spans(real, words) if k == "guess"] == ["zK9#vQ2!mX", "qhxvbzrwk"]
+    ordinary = "the secret is wonderful today. your pin is unknown"
+    assert secrets.masked(docs([(1, ordinary)])).first().text == ordinary
+
+
+@pytest.mark.parametrize("value", ["gardening7", "pineapple", "W0nderful"])
+def test_cost_with_the_whole_dictionary_is_the_least(value):
+    words = secrets.load()
+    assert secrets.guess_cost(value, words) == pytest.approx(cheapest(value, words))
+
+
+def test_dictionary_ranks_common_words_first():
+    words = secrets.load()
+    assert words.rank["password"] == 1 and words.rank["wonderful"] < words.rank["gardening"]
+    assert len(words.rank) == len(set(words.rank.values())) > 20_000
+
+
 def test_query_digest_and_edges(spark, docs, edge_rows):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(100 + i, t) for i, (_, t) in enumerate(edge_rows)] + [(3, TEXTS[3])]
     out = secrets.digest(secrets.secret_spans(docs(rows))).collect()
