@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from string import punctuation
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,19 +73,80 @@ def learnt_abbreviations(docs: DataFrame, text: str) -> DataFrame:
     return found.where(F.col("score") >= LEAST_SCORE)
 
 
+# Parts of a piece of text without any of which a rule finds nothing, for each rule; the pairs of letters are those of run-together words.
+NEEDED = (
+    '"', ":,", ":,", ".", ";@#$%&?!", ".", "][(){}<>", "-", "'\"", "'\"", "'\"", ("nn",), ("mm",), ("nn",), ("tt",), "'",
+)
+# Pieces between blanks whose tokens a task remembers, their longest length, and tokens it holds as Python strings at once.
+REMEMBERED, LONGEST, HELD = 200_000, 64, 1_000_000
+# White space of Unicode, at which tokens are cut in the end.
+ANY_SPACE = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
+
+
+def _tokenizer(stop_words: Sequence[str], abbreviations: Sequence[str]) -> Callable[[pa.Array], pa.Array]:
+    """Function from lower-case texts to their tokens.
+
+    No rule looks beyond the blanks around a piece of text, except that the first piece has none before it. So the rules are
+    applied to each different piece once. What the function needs travels with it.
+    """
+    kept = "(?:" + "|".join(re.escape(a) for a in sorted(abbreviations)) + ")" if abbreviations else "(?!)"
+    rules = [
+        (tuple(needed), re.compile(pattern.replace("{abbreviations}", kept), re.ASCII), re.sub(r"\$(\d)", r"\\\1", replacement))
+        for needed, (pattern, replacement) in zip(NEEDED, TREEBANK, strict=True)
+    ]
+    doubled = tuple({part for needed in NEEDED if isinstance(needed, tuple) for part in needed})
+    space, marks, dropped = re.compile(ANY_SPACE), punctuation, frozenset(stop_words)
+    remembered, longest, held = REMEMBERED, LONGEST, HELD
+    known: dict[str, tuple[str, ...]] = {}
+
+    def apart(piece: str) -> tuple[str, ...]:
+        word = piece.strip(" ")
+        if word.isalnum():  # no marks and no other white space
+            for part in doubled:
+                if part in word:
+                    break
+            else:
+                return () if word in dropped else (word,)
+        for needed, pattern, replacement in rules:
+            for part in needed:
+                if part in piece:
+                    piece = pattern.sub(replacement, piece)
+                    break
+        return tuple([t for t in space.split(piece) if t not in marks and t not in dropped])
+
+    def run(texts: pa.Array) -> pa.Array:
+        ends, flat, parts, size = [0], [], [], 0
+        for text in texts:
+            first, *pieces = (text.as_py() or "").split(" ")
+            flat += apart(first + " ")
+            for piece in pieces:
+                found = known.get(piece)
+                if found is None:
+                    found = apart(f" {piece} ")
+                    if len(piece) <= longest:
+                        if len(known) >= remembered:
+                            known.clear()
+                        known[piece] = found
+                flat += found
+            ends.append(size + len(flat))
+            if len(flat) >= held:
+                parts.append(pa.array(flat, pa.string()))
+                size, flat = size + len(flat), []
+        values = pa.concat_arrays([*parts, pa.array(flat, pa.string())])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=texts.is_null())
+
+    return run
+
+
 def tokens(text: Column, stop_words: Sequence[str] = STOP_WORDS, abbreviations: Sequence[str] = ABBREVIATIONS) -> Column:
     """Lower-case Treebank tokens without stop words and punctuation.
 
     A full stop is set apart where a sentence ends, and stays with an abbreviation. A token goes as punctuation when it is
-    a piece of the punctuation string, so quotation marks (two characters each) and a double dash stay.
+    a piece of the punctuation string, so quotation marks (two characters each) and a double dash stay. Words end at ASCII
+    letters, digits and underscores, as in the SQL twin.
     """
-    apart = F.concat(F.lower(text), F.lit(" "))
-    kept = "(?:" + "|".join(re.escape(a) for a in sorted(abbreviations)) + ")" if abbreviations else "(?!)"
-    for pattern, replacement in TREEBANK:
-        apart = F.regexp_replace(apart, pattern.replace("{abbreviations}", kept), replacement)
-    found = F.filter(F.split(apart, r"(?U)\s+"), lambda t: t != "")
-    kept = F.filter(found, lambda t: ~F.contains(F.lit(punctuation), t))
-    return F.filter(kept, lambda t: ~t.isin(*stop_words)) if stop_words else kept
+    # Declared to vary, because the optimizer would copy it into each filter on its result and run it again.
+    return F.arrow_udf(_tokenizer(stop_words, abbreviations), "array<string>").asNondeterministic()(F.lower(text))
 
 
 def ngrams(words: Column, top: int = 1) -> Column:

@@ -30,6 +30,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def dealt_out(rows: DataFrame) -> DataFrame:
+    """The same rows, spread over all tasks. A file's row group is read by one task, and a large file may have just one."""
+    return rows.withColumn("_row", F.monotonically_increasing_id()).repartition("_row").drop("_row")
+
+
 def _title(text: Column) -> Column:
     return F.substring_index(text, "\n", 1)
 

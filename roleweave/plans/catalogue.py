@@ -560,7 +560,8 @@ def training_skipped(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _words(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.table(spark, folder, "documents").select("doc_id", tokens.tokens(F.col("text")).alias("tokens"))
+    texts = adapters.dealt_out(adapters.table(spark, folder, "documents").select("doc_id", "text"))
+    return texts.select("doc_id", tokens.tokens(F.col("text")).alias("tokens"))
 
 
 def corpus_abbreviations(spark: SparkSession, folder: str) -> DataFrame:
@@ -603,7 +604,8 @@ def _cv(regressor: str, count: int) -> Callable[[SparkSession, str], DataFrame]:
 def bow_cv(spark: SparkSession, folder: str) -> DataFrame:
     """Bags of words of the hand-labelled documents, vocabularies of each fold's training rows, thirty trials of ridge."""
     labels = adapters.table(spark, folder, "labels").select("doc_id", (F.col("quality") * 100.0).alias("score"))
-    rows = _words(spark, folder).join(labels, "doc_id").filter(F.size("tokens") > 0)
+    texts = adapters.dealt_out(adapters.table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id"))
+    rows = texts.select("doc_id", "score", tokens.tokens(F.col("text")).alias("tokens")).filter(F.size("tokens") > 0)
     result = training.cross_validate(rows, "doc_id", "ridge", training.bow_trials("ridge", 30), training.bow_preprocessor)
     return result.select("trial", F.round("spearman", 6).alias("spearman"))
 

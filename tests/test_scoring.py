@@ -5,6 +5,8 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Row
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from roleweave.functions.classify import RelevanceRules
 from roleweave.operators import similarity, tokens
 from roleweave.operators.encoding import HashingEncoder, ModelEncoder, reference_vectors
-from roleweave.plans import bag_of_words, training
+from roleweave.plans import bag_of_words, catalogue, training
 from roleweave.plans.scoring import ModelMismatch, ModelMissing, build_features, load_model, save_model, score_pending
 from roleweave.session import stage
 from roleweave.sources.store import PostingStore
@@ -399,6 +401,36 @@ def test_tokens(one, text, expected):
     assert one(tokens.tokens, "x string", text) == expected
 
 
+def test_tokens_are_made_once_for_a_filter_on_them(spark):
+    """The optimizer copied the rules into the filter and below a join, and ran them again."""
+    texts = spark.createDataFrame([(1, "a pipeline"), (2, ""), (3, None)], "id int, x string")
+    found = texts.select("id", tokens.tokens(F.col("x")).alias("t")).filter(F.size("t") > 0)
+    assert [r.t for r in found.collect()] == [["pipeline"]]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("run(lower(") == 1 and "regexp_replace" not in plan
+
+
+def test_words_of_a_file_of_one_row_group_are_made_by_all_tasks(spark, tmp_path):
+    pq.write_table(pa.table({"doc_id": pa.array(range(400), pa.int64()), "text": [f"word{i} data" for i in range(400)]}), tmp_path / "documents.parquet")
+    words = catalogue._words(spark, str(tmp_path))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"  # which puts so few rows together again
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        sizes = words.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    finally:
+        spark.conf.set(coalesce, before)
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 400
+    assert {(r.doc_id, *r.tokens) for r in words.collect()} == {(i, f"word{i}", "data") for i in range(400)}
+
+
+def test_tokens_of_pieces_at_the_start_and_between_other_white_space(one):
+    assert one(lambda x: tokens.tokens(x, ()), "x string", "'tis 'tis\n'tis cannot\u2003x\tdog's\ndog's b.") == [
+        "'tis", "'t", "is", "'tis", "can", "not", "x", "dog's", "dog", "'s", "b."
+    ]
+    assert one(tokens.tokens, "x string", None) is None
+
+
 def test_bow_vocabulary_ranks_by_document_frequency(spark):
     rows = spark.createDataFrame([(["a", "a", "a", "a", "b"],), (["b", "c"],), (["b", "d"],)], "tokens array<string>")
     params = {"min_df": 1, "max_df": 1.0, "max_features": 2, "max_ngram": 1, "use_idf": False}
