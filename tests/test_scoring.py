@@ -294,6 +294,43 @@ def test_bags_fitted_in_step_equal_single_fits(spark):
     np.testing.assert_allclose([found[k] for k in expected], list(expected.values()), atol=5e-3)
 
 
+def test_bags_of_a_block_go_through_all_models_together(spark, monkeypatch):
+    """One product of a block with all models, whatever their number; equal bags are predicted alike to the last bit."""
+    candidates = training.bow_trials("ridge", 6)
+    found = {}
+    for dense, cells in ((800, 1 << 21), (3, 100)):
+        monkeypatch.setattr(bag_of_words, "DENSE", dense)
+        monkeypatch.setattr(bag_of_words, "CELLS", cells)
+        rng = np.random.default_rng(1)
+        bags = [sorted(rng.choice(9, size=3, replace=False).tolist()) for _ in range(700)]
+        lists = pa.array(bags, pa.list_(pa.int32()))
+        folds = pa.array([i % 2 for i in range(700)], pa.int32())
+        scores = pa.array(rng.normal(size=700))
+        batch = pa.RecordBatch.from_arrays([folds, pa.array(range(700)), scores, lists], ["fold", "_key", "score", "terms"])
+        models = [bag_of_words.Model(t, f, c["alpha"], np.array([8, 0, 3, 5]), np.array([1.0, 2.0, 0.5, 3.0])) for t, c in enumerate(candidates) for f in (0, 1)]
+        directions = {i: rng.normal(size=4) for i in range(0, 12, 3)}
+        total = {}
+        bag_of_words._products(models, directions, 9)(batch, total)
+        for i, p in directions.items():
+            x = np.array([[w * (t in b) for t, w in zip((8, 0, 3, 5), models[i].weights)] for b in bags])
+            norm = np.linalg.norm(x, axis=1, keepdims=True)
+            x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)[np.arange(700) % 2 != models[i].fold]
+            np.testing.assert_allclose(total[i], x.T @ (x @ p), rtol=1e-9)
+        assert total.keys() == directions.keys()
+    rows = spark.createDataFrame([(i, i % 2, 0.0, b) for i, b in enumerate(bags)], "_key long, fold int, score double, terms array<int>")
+    fits = [(rng.normal(size=4), 0.5) for _ in models]
+    for r in bag_of_words.held_out(rows, models, fits, 9).collect():
+        held = tuple(t for t in (0, 3, 5, 8) if t in bags[r._key])
+        assert found.setdefault((r.trial, r.fold, held), r.prediction) == r.prediction
+
+
+def test_only_terms_as_frequent_as_the_last_one_needed_are_ranked(spark):
+    rows = [(0, False, 9, 1), (0, False, 7, 2), (0, False, 5, 4), (0, False, 1, 90), (1, True, 2, 1)]
+    counted = spark.createDataFrame(rows, "fold int, pair boolean, df long, n long")
+    assert sorted(map(tuple, bag_of_words._last_needed(counted, 4).collect())) == [(0, False, 5), (1, True, 2)]
+    assert sorted(map(tuple, bag_of_words._last_needed(counted, 3).collect())) == [(0, False, 7), (1, True, 2)]
+
+
 def test_bags_take_as_many_passes_for_thirty_trials_as_the_slowest_needs(spark, monkeypatch):
     passes, summed = [], bag_of_words._summed
     monkeypatch.setattr(bag_of_words, "_summed", lambda *a: passes.append(1) or summed(*a))
