@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,18 @@ LEAST = 2
 RATE = 2e-6
 DISCOUNT = 0.7
 FOLDS, HELD_OUT = 5, 1
-# Distinct keys that a task sums up before it sends them on.
-SUMMED = 400_000
+# Keys that a task sums up before it sends them on.
+SUMMED = 1_500_000
+# Bytes of training text whose n-grams of an order a bucket takes on average.
+BUCKET_BYTES = 8 << 20
 # The end token's hash; words never hash to it except by collision.
 END = np.uint64(0xE11D)
 # Context of words.
 NOTHING = np.uint64(0)
 # Bytes of text, or one text, whose documents ask for values and are traversed together.
 BLOCK_BYTES = 1 << 19
+# Values that a task sends to the buckets at once.
+FILLED = 400_000
 # Rare values that a bucket holds on average.
 BUCKET_ROWS = 50_000
 # Cells of the filter of an order, as a power of two.
@@ -80,39 +85,6 @@ def tokens(column: pa.Array, hasher: arrays.Hasher) -> tuple[np.ndarray, np.ndar
     return out, first
 
 
-class Sums:
-    """Counts by key, with a value that each key determines beside it if there are two names before the count's, handed on in
-    batches of bounded size."""
-
-    def __init__(self, names: list[str]) -> None:
-        self.names = names
-        self.parts: list[tuple[np.ndarray, ...]] = []
-        self.size = 0
-
-    def add(self, *keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(keys[0]):
-            _, at, n = np.unique(keys[0], return_index=True, return_counts=True)
-            self.parts.append((*(k[at] for k in keys), n))
-            self.size += len(at)
-        if self.size >= 2 * SUMMED:
-            self.fold()
-            if self.size >= SUMMED:
-                yield self.flush()
-
-    def fold(self) -> None:
-        if self.parts:
-            *keys, n = (np.concatenate(x) for x in zip(*self.parts))
-            _, first, at = np.unique(keys[0], return_index=True, return_inverse=True)
-            self.parts = [(*(k[first] for k in keys), np.bincount(at, weights=n).astype(np.int64))]
-            self.size = len(first)
-
-    def flush(self) -> pa.RecordBatch:
-        self.fold()
-        *keys, n = self.parts[0] if self.parts else [np.zeros(0, np.uint64)] * (len(self.names) - 1) + [np.zeros(0, np.int64)]
-        self.parts, self.size = [], 0
-        return pa.RecordBatch.from_arrays([*(pa.array(arrays.signed(k)) for k in keys), pa.array(n, pa.int64())], self.names)
-
-
 def training(docs: DataFrame) -> DataFrame:
     return docs.where(~held_out("doc_id")).select("text")
 
@@ -150,78 +122,158 @@ def _at_order(hashes: np.ndarray, first: np.ndarray, filters: list[np.ndarray],
     return next(x for k, x in enumerate(places(hashes, first, filters), start=2) if k == n)
 
 
+def chunk_size() -> int:
+    return 1 << min(CHUNK_BITS, FILTER_BITS)
+
+
+def _cells_by_chunk(keys: list[np.ndarray], once: bool) -> pa.RecordBatch:
+    """Cells of these keys by chunk: the place in it, two bytes each, and how often, up to LEAST, or LEAST if `once` is enough."""
+    cells, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]) >> np.uint64(64 - FILTER_BITS), return_counts=True)
+    size = np.uint64(chunk_size())
+    chunk, low = (cells // size).astype(np.int64), (cells % size).astype("<u2")
+    times = np.full(len(n), LEAST, np.uint8) if once else np.minimum(n, LEAST).astype(np.uint8)
+    lists = [(c, low[a:b].tobytes(), times[a:b].tobytes()) for c, a, b in _lists(chunk)]
+    return pa.RecordBatch.from_pydict({name: [x[k] for x in lists] for k, name in enumerate(_CHUNKS.names)}, schema=_CHUNKS)
+
+
+_CHUNKS = pa.schema([("chunk", pa.int64()), ("low", pa.binary()), ("times", pa.binary())])
+
+
+def _gathered(parts: Iterator[np.ndarray], once: bool) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for keys in parts:
+        held.append(keys)
+        size += len(keys)
+        if size >= SUMMED:
+            yield _cells_by_chunk(held, once)
+            held, size = [], 0
+    yield _cells_by_chunk(held, once)
+    arrays.release()
+
+
 def _count_cells(held, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters, hasher, sums = [get() for get in held], arrays.Hasher(), Sums(["cell", "n"])
-        for batch in arrays.slices(batches, "text"):
-            _, keys, _, _ = _at_order(*tokens(batch.column("text"), hasher), filters, n)
-            yield from sums.add(keys >> np.uint64(64 - FILTER_BITS))
-        yield sums.flush()
+        filters, hasher = [get() for get in held], arrays.Hasher()
+        texts = arrays.slices(batches, "text")
+        return _gathered((_at_order(*tokens(batch.column("text"), hasher), filters, n)[1] for batch in texts), False)
 
     return run
 
 
+def _key_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _gathered((np.array(batch.column("token")).astype(np.int64).view(np.uint64) for batch in batches), True)
+
+
 def _full_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bits of each chunk of cells. All rows of a chunk are in one task, which counts each cell up to LEAST."""
-    size, numbers, counted = 1 << min(CHUNK_BITS, FILTER_BITS), {}, []
+    counted: dict[int, np.ndarray] = {}
     for batch in batches:
-        chunks = np.array(batch.column("chunk"))
-        cells, at = np.unique(np.array(batch.column("cell")), return_inverse=True)
-        times = np.minimum(np.bincount(at, weights=np.array(batch.column("n")), minlength=len(cells)), LEAST).astype(np.uint8)
-        for chunk in np.unique(chunks).tolist():
-            if chunk not in numbers:
-                numbers[chunk] = len(numbers)
-                counted.append(np.zeros(size, dtype=np.uint8))
-            low, high = np.searchsorted(cells, (chunk * size, (chunk + 1) * size))
-            place = cells[low:high] - chunk * size
-            counted[numbers[chunk]][place] = np.minimum(counted[numbers[chunk]][place] + times[low:high], LEAST)
-    bits = [np.packbits(x >= LEAST, bitorder="little").tobytes() for x in counted]
-    yield pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.int64()), pa.array(bits, pa.binary())], ["chunk", "bits"])
+        for chunk, low, times in zip(*(batch.column(c).to_pylist() for c in _CHUNKS.names)):
+            own = counted.setdefault(chunk, np.zeros(chunk_size(), dtype=np.uint8))
+            cells = np.frombuffer(low, "<u2")
+            own[cells] = np.minimum(own[cells] + np.frombuffer(times, np.uint8), LEAST)
+    bits = [np.packbits(x >= LEAST, bitorder="little").tobytes() for x in counted.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(counted), pa.int64()), pa.array(bits, pa.binary())], ["chunk", "bits"])
+
+
+def full_cells(cells: DataFrame) -> np.ndarray:
+    """Bits of the cells that are counted LEAST times or more: a table of fixed size."""
+    out = np.zeros(((1 << FILTER_BITS) // chunk_size(), chunk_size() // 8), dtype=np.uint8)
+    for row in stage(cells.repartition("chunk").mapInArrow(_full_cells, "chunk long, bits binary"), "lm_cells").collect():
+        out[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
 
 
 def cell_filter(docs: DataFrame, held: list, n: int) -> np.ndarray:
-    """Bits of the cells that LEAST or more n-grams of the training documents fall into: a table of fixed size."""
-    cells = training(docs).mapInArrow(_count_cells(held, n), "cell long, n long")
-    low = min(CHUNK_BITS, FILTER_BITS)
-    dealt = cells.withColumn("chunk", F.shiftright("cell", low)).repartition("chunk")
-    out = np.zeros((1 << (FILTER_BITS - low), (1 << low) // 8), dtype=np.uint8)
-    for row in stage(dealt.mapInArrow(_full_cells, "chunk long, bits binary"), "lm_cells").collect():
-        out[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
-    return out.ravel()
+    """Bits of the cells that LEAST or more n-grams of the training documents fall into."""
+    return full_cells(training(docs).mapInArrow(_count_cells(held, n), "chunk long, low binary, times binary"))
+
+
+def value_filter(table: DataFrame) -> np.ndarray:
+    """Bits of the cells of all n-grams that have a value."""
+    return full_cells(table.where("known = 0").select("token").mapInArrow(_key_cells, "chunk long, low binary, times binary"))
 
 
-def _count(held: list):
-    """Words, whose context is NOTHING, and n-grams of which all parts pass their filters, with the n-gram before the last word."""
+def _count(held: list, n: int, buckets: int):
+    """N-grams of one order of which all parts pass their filters, the n-gram before the last word, and counts, in lists by
+    bucket. Words, whose context is NOTHING, come with the pairs."""
+
+    def flush(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        every, contexts = (np.concatenate([np.zeros(0, np.uint64), *x]) for x in (zip(*parts) if parts else ((), ())))
+        keys, at, times = np.unique(every, return_index=True, return_counts=True)
+        context, lists = contexts[at], list(_lists(buckets_of(keys, buckets)))
+        data = [packed([arrays.signed(x) for x in (steps(keys[a:b]), context[a:b], times[a:b])]) for _, a, b in lists]
+        return pa.RecordBatch.from_pydict({"bucket": [x for x, _, _ in lists], "data": data}, schema=_COUNTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters, hasher, sums = [get() for get in held], arrays.Hasher(), Sums(["token", "context", "n"])
+        filters, hasher, parts, size = [get() for get in held], arrays.Hasher(), [], 0
         for batch in arrays.slices(batches, "text"):
             hashes, first = tokens(batch.column("text"), hasher)
-            yield from sums.add(hashes, np.full(len(hashes), NOTHING))
-            for bits, (_, keys, context, _) in zip(filters, places(hashes, first, filters)):
-                own = passes(bits, keys)
-                yield from sums.add(keys[own], context[own])
-        yield sums.flush()
+            if n == 2:
+                parts.append((hashes, np.full(len(hashes), NOTHING)))
+            _, keys, context, _ = _at_order(hashes, first, filters, n)
+            own = passes(filters[n - 2], keys)
+            parts.append((keys[own], context[own]))
+            size += sum(len(x) for x, _ in parts[-2:])
+            if size >= SUMMED:
+                yield flush(parts)
+                parts, size = [], 0
+        yield flush(parts)
+        arrays.release()
 
     return run
 
 
+_COUNTS = pa.schema([("bucket", pa.int64()), ("data", pa.binary())])
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the words, and of the n-grams that occur LEAST times or more. The lists of a bucket come one after the other."""
+
+    def flush(parts: list[np.ndarray]) -> pa.RecordBatch:
+        every, contexts, n = np.concatenate([np.zeros((3, 0), np.int64), *parts], axis=1)
+        keys, first, at = np.unique(every, return_index=True, return_inverse=True)
+        context, n = contexts[first], np.bincount(at, weights=n, minlength=len(keys)).astype(np.int64)
+        kept = (context == int(NOTHING)) | (n >= LEAST)
+        return pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (keys, context, n)], ["token", "context", "n"])
+
+    current, parts = None, []
+    for batch in batches:
+        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data")):
+            if bucket != current and parts:
+                yield flush(parts)
+                parts = []
+            current = bucket
+            rows = unpacked(data.as_buffer()).reshape(3, -1)
+            parts.append(np.stack([arrays.signed(unstepped(rows[0])), rows[1], rows[2]]))
+    yield flush(parts)
+    arrays.release()
+
+
+def counts(docs: DataFrame, held: list, n: int, buckets: int) -> DataFrame:
+    """token, context and n of the n-grams of one order that occur LEAST times, with the pairs also of all words."""
+    found = training(docs).mapInArrow(_count(held, n, buckets), "bucket long, data binary")
+    return found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merged, "token long, context long, n long")
+
+
 def values(docs: DataFrame) -> tuple[DataFrame, list]:
     """token, n, known, out and arcs of every word and every n-gram of LEAST occurrences, and the filters of all orders.
 
     `n` is its count in the training documents, `known` 1 for words; `out` and `arcs` are the sum of the counts of its arcs
-    and how many there are, zero if it is no state.
+    and how many there are, zero if it is no state. One order is counted after the other, so that only one is in a shuffle.
     """
-    held: list = []
+    buckets = (training(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES + 1
+    held, found = [], []
     for n in range(2, ORDER + 1):
         held.append(arrays.shared(docs.sparkSession, cell_filter(docs, held, n)))
-    found = training(docs).mapInArrow(_count(held), "token long, context long, n long")
-    counts = found.groupBy("token").agg(F.max("context").alias("context"), F.sum("n").alias("n"))
+        own = counts(docs, held, n, buckets)
+        found.append(stage(own, "lm_counts") if n < ORDER else own)
     known, zero = F.col("context") == int(NOTHING), F.lit(0).cast("long")
     own = F.struct("token", "n", known.cast("long").alias("known"), zero.alias("out"), zero.alias("arcs"))
     arc = F.struct(F.col("context").alias("token"), zero.alias("n"), zero.alias("known"), F.col("n").alias("out"), F.lit(1).cast("long").alias("arcs"))
-    rows = counts.where(known | (F.col("n") >= LEAST)).select(F.inline(F.when(known, F.array(own)).otherwise(F.array(own, arc))))
-    return stage(rows.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("n", "known", "out", "arcs")]), "lm_values"), held
+    rows = reduce(DataFrame.union, found).select(F.inline(F.when(known, F.array(own)).otherwise(F.array(own, arc))))
+    table = stage(rows.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("n", "known", "out", "arcs")]), "lm_values")
+    return table, [arrays.shared(docs.sparkSession, value_filter(table))] * (ORDER - 1)
 
 
 @dataclass
@@ -286,17 +338,25 @@ def traverse(hashes: np.ndarray, first: np.ndarray, tables: list[Table], size: f
 
 
 def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (keys >> np.uint64(32)) % np.uint64(buckets)
+    """Equal parts of the hash space, in its order."""
+    return (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+
+
+def steps(keys: np.ndarray) -> np.ndarray:
+    """Differences of sorted hashes, of which the leading bytes are zeros."""
+    return np.diff(keys, prepend=np.uint64(0))
+
+
+def unstepped(differences: np.ndarray) -> np.ndarray:
+    return np.cumsum(differences.view(np.uint64), dtype=np.uint64)
 
 
 def asked(hashes: np.ndarray, first: np.ndarray, frequent: Table, filters: list[np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Words and n-grams of a block that its task doesn't hold, by bucket, and the buckets."""
     sets = [np.unique(hashes)]
     sets += [np.unique(keys[passes(bits, keys)]) for bits, (_, keys, _, _) in zip(filters, places(hashes, first, filters))]
-    keys = np.concatenate([x[~frequent.at(x)[0]] for x in sets])
-    bucket = buckets_of(keys, buckets)
-    order = np.lexsort((keys, bucket))
-    return keys[order], bucket[order]
+    keys = np.sort(np.concatenate([x[~frequent.at(x)[0]] for x in sets]))
+    return keys, buckets_of(keys, buckets)
 
 
 def packed(columns: list[np.ndarray]) -> bytes:
@@ -339,7 +399,7 @@ def _ask(model, held, buckets: int):
         frequent, filters, hasher = model(), [get() for get in held], arrays.Hasher()
         for block, batch in _numbered(batches):
             keys, bucket = asked(*tokens(batch.column("text"), hasher), frequent, filters, buckets)
-            lists = [(b, keys[low:high].tobytes()) for b, low, high in _lists(bucket)]
+            lists = [(b, packed([arrays.signed(steps(keys[low:high]))])) for b, low, high in _lists(bucket)]
             yield pa.RecordBatch.from_pydict({"bucket": [b for b, _ in lists], "block": [block] * len(lists), "data": [x for _, x in lists]}, schema=_LISTS)
 
     return run
@@ -364,7 +424,7 @@ def _fill(buckets: int):
         for batch in batches:
             parts.append(np.array([np.array(batch.column(c)) for c in ("token", "n", "out", "arcs")], dtype=np.int64))
             size += batch.num_rows
-            if size >= SUMMED:
+            if size >= FILLED:
                 yield flush(parts)
                 parts, size = [], 0
         if size:
@@ -387,7 +447,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if table is None:
                 table = Table.of(*np.concatenate([np.zeros((4, 0), np.int64), *parts], axis=1))
                 parts = []
-            keys = np.frombuffer(data, np.uint64)
+            keys = unstepped(unpacked(data))
             block_out.append(block)
             bucket_out.append(bucket)
             data_out.append(packed([checksum(keys), *looked_up(keys, [table]).astype(np.int64)]))
@@ -461,6 +521,7 @@ def scores(docs: DataFrame) -> DataFrame:
     lists = typed.mapInArrow(_ask(model, held, buckets), schema)
     filled = rare.select("token", "n", "out", "arcs").mapInArrow(_fill(buckets), schema)
     answers = filled.union(lists).repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_answer, schema)
+    answers = stage(answers, "lm_answers")
     texts = typed.mapInArrow(_texts, "block long, doc_id long, text string").withColumn("bucket", F.lit(buckets).cast("long"))
     met = texts.unionByName(answers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "bucket")
     return met.mapInArrow(_score(model, held, buckets, size), "doc_id long, n_tokens long, n_known long, base_score double, score double").select(

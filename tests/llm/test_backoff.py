@@ -121,3 +121,21 @@ def test_blocks_and_batches_of_any_size(spark, docs, rows, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert out == {i: round(model.score(t), 6) for i, t in rows}
+
+
+def test_orders_are_counted_apart_and_asked_for_by_their_values(docs, rows, monkeypatch):
+    """A shuffle holds one order; blocks ask by a filter of what has a value, however full those of counting are."""
+    import numpy as np
+
+    monkeypatch.setattr(backoff, "FILTER_BITS", 12)
+    rng = random.Random(3)
+    every = docs(rows + [(1000 + i, " ".join(f"x{rng.random()}" for _ in range(40))) for i in range(200)])
+    open_filter = lambda: np.full((1 << 12) // 8, 255, np.uint8)
+    model = Brute([r.text for r in every.collect() if not held(r.doc_id)])
+    pairs, triples = ([r.n for r in backoff.counts(every, [open_filter] * (n - 1), n, 3).where("context <> 0").collect()] for n in (2, 3))
+    assert sorted(pairs) == sorted(model.arcs[2].values()) and sorted(triples) == sorted(model.arcs[3].values())
+    table, filters = backoff.values(every)
+    keys = np.array([r.token for r in table.where("known = 0").collect()], dtype=np.int64).view(np.uint64)
+    for get in filters:
+        assert backoff.passes(get(), keys).all()
+        assert np.unpackbits(get()).sum() <= len(keys) < (1 << 12) / 2
