@@ -4,9 +4,9 @@
    document alike, rare ones first. The order decides the cost only, never the result.
 2. One pass keeps of each document its set size, a fingerprint of the set, and the prefix in that order that any
    document similar enough has to meet. Documents with the same set become one class.
-3. A filter of fixed size drops most prefix shingles that one class holds, before any of them is shuffled; it only ever
-   lets too many through. Posting lists are cut into bands of set size and come to a task in the order of size. Short ones
-   are paired under the length, positional and suffix filters; in a long one each member is linked to the first one of
+3. All prefix shingles are shuffled as rows of three numbers; those that one class holds go, exactly and at any corpus size.
+   Only the others take the counts of parts of their class along. Posting lists are cut into bands of set size and come to a
+   task in the order of size. Short ones are paired under the length, positional and suffix filters; in a long one each member is linked to the first one of
    its sizes, which needs no more memory than these. Both only say who may be linked.
 4. Connected candidates are verified together: their sets are fetched once and cut into blocks of bounded size, each pair
    of blocks is one task group, and each pair of documents meets in exactly one. Pairs that the length and suffix
@@ -73,12 +73,17 @@ def shingle_hashes(texts: arrays.Texts, hasher: arrays.Hasher, length: int = WOR
     return grams, np.concatenate(([0], np.cumsum(sizes)))
 
 
+def sketch_cells(shingles: np.ndarray) -> np.ndarray:
+    """The last bits of the hash: prefixes crowd where the counts are low, and the first bits deal out and filter shingles."""
+    return (shingles & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+
+
 def _sketch(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, counts = arrays.Hasher(), np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in arrays.slices(batches, "text"):
             grams, _ = shingle_hashes(arrays.texts_of(batch.column("text")), hasher, words)
-            counts += np.bincount((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
+            counts += np.bincount(sketch_cells(grams), minlength=len(counts))
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used])], ["cell", "n"])
 
@@ -86,7 +91,7 @@ def _sketch(words: int):
 
 
 def frequency_sketch(docs: DataFrame, words: int = WORDS) -> np.ndarray:
-    """Counts of all shingles by the leading bits of their hash: a table of fixed size, merged by adding."""
+    """Counts of all shingles by the last bits of their hash: a table of fixed size, merged by adding."""
     rows = docs.select("text").mapInArrow(_sketch(words), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     out[rows["cell"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
@@ -105,7 +110,7 @@ def _profiles(sketch, words: int, percent: int):
                 own = np.unique(grams[a:b])
                 size = len(own)
                 length = size - -(-percent * size // 100) + 1 if size else 0
-                order = np.lexsort((own, counts[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:length]
+                order = np.lexsort((own, counts[sketch_cells(own)]))[:length]
                 sizes.append(size)
                 sums.append(int(own.sum(dtype=np.uint64)))
                 others.append(int(arrays.mixed(own).sum(dtype=np.uint64)))
@@ -242,33 +247,53 @@ def _width(percent: int) -> float:
     return float(-np.log(percent / 100 - 0.01))
 
 
-def _posted(bits, percent: int):
-    """Postings of prefix shingles that may be held twice. A band is BAND steps of size; at a border a posting is in both."""
+def _posted(percent: int):
+    """Postings of all prefix shingles. A list is a shingle and a band of BAND steps of size; at a border a posting is in both.
+
+    `place` is the set size and, in the last 32 bits, the position in the prefix.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 rows = batch.slice(at, 2000)
                 lengths = np.array(pc.list_value_length(rows.column("prefix"))).astype(np.int64)
-                tokens = np.array(rows.column("prefix").flatten()).astype(np.int64)
+                tokens = np.array(rows.column("prefix").flatten()).astype(np.int64).view(np.uint64)
+                n, own = (np.array(rows.column(c)).astype(np.int64) for c in ("n_shingles", "class"))
                 owner = np.repeat(np.arange(rows.num_rows), lengths)
                 pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-                cells = tokens.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
-                kept = (bits()[(cells >> np.uint64(3)).astype(np.int64)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                owner, tokens, pos = owner[kept], tokens[kept], pos[kept]
-                n = np.array(rows.column("n_shingles")).astype(np.int64)
                 step = np.floor(np.log(np.maximum(n, 1)) / _width(percent)).astype(np.int64)[owner]
                 border = np.flatnonzero((step + 1) // BAND != step // BAND)
                 every = np.concatenate((np.arange(len(owner)), border))
-                band = np.concatenate((step // BAND, step[border] // BAND + 1)).astype(np.int32)
-                take = pa.array(owner[every])
-                columns = [pa.array(tokens[every]), pa.array(band), pa.array(pos[every].astype(np.int32))]
-                columns += [rows.column(c).take(take) for c in ("n_shingles", "class", *_PARTS)]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "band", "pos", "n", "class", *_PARTS])
+                band = np.concatenate((step // BAND, step[border] // BAND + 1))
+                lists = arrays.signed(arrays.mixed(tokens[every] + band.astype(np.uint64) * np.uint64(arrays.BASE)))
+                columns = (lists, own[owner[every]], n[owner[every]] << 32 | pos[every])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["list", "class", "place"])
+        arrays.release()
 
     return run
 
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings of lists of two or more, which come in the order of lists."""
+    last, met = None, False
+    for batch in batches:
+        if last is not None:
+            batch = pa.concat_batches([last, batch])
+        size = batch.num_rows
+        if not size:
+            continue
+        lists = np.array(batch.column("list"))
+        same = lists[1:] == lists[:-1]
+        # Only the first row comes from the batch before, and may have met others there.
+        kept = np.append(same, False) | np.concatenate(([met], same))
+        # The last row waits for the next batch.
+        last, met = batch.slice(size - 1), bool(kept[-1])
+        yield batch.slice(0, size - 1).filter(pa.array(kept[:-1]))
+    if met:
+        yield last
+
+
 def _between(i: np.ndarray, j: np.ndarray, rows: dict[str, np.ndarray], percent: int) -> np.ndarray:
     """Which pairs of postings of one list pass the positional filter and, by the counts of parts, the suffix filter."""
     n, pos = rows["n"], rows["pos"]
@@ -282,7 +307,7 @@ def _between(i: np.ndarray, j: np.ndarray, rows: dict[str, np.ndarray], percent:
 
 
 def _paired(percent: int):
-    """Candidate pairs of lists that come in the order of token, band and size."""
+    """Candidate pairs of lists that come in the order of list and size."""
 
     def short(rows: dict[str, np.ndarray], groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         i, d = np.arange(len(groups)), 1
@@ -302,7 +327,7 @@ def _paired(percent: int):
 
         def stars(rows: dict[str, np.ndarray], a: int, b: int) -> tuple[list[int], list[int]]:
             nonlocal long, anchors
-            key = (int(rows["token"][a]), int(rows["band"][a]))
+            key = int(rows["list"][a])
             if key != long:
                 long, anchors = key, {}
             left, right = [], []
@@ -317,13 +342,13 @@ def _paired(percent: int):
 
         def paired(rows: dict[str, np.ndarray], last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held
-            size = len(rows["token"])
-            change = np.flatnonzero((np.diff(rows["token"]) != 0) | (np.diff(rows["band"]) != 0)) + 1
+            size = len(rows["list"])
+            change = np.flatnonzero(rows["list"][1:] != rows["list"][:-1]) + 1
             starts = np.concatenate(([0], change)) if size else np.zeros(0, np.int64)
             ends = np.append(starts[1:], size)
             lengths = ends - starts
             # A list goes on from one batch to the next; what is long is a star at once.
-            begun = np.array([k for k in range(len(starts)) if (int(rows["token"][starts[k]]), int(rows["band"][starts[k]])) == long][:1], dtype=np.int64)
+            begun = np.array([k for k in range(len(starts)) if int(rows["list"][starts[k]]) == long][:1], dtype=np.int64)
             is_long = lengths > SHORT_LIST
             is_long[begun] = True
             open_last = not last and size > 0 and not is_long[-1]
@@ -348,7 +373,9 @@ def _paired(percent: int):
             yield pa.RecordBatch.from_arrays([pa.array(x[new]) for x in (low, high, star)], ["a", "b", "star"])
 
         for batch in batches:
-            rows = {c: np.array(batch.column(c)) for c in ("token", "band", "n", "pos", "class")}
+            rows = {c: np.array(batch.column(c)).astype(np.int64) for c in ("list", "class", "place")}
+            place = rows.pop("place")
+            rows["n"], rows["pos"] = place >> 32, place & 0xFFFFFFFF
             packed = np.stack([np.array(batch.column(p)).astype("<i8") for p in _PARTS], axis=1) if batch.num_rows else np.zeros((0, len(_PARTS)), "<i8")
             rows["parts"] = packed.view("<u2").reshape(batch.num_rows, PACKED_PARTS)
             if held is not None:
@@ -363,10 +390,11 @@ def _paired(percent: int):
 def candidates(rows: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of classes that may be linked, connected as in the module's description."""
     one = _representatives(rows, found)
-    bits = arrays.shared(rows.sparkSession, met_filter(one))
-    parts = ", ".join(f"{p} long" for p in _PARTS)
-    postings = one.mapInArrow(_posted(bits, percent), f"token long, band int, pos int, n long, class long, {parts}")
-    lists = postings.repartition("token", "band").sortWithinPartitions("token", "band", "n", "class")
+    schema = "list long, class long, place long"
+    postings = one.select("class", "n_shingles", "prefix").mapInArrow(_posted(percent), schema)
+    # Lists of one posting, which are most, go before the others take the counts of parts along.
+    met = stage(postings.repartition("list").sortWithinPartitions("list").mapInArrow(_met, schema), "jaccard_postings")
+    lists = met.join(one.select("class", *_PARTS), "class").repartition("list").sortWithinPartitions("list", "place", "class")
     pairs = stage(lists.mapInArrow(_paired(percent), "a long, b long, star boolean"), "jaccard_pairs")
     star = pairs.where("star").select("a", "b")
     signed = one.select("class", F.col("n_shingles").alias("n"), "signature")

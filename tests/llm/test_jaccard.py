@@ -174,3 +174,27 @@ def test_helper_columns_may_clash(docs):
     kept = jaccard.one_of_each_group(table, 5, 80)
     assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
     assert all(r[n] == n for r in kept.collect() for n in names)
+
+
+def test_postings_of_one_class_go_at_any_size():
+    """Exactly the lists of two or more stay, wherever batches end, and no filter can fill up."""
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    lists = np.array(sorted(rng.choice([rng.randrange(10**9), rng.randrange(40), 5, -7]) for _ in range(500)), dtype=np.int64)
+    rows = pa.RecordBatch.from_arrays([pa.array(lists), pa.array(np.arange(500)), pa.array(np.arange(500) << 32 | 3)], ["list", "class", "place"])
+    n = {x: int((lists == x).sum()) for x in lists}
+    expected = [i for i, x in enumerate(lists) if n[x] > 1]
+    assert 0 < len(expected) < 500
+    for size in (1, 2, 3, 7, 500):
+        batches = [rows.slice(at, size) for at in range(0, 500, size)]
+        batches.insert(1, rows.slice(0, 0))
+        assert [i for b in jaccard._met(iter(batches)) for i in b.column("class").to_pylist()] == expected
+    assert list(jaccard._met(iter([]))) == []
+
+
+def test_prefixes_leave_the_leading_bits_alone():
+    """Prefixes crowd in cells of the sketch with low counts, which mustn't be ranges of the hash space."""
+    values = np.array([random.Random(5).getrandbits(64) for _ in range(50)], dtype=np.uint64)
+    changed = values ^ np.uint64(0xFFFFFFFF << 32)
+    assert (jaccard.sketch_cells(values) == jaccard.sketch_cells(changed)).all()
