@@ -8,7 +8,8 @@ through, and the exact counts decide.
 A word or n-gram with arcs is a state; its arcs are the n-grams that continue it. An arc weighs its count less DISCOUNT
 over that of the state, and the failure arc to the next shorter state weighs what the arcs leave over. The empty state
 gives every word its add-half probability. A state's row therefore holds its own count and the sum and number of its arcs
-(`values`), nothing of other states. Suffixes of states are states.
+(`values`), nothing of other states. Suffixes of states are states. Rows of a bucket of hashes are kept and shuffled as one
+list of few bytes (`packed`), so Spark's own rows are as few as the lists.
 
 Each document is traversed once from left to right (`traverse`). The state after a token is the longest of its suffixes
 that is a state; from there the next token's arc, if there is one, and the failure arc are followed down to the empty
@@ -32,6 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,12 +55,12 @@ BUCKET_BYTES = 8 << 20
 END = np.uint64(0xE11D)
 # Context of words.
 NOTHING = np.uint64(0)
+# Bytes of text that are counted at once; arrays of this size stay in a processor's cache.
+COUNTED_BYTES = 1 << 19
 # Bytes of text, or one text, whose documents ask for values and are traversed together.
-BLOCK_BYTES = 1 << 19
-# Values that a task sends to the buckets at once.
-FILLED = 400_000
-# Rare values that a bucket holds on average.
-BUCKET_ROWS = 50_000
+BLOCK_BYTES = 1 << 21
+# Values that a bucket of lists holds on average.
+BUCKET_ROWS = 400_000
 # Cells of the filter of an order, as a power of two.
 FILTER_BITS = 27
 # Cells that one task counts together, likewise.
@@ -91,7 +93,7 @@ def training(docs: DataFrame) -> DataFrame:
 
 def gram_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """Hashes of n-grams from those of all but the last and all but the first of their words."""
-    return arrays.mixed(arrays.mixed(context) * np.uint64(arrays.BASE) + suffix)
+    return arrays.mixed(context * np.uint64(arrays.BASE) + suffix)
 
 
 def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -100,28 +102,65 @@ def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(cells >> np.uint64(3)).astype(np.int64)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def starts_of(values: np.ndarray) -> np.ndarray:
+    """Which values of a sorted column differ from the one before."""
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return new
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Each key once, in order. Sorting takes a fraction of the time of np.unique, which hashes when nothing but the keys is asked for."""
+    keys = np.sort(keys)
+    return keys[starts_of(keys)]
+
+
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in order, and where each of the given ones is among them."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = starts_of(keys)
+    at = np.empty(len(keys), dtype=np.int64)
+    at[order] = np.cumsum(new) - 1
+    return keys[new], at
+
+
+def insides(first: np.ndarray) -> np.ndarray:
+    """How many tokens of its document stand before each token."""
+    return np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
+
+
 def places(hashes: np.ndarray, first: np.ndarray, filters: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order from 2 on: ends of its n-grams in the documents, their keys, and those of context and suffix.
+    """For each order from 2 on: ends of its n-grams in the documents, their keys, those of the contexts, and whether they pass.
 
-    N-grams of which a part doesn't pass the filter of its order are left out, if that filter is given.
+    All pass an order without a filter. N-grams of which a part doesn't pass the filter of its order are left out.
     """
-    inside = np.arange(len(hashes)) - np.repeat(first[:-1], np.diff(first))
+    inside = insides(first)
     keys, usable = hashes, np.ones(len(hashes), dtype=bool)
     for n in range(2, ORDER + 1):
-        ends = np.flatnonzero(inside >= n - 1)
-        ends = ends[usable[ends] & usable[ends - 1]]
-        context, suffix = keys[ends - 1], keys[ends]
-        own = gram_keys(context, suffix)
-        yield ends, own, context, suffix
+        whole = inside >= n - 1
+        whole &= usable
+        whole[1:] &= usable[:-1]
+        ends = np.flatnonzero(whole)
+        context = keys[ends - 1]
+        own = gram_keys(context, keys[ends])
+        passing = passes(filters[n - 2], own) if n - 2 < len(filters) else np.ones(len(own), dtype=bool)
+        yield ends, own, context, passing
         keys, usable = np.zeros(len(hashes), dtype=np.uint64), np.zeros(len(hashes), dtype=bool)
-        keys[ends] = own
-        usable[ends] = passes(filters[n - 2], own) if n - 2 < len(filters) else True
+        keys[ends], usable[ends] = own, passing
 
 
 def _at_order(hashes: np.ndarray, first: np.ndarray, filters: list[np.ndarray], n: int) -> tuple[np.ndarray, ...]:
     return next(x for k, x in enumerate(places(hashes, first, filters), start=2) if k == n)
 
 
+def by_order(hashes: np.ndarray, first: np.ndarray, filters: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order: ends and keys of the words and of the n-grams that pass."""
+    yield np.arange(len(hashes)), hashes
+    for ends, keys, _, passing in places(hashes, first, filters):
+        yield ends[passing], keys[passing]
+
+
 def chunk_size() -> int:
     return 1 << min(CHUNK_BITS, FILTER_BITS)
 
@@ -154,14 +193,14 @@ def _gathered(parts: Iterator[np.ndarray], once: bool) -> Iterator[pa.RecordBatc
 def _count_cells(held, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters, hasher = [get() for get in held], arrays.Hasher()
-        texts = arrays.slices(batches, "text")
+        texts = arrays.slices(batches, "text", COUNTED_BYTES)
         return _gathered((_at_order(*tokens(batch.column("text"), hasher), filters, n)[1] for batch in texts), False)
 
     return run
 
 
 def _key_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _gathered((np.array(batch.column("token")).astype(np.int64).view(np.uint64) for batch in batches), True)
+    return _gathered((keys[rows[1] == 0] for _, keys, rows in _value_lists(batches)), True)
 
 
 def _full_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,9 +228,9 @@ def cell_filter(docs: DataFrame, held: list, n: int) -> np.ndarray:
     return full_cells(training(docs).mapInArrow(_count_cells(held, n), "chunk long, low binary, times binary"))
 
 
-def value_filter(table: DataFrame) -> np.ndarray:
+def value_filter(lists: DataFrame) -> np.ndarray:
     """Bits of the cells of all n-grams that have a value."""
-    return full_cells(table.where("known = 0").select("token").mapInArrow(_key_cells, "chunk long, low binary, times binary"))
+    return full_cells(lists.select("bucket", "data").mapInArrow(_key_cells, "chunk long, low binary, times binary"))
 
 
 def _count(held: list, n: int, buckets: int):
@@ -200,21 +239,22 @@ def _count(held: list, n: int, buckets: int):
 
     def flush(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         every, contexts = (np.concatenate([np.zeros(0, np.uint64), *x]) for x in (zip(*parts) if parts else ((), ())))
-        keys, at, times = np.unique(every, return_index=True, return_counts=True)
-        context, lists = contexts[at], list(_lists(buckets_of(keys, buckets)))
-        data = [packed([arrays.signed(x) for x in (steps(keys[a:b]), context[a:b], times[a:b])]) for _, a, b in lists]
+        keys, (times,), at = summed(every, [np.ones(len(every), np.int64)])
+        context = contexts[at]
+        lists = list(_lists(buckets_of(keys, buckets)))
+        data = [packed([steps(keys[a:b]), context[a:b], times[a:b]]) for _, a, b in lists]
         return pa.RecordBatch.from_pydict({"bucket": [x for x, _, _ in lists], "data": data}, schema=_COUNTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters, hasher, parts, size = [get() for get in held], arrays.Hasher(), [], 0
-        for batch in arrays.slices(batches, "text"):
+        for batch in arrays.slices(batches, "text", COUNTED_BYTES):
             hashes, first = tokens(batch.column("text"), hasher)
             if n == 2:
                 parts.append((hashes, np.full(len(hashes), NOTHING)))
-            _, keys, context, _ = _at_order(hashes, first, filters, n)
-            own = passes(filters[n - 2], keys)
+                size += len(hashes)
+            _, keys, context, own = _at_order(hashes, first, filters, n)
             parts.append((keys[own], context[own]))
-            size += sum(len(x) for x, _ in parts[-2:])
+            size += len(parts[-1][0])
             if size >= SUMMED:
                 yield flush(parts)
                 parts, size = [], 0
@@ -227,53 +267,134 @@ def _count(held: list, n: int, buckets: int):
 _COUNTS = pa.schema([("bucket", pa.int64()), ("data", pa.binary())])
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the words, and of the n-grams that occur LEAST times or more. The lists of a bucket come one after the other."""
+def summed(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Each key once, in order, the sums of its columns, and where it comes first among those given."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(starts_of(keys))
+    return keys[at], [np.add.reduceat(x[order], at) if len(at) else x for x in columns], order[at]
 
-    def flush(parts: list[np.ndarray]) -> pa.RecordBatch:
-        every, contexts, n = np.concatenate([np.zeros((3, 0), np.int64), *parts], axis=1)
-        keys, first, at = np.unique(every, return_index=True, return_inverse=True)
-        context, n = contexts[first], np.bincount(at, weights=n, minlength=len(keys)).astype(np.int64)
-        kept = (context == int(NOTHING)) | (n >= LEAST)
-        return pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (keys, context, n)], ["token", "context", "n"])
 
+def _by_bucket(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Keys and further columns of each bucket, whose lists come one after the other."""
     current, parts = None, []
     for batch in batches:
         for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data")):
             if bucket != current and parts:
-                yield flush(parts)
+                yield current, *_joined(parts)
                 parts = []
             current = bucket
-            rows = unpacked(data.as_buffer()).reshape(3, -1)
-            parts.append(np.stack([arrays.signed(unstepped(rows[0])), rows[1], rows[2]]))
-    yield flush(parts)
+            parts.append(unpacked(data.as_buffer(), columns))
+            parts[-1][0] = arrays.signed(unstepped(parts[-1][0]))
+    if parts:
+        yield current, *_joined(parts)
+
+
+def _joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.concatenate(parts, axis=1)
+    return rows[0].view(np.uint64), rows[1:]
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """By bucket: keys, contexts and counts of the words, and of the n-grams that occur LEAST times or more."""
+    for bucket, keys, (contexts, n) in _by_bucket(batches, 3):
+        keys, (n,), at = summed(keys, [n])
+        context = contexts[at]
+        kept = (context == int(NOTHING)) | (n >= LEAST)
+        yield bucket, keys[kept], context[kept], n[kept]
+
+
+def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, keys, context, n in _kept(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (arrays.signed(keys), context, n)], ["token", "context", "n"])
+
+
+def _weigh(buckets: int):
+    """Values of the words and n-grams of one order, and what they add to those of their contexts, in lists by bucket."""
+
+    def listed(keys: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+        lists = list(_lists(buckets_of(keys, buckets)))
+        data = [packed([steps(keys[a:b]), *(x[a:b] for x in columns)]) for _, a, b in lists]
+        return pa.RecordBatch.from_pydict({"bucket": [x for x, _, _ in lists], "data": data}, schema=_COUNTS)
+
+    def flush(arcs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        contexts, n = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*arcs) if arcs else ((), ())))
+        keys, (out, times), _ = summed(contexts.view(np.uint64), [n, np.ones(len(n), np.int64)])
+        zero = np.zeros(len(keys), np.int64)
+        return listed(keys, [zero, zero, out, times])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arcs, size = [], 0
+        for _, keys, context, n in _kept(batches):
+            known, zero = context == int(NOTHING), np.zeros(len(keys), np.int64)
+            yield listed(keys, [n, known.astype(np.int64), zero, zero])
+            arcs.append((context[~known], n[~known]))
+            size += len(arcs[-1][0])
+            if size >= SUMMED:
+                yield flush(arcs)
+                arcs, size = [], 0
+        yield flush(arcs)
+        arrays.release()
+
+    return run
+
+
+def _sum_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The values of each bucket as one list, how many they are, how many of them are words, and how often those occur."""
+    for bucket, keys, rows in _by_bucket(batches, 5):
+        keys, rows, _ = summed(keys, list(rows))
+        known = rows[1] > 0
+        sizes = {"size": [len(keys)], "words": [int(known.sum())], "tokens": [int(rows[0][known].sum())]}
+        yield pa.RecordBatch.from_pydict({"bucket": [bucket], **sizes, "data": [packed([steps(keys), *rows])]})
     arrays.release()
 
 
+def _value_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """By bucket: keys, and n, known, out and arcs."""
+    return _by_bucket(batches, 5)
+
+
+def _value_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, keys, rows in _value_lists(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (arrays.signed(keys), *rows)], ["token", "n", "known", "out", "arcs"])
+
+
+def counted(docs: DataFrame, held: list, n: int, buckets: int) -> DataFrame:
+    """Lists of `_count` by bucket."""
+    found = training(docs).mapInArrow(_count(held, n, buckets), "bucket long, data binary")
+    return found.repartition("bucket").sortWithinPartitions("bucket")
+
+
 def counts(docs: DataFrame, held: list, n: int, buckets: int) -> DataFrame:
     """token, context and n of the n-grams of one order that occur LEAST times, with the pairs also of all words."""
-    found = training(docs).mapInArrow(_count(held, n, buckets), "bucket long, data binary")
-    return found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merged, "token long, context long, n long")
+    return counted(docs, held, n, buckets).mapInArrow(_count_rows, "token long, context long, n long")
 
 
-def values(docs: DataFrame) -> tuple[DataFrame, list]:
-    """token, n, known, out and arcs of every word and every n-gram of LEAST occurrences, and the filters of all orders.
+def value_lists(docs: DataFrame) -> tuple[DataFrame, list]:
+    """The rows of `values` in lists by bucket, one list each, and the filters of all orders.
 
-    `n` is its count in the training documents, `known` 1 for words; `out` and `arcs` are the sum of the counts of its arcs
-    and how many there are, zero if it is no state. One order is counted after the other, so that only one is in a shuffle.
+    One order is counted after the other, so that only one is in a shuffle. Lists pass Spark's rows as a whole, so what it
+    spends on a row isn't spent on every n-gram.
     """
     buckets = (training(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES + 1
     held, found = [], []
     for n in range(2, ORDER + 1):
         held.append(arrays.shared(docs.sparkSession, cell_filter(docs, held, n)))
-        own = counts(docs, held, n, buckets)
+        own = counted(docs, held, n, buckets).mapInArrow(_weigh(buckets), "bucket long, data binary")
         found.append(stage(own, "lm_counts") if n < ORDER else own)
-    known, zero = F.col("context") == int(NOTHING), F.lit(0).cast("long")
-    own = F.struct("token", "n", known.cast("long").alias("known"), zero.alias("out"), zero.alias("arcs"))
-    arc = F.struct(F.col("context").alias("token"), zero.alias("n"), zero.alias("known"), F.col("n").alias("out"), F.lit(1).cast("long").alias("arcs"))
-    rows = reduce(DataFrame.union, found).select(F.inline(F.when(known, F.array(own)).otherwise(F.array(own, arc))))
-    table = stage(rows.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("n", "known", "out", "arcs")]), "lm_values")
-    return table, [arrays.shared(docs.sparkSession, value_filter(table))] * (ORDER - 1)
+    rows = reduce(DataFrame.union, found).repartition("bucket").sortWithinPartitions("bucket")
+    lists = stage(rows.mapInArrow(_sum_values, "bucket long, size long, words long, tokens long, data binary"), "lm_values")
+    return lists, [arrays.shared(docs.sparkSession, value_filter(lists))] * (ORDER - 1)
+
+
+def values(docs: DataFrame) -> tuple[DataFrame, list]:
+    """token, n, known, out and arcs of every word and every n-gram of LEAST occurrences, and the filters of all orders.
+
+    `n` is its count in the training documents, `known` 1 for words; `out` and `arcs` are the sum of the counts of its arcs
+    and how many there are, zero if it is no state.
+    """
+    lists, held = value_lists(docs)
+    return lists.select("bucket", "data").mapInArrow(_value_rows, "token long, n long, known long, out long, arcs long"), held
 
 
 @dataclass
@@ -306,35 +427,39 @@ def looked_up(keys: np.ndarray, tables: list[Table]) -> np.ndarray:
     return out
 
 
-def frequent_values(table: DataFrame, cutoff: float) -> Table:
-    rows = table.where(F.col("n") >= cutoff).select("token", "n", "out", "arcs").toPandas()
+def frequent_values(lists: DataFrame, cutoff: float) -> Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _value_rows(batches):
+            yield batch.filter(pc.greater_equal(batch.column("n"), cutoff)).drop_columns(["known"])
+
+    rows = lists.select("bucket", "data").mapInArrow(run, "token long, n long, out long, arcs long").toPandas()
     return Table.of(*(rows[c].to_numpy(dtype=np.int64) for c in rows.columns))
 
 
-def traverse(hashes: np.ndarray, first: np.ndarray, tables: list[Table], size: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def traverse(
+    first: np.ndarray, orders: list[tuple[np.ndarray, np.ndarray, np.ndarray]], tables: list[Table], size: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each token of documents: its count, its add-half log10 probability, and that which the automaton gives it.
 
-    All documents are read together, each from its own empty state: row k of `found` holds the suffixes of k + 1 tokens at
-    every place, so the state before a token is the longest of those one place earlier that has arcs.
+    `orders` holds ends, keys and the number of the key at each end (`numbered`), so each key is looked up once. All documents
+    are read together, each from its own empty state: entry k of `found` holds the suffixes of k + 1 tokens at every place, so
+    the state before a token is the longest of those one place earlier that has arcs.
     """
-    found = [looked_up(hashes, tables)]
-    ends = [np.arange(len(hashes))]
-    for places_of, keys, _, _ in places(hashes, first, []):
-        full = np.zeros((3, len(hashes)))
-        full[:, places_of] = looked_up(keys, tables)
-        found.append(full)
-        ends.append(places_of)
-    count = found[0][0]
-    alone = (count + 0.5) / size
-    weight, gathered = np.ones(len(hashes)), np.zeros(len(hashes))
+    found = [(ends, at, looked_up(keys, tables)) for ends, keys, at in orders]
+    _, words, (n, _, _) = found[0]
+    count, alone = n[words], (n + 0.5) / size
+    continues = np.append(insides(first)[1:] > 0, False)
+    weight, gathered = np.ones(len(words)), np.zeros(len(words))
     for k in range(ORDER - 1, 0, -1):
-        n, out, arcs = found[k - 1][:, ends[k] - 1]
-        state = arcs > 0
-        at, n, out, arcs = ends[k][state], n[state], out[state], arcs[state]
-        arc = found[k][0][at]
-        gathered[at] += weight[at] * np.where(arc > 0, arc - DISCOUNT, 0) / n
-        weight[at] *= 1 - (out - DISCOUNT * arcs) / n
-    return count, np.log10(alone), np.log10(gathered + weight * alone)
+        ends, at, (n, out, arcs) = found[k - 1]
+        state = (arcs > 0)[at] & continues[ends]
+        here, at = ends[state] + 1, at[state]
+        arc = np.zeros(len(words))
+        arc[found[k][0]] = found[k][2][0][found[k][1]]
+        arc = arc[here]
+        gathered[here] += weight[here] * np.where(arc > 0, arc - DISCOUNT, 0) / n[at]
+        weight[here] *= (1 - (out - DISCOUNT * arcs) / np.maximum(n, 1))[at]
+    return count, np.log10(alone)[words], np.log10(gathered + weight * alone[words])
 
 
 def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -351,25 +476,34 @@ def unstepped(differences: np.ndarray) -> np.ndarray:
     return np.cumsum(differences.view(np.uint64), dtype=np.uint64)
 
 
-def asked(hashes: np.ndarray, first: np.ndarray, frequent: Table, filters: list[np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words and n-grams of a block that its task doesn't hold, by bucket, and the buckets."""
-    sets = [np.unique(hashes)]
-    sets += [np.unique(keys[passes(bits, keys)]) for bits, (_, keys, _, _) in zip(filters, places(hashes, first, filters))]
+def asked(sets: Iterator[np.ndarray], frequent: Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a block, each order's in order and once, that its task doesn't hold, by bucket, and the buckets."""
     keys = np.sort(np.concatenate([x[~frequent.at(x)[0]] for x in sets]))
     return keys, buckets_of(keys, buckets)
 
 
 def packed(columns: list[np.ndarray]) -> bytes:
-    """Integers byte by byte, all lowest bytes first: small ones are mostly zeros in a row, which compression takes away."""
-    return np.ascontiguousarray(np.concatenate(columns).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Integers byte by byte, all lowest bytes of a column first, up to the highest that any of them needs; each column's
+    number of bytes stands ahead."""
+    rows = [np.ascontiguousarray(x).view(np.uint64) for x in columns]
+    wide = [max(1, (int(x.max(initial=0)).bit_length() + 7) // 8) for x in rows]
+    return b"".join([bytes(wide), *(x.view(np.uint8).reshape(-1, 8)[:, :w].T.tobytes() for x, w in zip(rows, wide))])
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+def unpacked(data: bytes, columns: int) -> np.ndarray:
+    """The columns of `packed`."""
+    every = np.frombuffer(data, np.uint8)
+    wide, at = every[:columns].tolist(), columns
+    size = (len(every) - columns) // sum(wide)
+    out = np.zeros((columns, size, 8), np.uint8)
+    for own, w in zip(out, wide):
+        own[:, :w] = every[at : at + w * size].reshape(w, size).T
+        at += w * size
+    return out.view(np.int64)[:, :, 0]
 
 
-def checksum(keys: np.ndarray) -> np.ndarray:
-    return arrays.signed(np.bitwise_xor.reduce(arrays.mixed(keys), keepdims=True))
+def checksum(keys: np.ndarray) -> bytes:
+    return int(np.bitwise_xor.reduce(arrays.mixed(keys))).to_bytes(8, "little")
 
 
 def _lists(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -398,8 +532,9 @@ def _ask(model, held, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, filters, hasher = model(), [get() for get in held], arrays.Hasher()
         for block, batch in _numbered(batches):
-            keys, bucket = asked(*tokens(batch.column("text"), hasher), frequent, filters, buckets)
-            lists = [(b, packed([arrays.signed(steps(keys[low:high]))])) for b, low, high in _lists(bucket)]
+            sets = (distinct(keys) for _, keys in by_order(*tokens(batch.column("text"), hasher), filters))
+            keys, bucket = asked(sets, frequent, buckets)
+            lists = [(b, packed([steps(keys[low:high])])) for b, low, high in _lists(bucket)]
             yield pa.RecordBatch.from_pydict({"bucket": [b for b, _ in lists], "block": [block] * len(lists), "data": [x for _, x in lists]}, schema=_LISTS)
 
     return run
@@ -408,27 +543,17 @@ def _ask(model, held, buckets: int):
 _LISTS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("data", pa.binary())])
 
 
-def _fill(buckets: int):
-    """Rare values as rows of the buckets, ahead of all lists (block -1)."""
-
-    def flush(parts: list[np.ndarray]) -> pa.RecordBatch:
-        rows = np.concatenate(parts, axis=1)
-        bucket = buckets_of(rows[0].view(np.uint64), buckets)
-        order = np.argsort(bucket, kind="stable")
-        rows = rows[:, order]
-        lists = [(b, rows[:, low:high].tobytes()) for b, low, high in _lists(bucket[order])]
-        return pa.RecordBatch.from_pydict({"bucket": [b for b, _ in lists], "block": [-1] * len(lists), "data": [x for _, x in lists]}, schema=_LISTS)
+def _fill(cutoff: float, buckets: int):
+    """Rare values in lists of the buckets, ahead of all lists of blocks (block -1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
-        for batch in batches:
-            parts.append(np.array([np.array(batch.column(c)) for c in ("token", "n", "out", "arcs")], dtype=np.int64))
-            size += batch.num_rows
-            if size >= FILLED:
-                yield flush(parts)
-                parts, size = [], 0
-        if size:
-            yield flush(parts)
+        for _, keys, (n, _, out, arcs) in _value_lists(batches):
+            rare = n < cutoff
+            keys, columns = keys[rare], [x[rare] for x in (n, out, arcs)]
+            lists = list(_lists(buckets_of(keys, buckets)))
+            data = [packed([steps(keys[low:high]), *(x[low:high] for x in columns)]) for _, low, high in lists]
+            yield pa.RecordBatch.from_pydict({"bucket": [b for b, _, _ in lists], "block": [-1] * len(lists), "data": data}, schema=_LISTS)
+        arrays.release()
 
     return run
 
@@ -442,15 +567,16 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if bucket != current:
                 current, parts, table = bucket, [], None
             if block < 0:
-                parts.append(np.frombuffer(data, np.int64).reshape(4, -1))
+                rows = unpacked(data, 4)
+                parts.append(np.stack([arrays.signed(unstepped(rows[0])), *rows[1:]]))
                 continue
             if table is None:
                 table = Table.of(*np.concatenate([np.zeros((4, 0), np.int64), *parts], axis=1))
                 parts = []
-            keys = unstepped(unpacked(data))
+            keys = unstepped(unpacked(data, 1)[0])
             block_out.append(block)
             bucket_out.append(bucket)
-            data_out.append(packed([checksum(keys), *looked_up(keys, [table]).astype(np.int64)]))
+            data_out.append(checksum(keys) + packed(list(looked_up(keys, [table]).astype(np.int64))))
         yield pa.RecordBatch.from_pydict({"bucket": bucket_out, "block": block_out, "data": data_out}, schema=_LISTS)
     arrays.release()
 
@@ -461,16 +587,13 @@ def _score(model, held, buckets: int, size: float):
     def scored(doc_id: list[pa.Array], text: list[pa.Array], answers: list[bytes], hasher: arrays.Hasher) -> pa.RecordBatch:
         frequent, filters = model(), [get() for get in held]
         hashes, first = tokens(pa.concat_arrays(text), hasher)
-        keys, bucket = asked(hashes, first, frequent, filters, buckets)
+        orders = [(ends, *numbered(keys)) for ends, keys in by_order(hashes, first, filters)]
+        keys, bucket = asked((x for _, x, _ in orders), frequent, buckets)
         lists = [(low, high) for _, low, high in _lists(bucket)]
-        got = [unpacked(x) for x in answers]
-        same = len(lists) == len(got) and all(
-            len(x) == 3 * (high - low) + 1 and x[0] == checksum(keys[low:high])[0] for (low, high), x in zip(lists, got)
-        )
-        if not same:
+        if len(lists) != len(answers) or any(x[:8] != checksum(keys[low:high]) for (low, high), x in zip(lists, answers)):
             raise RuntimeError("the documents changed between two reads: write them to a table first")
-        rows = np.concatenate([np.zeros((3, 0), np.int64), *(x[1:].reshape(3, -1) for x in got)], axis=1)
-        count, base, own = traverse(hashes, first, [frequent, Table.of(arrays.signed(keys), *rows)], size)
+        rows = np.concatenate([np.zeros((3, 0), np.int64), *(unpacked(memoryview(x)[8:], 3) for x in answers)], axis=1)
+        count, base, own = traverse(first, orders, [frequent, Table.of(arrays.signed(keys), *rows)], size)
         document = np.repeat(np.arange(len(first) - 1), np.diff(first))
         total = lambda x: np.bincount(document, weights=x, minlength=len(first) - 1)
         return pa.RecordBatch.from_arrays(
@@ -510,16 +633,15 @@ def _score(model, held, buckets: int, size: float):
 
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of `docs`."""
-    table, held = values(docs)
-    words, n = F.col("known") > 0, F.col("n")
-    total, distinct = table.agg(F.coalesce(F.sum(F.when(words, n)), F.lit(0)), F.count_if(words)).first()
-    size, cutoff = float(total + 0.5 * (distinct + 1)), max(RATE * total, LEAST)
-    model, rare = arrays.shared(docs.sparkSession, frequent_values(table, cutoff)), table.where(n < cutoff)
-    buckets = rare.count() // BUCKET_ROWS + 1
+    found, held = value_lists(docs)
+    total, distinct_words, rows = found.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "words", "size")]).first()
+    size, cutoff = float(total + 0.5 * (distinct_words + 1)), max(RATE * total, LEAST)
+    model = arrays.shared(docs.sparkSession, frequent_values(found, cutoff))
+    buckets = rows // BUCKET_ROWS + 1
     typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.spark_partition_id().alias("part"))
     schema = "bucket long, block long, data binary"
     lists = typed.mapInArrow(_ask(model, held, buckets), schema)
-    filled = rare.select("token", "n", "out", "arcs").mapInArrow(_fill(buckets), schema)
+    filled = found.select("bucket", "data").mapInArrow(_fill(cutoff, buckets), schema)
     answers = filled.union(lists).repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_answer, schema)
     answers = stage(answers, "lm_answers")
     texts = typed.mapInArrow(_texts, "block long, doc_id long, text string").withColumn("bucket", F.lit(buckets).cast("long"))

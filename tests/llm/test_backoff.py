@@ -139,3 +139,41 @@ def test_orders_are_counted_apart_and_asked_for_by_their_values(docs, rows, monk
     for get in filters:
         assert backoff.passes(get(), keys).all()
         assert np.unpackbits(get()).sum() <= len(keys) < (1 << 12) / 2
+
+
+def test_values_of_many_buckets_and_flushes(docs, rows, monkeypatch):
+    """Counts and arcs meet from many lists of a bucket; what passes Spark is one short list per bucket, not a row per n-gram."""
+    monkeypatch.setattr(backoff, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(backoff, "SUMMED", 100)
+    monkeypatch.setattr(backoff, "BUCKET_ROWS", 30)
+    monkeypatch.setattr(backoff, "RATE", 0.02)
+    model = Brute([t for i, t in rows if not held(i)])
+    found, _ = backoff.value_lists(docs(rows))
+    lists, table = found.collect(), backoff.values(docs(rows))[0].collect()
+    assert len({r.bucket for r in lists}) == len(lists) > 5
+    assert sum(r["size"] for r in lists) == len(table) and sum(len(r.data) for r in lists) < 16 * len(table)
+    assert (sum(r.tokens for r in lists), sum(r.words for r in lists)) == (model.n, model.v)
+    assert sorted(r.n for r in table) == sorted([*model.c[1].values(), *model.arcs[2].values(), *model.arcs[3].values()])
+    expected = sorted((sum(model.c[len(g[0])][x] for x in g), len(g)) for g in model.after.values())
+    assert sorted((r.out, r.arcs) for r in table if r.arcs) == expected
+    out = {r.doc_id: round(r.score, 6) for r in backoff.scores(docs(rows)).collect()}
+    assert out == {i: round(model.score(t), 6) for i, t in rows}
+
+
+def test_lists_take_the_bytes_that_their_numbers_need():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for columns in (
+        [np.zeros(0, np.int64)] * 3,
+        [np.zeros(4, np.int64), np.arange(4) * 90],
+        [np.array([0, 2**64 - 1], np.uint64), np.array([255, 256])],
+        [backoff.steps(np.sort(rng.integers(0, 2**64, 1000, np.uint64))), rng.integers(0, 256, 1000)],
+    ):
+        data = backoff.packed(columns)
+        got = backoff.unpacked(data, len(columns))
+        assert all((a == b.astype(np.uint64).view(np.int64)).all() and len(a) == len(b) for a, b in zip(got, columns))
+    assert len(data) <= 1000 * 9 + 2
+    keys = rng.integers(0, 50, 1000).astype(np.uint64)
+    own, at = backoff.numbered(keys)
+    assert (own[at] == keys).all() and (own == np.unique(keys)).all() and (backoff.distinct(keys) == own).all()
