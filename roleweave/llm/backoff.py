@@ -17,7 +17,9 @@ state, and the logarithm of what was gathered is added to the score.
 
 Values of at least RATE of all tokens (at most 1 / RATE of each order) are sent to the tasks. All others lie in buckets of
 hashes. A block of documents sends each bucket the list of its words and n-grams there, each once; the counts come back in
-the order of that list, which the traversal makes again from the texts, so hashes travel one way only.
+the order of that list, which the traversal makes again from the texts, so hashes travel one way only. In a large corpus
+nearly all cells are taken: then one half of the hashes is asked for after the other, so that shuffles don't grow by what the
+filter no longer spares.
 
 Null text is the empty text: one end token. Documents without an id hash as the empty string does. Repeated rows are
 counted and scored as often as they come, also those that share an id. Without training documents every token is
@@ -65,6 +67,10 @@ BUCKET_ROWS = 400_000
 FILTER_BITS = 27
 # Cells that one task counts together, likewise.
 CHUNK_BITS = 16
+# Share of a filter's cells from which on it spares too little, and blocks ask for one half of the hashes after the other.
+CROWDED = 0.25
+# Bytes of answers that a task sends on at once.
+ANSWER_BYTES = 4 << 20
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -526,13 +532,14 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["block", "doc_id", "text"])
 
 
-def _ask(model, held, buckets: int):
-    """The lists of every block: bucket, block and hashes."""
+def _ask(model, held, buckets: int, rounds: int, turn: int):
+    """The lists of every block in the buckets of this turn: bucket, block and hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, filters, hasher = model(), [get() for get in held], arrays.Hasher()
         for block, batch in _numbered(batches):
-            sets = (distinct(keys) for _, keys in by_order(*tokens(batch.column("text"), hasher), filters))
+            every = (keys for _, keys in by_order(*tokens(batch.column("text"), hasher), filters))
+            sets = (distinct(keys if rounds == 1 else keys[buckets_of(keys, rounds) == turn]) for keys in every)
             keys, bucket = asked(sets, frequent, buckets)
             lists = [(b, packed([steps(keys[low:high])])) for b, low, high in _lists(bucket)]
             yield pa.RecordBatch.from_pydict({"bucket": [b for b, _ in lists], "block": [block] * len(lists), "data": [x for _, x in lists]}, schema=_LISTS)
@@ -543,12 +550,12 @@ def _ask(model, held, buckets: int):
 _LISTS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("data", pa.binary())])
 
 
-def _fill(cutoff: float, buckets: int):
-    """Rare values in lists of the buckets, ahead of all lists of blocks (block -1)."""
+def _fill(cutoff: float, buckets: int, rounds: int, turn: int):
+    """Rare values in lists of the buckets of this turn, ahead of all lists of blocks (block -1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, keys, (n, _, out, arcs) in _value_lists(batches):
-            rare = n < cutoff
+            rare = (n < cutoff) & (buckets_of(keys, rounds) == turn)
             keys, columns = keys[rare], [x[rare] for x in (n, out, arcs)]
             lists = list(_lists(buckets_of(keys, buckets)))
             data = [packed([steps(keys[low:high]), *(x[low:high] for x in columns)]) for _, low, high in lists]
@@ -560,24 +567,30 @@ def _fill(cutoff: float, buckets: int):
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """block, bucket and the values of each list in its order, behind a checksum. A bucket's values come before its lists."""
-    current, parts, table = None, [], None
+    current, parts, table, out, size = None, [], None, [], 0
+
+    def flush() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({name: [x[k] for x in out] for k, name in enumerate(_LISTS.names)}, schema=_LISTS)
+
     for batch in batches:
-        block_out, bucket_out, data_out = [], [], []
-        for bucket, block, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "data"))):
+        for bucket, block, data in zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist(), batch.column("data")):
             if bucket != current:
                 current, parts, table = bucket, [], None
             if block < 0:
-                rows = unpacked(data, 4)
-                parts.append(np.stack([arrays.signed(unstepped(rows[0])), *rows[1:]]))
+                rows = unpacked(data.as_buffer(), 4)
+                rows[0] = arrays.signed(unstepped(rows[0]))
+                parts.append(rows)
                 continue
             if table is None:
                 table = Table.of(*np.concatenate([np.zeros((4, 0), np.int64), *parts], axis=1))
                 parts = []
-            keys = unstepped(unpacked(data, 1)[0])
-            block_out.append(block)
-            bucket_out.append(bucket)
-            data_out.append(checksum(keys) + packed(list(looked_up(keys, [table]).astype(np.int64))))
-        yield pa.RecordBatch.from_pydict({"bucket": bucket_out, "block": block_out, "data": data_out}, schema=_LISTS)
+            keys = unstepped(unpacked(data.as_buffer(), 1)[0])
+            out.append((bucket, block, checksum(keys) + packed(list(looked_up(keys, [table]).astype(np.int64)))))
+            size += len(out[-1][2])
+            if size >= ANSWER_BYTES:
+                yield flush()
+                out, size = [], 0
+    yield flush()
     arrays.release()
 
 
@@ -637,13 +650,17 @@ def scores(docs: DataFrame) -> DataFrame:
     total, distinct_words, rows = found.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "words", "size")]).first()
     size, cutoff = float(total + 0.5 * (distinct_words + 1)), max(RATE * total, LEAST)
     model = arrays.shared(docs.sparkSession, frequent_values(found, cutoff))
-    buckets = rows // BUCKET_ROWS + 1
+    rounds = 2 if np.unpackbits(held[0]()).mean() > CROWDED else 1
+    buckets = rounds * (rows // (rounds * BUCKET_ROWS) + 1)
     typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.spark_partition_id().alias("part"))
     schema = "bucket long, block long, data binary"
-    lists = typed.mapInArrow(_ask(model, held, buckets), schema)
-    filled = found.select("bucket", "data").mapInArrow(_fill(cutoff, buckets), schema)
-    answers = filled.union(lists).repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_answer, schema)
-    answers = stage(answers, "lm_answers")
+    answers = []
+    for turn in range(rounds):
+        lists = typed.mapInArrow(_ask(model, held, buckets, rounds, turn), schema)
+        filled = found.select("bucket", "data").mapInArrow(_fill(cutoff, buckets, rounds, turn), schema)
+        met = filled.union(lists).repartition("bucket").sortWithinPartitions("bucket", "block")
+        answers.append(stage(met.mapInArrow(_answer, schema), "lm_answers"))
+    answers = reduce(DataFrame.union, answers)
     texts = typed.mapInArrow(_texts, "block long, doc_id long, text string").withColumn("bucket", F.lit(buckets).cast("long"))
     met = texts.unionByName(answers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "bucket")
     return met.mapInArrow(_score(model, held, buckets, size), "doc_id long, n_tokens long, n_known long, base_score double, score double").select(

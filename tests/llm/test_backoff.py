@@ -177,3 +177,23 @@ def test_lists_take_the_bytes_that_their_numbers_need():
     keys = rng.integers(0, 50, 1000).astype(np.uint64)
     own, at = backoff.numbered(keys)
     assert (own[at] == keys).all() and (own == np.unique(keys)).all() and (backoff.distinct(keys) == own).all()
+
+
+def test_a_crowded_filter_halves_the_lists(docs, rows, monkeypatch):
+    """When nearly all n-grams pass the filter, a shuffle holds the lists and values of one half of the hashes only."""
+    monkeypatch.setattr(backoff, "FILTER_BITS", 6)
+    monkeypatch.setattr(backoff, "RATE", 0.02)
+    monkeypatch.setattr(backoff, "BUCKET_ROWS", 30)
+    monkeypatch.setattr(backoff, "ANSWER_BYTES", 200)
+    model = Brute([t for i, t in rows if not held(i)])
+    staged, plain = [], backoff.stage
+
+    def stage(df, name):
+        staged.append((name, plain(df, name)))
+        return staged[-1][1]
+
+    monkeypatch.setattr(backoff, "stage", stage)
+    out = {r.doc_id: round(r.score, 6) for r in backoff.scores(docs(rows)).collect()}
+    assert out == {i: round(model.score(t), 6) for i, t in rows}
+    halves = [{r.bucket for r in table.collect()} for name, table in staged if name == "lm_answers"]
+    assert len(halves) == 2 and min(map(len, halves)) > 3 and max(halves[0]) < min(halves[1])
