@@ -245,8 +245,12 @@ def _count(held: list, n: int, buckets: int):
 
     def flush(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         every, contexts = (np.concatenate([np.zeros(0, np.uint64), *x]) for x in (zip(*parts) if parts else ((), ())))
-        keys, (times,), at = summed(every, [np.ones(len(every), np.int64)])
-        context = contexts[at]
+        parts.clear()
+        order = np.argsort(every)
+        every = every[order]
+        at = np.flatnonzero(starts_of(every))
+        keys, context, times = every[at], contexts[order[at]], np.diff(at, append=len(every))
+        del every, contexts, order, at
         lists = list(_lists(buckets_of(keys, buckets)))
         data = [packed([steps(keys[a:b]), context[a:b], times[a:b]]) for _, a, b in lists]
         return pa.RecordBatch.from_pydict({"bucket": [x for x, _, _ in lists], "data": data}, schema=_COUNTS)
@@ -263,7 +267,7 @@ def _count(held: list, n: int, buckets: int):
             size += len(parts[-1][0])
             if size >= SUMMED:
                 yield flush(parts)
-                parts, size = [], 0
+                size = 0
         yield flush(parts)
         arrays.release()
 
@@ -606,7 +610,9 @@ def _score(model, held, buckets: int, size: float):
         if len(lists) != len(answers) or any(x[:8] != checksum(keys[low:high]) for (low, high), x in zip(lists, answers)):
             raise RuntimeError("the documents changed between two reads: write them to a table first")
         rows = np.concatenate([np.zeros((3, 0), np.int64), *(unpacked(memoryview(x)[8:], 3) for x in answers)], axis=1)
-        count, base, own = traverse(first, orders, [frequent, Table.of(arrays.signed(keys), *rows)], size)
+        rare = Table.of(arrays.signed(keys), *rows)
+        del keys, bucket, hashes, rows
+        count, base, own = traverse(first, orders, [frequent, rare], size)
         document = np.repeat(np.arange(len(first) - 1), np.diff(first))
         total = lambda x: np.bincount(document, weights=x, minlength=len(first) - 1)
         return pa.RecordBatch.from_arrays(
